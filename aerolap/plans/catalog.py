@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolap.operators import bands as B
+from aerolap.operators import ranking as R
 from aerolap.operators.clean import clean
 from aerolap.operators.routes import origin_stats, route_months, route_stats
 from aerolap.plans.output import with_text
@@ -37,8 +39,68 @@ def q_route_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_text(route_months(flights(spark, sf_dir)), ints=("months",))
 
 
+def q_band_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_text(B.band_report(flights(spark, sf_dir)), causes=("top_causes",))
+
+
+def q_join_band_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_text(B.band_report_joined(flights(spark, sf_dir)), causes=("top_causes",))
+
+
+def q_band_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.band_stats(flights(spark, sf_dir))
+
+
+def q_cancel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.cancel_stats(flights(spark, sf_dir))
+
+
+def q_delay_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.delay_causes(flights(spark, sf_dir))
+
+
+def q_cancel_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.cancel_causes(flights(spark, sf_dir))
+
+
+def q_union_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.union_causes(flights(spark, sf_dir))
+
+
+def q_cause_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.cause_counts(flights(spark, sf_dir))
+
+
+def q_top_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_text(B.top_causes(flights(spark, sf_dir)), causes=("top_causes",))
+
+
+def q_carrier_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.carrier_ranking(flights(spark, sf_dir))
+
+
+def q_join_airport_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.carrier_ranking_joined(flights(spark, sf_dir))
+
+
+def q_airport_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.airport_baseline(flights(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "route_stats": q_route_stats,
     "origin_stats": q_origin_stats,
     "route_months": q_route_months,
+    "band_report": q_band_report,
+    "join_band_causes": q_join_band_causes,
+    "band_stats": q_band_stats,
+    "cancel_stats": q_cancel_stats,
+    "delay_causes": q_delay_causes,
+    "cancel_causes": q_cancel_causes,
+    "union_causes": q_union_causes,
+    "cause_counts": q_cause_counts,
+    "top_causes": q_top_causes,
+    "carrier_ranking": q_carrier_ranking,
+    "join_airport_baseline": q_join_airport_baseline,
+    "airport_baseline": q_airport_baseline,
 }

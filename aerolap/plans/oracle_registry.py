@@ -8,4 +8,16 @@ ORACLE_SQL: dict[str, str] = {
     "route_stats": O.ROUTE_STATS,
     "origin_stats": O.ORIGIN_STATS,
     "route_months": O.ROUTE_MONTHS,
+    "band_report": O.BAND_REPORT,
+    "join_band_causes": O.BAND_REPORT,
+    "band_stats": O.BAND_STATS,
+    "cancel_stats": O.CANCEL_STATS,
+    "delay_causes": O.DELAY_CAUSES,
+    "cancel_causes": O.CANCEL_CAUSES,
+    "union_causes": O.UNION_CAUSES,
+    "cause_counts": O.CAUSE_COUNTS,
+    "top_causes": O.TOP_CAUSES,
+    "carrier_ranking": O.CARRIER_RANKING,
+    "join_airport_baseline": O.CARRIER_RANKING,
+    "airport_baseline": O.AIRPORT_BASELINE,
 }
