@@ -12,12 +12,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from aerolap.functions import hhmm_to_minutes
 from aerolap.operators import bands as B
+from aerolap.operators import quality as Q
+from aerolap.operators import timechecks as TC
 from aerolap.operators import ranking as R
 from aerolap.operators.clean import clean
 from aerolap.operators.routes import origin_stats, route_months, route_stats
 from aerolap.plans.output import with_text
-from aerolap.sources.fixtures import raw_flights
+from aerolap.schema import CLOCK_COLUMNS, KEY_COLUMNS, RAW_COLUMNS, TIME_CHECKS
+from aerolap.sources.fixtures import load_raw_flights as raw_flights
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +93,82 @@ def q_airport_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.airport_baseline(flights(spark, sf_dir))
 
 
+# --- data quality (raw table) ---------------------------------------------
+
+def q_dq_row_count(spark, sf_dir):
+    return Q.row_count(raw_flights(spark, sf_dir))
+
+
+def q_dq_null_report(spark, sf_dir):
+    return Q.null_report(raw_flights(spark, sf_dir).select(*RAW_COLUMNS))
+
+
+def _dist(col):
+    def q(spark, sf_dir):
+        return Q.value_distribution(raw_flights(spark, sf_dir), col)
+    return q
+
+
+def _flags(col):
+    def q(spark, sf_dir):
+        return Q.flag_profile(raw_flights(spark, sf_dir), col)
+    return q
+
+
+def _describe(flag):
+    def q(spark, sf_dir):
+        d = Q.describe_subset(raw_flights(spark, sf_dir), flag, ["dep_delay", "arr_delay"])
+        return d.withColumn("value", F.round("value", 6))
+    return q
+
+
+def q_dq_sample_cancelled(spark, sf_dir):
+    return Q.sample_rows(raw_flights(spark, sf_dir), "cancelled", KEY_COLUMNS,
+                         ["dep_delay", "arr_delay"], n=10)
+
+
+def q_dq_bad_month(spark, sf_dir):
+    shifted = raw_flights(spark, sf_dir).withColumn("month", F.col("month") + 1)
+    return Q.bad_months(shifted).select(*KEY_COLUMNS, "month")
+
+
+def q_dq_dist_month(spark, sf_dir):
+    return Q.month_distribution(raw_flights(spark, sf_dir))
+
+
+def q_dq_split(spark, sf_dir):
+    return Q.split_counts(raw_flights(spark, sf_dir))
+
+
+# --- time checks (raw table) ------------------------------------------------
+
+def q_dq_minutes(spark, sf_dir):
+    raw = raw_flights(spark, sf_dir)
+    return raw.select(*KEY_COLUMNS, *[hhmm_to_minutes(c).alias(f"{c}_min") for c in CLOCK_COLUMNS])
+
+
+def q_dq_expected(spark, sf_dir):
+    e = TC.with_expected(TC.flown(raw_flights(spark, sf_dir)))
+    return e.select(*KEY_COLUMNS, *TC.EXPECTED.values())
+
+
+def q_dq_time_checks(spark, sf_dir):
+    t = TC.with_time_checks(raw_flights(spark, sf_dir))
+    return t.select(*KEY_COLUMNS, *[f"err_{c}" for c in TIME_CHECKS], "any_error")
+
+
+def q_dq_validation_report(spark, sf_dir):
+    return TC.validation_report(raw_flights(spark, sf_dir))
+
+
+def q_dq_bad_rows(spark, sf_dir):
+    return TC.bad_rows(raw_flights(spark, sf_dir))
+
+
+def q_dq_error_examples(spark, sf_dir):
+    return TC.error_examples(raw_flights(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "route_stats": q_route_stats,
     "origin_stats": q_origin_stats,
@@ -103,4 +185,22 @@ QUERIES: dict[str, Query] = {
     "carrier_ranking": q_carrier_ranking,
     "join_airport_baseline": q_join_airport_baseline,
     "airport_baseline": q_airport_baseline,
+    "dq_row_count": q_dq_row_count,
+    "dq_null_report": q_dq_null_report,
+    "dq_dist_cancelled": _dist("cancelled"),
+    "dq_dist_diverted": _dist("diverted"),
+    "dq_flags_cancelled": _flags("cancelled"),
+    "dq_flags_diverted": _flags("diverted"),
+    "dq_describe_cancelled": _describe("cancelled"),
+    "dq_describe_diverted": _describe("diverted"),
+    "dq_sample_cancelled": q_dq_sample_cancelled,
+    "dq_bad_month": q_dq_bad_month,
+    "dq_dist_month": q_dq_dist_month,
+    "dq_split": q_dq_split,
+    "dq_minutes": q_dq_minutes,
+    "dq_expected": q_dq_expected,
+    "dq_time_checks": q_dq_time_checks,
+    "dq_validation_report": q_dq_validation_report,
+    "dq_bad_rows": q_dq_bad_rows,
+    "dq_error_examples": q_dq_error_examples,
 }

@@ -20,4 +20,22 @@ ORACLE_SQL: dict[str, str] = {
     "carrier_ranking": O.CARRIER_RANKING,
     "join_airport_baseline": O.CARRIER_RANKING,
     "airport_baseline": O.AIRPORT_BASELINE,
+    "dq_row_count": O.DQ_ROW_COUNT,
+    "dq_null_report": O.DQ_NULL_REPORT,
+    "dq_dist_cancelled": O.dq_dist("cancelled"),
+    "dq_dist_diverted": O.dq_dist("diverted"),
+    "dq_flags_cancelled": O.dq_flags("cancelled"),
+    "dq_flags_diverted": O.dq_flags("diverted"),
+    "dq_describe_cancelled": O.dq_describe("cancelled"),
+    "dq_describe_diverted": O.dq_describe("diverted"),
+    "dq_sample_cancelled": O.DQ_SAMPLE_CANCELLED,
+    "dq_bad_month": O.DQ_BAD_MONTH,
+    "dq_dist_month": O.DQ_DIST_MONTH,
+    "dq_split": O.DQ_SPLIT,
+    "dq_minutes": O.DQ_MINUTES,
+    "dq_expected": O.DQ_EXPECTED,
+    "dq_time_checks": O.DQ_TIME_CHECKS,
+    "dq_validation_report": O.DQ_VALIDATION_REPORT,
+    "dq_bad_rows": O.DQ_BAD_ROWS,
+    "dq_error_examples": O.DQ_ERROR_EXAMPLES,
 }
