@@ -11,18 +11,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
-
-from aerolap.functions import hhmm_to_minutes
+from pyspark.sql import types as T
+
+from aerolap import sources as S
+from aerolap.functions import (
+    cancel_cause,
+    delay_band,
+    flight_band,
+    hhmm_to_minutes,
+    month_name,
+    route_key,
+)
 from aerolap.operators import bands as B
 from aerolap.operators import quality as Q
-from aerolap.operators import timechecks as TC
 from aerolap.operators import ranking as R
-from aerolap.operators.clean import clean
+from aerolap.operators import scale as D
+from aerolap.operators import timechecks as TC
+from aerolap.operators import views as V
+from aerolap.operators.clean import cast_types, clean, normalise_codes
 from aerolap.operators.routes import origin_stats, route_months, route_stats
 from aerolap.plans.output import with_text
-from aerolap.schema import CLOCK_COLUMNS, KEY_COLUMNS, RAW_COLUMNS, TIME_CHECKS
+from aerolap.schema import (
+    BAND_COLUMNS,
+    CLEAN_OVERRIDES,
+    CLOCK_COLUMNS,
+    CODE_COLUMNS,
+    KEY_COLUMNS,
+    RANKING_COLUMNS,
+    RAW_COLUMNS,
+    RAW_FIELDS,
+    TIME_CHECKS,
+)
+from aerolap.session import scratch_path
 from aerolap.sources.fixtures import load_raw_flights as raw_flights
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +190,229 @@ def q_dq_error_examples(spark, sf_dir):
     return TC.error_examples(raw_flights(spark, sf_dir))
 
 
+# --- cleaning steps -----------------------------------------------------------
+
+def q_clean_codes(spark, sf_dir):
+    return normalise_codes(raw_flights(spark, sf_dir)).select(*KEY_COLUMNS, *CODE_COLUMNS)
+
+
+def q_clean_casts(spark, sf_dir):
+    return cast_types(raw_flights(spark, sf_dir)).select(*KEY_COLUMNS, *CLEAN_OVERRIDES)
+
+
+def q_clean_flights(spark, sf_dir):
+    return flights(spark, sf_dir)
+
+
+# --- scalar functions, filters, basic aggregates --------------------------
+
+def q_route_key(spark, sf_dir):
+    return flights(spark, sf_dir).select(*KEY_COLUMNS, route_key("origin", "dest").alias("route"))
+
+
+def q_band_classify(spark, sf_dir):
+    return flights(spark, sf_dir).select(
+        *KEY_COLUMNS, "dep_delay",
+        delay_band("dep_delay").alias("band"),
+        flight_band("cancelled", "dep_delay").alias("report_band"),
+    )
+
+
+def q_cancel_cause_map(spark, sf_dir):
+    return flights(spark, sf_dir).select(
+        *KEY_COLUMNS, "cancellation_code", cancel_cause("cancellation_code").alias("cause")
+    )
+
+
+def q_round_half_up(spark, sf_dir):
+    g = flights(spark, sf_dir).groupBy("origin", "op_unique_carrier").agg(
+        F.avg("arr_delay").alias("_a")
+    )
+    return g.select("origin", "op_unique_carrier",
+                    *[F.round("_a", n).alias(f"avg_arr_delay_r{n}") for n in range(4)])
+
+
+def q_null_predicates(spark, sf_dir):
+    return flights(spark, sf_dir).groupBy("origin").agg(
+        F.count_if(F.col("dep_delay").isNull()).alias("dep_delay_nulls"),
+        F.count_if(F.col("dep_delay").isNotNull()).alias("dep_delay_values"),
+        F.sum(F.coalesce("arr_delay", F.lit(0.0))).alias("arr_delay_sum_or_zero"),
+        F.count_if(F.col("cancellation_code").isNull()).alias("code_nulls"),
+    )
+
+
+def q_filter_delayed(spark, sf_dir):
+    f = flights(spark, sf_dir)
+    d = F.col("dep_delay")
+    return f.filter((F.col("cancelled") == 0) & d.isNotNull() & (d > 0)).select(
+        *KEY_COLUMNS, "origin", "month", "dep_delay"
+    )
+
+
+FILTER_CARRIERS = ["C1", "C5", "C7"]
+FILTER_ORIGINS = ["A3", "A10", "A17"]
+
+
+def q_filter_keys(spark, sf_dir):
+    f = flights(spark, sf_dir)
+    return f.filter(
+        F.col("op_unique_carrier").isin(FILTER_CARRIERS) & F.col("origin").isin(FILTER_ORIGINS)
+    ).select(*KEY_COLUMNS, "op_unique_carrier", "origin", "dest", "arr_delay")
+
+
+def q_month_names(spark, sf_dir):
+    return flights(spark, sf_dir).groupBy("month").agg(
+        F.count(F.lit(1)).alias("num_flights")
+    ).select("month", month_name("month").alias("month_name"), "num_flights")
+
+
+def q_agg_basic(spark, sf_dir):
+    return flights(spark, sf_dir).groupBy("origin").agg(
+        F.count(F.lit(1)).alias("num_flights"),
+        F.min("arr_delay").alias("min_arr_delay"),
+        F.max("arr_delay").alias("max_arr_delay"),
+        F.avg("arr_delay").alias("avg_arr_delay"),
+        F.sum("arr_delay").alias("sum_arr_delay"),
+    )
+
+
+# --- scaling --------------------------------------------------------------
+
+def q_scale_sample(spark, sf_dir):
+    return D.sample(flights(spark, sf_dir), 0.25)
+
+
+def q_scale_identity(spark, sf_dir):
+    return D.scale(flights(spark, sf_dir), 1)
+
+
+def q_scale_replicate_2(spark, sf_dir):
+    return D.scale(flights(spark, sf_dir), 2)
+
+
+def q_scale_replicate_4(spark, sf_dir):
+    return D.scale(flights(spark, sf_dir), 4)
+
+
+def q_scale_manifest(spark, sf_dir):
+    base = scratch_path(spark, "datasets")
+    paths = D.write_sizes(flights(spark, sf_dir), base, sizes=[1, 2, 4])
+    return D.manifest(spark, paths)
+
+
+# --- sources and sinks ----------------------------------------------------
+
+FIXTURE_SCHEMA = T.StructType(
+    [T.StructField(c, T.LongType() if c != "l_linenumber" else T.IntegerType(), True)
+     for c in KEY_COLUMNS]
+    + [T.StructField(n, t, True) for n, t in RAW_FIELDS]
+)
+
+
+def q_scan_csv(spark, sf_dir):
+    path = S.write_csv(raw_flights(spark, sf_dir), scratch_path(spark, "raw_csv"))
+    return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
+
+
+def _cleaned_parquet(spark, sf_dir):
+    return S.write_parquet(flights(spark, sf_dir), scratch_path(spark, "flights"))
+
+
+def q_scan_parquet(spark, sf_dir):
+    return S.read_flights(spark, _cleaned_parquet(spark, sf_dir))
+
+
+def q_scan_pruned(spark, sf_dir):
+    return S.read_flights(spark, _cleaned_parquet(spark, sf_dir), columns=BAND_COLUMNS)
+
+
+def q_scan_declared(spark, sf_dir):
+    path = _cleaned_parquet(spark, sf_dir)
+    full = spark.read.parquet(path).schema
+    declared = T.StructType([full[c] for c in RANKING_COLUMNS])
+    return S.read_declared(spark, path, declared)
+
+
+def q_sink_parquet(spark, sf_dir):
+    stats = route_stats(flights(spark, sf_dir))
+    path = S.write_parquet(stats, scratch_path(spark, "route_stats"))
+    return with_text(spark.read.parquet(path), ints=("months",))
+
+
+RESULT_DB = "aerolap_results"
+
+
+def _db(spark):
+    return S.ensure_database(spark, RESULT_DB, scratch_path(spark, "db"))
+
+
+def q_sink_table(spark, sf_dir):
+    db = _db(spark)
+    S.drop_table(spark, db, "ranked_stats")
+    return S.save_table(R.carrier_ranking(flights(spark, sf_dir)), db, "ranked_stats",
+                        scratch_path(spark, "ranked_stats"))
+
+
+def q_sink_insert_overwrite(spark, sf_dir):
+    db = _db(spark)
+    report = B.band_report(flights(spark, sf_dir))
+    S.drop_table(spark, db, "final_band_stats")
+    S.declare_table(spark, db, "final_band_stats", report.schema,
+                    scratch_path(spark, "final_band_stats"))
+    out = S.insert_overwrite(report, db, "final_band_stats")
+    return with_text(out, causes=("top_causes",))
+
+
+REPORT_SCHEMA = T.StructType([
+    T.StructField("position", T.IntegerType()),
+    T.StructField("check", T.StringType()),
+    T.StructField("error_count", T.LongType()),
+])
+
+
+def q_sink_csv(spark, sf_dir):
+    rep = TC.validation_report(raw_flights(spark, sf_dir))
+    path = S.write_csv(rep, scratch_path(spark, "validation_csv"))
+    return S.read_csv(spark, path, REPORT_SCHEMA)
+
+
+# --- inspection views -----------------------------------------------------
+
+def q_inspect_top_routes(spark, sf_dir):
+    return with_text(V.top_routes(route_stats(flights(spark, sf_dir), ordered=False)),
+                     ints=("months",))
+
+
+def q_inspect_route_counts(spark, sf_dir):
+    return V.route_counts(route_stats(flights(spark, sf_dir), ordered=False))
+
+
+def q_inspect_bands(spark, sf_dir):
+    return with_text(V.band_view(B.band_report(flights(spark, sf_dir), ordered=False)),
+                     causes=("top_causes",))
+
+
+def q_inspect_ranking(spark, sf_dir):
+    return V.ranking_view(R.carrier_ranking(flights(spark, sf_dir), ordered=False))
+
+
+def q_inspect_distinct(spark, sf_dir):
+    return V.distinct_summary(route_stats(flights(spark, sf_dir), ordered=False))
+
+
+def q_inspect_ranking_summary(spark, sf_dir):
+    return V.ranking_summary(R.carrier_ranking(flights(spark, sf_dir), ordered=False))
+
+
+def q_inspect_profile(spark, sf_dir):
+    f = flights(spark, sf_dir)
+    return V.profile({
+        "route_stats": route_stats(f, ordered=False),
+        "band_report": B.band_report(f, ordered=False),
+        "carrier_ranking": R.carrier_ranking(f, ordered=False),
+    })
+
+
 QUERIES: dict[str, Query] = {
     "route_stats": q_route_stats,
     "origin_stats": q_origin_stats,
@@ -203,4 +447,36 @@ QUERIES: dict[str, Query] = {
     "dq_validation_report": q_dq_validation_report,
     "dq_bad_rows": q_dq_bad_rows,
     "dq_error_examples": q_dq_error_examples,
+    "clean_codes": q_clean_codes,
+    "clean_casts": q_clean_casts,
+    "clean_flights": q_clean_flights,
+    "route_key": q_route_key,
+    "band_classify": q_band_classify,
+    "cancel_cause_map": q_cancel_cause_map,
+    "round_half_up": q_round_half_up,
+    "null_predicates": q_null_predicates,
+    "filter_delayed": q_filter_delayed,
+    "filter_keys": q_filter_keys,
+    "month_names": q_month_names,
+    "agg_basic": q_agg_basic,
+    "scale_sample": q_scale_sample,
+    "scale_identity": q_scale_identity,
+    "scale_replicate_2": q_scale_replicate_2,
+    "scale_replicate_4": q_scale_replicate_4,
+    "scale_manifest": q_scale_manifest,
+    "scan_csv": q_scan_csv,
+    "scan_parquet": q_scan_parquet,
+    "scan_pruned": q_scan_pruned,
+    "scan_declared": q_scan_declared,
+    "sink_parquet": q_sink_parquet,
+    "sink_table": q_sink_table,
+    "sink_insert_overwrite": q_sink_insert_overwrite,
+    "sink_csv": q_sink_csv,
+    "inspect_top_routes": q_inspect_top_routes,
+    "inspect_route_counts": q_inspect_route_counts,
+    "inspect_bands": q_inspect_bands,
+    "inspect_ranking": q_inspect_ranking,
+    "inspect_distinct": q_inspect_distinct,
+    "inspect_ranking_summary": q_inspect_ranking_summary,
+    "inspect_profile": q_inspect_profile,
 }

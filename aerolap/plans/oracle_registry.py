@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from aerolap.plans import oracle as O
+from aerolap.plans.catalog import FILTER_CARRIERS, FILTER_ORIGINS
+from aerolap.schema import BAND_COLUMNS, RANKING_COLUMNS
 
 ORACLE_SQL: dict[str, str] = {
     "route_stats": O.ROUTE_STATS,
@@ -38,4 +40,35 @@ ORACLE_SQL: dict[str, str] = {
     "dq_validation_report": O.DQ_VALIDATION_REPORT,
     "dq_bad_rows": O.DQ_BAD_ROWS,
     "dq_error_examples": O.DQ_ERROR_EXAMPLES,
+    "clean_codes": O.CLEAN_CODES,
+    "clean_casts": O.CLEAN_CASTS,
+    "clean_flights": O.CLEAN_FLIGHTS,
+    "route_key": O.ROUTE_KEY,
+    "band_classify": O.BAND_CLASSIFY,
+    "cancel_cause_map": O.CANCEL_CAUSE_MAP,
+    "round_half_up": O.ROUND_HALF_UP,
+    "null_predicates": O.NULL_PREDICATES,
+    "filter_delayed": O.FILTER_DELAYED,
+    "filter_keys": O.filter_keys(FILTER_CARRIERS, FILTER_ORIGINS),
+    "month_names": O.MONTH_NAMES_SQL,
+    "agg_basic": O.AGG_BASIC,
+    "scale_identity": O.SCALE_IDENTITY,
+    "scale_replicate_2": O.replicate(2),
+    "scale_replicate_4": O.replicate(4),
+    "scale_manifest": O.SCALE_MANIFEST,
+    "scan_csv": O.SCAN_CSV,
+    "scan_parquet": O.SCAN_PARQUET,
+    "scan_pruned": O.select_flights(BAND_COLUMNS),
+    "scan_declared": O.select_flights(RANKING_COLUMNS),
+    "sink_parquet": O.ROUTE_STATS,
+    "sink_table": O.CARRIER_RANKING,
+    "sink_insert_overwrite": O.BAND_REPORT,
+    "sink_csv": O.DQ_VALIDATION_REPORT,
+    "inspect_top_routes": O.INSPECT_TOP_ROUTES,
+    "inspect_route_counts": O.INSPECT_ROUTE_COUNTS,
+    "inspect_bands": O.INSPECT_BANDS,
+    "inspect_ranking": O.INSPECT_RANKING,
+    "inspect_distinct": O.INSPECT_DISTINCT,
+    "inspect_ranking_summary": O.INSPECT_RANKING_SUMMARY,
+    "inspect_profile": O.INSPECT_PROFILE,
 }
