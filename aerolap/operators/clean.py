@@ -27,9 +27,21 @@ def normalise_codes(df: DataFrame, columns: Sequence[str] = CODE_COLUMNS) -> Dat
     return _replace(df, {c: normalise_code(c) for c in columns if c in df.columns})
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def lenient_cast(df: DataFrame, column: str, target: T.DataType):
+    """Cast with the non-ANSI meaning: a bad value becomes null, and text
+    such as ``1.0`` becomes the integer 1 (truncated) rather than null."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType) and isinstance(target, _INTEGRAL):
+        c = c.try_cast("double")
+    return c.try_cast(target)
+
+
 def cast_types(df: DataFrame, types: Mapping[str, T.DataType] = CLEAN_OVERRIDES) -> DataFrame:
     """Month and flags -> int, delays -> double; bad values -> null."""
-    return _replace(df, {c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
+    return _replace(df, {c: lenient_cast(df, c, t) for c, t in types.items() if c in df.columns})
 
 
 def void_delays(df: DataFrame) -> DataFrame:
