@@ -27,7 +27,8 @@ def read_schemas(df: DataFrame) -> list[list[str]]:
 
 def pushed_filters(df: DataFrame) -> list[str]:
     """The ``PushedFilters`` list of each file scan, as text."""
-    return re.findall(r"PushedFilters: \[(.*?)\]", physical_plan(df))
+    # the text may be abbreviated with "..." before the closing bracket
+    return re.findall(r"PushedFilters: \[(.*?)(?:\]|\.\.\.)", physical_plan(df))
 
 
 def count_nodes(df: DataFrame, name: str) -> int:
