@@ -1,0 +1,9 @@
+"""Structured Streaming entry points.
+
+The reference has no streaming job. The operators here are the existing
+per-row checks run over a file stream; no stateful operator is added.
+"""
+
+from aerolap.streaming.checks import raw_flight_stream, start_bad_rows
+
+__all__ = ["raw_flight_stream", "start_bad_rows"]

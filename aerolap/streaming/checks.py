@@ -1,0 +1,41 @@
+"""Time checks over a file stream of raw flights.
+
+The checks are per row (filter + projection), so they run unchanged on a
+streaming DataFrame in append mode: each new raw file is checked once and
+its bad rows are appended to the sink. Progress lives in the checkpoint
+location, so a restarted query resumes where it stopped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from aerolap.operators.timechecks import bad_rows
+from aerolap.session import scratch_path
+
+
+def raw_flight_stream(spark: SparkSession, path: str, schema: T.StructType,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame over the Parquet files landing in ``path``."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
+def start_bad_rows(raw_stream: DataFrame, sink_path: str, checkpoint: str | None = None,
+                   query_name: str | None = None) -> StreamingQuery:
+    """Append the bad rows of every new raw file to Parquet at ``sink_path``."""
+    spark = raw_stream.sparkSession
+    w = (
+        bad_rows(raw_stream)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", sink_path)
+        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream_ckpt"))
+    )
+    if query_name:
+        w = w.queryName(query_name)
+    return w.start()

@@ -1,0 +1,29 @@
+"""The time checks over a file stream equal the batch result."""
+
+from __future__ import annotations
+
+from aerolap.operators.timechecks import bad_rows
+from aerolap.session import scratch_path
+from aerolap.sources import write_parquet
+from aerolap.sources.fixtures import load_raw_flights
+from aerolap.streaming import raw_flight_stream, start_bad_rows
+from tests.conftest import SF_SMALL
+
+
+def test_bad_rows_stream_equals_batch(spark):
+    raw = load_raw_flights(spark, SF_SMALL)
+    landing = scratch_path(spark, "t_landing")
+    # two files landing one after the other
+    write_parquet(raw.filter("l_orderkey % 2 = 0"), f"{landing}/batch0")
+    write_parquet(raw.filter("l_orderkey % 2 = 1"), f"{landing}/batch1")
+    stream = raw_flight_stream(spark, f"{landing}/*", raw.schema, max_files_per_trigger=1)
+    sink = scratch_path(spark, "t_sink")
+    q = start_bad_rows(stream, sink)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(sink)
+    want = bad_rows(raw)
+    assert got.count() == 101
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
