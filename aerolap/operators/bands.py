@@ -23,7 +23,6 @@ from aerolap.functions import band_rank, cancel_cause, delay_band, flight_band
 from aerolap.schema import BAND_CANCELLED, BAND_COLUMNS, CANCEL_CAUSES, DELAY_CAUSE_COLUMNS
 
 KEYS = ["origin", "month", "band"]
-CAUSE_TYPE = "array<struct<cause:string,cause_count:bigint>>"
 
 
 def _in_report() -> Column:
@@ -45,18 +44,24 @@ def _order(df: DataFrame) -> DataFrame:
 # Single pass
 # ---------------------------------------------------------------------------
 
-def _top_k(pairs: Column, k: int) -> Column:
-    """Sorted (count desc, cause asc) non-zero pairs, first ``k``; empty -> null."""
-    keyed = F.transform(
-        F.filter(pairs, lambda s: s["cause_count"] > 0),
-        lambda s: F.struct((-s["cause_count"]).alias("neg"), s["cause"].alias("cause"),
-                           s["cause_count"].alias("cause_count")),
-    )
-    top = F.transform(
-        F.slice(F.array_sort(keyed), 1, k),
-        lambda s: F.struct(s["cause"].alias("cause"), s["cause_count"].alias("cause_count")),
-    )
-    return F.when(F.size(top) > 0, top)
+def _pairs_sql(names) -> str:
+    """SQL array of (neg count, cause, count) structs for the given causes."""
+    return "array(" + ", ".join(
+        f"named_struct('neg', -`_n_{n}`, 'cause', '{n}', 'cause_count', `_n_{n}`)" for n in names
+    ) + ")"
+
+
+def _top_k_sql(k: int) -> str:
+    """First ``k`` non-zero causes of a group, count desc then cause asc.
+
+    One SQL expression (parsed once) over the per-group counters: the
+    group's vocabulary is chosen by its band, zero counts are dropped, the
+    structs sort by (-count, cause) and the first ``k`` are kept.
+    """
+    pairs = (f"CASE WHEN band = '{BAND_CANCELLED}' THEN {_pairs_sql(CANCEL_CAUSES.values())} "
+             f"ELSE {_pairs_sql(DELAY_CAUSE_COLUMNS)} END")
+    return (f"transform(slice(array_sort(filter({pairs}, s -> s.cause_count > 0)), 1, {int(k)}), "
+            "s -> named_struct('cause', s.cause, 'cause_count', s.cause_count))")
 
 
 def band_report(flights: DataFrame, k: int = 3, ordered: bool = True) -> DataFrame:
@@ -64,11 +69,9 @@ def band_report(flights: DataFrame, k: int = 3, ordered: bool = True) -> DataFra
     f = flights.select(*BAND_COLUMNS).filter(_in_report()).withColumn(
         "band", flight_band("cancelled", "dep_delay")
     )
-    delay_counters = [
-        F.count_if(F.col(c) > 0).alias(f"_n_{c}") for c in DELAY_CAUSE_COLUMNS
-    ]
+    delay_counters = [F.expr(f"count_if(`{c}` > 0) AS `_n_{c}`") for c in DELAY_CAUSE_COLUMNS]
     code_counters = [
-        F.count_if(F.col("cancellation_code") == code).alias(f"_n_{cause}")
+        F.expr(f"count_if(cancellation_code = '{code}') AS `_n_{cause}`")
         for code, cause in CANCEL_CAUSES.items()
     ]
     g = f.groupBy(*KEYS).agg(
@@ -78,22 +81,21 @@ def band_report(flights: DataFrame, k: int = 3, ordered: bool = True) -> DataFra
         *delay_counters,
         *code_counters,
     )
-
-    def pairs(names):
-        return F.array(*[
-            F.struct(F.lit(n).alias("cause"), F.col(f"_n_{n}").alias("cause_count"))
-            for n in names
-        ])
-
-    is_canc = F.col("band") == BAND_CANCELLED
-    causes = F.when(is_canc, pairs(CANCEL_CAUSES.values())).otherwise(pairs(DELAY_CAUSE_COLUMNS))
-    no_key = F.col("origin").isNull() | F.col("month").isNull()
-    out = g.select(
+    flown = f"band <> '{BAND_CANCELLED}'"
+    out = g.selectExpr(
+        *KEYS,
+        "num_flights",
+        f"CASE WHEN {flown} THEN round(_dep, 2) END AS avg_dep_delay",
+        f"CASE WHEN {flown} THEN round(_arr, 2) END AS avg_arr_delay",
+        f"{_top_k_sql(k)} AS _top",
+    ).selectExpr(
         *KEYS,
         "num_flights",
-        F.when(~is_canc, F.round("_dep", 2)).alias("avg_dep_delay"),
-        F.when(~is_canc, F.round("_arr", 2)).alias("avg_arr_delay"),
-        F.when(~no_key, _top_k(causes, k)).alias("top_causes"),
+        "avg_dep_delay",
+        "avg_arr_delay",
+        # empty -> null; a null key has no causes (the reference's join misses it)
+        "CASE WHEN size(_top) > 0 AND origin IS NOT NULL AND month IS NOT NULL "
+        "THEN _top END AS top_causes",
     )
     return _order(out) if ordered else out
 

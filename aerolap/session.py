@@ -20,10 +20,16 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set locally only if unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - remote session: no SparkContext
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="aerolap-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001
+            spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
@@ -45,6 +51,9 @@ def local_session(app: str = "aerolap", cpus: int | str = "*", shuffle_partition
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture for error messages costs several JVM round trips
+        # per Column function; off for batch runs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("AEROLAP_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="aerolap-wh-"))
     )

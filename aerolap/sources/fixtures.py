@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,8 +55,12 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # A source stored as few large row groups scans in few tasks; spread it
     # over the cluster before the per-row work (no-op for a many-file source).
-    parallelism = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < parallelism:
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        few = li.rdd.getNumPartitions() < parallelism
+    except Exception:  # noqa: BLE001 - no RDD access (remote session): keep the layout
+        few = False
+    if few:
         li = li.repartition(parallelism, "l_orderkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
 
@@ -161,19 +166,28 @@ def _fingerprint(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path factory) of ``path`` through the JVM, or None."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), \
+            jvm.org.apache.hadoop.fs.Path
+    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session)
+        return None
+
+
 def _committed(spark: SparkSession, path: str) -> bool:
     """True if a finished write (``_SUCCESS`` marker) exists at ``path``."""
+    fs = _hadoop_fs(spark, path)
+    if fs is not None:
+        filesystem, mk = fs
+        return bool(filesystem.exists(mk(f"{path}/_SUCCESS")))
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM gateway: fall back to a read probe
-        try:
-            spark.read.parquet(path).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+        spark.read.parquet(path).schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001
+        return False
 
 
 def load_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,9 +196,19 @@ def load_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     The derivation is materialised in the shared checkpoint folder (keyed by
     the input files), so every query scans plain columns as it would scan the
     real raw file, instead of re-running the join and inlining the derived
-    clock arithmetic into each filter.
+    clock arithmetic into each filter. Concurrent callers each write to a
+    private folder and rename it into place; the first rename wins.
     """
     path = f"{checkpoint_base(spark)}/aerolap/raw_flights/{_fingerprint(sf_dir)}"
     if not _committed(spark, path):
-        raw_flights(spark, sf_dir).write.mode("overwrite").parquet(path)
+        fs = _hadoop_fs(spark, path)
+        if fs is None:
+            raw_flights(spark, sf_dir).write.mode("overwrite").parquet(path)
+        else:
+            filesystem, mk = fs
+            tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+            raw_flights(spark, sf_dir).write.mode("overwrite").parquet(tmp)
+            filesystem.mkdirs(mk(path).getParent())
+            if not filesystem.rename(mk(tmp), mk(path)) and not _committed(spark, path):
+                path = tmp  # could not publish; use the private copy
     return spark.read.parquet(path)
