@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolap.functions import elapsed, hhmm_to_minutes, timezone_ok, wrap_24h
+from aerolap.operators._rows import keep_where
 from aerolap.schema import EXAMPLE_FIELDS, KEY_COLUMNS, TIME_CHECKS
 
 # field -> name of its expected-value column
@@ -83,7 +84,7 @@ def validation_report(raw: DataFrame) -> DataFrame:
 
 def bad_rows(raw: DataFrame) -> DataFrame:
     """Q20: the raw rows (all original columns) that fail any check."""
-    return with_time_checks(raw).filter(F.col("any_error")).select(*raw.columns)
+    return keep_where(with_time_checks(raw).select(*raw.columns, "any_error"), "any_error")
 
 
 def error_examples(raw: DataFrame, keys: Sequence[str] = KEY_COLUMNS, n: int = 10,
