@@ -348,18 +348,18 @@ def _db(spark):
 
 def q_sink_table(spark, sf_dir):
     db = _db(spark)
-    S.drop_table(spark, db, "ranked_stats")
-    return S.save_table(R.carrier_ranking(flights(spark, sf_dir)), db, "ranked_stats",
-                        scratch_path(spark, "ranked_stats"))
+    S.drop_table(spark, db, "carrier_ranking")
+    return S.save_table(R.carrier_ranking(flights(spark, sf_dir)), db, "carrier_ranking",
+                        scratch_path(spark, "carrier_ranking"))
 
 
 def q_sink_insert_overwrite(spark, sf_dir):
     db = _db(spark)
     report = B.band_report(flights(spark, sf_dir))
-    S.drop_table(spark, db, "final_band_stats")
-    S.declare_table(spark, db, "final_band_stats", report.schema,
-                    scratch_path(spark, "final_band_stats"))
-    out = S.insert_overwrite(report, db, "final_band_stats")
+    S.drop_table(spark, db, "band_report")
+    S.declare_table(spark, db, "band_report", report.schema,
+                    scratch_path(spark, "band_report"))
+    out = S.insert_overwrite(report, db, "band_report")
     return with_text(out, causes=("top_causes",))
 
 

@@ -14,9 +14,13 @@ def size_label(size: float) -> int:
     return int(round(size * 100))
 
 
+# Fixed value: file name pattern of a cleaned dataset of a given size label.
+DATASET_PATTERN = "flights_cleaned_{label}.parquet"
+
+
 def dataset_path(base: str, size: float) -> str:
     """Path of the cleaned dataset of a given size under ``base``."""
-    return f"{base.rstrip('/')}/flights_cleaned_{size_label(size)}.parquet"
+    return f"{base.rstrip('/')}/" + DATASET_PATTERN.format(label=size_label(size))
 
 
 @dataclass(frozen=True)
@@ -25,7 +29,7 @@ class Layout:
 
     base: str
 
-    def raw_csv(self, name: str = "flight_data_2024.csv") -> str:
+    def raw_csv(self, name: str = "flights.csv") -> str:
         return f"{self.base.rstrip('/')}/data/raw/{name}"
 
     def dataset(self, size: float) -> str:
