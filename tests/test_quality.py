@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
-
 from aerolap.operators import quality as Q
 from aerolap.operators import timechecks as TC
 from aerolap.plans.explain import count_nodes
@@ -161,4 +159,3 @@ def test_schema_frame(spark):
 def test_row_count(spark):
     assert Q.row_count(load_raw_flights(spark, SF_SMALL)).first().row_count == 6000
     assert Q.row_count(make_raw(spark, [{}, {}])).first()[0] == 2
-    assert F is not None
