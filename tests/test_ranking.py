@@ -88,3 +88,12 @@ def test_single_scan_plan(spark):
     assert python_nodes(df) == 0
     joined = R.carrier_ranking_joined(f)
     assert len(read_schemas(joined)) == 2
+
+
+def test_rank_uses_rounded_mean(spark):
+    """Means 1.004 and 1.001 both round to 1.0, so they tie and the
+    carrier code decides; the unrounded order would be the reverse."""
+    rows = [_f("JFK", "AA", dep=1.004), _f("JFK", "UA", dep=1.001)]
+    got = [(r.op_unique_carrier, r.rank, r.avg_dep_delay)
+           for r in R.carrier_ranking(make_flights(spark, rows)).collect()]
+    assert got == [("AA", 1, 1.0), ("UA", 2, 1.0)]

@@ -94,3 +94,25 @@ def test_route_stats_plan_is_pruned_and_codegen(spark):
     assert count_nodes(df, "ObjectHashAggregate") == 2
     assert count_nodes(df, "SortAggregate") == 0
     assert python_nodes(df) == 0
+
+
+def test_route_key_is_text(spark):
+    """V2: routes group by their text, so a null side collapses onto the other."""
+    f = make_flights(spark, [
+        {"op_unique_carrier": "DL", "origin": None, "dest": "LAX", "month": 1, "cancelled": 0},
+        {"op_unique_carrier": "DL", "origin": "LAX", "dest": None, "month": 2, "cancelled": 0},
+    ])
+    rows = route_stats(f).collect()
+    assert [(r.route, r.num_flights, r.months) for r in rows] == [("LAX", 2, [1, 2])]
+
+
+def test_rounding_is_half_up_on_decimal_text(spark):
+    """V9: 1.005 rounds to 1.01 (half up on the shortest decimal text)."""
+    f = make_flights(spark, [
+        {"op_unique_carrier": "DL", "origin": "A", "dest": "B", "month": 1, "cancelled": 0,
+         "arr_delay": 1.005},
+        {"op_unique_carrier": "DL", "origin": "A", "dest": "C", "month": 1, "cancelled": 0,
+         "arr_delay": 2.675},
+    ])
+    got = {r.route: r.avg_arr_delay for r in route_stats(f).collect()}
+    assert got == {"A-B": 1.01, "A-C": 2.68}
