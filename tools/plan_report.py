@@ -45,7 +45,7 @@ NOTES = {
                        "aggregated rows; the airport mean and the rank share one Window.",
     "carrier_ranking_joined": "The join form: two aggregations of the table, joined by "
                               "airport (AQE may turn it into a broadcast from runtime size).",
-    "validation_report": "One scan of the 16 columns the checks read; flags are computed in "
+    "validation_report": "One scan of the 14 columns the checks read; flags are computed in "
                          "a projection and counted by one global aggregation.",
     "bad_rows": "The any-error flag is computed once in a projection and read through a "
                 "one-row generator, so the filter does not re-inline the seven checks.",
@@ -85,7 +85,8 @@ def scans(plan: str) -> list[str]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session("plan-report", cpus=8,
-                          extra={"spark.sql.maxMetadataStringLength": "100000"})
+                          extra={"spark.sql.maxMetadataStringLength": "100000",
+                                 "spark.sql.debug.maxToStringFields": "1000"})
     raw = load_raw_flights(spark, sf_dir)
     f = read_flights(spark, write_parquet(clean(raw), scratch_path(spark, "plan_report")))
     plans = {
