@@ -55,7 +55,9 @@ NOTES = {
     "null_report": "One aggregation with one counter per column, then an inline to rows.",
     "replicate_4": "One scan and a Generate; no union, no join.",
     "top_routes": "The first three carriers are a bounded top-N (TakeOrderedAndProject) "
-                  "broadcast into a semi join; the per-carrier limit is a window.",
+                  "broadcast into a semi join; Catalyst answers the distinct carriers of the "
+                  "result from a one-column scan of the table. The per-carrier limit is a "
+                  "window over the aggregated rows.",
 }
 
 
