@@ -28,6 +28,8 @@ def checkpoint_base(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="aerolap-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)
+            # Spark adds a per-application folder; use that from the first call on
+            base = spark.sparkContext.getCheckpointDir() or base
         except Exception:  # noqa: BLE001
             spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
