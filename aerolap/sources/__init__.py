@@ -5,6 +5,7 @@ from aerolap.sources.files import (
     read_declared,
     read_flights,
     read_raw_csv,
+    with_source_rows,
     write_csv,
     write_parquet,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "read_raw_csv",
     "save_table",
     "size_label",
+    "with_source_rows",
     "write_csv",
     "write_parquet",
 ]

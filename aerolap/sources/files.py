@@ -24,13 +24,16 @@ def read_raw_csv(
     path: str | Sequence[str],
     schema: T.StructType = RAW_SCHEMA,
     na_tokens: Sequence[str] = NA_TOKENS,
+    source_file: bool = False,
 ) -> DataFrame:
     """Raw flight CSV with a header -> typed DataFrame.
 
     Every cell is read as text, an NA token becomes null, and the text is
     converted with ``try_cast`` so dirty values give null instead of failing
     the job (the behaviour of a non-ANSI cast). Columns are taken by
-    position in ``schema`` order.
+    position in ``schema`` order. With ``source_file`` a ``source_file``
+    column names the file each row came from (provenance of bad rows; line
+    numbers have no meaning in a split, distributed read).
     """
     text = (
         spark.read.schema(_as_text_schema(schema))
@@ -46,6 +49,8 @@ def read_raw_csv(
         if not isinstance(f.dataType, T.StringType):
             v = v.try_cast(f.dataType)
         out.append(v.alias(f.name))
+    if source_file:
+        out.append(F.col("_metadata.file_path").alias("source_file"))
     return text.select(*out)
 
 
@@ -55,6 +60,13 @@ def read_flights(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
+def with_source_rows(df: DataFrame) -> DataFrame:
+    """Add ``source_file`` and ``source_row`` (row index within the file) to a
+    Parquet scan: the distributed counterpart of a file line number."""
+    return df.select("*", F.col("_metadata.file_path").alias("source_file"),
+                     F.col("_metadata.row_index").alias("source_row"))
+
+
 def read_declared(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet read through a declared column subset, matched by name."""
     return spark.read.schema(schema).parquet(path)

@@ -111,3 +111,22 @@ def test_layout_paths():
     assert lay.dataset(4) == "s3a://bucket/data/processed/flights_cleaned_400.parquet"
     assert lay.result("task_3_1", 1) == "s3a://bucket/results/task_3_1/task_3_1_100"
     assert S.size_label(0.75) == 75
+
+
+def test_bad_rows_keep_their_source(spark):
+    """Q20 provenance: file (CSV and Parquet) and row index (Parquet)."""
+    from aerolap.operators.timechecks import bad_rows
+    from aerolap.schema import RAW_COLUMNS
+
+    raw = load_raw_flights(spark, SF_SMALL)
+    csv = S.write_csv(raw.select(*RAW_COLUMNS), scratch_path(spark, "t_src_csv"))
+    bad = bad_rows(S.read_raw_csv(spark, csv, source_file=True))
+    rows = bad.select("source_file").distinct().collect()
+    assert bad.count() == 101 and all(r.source_file.endswith(".csv") for r in rows)
+
+    located = bad_rows(S.with_source_rows(raw))
+    r = located.orderBy("source_file", "source_row").first()
+    again = S.with_source_rows(raw).filter(
+        (F.col("source_file") == r.source_file) & (F.col("source_row") == r.source_row)
+    ).collect()
+    assert len(again) == 1 and again[0].l_orderkey == r.l_orderkey
