@@ -38,6 +38,7 @@ from aerolap.operators import timechecks as TC
 from aerolap.operators import views as V
 from aerolap.operators.clean import clean
 from aerolap.schema import DATASET_SIZES, RAW_COLUMNS
+from aerolap.session import tune_for_input
 
 TASKS = {
     "task_3_1": A.route_stats,
@@ -69,6 +70,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     p.add_argument("--items", default=None, help="comma list of carriers / airports to inspect")
     p.add_argument("--top", type=int, default=10)
     p.add_argument("--quiet", action="store_true", help="do not print results")
+    p.add_argument("--no-tune", action="store_true",
+                   help="keep the session's partition settings as they are")
     args = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"aerolap_{args.command}").getOrCreate()
     lay = S.Layout(args.base)
@@ -78,6 +81,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     t0 = time.perf_counter()
     show = (lambda df, n=20: None) if args.quiet else _show
 
+    # size the partitions from the input the job scans (inspections read
+    # small results and keep the session's settings)
+    if not args.no_tune and not args.command.startswith("inspect"):
+        source = lay.dataset(size) if args.command in TASKS else (args.raw or lay.raw_csv())
+        out["settings"] = tune_for_input(spark, source)
+
     if args.command == "preprocess":
         sizes = [_size(x) for x in args.sizes.split(",")]
         base = f"{args.base.rstrip('/')}/data/processed"

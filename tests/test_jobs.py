@@ -39,3 +39,16 @@ def test_jobs_end_to_end(spark):
     for cmd in ["check_flags", "check_months", "inspect_3_1", "inspect_3_2", "inspect_3_3",
                 "inspect_outputs"]:
         assert run([cmd, "--base", base, "--quiet"], spark)["command"] == cmd
+
+
+def test_cluster_settings():
+    from aerolap.session import cluster_settings
+
+    tb = 1024 ** 4
+    big = cluster_settings(100 * tb, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "20000"      # capped
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_settings(20 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"       # two waves of cores
+    mid = cluster_settings(1 * tb, 100)
+    assert mid["spark.sql.shuffle.partitions"] == "4096"       # 1 TB / 256 MB
