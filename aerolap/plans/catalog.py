@@ -2,7 +2,8 @@
 
 Every entry takes ``(spark, sf_dir)`` and returns a DataFrame computed over
 the whole test tables of ``sf_dir``: the raw flight table is derived from
-``lineitem`` x ``orders`` (``sources.fixtures``), cleaned, and handed to the
+``lineitem`` x ``orders`` and materialised once per input
+(``sources.fixtures.load_raw_flights``), cleaned, and handed to the
 operator. Nested results are given in their text form (``plans.output``).
 """
 
