@@ -32,7 +32,7 @@ from aerolap.operators import timechecks as TC
 from aerolap.operators import views as V
 from aerolap.operators.clean import cast_types, clean, normalise_codes
 from aerolap.operators.routes import origin_stats, route_months, route_stats
-from aerolap.plans.output import with_text
+from aerolap.plans.output import dates_as_text, with_text
 from aerolap.schema import (
     BAND_COLUMNS,
     CLEAN_OVERRIDES,
@@ -414,6 +414,14 @@ def q_inspect_profile(spark, sf_dir):
     })
 
 
+def _neutral(q: Query) -> Query:
+    """The query with date columns given as ISO text (see ``plans.output``)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return dates_as_text(q(spark, sf_dir))
+    run.__name__ = getattr(q, "__name__", "query")
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "route_stats": q_route_stats,
     "origin_stats": q_origin_stats,
@@ -481,3 +489,4 @@ QUERIES: dict[str, Query] = {
     "inspect_ranking_summary": q_inspect_ranking_summary,
     "inspect_profile": q_inspect_profile,
 }
+QUERIES = {k: _neutral(q) for k, q in QUERIES.items()}

@@ -6,6 +6,15 @@ from aerolap.plans import oracle as O
 from aerolap.plans.catalog import FILTER_CARRIERS, FILTER_ORIGINS
 from aerolap.schema import BAND_COLUMNS, RANKING_COLUMNS
 
+# Keys whose result has the date column ``fl_date``: given as ISO text.
+DATE_KEYS = {"scan_csv", "scan_parquet", "clean_flights", "scale_identity", "scale_replicate_2",
+             "scale_replicate_4", "dq_bad_rows"}
+
+
+def _date_text(sql: str) -> str:
+    return f"SELECT * REPLACE (CAST(fl_date AS VARCHAR) AS fl_date) FROM ({sql})"
+
+
 ORACLE_SQL: dict[str, str] = {
     "route_stats": O.ROUTE_STATS,
     "origin_stats": O.ORIGIN_STATS,
@@ -72,3 +81,4 @@ ORACLE_SQL: dict[str, str] = {
     "inspect_ranking_summary": O.INSPECT_RANKING_SUMMARY,
     "inspect_profile": O.INSPECT_PROFILE,
 }
+ORACLE_SQL = {k: (_date_text(v) if k in DATE_KEYS else v) for k, v in ORACLE_SQL.items()}

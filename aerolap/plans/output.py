@@ -1,13 +1,15 @@
-"""Text forms of nested result columns, for engine-neutral comparison.
+"""Text forms of nested and date result columns, for engine-neutral comparison.
 
-The library returns ``array<int>`` and ``array<struct<cause, cause_count>>``;
-registered queries expose them as ``1,2,3`` and ``cause:count|cause:count``.
+The library returns ``array<int>``, ``array<struct<cause, cause_count>>`` and
+``date``; registered queries expose them as ``1,2,3``,
+``cause:count|cause:count`` and ISO ``yyyy-MM-dd`` text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def int_list_text(c: str) -> Column:
@@ -34,3 +36,14 @@ def with_text(df: DataFrame, ints: tuple[str, ...] = (), causes: tuple[str, ...]
         else:
             out.append(F.col(c))
     return df.select(*out)
+
+
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Date columns as ISO text, in place; other columns unchanged."""
+    if not any(isinstance(f.dataType, T.DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[
+        F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DateType)
+        else F.col(f.name)
+        for f in df.schema.fields
+    ])
