@@ -52,3 +52,16 @@ def test_cluster_settings():
     assert small["spark.sql.shuffle.partitions"] == "16"       # two waves of cores
     mid = cluster_settings(1 * tb, 100)
     assert mid["spark.sql.shuffle.partitions"] == "4096"       # 1 TB / 256 MB
+
+
+def test_tune_for_input_applies_settings(spark):
+    import os
+
+    from aerolap.session import input_bytes, tune_for_input
+
+    path = f"{SF_SMALL}/lineitem.parquet"
+    assert input_bytes(spark, path) == os.path.getsize(path)
+    settings = tune_for_input(spark, path)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == settings["spark.sql.shuffle.partitions"]
+    assert int(settings["spark.sql.shuffle.partitions"]) >= 2
+    assert tune_for_input(spark, f"{SF_SMALL}/no_such_table.parquet") == {}
