@@ -17,27 +17,52 @@ _SUBDIR = "aerolap"
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set locally only if unset."""
+    """The shared checkpoint folder of the session.
+
+    ``spark.checkpoint.dir`` (or the context's checkpoint folder) names it.
+    Only a session on a ``local`` master may go without: it gets a temporary
+    folder. On a cluster a machine-local folder would lose rows, so a missing
+    setting is an error there.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - remote session: no SparkContext
-            base = None
+        base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="aerolap-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-            # Spark adds a per-application folder; use that from the first call on
-            base = spark.sparkContext.getCheckpointDir() or base
-        except Exception:  # noqa: BLE001
-            spark.conf.set("spark.checkpoint.dir", base)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {master})")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerolap-ckpt-"))
+        # Spark adds a per-application folder; use that from the first call on
+        base = spark.sparkContext.getCheckpointDir()
     return base.rstrip("/")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for one materialisation."""
-    return f"{checkpoint_base(spark)}/{_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder for one materialisation.
+
+    The application owns the folder: it is removed when the driver ends, or
+    earlier through :func:`drop_scratch`.
+    """
+    own = f"{checkpoint_base(spark)}/{_SUBDIR}/{spark.sparkContext.applicationId}"
+    p, fs = _hadoop_path(spark, own)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one scratch folder that nothing reads any more."""
+    if f"/{_SUBDIR}/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
 def local_session(app: str = "aerolap", cpus: int | str = "*", shuffle_partitions: int = 8,
