@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from aerolap.llm import bpe, mixing, quality, toxicity
+from aerolap.llm import bpe, covertree, jaccard, mixing, quality, toxicity
 from aerolap.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -41,7 +41,16 @@ def op8_quality_rules(spark, sf_dir):
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+def op10_embedding_copies(spark, sf_dir):
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES = {f.__name__: f for f in (op4_source_mix, op5_toxicity, op7_byte_bpe,
-                                   op8_quality_rules)}
+                                   op8_quality_rules, op9_ngram_jaccard,
+                                   op10_embedding_copies)}
 
 ORACLE_SQL = {"op4_source_mix": mixing.ORACLE_SQL}

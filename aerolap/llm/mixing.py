@@ -119,17 +119,14 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each document as often as the plan takes it, columns as in ``docs``.
 
-    Rows that share an id are planned one by one, so copies are matched to
-    rows by id and size; a null id matches null.
+    Rows that share an id and a source are taken alike; nulls match nulls.
     """
     mixed = (plan(docs, id_col, text_col, source_col, **options)
-             .groupBy("doc_id", "size", "source").agg(F.max("copies").alias("_copies"))
+             .groupBy("doc_id", "source").agg(F.max("copies").alias("_copies"))
              .where("_copies > 0")
-             .select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"),
-                     F.col("source").alias("_source"), "_copies"))
+             .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_copies"))
     return (docs.join(mixed, docs[id_col].eqNullSafe(F.col("_id"))
-                      & docs[source_col].eqNullSafe(F.col("_source"))
-                      & (word_count(docs[text_col]) == F.col("_size")))
+                      & docs[source_col].eqNullSafe(F.col("_source")))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
