@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from aerolap.llm import bpe, covertree, jaccard, mixing, quality, toxicity
+from aerolap.llm import bpe, covertree, jaccard, mixing, quality, sharding, toxicity
 from aerolap.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,10 @@ def vocabulary(spark) -> bpe.Vocabulary:
     return bpe.Vocabulary(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op3_balanced_shards(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"), n=24)
+
+
 def op4_source_mix(spark, sf_dir):
     return mixing.plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -49,7 +53,7 @@ def op10_embedding_copies(spark, sf_dir):
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_toxicity, op7_byte_bpe,
+QUERIES = {f.__name__: f for f in (op3_balanced_shards, op4_source_mix, op5_toxicity, op7_byte_bpe,
                                    op8_quality_rules, op9_ngram_jaccard,
                                    op10_embedding_copies)}
 
