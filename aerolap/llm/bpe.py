@@ -31,7 +31,6 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,7 @@ from pyspark.sql import types as T
 #: Vocabularies are fixed files of about 1 MB; a larger one is refused as broadcast.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
 LEAF = 48
-CACHED_PIECES = 100_000
+CACHED_PIECES = 200_000
 
 
 def unicode_space(pattern: str) -> str:
@@ -54,22 +53,28 @@ def unicode_space(pattern: str) -> str:
 _blank_after_space = re.compile(r"\s ").search
 
 
-class _Recent:
-    """A bounded memory: entries not asked for during a whole filling are dropped."""
+class _Recent(dict):
+    """A bounded memory: entries not asked for during a whole filling are dropped.
+
+    Plain lookups see the newer half; :meth:`older` also finds (and renews)
+    what is about to be dropped.
+    """
 
     def __init__(self, size: int = CACHED_PIECES):
-        self._size, self._new, self._old = size, {}, {}
+        super().__init__()
+        self._size, self._old = size, {}
 
-    def get(self, key):
-        found = self._new.get(key)
-        if found is None and (found := self._old.get(key)) is not None:
+    def older(self, key):
+        found = self._old.get(key)
+        if found is not None:
             self.put(key, found)
         return found
 
     def put(self, key, value) -> None:
-        if len(self._new) >= self._size:
-            self._old, self._new = self._new, {}
-        self._new[key] = value
+        if len(self) >= self._size:
+            self._old = dict(self)
+            self.clear()
+        self[key] = value
 
 
 class Bpe:
@@ -78,6 +83,7 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self._packed_id = {i: i.to_bytes(4, "little") for i in ranks.values()}
         self._byte = [ranks[bytes((x,))] for x in range(256)]
         # (left id, right id) -> id of their concatenation, for every split of every token
         self._merges = {ranks[t[:k]] << 32 | ranks[t[k:]]: i for t, i in ranks.items()
@@ -172,18 +178,26 @@ class Bpe:
         whole = self.ranks.get(b)
         return [whole] if whole is not None else self.reduce(b)
 
+    def _pack(self, ids: list[int]) -> bytes:
+        return b"".join(map(self._packed_id.__getitem__, ids))
+
     def _packed(self, piece: str) -> bytes:
-        ids = self._pieces.get(piece)
+        ids = self._pieces.get(piece) or self._pieces.older(piece)
         if ids is None:
-            ids = np.array(self.piece(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+            ids = self._pack(self.piece(piece.encode("utf-8", "surrogatepass")))
             if len(piece) <= 64:  # only short pieces recur
                 self._pieces.put(piece, ids)
         return ids
 
     def _chunk(self, word: str) -> bytes:
-        ids = b"".join(map(self._packed, self._find(" " + word)))
-        if len(word) <= 64:
-            self._chunks.put(word, ids)
+        ids = self._chunks.older(word)
+        if ids is None:
+            if word.isalpha():  # one match
+                ids = self._pack(self.piece(b" " + word.encode()))
+            else:
+                ids = b"".join(map(self._packed, self._find(" " + word)))
+            if len(word) <= 64:
+                self._chunks.put(word, ids)
         return ids
 
     def encode(self, text: str | None) -> bytes:
@@ -235,34 +249,35 @@ class Vocabulary:
         return _loaded[self._key]
 
 
-def _per_value(vocabulary: Vocabulary, method: str):
+def decode(ids: Column, vocabulary: Vocabulary) -> Column:
+    """Bytes of a column of packed ids."""
     @F.arrow_udf(T.BinaryType())
     def run(values: pa.Array) -> pa.Array:
-        one = getattr(vocabulary.bpe(), method)
-        return pa.array((one(v) for v in _each(values)), pa.binary())
-
-    return run
-
+        one = vocabulary.bpe().decode
+        return pa.array((one(v.as_py()) for v in values), pa.binary())
 
-def _each(values: pa.Array) -> Iterable:
-    for v in values:
-        yield v.as_py()
-
-
-def encode(text: Column, vocabulary: Vocabulary) -> Column:
-    """Packed ids of a text column."""
-    return _per_value(vocabulary, "encode")(text)
-
-
-def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """Bytes of a column of packed ids."""
-    return _per_value(vocabulary, "decode")(ids)
+    return run(ids)
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
                      out: str = "ids") -> DataFrame:
-    """``docs`` with the packed ids of each text in ``out``."""
-    return docs.withColumn(out, encode(F.col(text_col), vocabulary))
+    """``docs`` with the text replaced by its packed ids, as last column ``out``.
+
+    A step of its own in the plan (not a column function), so that no later
+    expression makes Spark encode a text twice.
+    """
+    others = [c for c in docs.columns if c not in (text_col, out)]
+
+    def run(batches):
+        one = vocabulary.bpe().encode
+        for batch in batches:
+            ids = pa.array((one(t.as_py()) for t in batch.column(batch.num_columns - 1)),
+                           pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*others, out])
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.BinaryType())])
+    return rows.mapInArrow(run, schema)
 
 
 def token_ids(packed: bytes) -> list[int]:

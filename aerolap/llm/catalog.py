@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from aerolap.llm import bpe, covertree, jaccard, mixing, quality, sharding, toxicity
+from aerolap.llm import bpe, covertree, jaccard, licenses, mixing, packing, quality, sharding, toxicity
 from aerolap.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,14 @@ def vocabulary(spark) -> bpe.Vocabulary:
     return bpe.Vocabulary(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op1_packed_rows(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(spark))
+
+
+def op2_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_balanced_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), n=24)
 
@@ -53,7 +61,7 @@ def op10_embedding_copies(spark, sf_dir):
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op3_balanced_shards, op4_source_mix, op5_toxicity, op7_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_packed_rows, op2_license_scan, op3_balanced_shards, op4_source_mix, op5_toxicity, op7_byte_bpe,
                                    op8_quality_rules, op9_ngram_jaccard,
                                    op10_embedding_copies)}
 
