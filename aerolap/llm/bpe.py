@@ -42,7 +42,8 @@ from pyspark.sql import types as T
 #: Vocabularies are fixed files of about 1 MB; a larger one is refused as broadcast.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
 LEAF = 48
-CACHED_PIECES = 200_000
+CACHED_PIECES = 100_000
+CACHED_WORDS = 300_000
 
 
 def unicode_space(pattern: str) -> str:
@@ -50,6 +51,7 @@ def unicode_space(pattern: str) -> str:
     return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
 
+_MARKS = frozenset(".,;:!?")
 _blank_after_space = re.compile(r"\s ").search
 
 
@@ -89,7 +91,7 @@ class Bpe:
         self._merges = {ranks[t[:k]] << 32 | ranks[t[k:]]: i for t, i in ranks.items()
                         for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
         self._find = regex.compile(unicode_space(pattern)).findall
-        self._pieces, self._chunks = _Recent(), _Recent()
+        self._pieces, self._chunks = _Recent(), _Recent(CACHED_WORDS)
         self._stable: dict[tuple[int, int], bool] = {}
 
     # --- the monoid -------------------------------------------------------
@@ -192,8 +194,11 @@ class Bpe:
     def _chunk(self, word: str) -> bytes:
         ids = self._chunks.older(word)
         if ids is None:
+            head, last = word[:-1], word[-1:]
             if word.isalpha():  # one match
                 ids = self._pack(self.piece(b" " + word.encode()))
+            elif last in _MARKS and head.isalpha():  # two matches
+                ids = (self._chunks.get(head) or self._chunk(head)) + self._packed(last)
             else:
                 ids = b"".join(map(self._packed, self._find(" " + word)))
             if len(word) <= 64:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from aerolap.llm import bpe, covertree, jaccard, licenses, mixing, packing, quality, sharding, toxicity
+from aerolap.llm import bpe, covertree, jaccard, langid, licenses, mixing, packing, quality, sharding, toxicity
 from aerolap.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -40,6 +40,10 @@ def op5_toxicity(spark, sf_dir):
                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_page_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     v = vocabulary(spark)
     rows = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), v)
@@ -61,7 +65,7 @@ def op10_embedding_copies(spark, sf_dir):
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op1_packed_rows, op2_license_scan, op3_balanced_shards, op4_source_mix, op5_toxicity, op7_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_packed_rows, op2_license_scan, op3_balanced_shards, op4_source_mix, op5_toxicity, op6_page_language, op7_byte_bpe,
                                    op8_quality_rules, op9_ngram_jaccard,
                                    op10_embedding_copies)}
 

@@ -1,8 +1,8 @@
 """Mixing sources to target weights (operator 4).
 
 Every document gets a key that a hash of its id makes random. Within each
-source the rows are range-sorted by that key (blocks are ranges of the key,
-about ``block_rows`` documents each), distributed prefix sums give the words
+source the rows are range-sorted by that key (blocks are ranges of the key, as
+many as the square root of the source's documents), distributed prefix sums give the words
 before each document, and the mix takes documents up to the source's budget:
 whole epochs first, then one more pass cut where the running sum meets what
 is left. Documents are taken whole, so a source misses its budget by at most
@@ -36,7 +36,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = "mix"
-BLOCK_ROWS = 50_000
 _KEY_DIGITS = 7
 
 
@@ -86,8 +85,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source", weights: Sequence[int] = WEIGHTS, share: float = SHARE,
-         max_epochs: int = MAX_EPOCHS, seed: str = SEED,
-         block_rows: int = BLOCK_ROWS) -> DataFrame:
+         max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """Words the mix takes of each document.
 
     Returns doc_id, size, source, source_size, target, copies, taken.
@@ -100,7 +98,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sources = targets(sizes, weights, share, max_epochs)
     rows = sizes.join(sources.withColumnRenamed("source", "_source"),
                       sizes["source"].eqNullSafe(F.col("_source"))).drop("_source")
-    blocks = F.ceil(F.col("n_docs") / block_rows)
+    blocks = F.ceil(F.sqrt("n_docs"))
     position = F.conv(F.substring("_key", 1, _KEY_DIGITS), 16, 10).cast("long")
     rows = rows.withColumn("_block", F.floor(position * blocks / 16 ** _KEY_DIGITS))
     rows = running_sums(rows, ["source"], "_block", ["_key", "doc_id", "size"], "size", "_before")

@@ -34,7 +34,6 @@ from aerolap.llm.common import discard, running_sums, written
 HEADER = 8
 ROUNDS = 5
 SIZE_CLASSES = 6
-_BLOCK_ROWS = 20_000
 _SPAN = 1 << 30
 
 
@@ -153,11 +152,11 @@ def shard(docs: DataFrame, n: int = 24, id_col: str = "doc_id", text_col: str =
         "shard_items")
     rows, total = items.agg(F.count(F.lit(1)), F.sum("size")).first()
     capacity = (total or 0) // n
-    blocks = max(1, -(-rows // _BLOCK_ROWS))
+    blocks = max(1, math.isqrt(rows))  # as many blocks as rows in a block
     groups, groups_path = written(
         items.where("grp IS NOT NULL").groupBy("grp").agg(
             F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_bytes")).where("_n > 1").select(
-            "grp", F.ceil(F.col("_n") / 1000).cast("int").alias("parts"),
+            "grp", F.ceil(F.sqrt("_n")).cast("int").alias("parts"),
             F.least(F.lit(n), F.ceil(F.col("_bytes") / max(1, capacity))).cast("int")
             .alias("shards")), "shard_groups")
     known = items.join(groups.select("grp", "parts"), "grp", "left").select(
@@ -184,7 +183,7 @@ def shard(docs: DataFrame, n: int = 24, id_col: str = "doc_id", text_col: str =
     placed, _ = written(placed.withColumn("_one", F.lit(1)).withColumn(
         "_at", _spot("doc_id", "text_crc32")), "shard_placed")
     discard(spark, items_path, groups_path, known_path, labels_path)
-    slots = running_sums(placed.withColumn("_block", _block(F.col("_at"), max(1, blocks // n))),
+    slots = running_sums(placed.withColumn("_block", _block(F.col("_at"), max(1, math.isqrt(rows // n)))),
                          ["shard"], "_block", ["_at", "doc_id"], "_one", "slot")
     return slots.select(*columns, F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
