@@ -5,7 +5,8 @@ A page's language is inferred from four pieces of evidence:
 * the *text*, by a naive Bayes model over hashed byte trigrams, fitted on at
   most ``fit_rows`` documents of known language (those with the smallest
   hashes of their ids; a documented bound). Overlapping trigrams depend on
-  each other, so the log-likelihood is tempered;
+  each other, so the log-likelihood is tempered, and a small chance of foreign
+  text (quotations, advertisements) bounds what it can say;
 * the language *declared* in the markup, and
 * the address *suffix*, whose likelihoods given a language are estimated from
   all pages by grouped aggregation of the text posteriors;
@@ -41,16 +42,19 @@ FIT_ROWS = 4000
 MAX_LANGUAGES = 64
 FEATURES = 1 << 16
 TEMPER = 1 / 3
+#: Chance that what is read of a page is not in its language: bounds the text's evidence.
+FOREIGN = 1e-3
 HOST_WEIGHT = 5.0
 DOMAIN_WEIGHT = 5.0
 _PART = 1 << 20
 
-_gone = re.compile(r"(?is)<(script|style|nav|footer|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
+_gone = re.compile(r"(?is)<(script|style|nav|footer|noscript|template)\b.*?</\1\s*>|<!--.*?-->"
+                   r"|<(div|aside)\b[^>]*\bclass=[\"']?(?:ad|ads|banner|promo|cookies?)\b.*?</\2\s*>")
 _tag = re.compile(r"(?s)<[^>]*>")
 
 
 def visible(page: str | None) -> str:
-    """Text of a page without scripts, styles, navigation, comments and tags."""
+    """Text of a page without scripts, styles, navigation, advertisements, comments, tags."""
     return _html.unescape(_tag.sub(" ", _gone.sub(" ", page or "")))
 
 
@@ -145,7 +149,8 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
             text = visible(page.as_py()).strip()
             score = (shared.value @ counts(text).astype(np.float32) * temper if text
                      else np.zeros(k))
-            out.append((score - score.max()).astype(float).tolist())
+            share = np.exp((score - score.max()).astype(float))
+            out.append(np.log((1 - FOREIGN) * share / share.sum() + FOREIGN / k).tolist())
         return pa.array(out, pa.list_(pa.float64()))
 
     labels = F.array(*[F.lit(n) for n in names])
