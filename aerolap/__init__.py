@@ -6,8 +6,7 @@ Layout:
 - ``sources``    CSV / Parquet / table sources and sinks, paths, test fixture;
 - ``operators``  DataFrame -> DataFrame operators (cleaning, scaling, quality
                  checks, the three analyses, inspection views);
-- ``plans``      the query registry, oracle SQL and plan inspection;
-- ``streaming``  the same operators over a file stream of cleaned flights.
+- ``plans``      the query registry, oracle SQL and plan inspection.
 """
 
 __version__ = "0.1.0"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolap.functions._util import col_of
+from aerolap.functions._util import col_of, text_number
 
 MINUTES_PER_DAY = 1440
 HALF_DAY = 720
@@ -19,10 +19,10 @@ HALF_DAY = 720
 def hhmm_to_minutes(c) -> Column:
     """HHMM clock value -> minutes after midnight; 2400 -> 1440.
 
-    Floor division and a non-negative remainder; text that is not a number
-    becomes null.
+    Floor division and a non-negative remainder; text that is not a plain
+    number becomes null (``12d`` included).
     """
-    x = col_of(c).try_cast("double")
+    x = text_number(col_of(c).cast("string"))
     return F.floor(x / 100).cast("double") * 60 + F.pmod(x, F.lit(100.0))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolap.functions import normalise_code
+from aerolap.functions._util import lenient
 from aerolap.schema import CLEAN_OVERRIDES, CODE_COLUMNS
 
 
@@ -27,16 +28,9 @@ def normalise_codes(df: DataFrame, columns: Sequence[str] = CODE_COLUMNS) -> Dat
     return _replace(df, {c: normalise_code(c) for c in columns if c in df.columns})
 
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-
 def lenient_cast(df: DataFrame, column: str, target: T.DataType):
-    """Cast with the non-ANSI meaning: a bad value becomes null, and text
-    such as ``1.0`` becomes the integer 1 (truncated) rather than null."""
-    c = F.col(column)
-    if isinstance(df.schema[column].dataType, T.StringType) and isinstance(target, _INTEGRAL):
-        c = c.try_cast("double")
-    return c.try_cast(target)
+    """:func:`aerolap.functions.lenient` of a column of ``df``."""
+    return lenient(F.col(column), df.schema[column].dataType, target)
 
 
 def cast_types(df: DataFrame, types: Mapping[str, T.DataType] = CLEAN_OVERRIDES) -> DataFrame:

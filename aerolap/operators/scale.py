@@ -8,12 +8,13 @@ source, and no join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolap.schema import DATASET_SIZES, SAMPLE_SEED
+from aerolap.session import drop_scratch, scratch_path
 from aerolap.sources.files import write_parquet
 from aerolap.sources.paths import dataset_path, size_label
 
@@ -23,6 +24,18 @@ def sample(df: DataFrame, fraction: float, seed: int = SAMPLE_SEED) -> DataFrame
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def keyed_sample(df: DataFrame, fraction: float, keys: Sequence[str],
+                 seed: int = SAMPLE_SEED) -> DataFrame:
+    """D1 without regard to the layout: rows whose hashed key falls below ``fraction``.
+
+    The hash is the first 28 bits of the MD5 of seed and key, so the sample
+    is the same on any cluster, in any order of rows, and in plain SQL.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    place = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long")
+    return df.filter(place < int(fraction * 16 ** 7))
+
+
 def replicate(df: DataFrame, n: int) -> DataFrame:
     """D3: every row ``n`` times, in one pass."""
     if n <= 1:
@@ -33,31 +46,37 @@ def replicate(df: DataFrame, n: int) -> DataFrame:
 
 
 def scale(df: DataFrame, size: float, seed: int = SAMPLE_SEED) -> DataFrame:
-    """D1-D3 by size factor: < 1 sample, 1 identity (D2), > 1 ``int(size)`` copies."""
+    """D1-D3 by size factor: < 1 sample, 1 identity (D2), a whole number N copies."""
     if size < 1:
         return sample(df, size, seed)
-    if size == 1:
-        return df
-    return replicate(df, int(size))
+    if size != int(size):
+        raise ValueError(f"sizes above 1 are whole numbers of copies, not {size}")
+    return df if size == 1 else replicate(df, int(size))
 
 
 def write_sizes(cleaned: DataFrame, base: str, sizes: Iterable[float] = DATASET_SIZES,
                 seed: int = SAMPLE_SEED) -> dict[float, str]:
-    """Write the dataset of every size under ``base``; returns size -> path.
+    """Write the dataset of each size asked for under ``base``; size -> path.
 
-    The 100 % dataset is written first from ``cleaned`` (one pass over the
-    source); every other size is derived from that written copy, so the
-    source is cleaned once and a lost executor recomputes from Parquet.
+    No other size is touched. If several are asked for, the source is cleaned
+    once: into the 100 % dataset if that is among them, else into scratch.
     """
-    spark = cleaned.sparkSession
-    full = write_parquet(cleaned, dataset_path(base, 1))
-    written = {1: full}
-    one = spark.read.parquet(full)
+    spark, sizes = cleaned.sparkSession, list(dict.fromkeys(sizes))
+    written: dict[float, str] = {}
+    scratch = None
+    one = cleaned
+    if 1 in sizes:
+        written[1] = write_parquet(cleaned, dataset_path(base, 1))
+        one = spark.read.parquet(written[1])
+    elif len(sizes) > 1:
+        scratch = write_parquet(cleaned, scratch_path(spark, "cleaned"))
+        one = spark.read.parquet(scratch)
     for s in sizes:
-        if s == 1:
-            continue
-        written[s] = write_parquet(scale(one, s, seed), dataset_path(base, s))
-    return {s: written[s] for s in sizes if s in written}
+        if s not in written:
+            written[s] = write_parquet(scale(one, s, seed), dataset_path(base, s))
+    if scratch:
+        drop_scratch(spark, scratch)
+    return {s: written[s] for s in sizes}
 
 
 def manifest(spark: SparkSession, paths: dict[float, str]) -> DataFrame:

@@ -17,17 +17,23 @@ from pyspark.sql import functions as F
 
 from aerolap.functions import elapsed, hhmm_to_minutes, timezone_ok, wrap_24h
 from aerolap.operators._rows import keep_where
-from aerolap.schema import EXAMPLE_FIELDS, KEY_COLUMNS, TIME_CHECKS
-
-# field -> name of its expected-value column
-EXPECTED = {
-    "dep_delay": "dep_delay_calc",
-    "arr_delay": "arr_delay_calc",
-    "taxi_out": "taxi_out_calc",
-    "taxi_in": "taxi_in_calc",
-    "air_time": "air_time_calc",
-    "actual_elapsed_time": "actual_elapsed_calc",
+from aerolap.schema import EXAMPLE_FIELDS, FLIGHT_KEYS, TIME_CHECKS
+
+#: Stored field -> (start clock, end clock, how the minutes between them count).
+RULES = {
+    "dep_delay": ("crs_dep_time", "dep_time", "signed"),
+    "arr_delay": ("crs_arr_time", "arr_time", "signed"),
+    "taxi_out": ("dep_time", "wheels_off", "forward"),
+    "taxi_in": ("wheels_on", "arr_time", "forward"),
+    "air_time": ("wheels_off", "wheels_on", "forward"),
+    "actual_elapsed_time": ("dep_time", "arr_time", "forward"),
 }
+_MINUTES = {
+    "signed": lambda start, end: wrap_24h(end - start),
+    "forward": elapsed,
+}
+EXPECTED = {field: f"expected_{field}" for field in RULES}
+_BUCKETS = 64
 
 
 def flown(df: DataFrame) -> DataFrame:
@@ -36,34 +42,25 @@ def flown(df: DataFrame) -> DataFrame:
 
 
 def with_expected(raw: DataFrame) -> DataFrame:
-    """Q16: add the six expected values computed from the clocks."""
-    dep = hhmm_to_minutes("dep_time")
-    arr = hhmm_to_minutes("arr_time")
-    crs_dep = hhmm_to_minutes("crs_dep_time")
-    crs_arr = hhmm_to_minutes("crs_arr_time")
-    off = hhmm_to_minutes("wheels_off")
-    on = hhmm_to_minutes("wheels_on")
-    return raw.select(
-        "*",
-        wrap_24h(dep - crs_dep).alias("dep_delay_calc"),
-        wrap_24h(arr - crs_arr).alias("arr_delay_calc"),
-        elapsed(dep, off).alias("taxi_out_calc"),
-        elapsed(on, arr).alias("taxi_in_calc"),
-        elapsed(off, on).alias("air_time_calc"),
-        elapsed(dep, arr).alias("actual_elapsed_calc"),
-    )
+    """Q16: add an expected value per rule, computed from its two clocks."""
+    return raw.select("*", *[
+        _MINUTES[how](hhmm_to_minutes(start), hhmm_to_minutes(end)).alias(EXPECTED[field])
+        for field, (start, end, how) in RULES.items()])
 
 
 def with_time_checks(raw: DataFrame) -> DataFrame:
     """Q17 + Q18: flown rows with the expected values and seven error flags
-    (``err_<check>``) plus ``any_error``."""
+    (``err_<check>``) plus ``any_error``. NaN counts as missing, and a missing
+    value is an error."""
     e = with_expected(flown(raw))
     flags = {
         f"err_{field}": ~timezone_ok(F.col(calc), F.col(field).try_cast("double"))
         for field, calc in EXPECTED.items()
     }
-    parts = F.col("taxi_out") + F.col("air_time") + F.col("taxi_in")
-    flags["err_components_sum"] = F.coalesce(parts != F.col("actual_elapsed_time"), F.lit(True))
+    parts = (F.col("taxi_out") + F.col("air_time") + F.col("taxi_in")).cast("double")
+    whole = F.col("actual_elapsed_time").cast("double")
+    flags["err_components_sum"] = F.coalesce(
+        (parts != whole) | F.isnan(parts) | F.isnan(whole), F.lit(True))
     any_error = None
     for name in flags:
         any_error = F.col(name) if any_error is None else (any_error | F.col(name))
@@ -87,34 +84,34 @@ def bad_rows(raw: DataFrame) -> DataFrame:
     return keep_where(with_time_checks(raw).select(*raw.columns, "any_error"), "any_error")
 
 
-def error_examples(raw: DataFrame, keys: Sequence[str] = KEY_COLUMNS, n: int = 10,
+def error_examples(raw: DataFrame, keys: Sequence[str] = FLIGHT_KEYS, n: int = 10,
                    fields: Sequence[str] = EXAMPLE_FIELDS) -> DataFrame:
-    """Q21: first ``n`` errors per field in key order, with stored value,
-    expected value and ``diff = expected - stored``.
+    """Q21: first ``n`` errors per field in key order, with the two clocks that
+    explain it, stored and expected value, their difference, and the field's
+    number of errors.
 
-    The errors of all fields are stacked to long form in one pass and ranked
-    with ``row_number() <= n`` per field; Catalyst turns that into a group
-    limit applied before the shuffle, so a field with millions of errors
-    still ships at most ``n`` rows per task.
+    The errors of all fields are stacked to long form and ranked twice: within
+    buckets of the keys' hash first, so that a task sees one bucket of a
+    field's errors, then among the at most ``n`` left of each bucket.
     """
-    checked = with_time_checks(raw)
     stacked = F.array(*[
-        F.struct(
-            F.lit(f).alias("field"),
-            F.col(f"err_{f}").alias("is_error"),
-            F.col(f).try_cast("double").alias("stored"),
-            F.col(EXPECTED[f]).alias("expected"),
-        )
+        F.struct(F.lit(f).alias("field"), F.col(f"err_{f}").alias("is_error"),
+                 F.col(RULES[f][0]).cast("double").alias("start_clock"),
+                 F.col(RULES[f][1]).cast("double").alias("end_clock"),
+                 F.col(f).try_cast("double").alias("stored"),
+                 F.col(EXPECTED[f]).alias("expected"))
         for f in fields
     ])
     context = [*keys, *[c for c in ("origin", "dest") if c not in keys]]
-    long = checked.select(*context, F.inline(stacked)).filter(F.col("is_error"))
-    w = Window.partitionBy("field").orderBy(*context)
-    return (
-        long.withColumn("example_rank", F.row_number().over(w))
-        .filter(F.col("example_rank") <= n)
-        .select(
-            "field", *context, "stored", "expected",
-            (F.col("expected") - F.col("stored")).alias("diff"), "example_rank",
-        )
-    )
+    long = (with_time_checks(raw).select(*context, F.inline(stacked)).filter("is_error")
+            .withColumn("_bucket", F.pmod(F.hash(*context), F.lit(_BUCKETS))))
+    totals = long.groupBy("field").agg(F.count(F.lit(1)).alias("field_errors"))
+    order = [*context, "stored", "expected"]
+    near = Window.partitionBy("field", "_bucket").orderBy(*order)
+    whole = Window.partitionBy("field").orderBy(*order)
+    first = long.withColumn("_near", F.row_number().over(near)).filter(F.col("_near") <= n)
+    ranked = first.withColumn("example_rank", F.row_number().over(whole)).filter(
+        F.col("example_rank") <= n)
+    return ranked.join(totals, "field").select(
+        "field", *context, "start_clock", "end_clock", "stored", "expected",
+        (F.col("expected") - F.col("stored")).alias("diff"), "field_errors", "example_rank")

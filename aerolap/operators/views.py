@@ -1,10 +1,8 @@
 """Inspection views over the analysis results.
 
-The reference resolves "the first N carriers / airports" with a driver-side
-``collect`` and then loops over them. Here the first N keys are a
-``distinct().orderBy().limit(N)`` (a bounded top-N) joined back with a
-broadcast whose size is bounded by N, and per-key limits are
-``row_number`` windows: one distributed query per view.
+They read written results. "The first N carriers / airports" is
+``distinct().orderBy().limit(N)`` joined back null-safe, and limits per key are
+window ranks over the few rows of a key.
 """
 
 from __future__ import annotations
@@ -20,16 +18,17 @@ CARRIER = "op_unique_carrier"
 
 
 def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first ``n`` distinct values of ``key`` in sort order (nulls first)."""
+    """The first ``n`` distinct values of ``key`` in sort order; null is one, the first."""
     return df.select(key).distinct().orderBy(F.col(key).asc_nulls_first()).limit(n)
 
 
-def _restrict(df: DataFrame, key: str, values: Sequence[str] | None, n: int) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in ``values``, or in the first ``n`` keys."""
+def _restrict(df: DataFrame, key: str, values: Sequence[str | None] | None, n: int) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``values``, or in the first ``n`` keys (null-safe)."""
     if values is not None:
-        return df.filter(F.col(key).isin(list(values)))
-    # The key side holds at most n rows: a proven bound for the broadcast.
-    return df.join(F.broadcast(first_keys(df, key, n)), key, "left_semi")
+        named = F.col(key).isin([v for v in values if v is not None])
+        return df.filter((named | F.col(key).isNull()) if None in values else named)
+    keys = first_keys(df, key, n).select(F.col(key).alias("_first_key"))
+    return df.join(keys, F.col(key).eqNullSafe(F.col("_first_key")), "left_semi")
 
 
 def top_routes(stats: DataFrame, carriers: Sequence[str] | None = None, n_carriers: int = 3,
@@ -61,12 +60,8 @@ def band_view(report: DataFrame, airports: Sequence[str] | None = None, n_airpor
     A group without causes shows an empty list instead of null.
     """
     sel = _restrict(report, "origin", airports, n_airports)
-    months = sel.select("origin", "month").distinct()
     w = Window.partitionBy("origin").orderBy(F.col("month").asc_nulls_first())
-    first_months = months.withColumn("_m", F.row_number().over(w)).filter(
-        F.col("_m") <= n_months
-    ).drop("_m")
-    view = sel.join(first_months, ["origin", "month"], "left_semi")
+    view = sel.withColumn("_m", F.dense_rank().over(w)).filter(F.col("_m") <= n_months)
     return (
         view.select(
             "origin",

@@ -38,13 +38,13 @@ from aerolap.schema import (
     CLEAN_OVERRIDES,
     CLOCK_COLUMNS,
     CODE_COLUMNS,
-    KEY_COLUMNS,
     RANKING_COLUMNS,
     RAW_COLUMNS,
     RAW_FIELDS,
     TIME_CHECKS,
 )
 from aerolap.session import scratch_path
+from aerolap.sources.fixtures import KEY_COLUMNS
 from aerolap.sources.fixtures import load_raw_flights as raw_flights
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,33 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(raw_flights(spark, sf_dir))
 
 
+def flights_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned flights with nulls in keys and flags (the fixture has none)."""
+    gaps = {"origin": "l_orderkey % 13 = 0", "dest": "l_orderkey % 19 = 1",
+            "op_unique_carrier": "l_partkey % 23 = 0", "month": "l_partkey % 17 = 0",
+            "cancelled": "l_suppkey % 11 = 0"}
+    return flights(spark, sf_dir).withColumns(
+        {c: F.when(~F.expr(gap), F.col(c)) for c, gap in gaps.items()})
+
+
+def q_route_stats_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_text(route_stats(flights_with_nulls(spark, sf_dir)), ints=("months",))
+
+
+def q_band_report_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_text(B.band_report(flights_with_nulls(spark, sf_dir)), causes=("top_causes",))
+
+
+def q_carrier_ranking_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.carrier_ranking(flights_with_nulls(spark, sf_dir))
+
+
+def q_inspect_bands_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = S.materialise(B.band_report(flights_with_nulls(spark, sf_dir), ordered=False),
+                           "band_report")
+    return with_text(V.band_view(report), causes=("top_causes",))
+
+
 def q_route_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_text(route_stats(flights(spark, sf_dir)), ints=("months",))
 
@@ -169,6 +196,15 @@ def q_dq_minutes(spark, sf_dir):
     return raw.select(*KEY_COLUMNS, *[hhmm_to_minutes(c).alias(f"{c}_min") for c in CLOCK_COLUMNS])
 
 
+def q_dq_minutes_dirty(spark, sf_dir):
+    """Clocks as text, some with a letter that a lenient parser would drop."""
+    raw = raw_flights(spark, sf_dir)
+    tail = F.when(F.col("l_orderkey") % 3 == 0, "d").when(F.col("l_orderkey") % 3 == 1, "").otherwise(
+        ".0")
+    text = F.concat(F.col("dep_time").cast("int").cast("string"), tail)
+    return raw.select(*KEY_COLUMNS, hhmm_to_minutes(text).alias("dep_time_min"))
+
+
 def q_dq_expected(spark, sf_dir):
     e = TC.with_expected(TC.flown(raw_flights(spark, sf_dir)))
     return e.select(*KEY_COLUMNS, *TC.EXPECTED.values())
@@ -188,7 +224,7 @@ def q_dq_bad_rows(spark, sf_dir):
 
 
 def q_dq_error_examples(spark, sf_dir):
-    return TC.error_examples(raw_flights(spark, sf_dir))
+    return TC.error_examples(raw_flights(spark, sf_dir), keys=KEY_COLUMNS)
 
 
 # --- cleaning steps -----------------------------------------------------------
@@ -280,7 +316,7 @@ def q_agg_basic(spark, sf_dir):
 # --- scaling --------------------------------------------------------------
 
 def q_scale_sample(spark, sf_dir):
-    return D.sample(flights(spark, sf_dir), 0.25)
+    return D.keyed_sample(flights(spark, sf_dir), 0.25, KEY_COLUMNS)
 
 
 def q_scale_identity(spark, sf_dir):
@@ -315,6 +351,34 @@ def q_scan_csv(spark, sf_dir):
     return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
 
 
+def q_scan_csv_by_name(spark, sf_dir):
+    """The file's columns in another order than the schema's."""
+    raw = raw_flights(spark, sf_dir)
+    path = S.write_csv(raw.select(*reversed(raw.columns)), scratch_path(spark, "raw_csv"))
+    return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
+
+
+def q_scan_csv_decimal_ints(spark, sf_dir):
+    """Whole numbers written as ``12.0``, as data-frame tools do beside missing values."""
+    raw = raw_flights(spark, sf_dir)
+    text = raw.select(*[
+        F.concat(F.col(c).cast("string"), F.lit(".0")).alias(c)
+        if isinstance(raw.schema[c].dataType, T.IntegerType) else F.col(c) for c in raw.columns])
+    path = S.write_csv(text, scratch_path(spark, "raw_csv"))
+    return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
+
+
+def _with_quotes(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("origin_city_name", F.concat(
+        F.lit('The "big" '), F.col("origin_city_name"), F.lit('"')))
+
+
+def q_scan_csv_quoted(spark, sf_dir):
+    """Quotes and separators inside values."""
+    path = S.write_csv(_with_quotes(raw_flights(spark, sf_dir)), scratch_path(spark, "raw_csv"))
+    return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
+
+
 def _cleaned_parquet(spark, sf_dir):
     return S.write_parquet(flights(spark, sf_dir), scratch_path(spark, "flights"))
 
@@ -379,39 +443,48 @@ def q_sink_csv(spark, sf_dir):
 
 # --- inspection views -----------------------------------------------------
 
+# (over written results, as the jobs leave them)
+
+def _routes(spark, sf_dir):
+    return S.materialise(route_stats(flights(spark, sf_dir), ordered=False), "route_stats")
+
+
+def _report(spark, sf_dir):
+    return S.materialise(B.band_report(flights(spark, sf_dir), ordered=False), "band_report")
+
+
+def _ranking(spark, sf_dir):
+    return S.materialise(R.carrier_ranking(flights(spark, sf_dir), ordered=False),
+                         "carrier_ranking")
+
+
 def q_inspect_top_routes(spark, sf_dir):
-    return with_text(V.top_routes(route_stats(flights(spark, sf_dir), ordered=False)),
-                     ints=("months",))
+    return with_text(V.top_routes(_routes(spark, sf_dir)), ints=("months",))
 
 
 def q_inspect_route_counts(spark, sf_dir):
-    return V.route_counts(route_stats(flights(spark, sf_dir), ordered=False))
+    return V.route_counts(_routes(spark, sf_dir))
 
 
 def q_inspect_bands(spark, sf_dir):
-    return with_text(V.band_view(B.band_report(flights(spark, sf_dir), ordered=False)),
-                     causes=("top_causes",))
+    return with_text(V.band_view(_report(spark, sf_dir)), causes=("top_causes",))
 
 
 def q_inspect_ranking(spark, sf_dir):
-    return V.ranking_view(R.carrier_ranking(flights(spark, sf_dir), ordered=False))
+    return V.ranking_view(_ranking(spark, sf_dir))
 
 
 def q_inspect_distinct(spark, sf_dir):
-    return V.distinct_summary(route_stats(flights(spark, sf_dir), ordered=False))
+    return V.distinct_summary(_routes(spark, sf_dir))
 
 
 def q_inspect_ranking_summary(spark, sf_dir):
-    return V.ranking_summary(R.carrier_ranking(flights(spark, sf_dir), ordered=False))
+    return V.ranking_summary(_ranking(spark, sf_dir))
 
 
 def q_inspect_profile(spark, sf_dir):
-    f = flights(spark, sf_dir)
-    return V.profile({
-        "route_stats": route_stats(f, ordered=False),
-        "band_report": B.band_report(f, ordered=False),
-        "carrier_ranking": R.carrier_ranking(f, ordered=False),
-    })
+    return V.profile({"route_stats": _routes(spark, sf_dir), "band_report": _report(spark, sf_dir),
+                      "carrier_ranking": _ranking(spark, sf_dir)})
 
 
 def _neutral(q: Query) -> Query:
@@ -481,6 +554,14 @@ QUERIES: dict[str, Query] = {
     "sink_table": q_sink_table,
     "sink_insert_overwrite": q_sink_insert_overwrite,
     "sink_csv": q_sink_csv,
+    "scan_csv_by_name": q_scan_csv_by_name,
+    "scan_csv_decimal_ints": q_scan_csv_decimal_ints,
+    "scan_csv_quoted": q_scan_csv_quoted,
+    "dq_minutes_dirty": q_dq_minutes_dirty,
+    "route_stats_nulls": q_route_stats_nulls,
+    "band_report_nulls": q_band_report_nulls,
+    "carrier_ranking_nulls": q_carrier_ranking_nulls,
+    "inspect_bands_nulls": q_inspect_bands_nulls,
     "inspect_top_routes": q_inspect_top_routes,
     "inspect_route_counts": q_inspect_route_counts,
     "inspect_bands": q_inspect_bands,

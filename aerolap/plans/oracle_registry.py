@@ -8,7 +8,8 @@ from aerolap.schema import BAND_COLUMNS, RANKING_COLUMNS
 
 # Keys whose result has the date column ``fl_date``: given as ISO text.
 DATE_KEYS = {"scan_csv", "scan_parquet", "clean_flights", "scale_identity", "scale_replicate_2",
-             "scale_replicate_4", "dq_bad_rows"}
+             "scale_replicate_4", "dq_bad_rows", "scale_sample", "scan_csv_by_name",
+             "scan_csv_decimal_ints", "scan_csv_quoted"}
 
 
 def _date_text(sql: str) -> str:
@@ -73,6 +74,15 @@ ORACLE_SQL: dict[str, str] = {
     "sink_table": O.CARRIER_RANKING,
     "sink_insert_overwrite": O.BAND_REPORT,
     "sink_csv": O.DQ_VALIDATION_REPORT,
+    "scale_sample": O.SCALE_SAMPLE,
+    "scan_csv_by_name": O.SCAN_CSV,
+    "scan_csv_decimal_ints": O.SCAN_CSV,
+    "scan_csv_quoted": O.SCAN_CSV_QUOTED,
+    "dq_minutes_dirty": O.DQ_MINUTES_DIRTY,
+    "route_stats_nulls": O.with_nulls(O.ROUTE_STATS),
+    "band_report_nulls": O.with_nulls(O.BAND_REPORT),
+    "carrier_ranking_nulls": O.with_nulls(O.CARRIER_RANKING),
+    "inspect_bands_nulls": O.with_nulls(O.INSPECT_BANDS),
     "inspect_top_routes": O.INSPECT_TOP_ROUTES,
     "inspect_route_counts": O.INSPECT_ROUTE_COUNTS,
     "inspect_bands": O.INSPECT_BANDS,

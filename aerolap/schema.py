@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Raw flight table: 35 columns, in file order.
+# Raw flight table: 35 columns, in file order. Fixed values, as all name
+# lists of this module.
 # ---------------------------------------------------------------------------
 RAW_FIELDS: list[tuple[str, T.DataType]] = [
     ("year", T.IntegerType()),
@@ -64,8 +65,8 @@ CLEAN_SCHEMA = T.StructType(
     [T.StructField(n, CLEAN_OVERRIDES.get(n, t), True) for n, t in RAW_FIELDS]
 )
 
-# Row identity of the test fixture (the raw file has none; see sources.fixtures).
-KEY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+# What names a flight of the raw table.
+FLIGHT_KEYS = ["fl_date", "op_unique_carrier", "origin", "dest", "crs_dep_time"]
 
 # Codes normalised by cleaning.
 CODE_COLUMNS = ["op_unique_carrier", "origin", "dest"]

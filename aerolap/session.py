@@ -7,6 +7,7 @@ store). Only when a session has none, as in local tests, is a local one set.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -92,46 +93,47 @@ def local_session(app: str = "aerolap", cpus: int | str = "*", shuffle_partition
 
 
 def cluster_settings(input_bytes: int, total_cores: int,
-                     partition_bytes: int = 256 * 1024 * 1024,
-                     max_shuffle_partitions: int = 20000) -> dict[str, str]:
+                     partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Runtime SQL settings for a job over ``input_bytes`` on ``total_cores``.
 
     Scan splits of ``partition_bytes`` (the raw rows are wide); enough
     initial shuffle partitions that the largest exchange (the N-fold copies
-    or a join moving about the input size) gives tasks of that size, at
-    least two waves of cores and at most ``max_shuffle_partitions`` (each map
-    task writes one block per reducer). AQE coalesces the small exchanges,
-    which is every aggregation here: they shuffle partial aggregates only.
+    or a join moving about the input size) gives tasks of that size, and at
+    least two waves of cores. AQE coalesces the small exchanges, which is
+    every aggregation here: they shuffle partial aggregates only.
     """
     wanted = -(-int(input_bytes) // partition_bytes)
-    shuffle = min(max(2 * total_cores, wanted), max_shuffle_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.shuffle.partitions": str(max(2 * total_cores, wanted)),
     }
 
 
-def input_bytes(spark: SparkSession, path: str) -> int | None:
+def input_bytes(spark: SparkSession, path: str) -> int:
     """Size of the files under ``path`` (file-system metadata, no scan)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(p).getLength())
-    except Exception:  # noqa: BLE001 - no JVM gateway or no such path
-        return None
-
-
-def tune_for_input(spark: SparkSession, path: str) -> dict[str, str]:
-    """Apply :func:`cluster_settings` for the data at ``path`` to the session."""
-    size = input_bytes(spark, path)
-    if size is None:
-        return {}
-    settings = cluster_settings(size, spark.sparkContext.defaultParallelism)
+    p, fs = _hadoop_path(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+@contextlib.contextmanager
+def tuned_for_input(spark: SparkSession, path: str):
+    """The session with :func:`cluster_settings` for the data at ``path``.
+
+    The caller's own settings are back when the block ends.
+    """
+    settings = cluster_settings(input_bytes(spark, path), spark.sparkContext.defaultParallelism)
+    before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    return settings
+    try:
+        yield settings
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

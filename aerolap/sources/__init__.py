@@ -1,6 +1,7 @@
 """Sources and sinks: CSV / Parquet files, catalog tables, paths, fixtures."""
 
 from aerolap.sources.files import (
+    materialise,
     read_csv,
     read_declared,
     read_flights,
@@ -26,6 +27,7 @@ __all__ = [
     "drop_table",
     "ensure_database",
     "insert_overwrite",
+    "materialise",
     "raw_flights",
     "read_csv",
     "read_declared",

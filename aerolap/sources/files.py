@@ -6,17 +6,55 @@ DataFrames, so Catalyst pushes column pruning and filters into the scan.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolap.functions._util import lenient
 from aerolap.schema import NA_TOKENS, RAW_SCHEMA
-
-
-def _as_text_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+from aerolap.session import scratch_path
+
+
+def _data_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The data files under the paths (globs allowed), hidden ones left out."""
+    sc = spark.sparkContext
+    found: list[str] = []
+    for path in paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        for status in fs.globStatus(p) or []:
+            todo = [status]
+            while todo:
+                at = todo.pop()
+                if at.getPath().getName().startswith(("_", ".")) and at is not status:
+                    continue
+                if at.isDirectory():
+                    todo.extend(fs.listStatus(at.getPath()))
+                elif at.getLen() > 0:
+                    found.append(at.getPath().toString())
+    if not found:
+        raise FileNotFoundError(f"no data files at {', '.join(paths)}")
+    return sorted(found)
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of a CSV file (reads that line only)."""
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(file)
+    stream = p.getFileSystem(conf).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = reader.readLine() or ""
+    finally:
+        reader.close()
+    return tuple(n.strip().lower() for n in next(csv.reader([line.lstrip("\ufeff")]), []))
 
 
 def read_raw_csv(
@@ -28,30 +66,42 @@ def read_raw_csv(
 ) -> DataFrame:
     """Raw flight CSV with a header -> typed DataFrame.
 
-    Every cell is read as text, an NA token becomes null, and the text is
-    converted with ``try_cast`` so dirty values give null instead of failing
-    the job (the behaviour of a non-ANSI cast). Columns are taken by
-    position in ``schema`` order. With ``source_file`` a ``source_file``
-    column names the file each row came from (provenance of bad rows; line
-    numbers have no meaning in a split, distributed read).
+    Columns are found by their header names (any order, any case, extra ones
+    ignored); files with different headers are mapped each, and a missing
+    column is an error. Quotes inside values are doubled, as usual. Every cell
+    is read as text, an NA token becomes null, and the text is converted
+    leniently: dirty values give null, ``1.0`` is the integer 1. With
+    ``source_file`` a column of that name tells the file each row came from
+    (provenance of bad rows; line numbers have no meaning in a split read).
     """
-    text = (
-        spark.read.schema(_as_text_schema(schema))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path if isinstance(path, str) else list(path))
-    )
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in _data_files(spark, [path] if isinstance(path, str) else list(path)):
+        by_header.setdefault(_header(spark, file), []).append(file)
+    wanted = [f.name.lower() for f in schema.fields]
     tokens = list(na_tokens)
-    out = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        v = F.when(c.isin(tokens), F.lit(None).cast("string")).otherwise(c)
-        if not isinstance(f.dataType, T.StringType):
-            v = v.try_cast(f.dataType)
-        out.append(v.alias(f.name))
-    if source_file:
-        out.append(F.col("_metadata.file_path").alias("source_file"))
-    return text.select(*out)
+    parts = []
+    for header, files in by_header.items():
+        if missing := [n for n in wanted if header.count(n) != 1]:
+            raise ValueError(f"not exactly one column {', '.join(missing)} in {files[0]}")
+        names = [f"c{i}" for i in range(len(header))]
+        text = (
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            .option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').csv(files)
+        )
+        out = []
+        for f in schema.fields:
+            c = F.col(names[header.index(f.name.lower())])
+            v = F.when(~c.isin(tokens), c)
+            out.append((v if isinstance(f.dataType, T.StringType)
+                        else lenient(v, T.StringType(), f.dataType)).alias(f.name))
+        if source_file:
+            out.append(F.col("_metadata.file_path").alias("source_file"))
+        parts.append(text.select(*out))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows
 
 
 def read_flights(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -84,11 +134,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 def write_csv(df: DataFrame, path: str) -> str:
     """Overwrite ``path`` with ``df`` as CSV with a header.
 
-    Blanks inside values are kept (Spark's writer trims them by default).
+    Standard quoting (a quote inside a value is doubled), so other readers
+    agree; blanks inside values are kept (Spark's writer trims them by
+    default).
     """
     (
         df.write.mode("overwrite")
         .option("header", True)
+        .option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -98,4 +151,16 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a CSV report written by :func:`write_csv` with its declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return (spark.read.schema(schema).option("header", True)
+            .option("quote", '"').option("escape", '"').csv(path))
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back.
+
+    For results that several branches of a plan read: the input is scanned
+    once, and a lost executor costs only its own tasks.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

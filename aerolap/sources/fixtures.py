@@ -16,17 +16,19 @@ values (see ``plans.oracle``).
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolap.schema import KEY_COLUMNS, RAW_COLUMNS
+from aerolap.schema import RAW_COLUMNS
 from aerolap.session import checkpoint_base
 
 # Bumped when the derivation or the file layout of the fixture changes.
-FIXTURE_VERSION = 2
+FIXTURE_VERSION = 3
+
+# Row identity: the line item a flight was made from.
+KEY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 # Fixed values of the fixture: order priority -> cancellation code.
 PRIORITY_CODES = {
@@ -53,15 +55,6 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderpriority"
     )
-    # A source stored as few large row groups scans in few tasks; spread it
-    # over the cluster before the per-row work (no-op for a many-file source).
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        few = li.rdd.getNumPartitions() < parallelism
-    except Exception:  # noqa: BLE001 - no RDD access (remote session): keep the layout
-        few = False
-    if few:
-        li = li.repartition(parallelism, "l_orderkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
 
     ok, pk, sk, ln = (F.col(c) for c in KEY_COLUMNS)
@@ -152,42 +145,19 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.select(*KEY_COLUMNS, *[cols[n].alias(n) for n in RAW_COLUMNS])
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Identity of the inputs: absolute paths, sizes and modification times."""
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the inputs: every file's path, size and modification time,
+    as the file system that Spark reads them from tells them."""
+    sc = spark.sparkContext
     parts = []
     for t in ("lineitem", "orders"):
-        p = os.path.abspath(f"{sf_dir}/{t}.parquet")
-        try:
-            st = os.stat(p)
-            parts.append(f"{p}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:  # not a local path (e.g. object store): key by path only
-            parts.append(p)
-    parts.append(f"layout={FIXTURE_VERSION}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-
-
-def _hadoop_fs(spark: SparkSession, path: str):
-    """(FileSystem, Path factory) of ``path`` through the JVM, or None."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), \
-            jvm.org.apache.hadoop.fs.Path
-    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session)
-        return None
-
-
-def _committed(spark: SparkSession, path: str) -> bool:
-    """True if a finished write (``_SUCCESS`` marker) exists at ``path``."""
-    fs = _hadoop_fs(spark, path)
-    if fs is not None:
-        filesystem, mk = fs
-        return bool(filesystem.exists(mk(f"{path}/_SUCCESS")))
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+        p = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        top = fs.getFileStatus(p)
+        for f in fs.listStatus(p) if top.isDirectory() else [top]:
+            parts.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join([*sorted(parts), f"layout={FIXTURE_VERSION}"]).encode()
+                        ).hexdigest()[:16]
 
 
 def load_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,19 +166,27 @@ def load_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     The derivation is materialised in the shared checkpoint folder (keyed by
     the input files), so every query scans plain columns as it would scan the
     real raw file, instead of re-running the join and inlining the derived
-    clock arithmetic into each filter. Concurrent callers each write to a
-    private folder and rename it into place; the first rename wins.
+    clock arithmetic into each filter. A caller writes to a folder of its own
+    and renames it to a numbered place below the key; readers take the lowest
+    finished number, so callers that race each other do no harm.
     """
-    path = f"{checkpoint_base(spark)}/aerolap/raw_flights/{_fingerprint(sf_dir)}"
-    if not _committed(spark, path):
-        fs = _hadoop_fs(spark, path)
-        if fs is None:
-            raw_flights(spark, sf_dir).write.mode("overwrite").parquet(path)
-        else:
-            filesystem, mk = fs
-            tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-            raw_flights(spark, sf_dir).write.mode("overwrite").parquet(tmp)
-            filesystem.mkdirs(mk(path).getParent())
-            if not filesystem.rename(mk(tmp), mk(path)) and not _committed(spark, path):
-                path = tmp  # could not publish; use the private copy
+    sc = spark.sparkContext
+    mk = sc._jvm.org.apache.hadoop.fs.Path
+    root = f"{checkpoint_base(spark)}/aerolap/raw_flights/{_fingerprint(spark, sf_dir)}"
+    fs = mk(root).getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(mk(root))
+
+    def finished() -> str | None:
+        names = sorted(f.getPath().getName() for f in fs.listStatus(mk(root)))
+        return next((f"{root}/{n}" for n in names if n.startswith("done-")
+                     and fs.exists(mk(f"{root}/{n}/_SUCCESS"))), None)
+
+    path = finished()
+    if path is None:
+        own = uuid.uuid4().hex[:12]
+        staged = f"{root}/.staged-{own}"
+        raw_flights(spark, sf_dir).write.parquet(staged)
+        if not fs.rename(mk(staged), mk(f"{root}/done-{own}")):
+            raise OSError(f"cannot publish {staged}")
+        path = finished()
     return spark.read.parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from aerolap import sources as S
 from aerolap.__main__ import run
 from aerolap.operators import bands as B
@@ -33,9 +35,11 @@ def test_jobs_end_to_end(spark):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
     rep = run(["check_null", "--base", base, "--quiet"], spark)
-    assert spark.read.option("header", True).csv(rep["path"]).count() == 35
+    assert spark.read.parquet(rep["paths"]["null_report"]).count() == 35
     bad = run(["check_errors", "--base", base, "--quiet"], spark)
-    assert spark.read.option("header", True).csv(bad["path"]).count() == 101
+    rows = spark.read.parquet(bad["paths"]["bad_rows"])
+    assert rows.count() == 101 and rows.where("source_file LIKE '%.csv'").count() == 101
+    assert spark.read.parquet(bad["paths"]["examples"]).count() == 20
     for cmd in ["check_flags", "check_months", "inspect_3_1", "inspect_3_2", "inspect_3_3",
                 "inspect_outputs"]:
         assert run([cmd, "--base", base, "--quiet"], spark)["command"] == cmd
@@ -46,22 +50,32 @@ def test_cluster_settings():
 
     tb = 1024 ** 4
     big = cluster_settings(100 * tb, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "20000"      # capped
+    assert big["spark.sql.shuffle.partitions"] == "409600"     # 100 TB / 256 MB
     assert big["spark.sql.adaptive.enabled"] == "true"
     small = cluster_settings(20 * 1024 ** 2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"       # two waves of cores
-    mid = cluster_settings(1 * tb, 100)
-    assert mid["spark.sql.shuffle.partitions"] == "4096"       # 1 TB / 256 MB
 
 
-def test_tune_for_input_applies_settings(spark):
+def test_tuning_is_undone(spark):
     import os
 
-    from aerolap.session import input_bytes, tune_for_input
+    from aerolap.session import input_bytes, tuned_for_input
 
     path = f"{SF_SMALL}/lineitem.parquet"
     assert input_bytes(spark, path) == os.path.getsize(path)
-    settings = tune_for_input(spark, path)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == settings["spark.sql.shuffle.partitions"]
-    assert int(settings["spark.sql.shuffle.partitions"]) >= 2
-    assert tune_for_input(spark, f"{SF_SMALL}/no_such_table.parquet") == {}
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with tuned_for_input(spark, path) as settings:
+        assert spark.conf.get(key) == settings[key]
+    assert spark.conf.get(key) == before
+    with pytest.raises(Exception):
+        input_bytes(spark, f"{SF_SMALL}/no_such_table.parquet")
+
+
+def test_views_are_written_whole(spark):
+    base = scratch_path(spark, "t_views")
+    lay = S.Layout(base)
+    S.write_parquet(A.route_stats(clean(load_raw_flights(spark, SF_SMALL))),
+                    lay.result("task_3_1", 1))
+    out = run(["inspect_3_1", "--base", base, "--quiet", "--first", "11", "--top", "10"], spark)
+    assert spark.read.parquet(out["paths"]["top_routes"]).count() == 110

@@ -7,8 +7,8 @@ import math
 from aerolap.operators import quality as Q
 from aerolap.operators import timechecks as TC
 from aerolap.plans.explain import count_nodes
-from aerolap.schema import KEY_COLUMNS, RAW_COLUMNS
-from aerolap.sources.fixtures import load_raw_flights
+from aerolap.schema import RAW_COLUMNS
+from aerolap.sources.fixtures import KEY_COLUMNS, load_raw_flights
 from tests.conftest import SF_SMALL, make_raw
 
 # A real row shape: flagged because wheels 800 -> 846 is 46 minutes while the
@@ -35,10 +35,10 @@ def test_validation_facts_sf0001(spark):
 def test_real_row_shape(spark):
     raw = make_raw(spark, [BAD_ROW])
     t = TC.with_time_checks(raw).first()
-    assert t.air_time_calc == 46.0 and t.err_air_time              # 800 -> 846 vs 45
-    assert t.actual_elapsed_calc == 119.0 and t.err_actual_elapsed_time  # 657 -> 856 vs 118
-    assert t.taxi_out_calc == 63.0 and not t.err_taxi_out          # 657 -> 800
-    assert t.taxi_in_calc == 10.0 and not t.err_taxi_in
+    assert t.expected_air_time == 46.0 and t.err_air_time              # 800 -> 846 vs 45
+    assert t.expected_actual_elapsed_time == 119.0 and t.err_actual_elapsed_time  # 657 -> 856 vs 118
+    assert t.expected_taxi_out == 63.0 and not t.err_taxi_out          # 657 -> 800
+    assert t.expected_taxi_in == 10.0 and not t.err_taxi_in
     assert not t.err_dep_delay and not t.err_arr_delay
     assert not t.err_components_sum  # 63 + 45 + 10 = 118
     assert t.any_error
@@ -62,7 +62,7 @@ def test_time_checks_null_fails_and_midnight(spark):
     out = TC.with_time_checks(make_raw(spark, rows)).collect()
     assert len(out) == 2
     a, b = out
-    assert (a.taxi_out_calc, a.air_time_calc, a.taxi_in_calc, a.actual_elapsed_calc) == \
+    assert (a.expected_taxi_out, a.expected_air_time, a.expected_taxi_in, a.expected_actual_elapsed_time) == \
         (20.0, 50.0, 10.0, 80.0)
     assert not a.any_error
     assert b.err_taxi_out and b.err_components_sum and not b.err_air_time
@@ -70,7 +70,8 @@ def test_time_checks_null_fails_and_midnight(spark):
 
 def test_error_examples_limit_and_order(spark):
     raw = load_raw_flights(spark, SF_SMALL)
-    ex = TC.error_examples(raw, n=3)
+    ex = TC.error_examples(raw, keys=KEY_COLUMNS, n=3)
+    assert TC.error_examples(raw, n=2000).count() > 40  # the flight's own keys, any n
     rows = ex.collect()
     by = {}
     for r in rows:
@@ -86,8 +87,19 @@ def test_error_examples_limit_and_order(spark):
                 assert r.diff is None
             else:
                 assert r.diff == r.expected - r.stored
-    # a group limit runs before the shuffle, so each task ships at most n per field
+    # a group limit runs before the shuffle, so each task ships at most n per bucket
     assert count_nodes(ex, "WindowGroupLimit") >= 1
+    for r in rows:
+        assert r.field_errors >= 3
+        if r.field == "air_time":
+            assert r.start_clock is not None and r.end_clock is not None
+
+
+def test_nan_is_missing_in_the_component_check(spark):
+    nan = float("nan")
+    rows = TC.with_time_checks(make_raw(spark, [
+        {**BAD_ROW, "taxi_out": nan, "actual_elapsed_time": nan}])).collect()
+    assert rows[0].err_components_sum
 
 
 def test_null_report(spark):

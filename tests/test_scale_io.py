@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from aerolap.operators.clean import clean
 from aerolap.plans.explain import count_nodes, read_schemas
 from aerolap.schema import RAW_SCHEMA
 from aerolap.session import scratch_path
-from aerolap.sources.fixtures import load_raw_flights
+from aerolap.sources.fixtures import KEY_COLUMNS, load_raw_flights
 from tests.conftest import SF_SMALL
 
 
@@ -44,7 +46,12 @@ def test_scale_dispatch_and_sample_size(spark):
         m = D.scale(f, frac).count()
         sd = math.sqrt(n * frac * (1 - frac))
         assert abs(m - n * frac) <= 5 * sd
-    assert D.scale(f, 2.5).count() == 2 * n  # int(size) copies
+    with pytest.raises(ValueError):
+        D.scale(f, 2.5)
+    keyed = D.keyed_sample(f, 0.25, KEY_COLUMNS)
+    assert 0 < keyed.count() < n / 2
+    again = D.keyed_sample(f.repartition(7), 0.25, KEY_COLUMNS)
+    assert keyed.exceptAll(again).count() == 0 and again.exceptAll(keyed).count() == 0
 
 
 def test_write_sizes_and_manifest(spark):
@@ -57,6 +64,31 @@ def test_write_sizes_and_manifest(spark):
     assert man[100] == 6000 and man[200] == 12000 and 0 < man[50] < 6000
 
 
+def test_write_sizes_leaves_other_sizes_alone(spark):
+    f = _flights(spark)
+    base = scratch_path(spark, "t_one_size")
+    whole = D.write_sizes(f.limit(7), base, sizes=[1])[1]
+    assert set(D.write_sizes(f, base, sizes=[0.5])) == {0.5}
+    assert spark.read.parquet(whole).count() == 7
+
+
+def test_csv_by_header_name_and_standard_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('DEST,origin,month,origin_city_name,extra\n'
+                                    'JFK,LAX,1.0,"a ""q"", b",x\nSFO,SEA,12d,,y\n')
+    (tmp_path / "b.csv").write_text('month,origin_city_name,origin,dest\n7,plain,ORD,BOS\n')
+    schema = T.StructType([RAW_SCHEMA[c] for c in ("origin", "dest", "month", "origin_city_name")])
+    got = S.read_raw_csv(spark, str(tmp_path), schema=schema)
+    assert sorted(map(tuple, got.collect())) == [
+        ("LAX", "JFK", 1, 'a "q", b'), ("ORD", "BOS", 7, "plain"), ("SEA", "SFO", None, None)]
+    back = S.read_raw_csv(spark, S.write_csv(got, scratch_path(spark, "t_quotes")), schema=schema)
+    assert back.exceptAll(got).count() == 0
+    files = list((tmp_path).glob("*.csv"))
+    assert files
+    (tmp_path / "c.csv").write_text("origin,dest\nA,B\n")
+    with pytest.raises(ValueError):
+        S.read_raw_csv(spark, str(tmp_path), schema=schema)
+
+
 def test_csv_round_trip_with_na_tokens(spark):
     path = scratch_path(spark, "t_csv")
     text = spark.createDataFrame(
