@@ -2,10 +2,13 @@
 
 Alternates the large-star and small-star steps (Kiveris et al., "Connected
 components in MapReduce and beyond", 2014) until the edges are stars around
-the smallest node. Each step finds every node's smallest neighbour with an
-aggregation (combined before the shuffle) and joins it back to the edges, so
-a hub's edges are not gathered in one task: a skewed join splits them. Each
-round is a written table; rounds grow with the logarithm of the longest chain.
+the smallest node. An edge points from its larger end ``u`` to its smaller end
+``v``. The large step moves an edge's lower end to that node's smallest
+neighbour; the small step links all lower neighbours of a node to the smallest
+of them. Neighbours are found by an aggregation (combined before the shuffle)
+and joined back from a written table, so a hub's edges are never gathered in
+one task: an adaptive join splits them. Rounds grow with the logarithm of the
+longest chain.
 """
 
 from __future__ import annotations
@@ -16,20 +19,10 @@ from pyspark.sql import functions as F
 from aerolap.llm.common import discard, written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"),
-                                                       F.col("m").alias("v"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    # edges point from the larger node u to the smaller v
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"),
-                                                          F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v")))
+def _least(edges: DataFrame) -> tuple[DataFrame, str]:
+    """Each node's smallest lower neighbour."""
+    return written(edges.groupBy("u").agg(F.min("v").alias("least"))
+                   .withColumnRenamed("u", "node"), "least")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,18 +33,26 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     a, b = edges.columns
-    e = (edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    e, path = written(e, "edges")
-    mark = None
+    e, path = written(
+        edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     while True:
-        new, new_path = written(_small_star(_large_star(e).distinct()).distinct(), "edges")
-        discard(spark, path)
-        e, path = new, new_path
-        was, mark = mark, e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-                                ).first()
-        if was == mark:
+        parents, parents_path = _least(e)
+        moved, moved_path = written(
+            e.join(parents, e["v"] == parents["node"], "left").select(
+                "u", F.coalesce("least", "v").alias("v"), F.col("least").isNotNull().alias("moved")),
+            "moved")
+        n, n_moved = moved.agg(F.count(F.lit(1)), F.count_if("moved")).first()
+        if not n_moved and parents.count() == n:  # every node has one edge, to a smallest node
+            discard(spark, parents_path, moved_path)
             break
+        lower, lower_path = _least(moved)
+        linked = moved.join(lower, moved["u"] == lower["node"]).where("v <> least").select(
+            F.col("v").alias("u"), F.col("least").alias("v"))
+        new, new_path = written(
+            linked.union(lower.select("node", "least")).distinct(), "edges")
+        discard(spark, path, parents_path, moved_path, lower_path)
+        e, path = new, new_path
     ends = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return ends.union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))
                       .distinct())
