@@ -220,12 +220,14 @@ def features(word: str) -> list[str]:
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
             fit_rows: int) -> DataFrame:
     """Text and label of at most ``fit_rows`` labelled documents with distinct texts."""
-    known = (labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
+    known = (labels.select("doc_id", label_col)
+             .where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(label_col).alias("_toxic"))
              .select(F.col("doc_id").alias("_id"), "_toxic"))
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
-    rows = docs.join(F.broadcast(picked), docs[id_col] == F.col("_id"))
-    return rows.select("_id", F.col(text_col).alias("_text"), "_toxic").groupBy(
+    texts = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    rows = texts.join(F.broadcast(picked), F.col("_key") == F.col("_id"))
+    return rows.select("_id", "_text", "_toxic").groupBy(
         F.sha2("_text", 256).alias("_same")).agg(
         F.min("_id").alias("_id"), F.first("_text").alias("_text"),
         F.max("_toxic").alias("_toxic")).drop("_same")
@@ -236,9 +238,20 @@ class Scorer:
 
     def __init__(self, evidence: dict[str, float], weights: np.ndarray, model: np.ndarray):
         self.evidence, self.weights, self.reader = evidence, weights, Reader(model)
+        self._best: dict[str, float] = {}
 
     def strongest(self, words: set[str]) -> list[float]:
-        return strongest(words, self.evidence)
+        """:func:`strongest`, remembering what each recent word gave."""
+        known, found = self._best, []
+        if len(known) > 300_000:
+            known.clear()
+        for w in words:
+            best = known.get(w)
+            if best is None:
+                best = known[w] = max([self.evidence.get(f, 0.0) for f in features(w)])
+            if best > 0:
+                found.append(best)
+        return (sorted(found, reverse=True) + [0.0] * TOP)[:TOP]
 
     def score(self, text: str | None) -> float:
         x = np.array([1.0, *self.strongest(self.reader.words(text))])
