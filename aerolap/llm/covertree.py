@@ -24,8 +24,8 @@ edges.
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, or have a null label or id, link with nothing
 (``n_links`` 0, their own component); vectors of different lengths never
-link; rows that share an id are one node; an empty table gives an empty
-result. Extra columns are not read.
+link; rows that share an id are judged each by its own vector; an empty
+table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations

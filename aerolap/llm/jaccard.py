@@ -32,9 +32,9 @@ a count per class leave a task. Copies are never expanded.
 Defined results: a text with 1 to k-1 words has one shingle, the sequence of
 its words; a null text or one without words has an empty set, links with
 nothing and is its own component; rows with a null id get a count of
-shingles but no component and link with nothing; rows that share an id are
-one node of the graph; an empty table gives an empty result. Extra columns
-are not read. Very long texts are read whole.
+shingles but no component and link with nothing; rows that share an id and a
+text are copies of each other, rows that share an id only are judged each by
+its own text; an empty table gives an empty result. Extra columns are not read. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -409,12 +409,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     Rows without words or without an id stay. Rows that repeat a kept id are
     one document, of which one row stays.
     """
-    joined, _ = written(
+    kept, _ = written(
         join(docs, id_col, text_col, k, percent, **options).where("component_id = doc_id")
-        .select(F.col("doc_id").alias("_kept")), "jaccard_kept")
-    n, ids = joined.agg(F.count(F.lit(1)), F.count_distinct("_kept")).first()
-    stay = docs.join(joined.distinct() if n > ids else joined,
-                     docs[id_col].cast("long") == F.col("_kept"), "left_semi")
+        .select(F.col("doc_id").alias("__kept_id")), "jaccard_kept")
+    n, ids = kept.agg(F.count(F.lit(1)), F.count_distinct("__kept_id")).first()
+    stay = docs.join(kept.distinct() if n > ids else kept,
+                     docs[id_col].cast("long") == F.col("__kept_id"), "left_semi")
     if n > ids:
         stay = stay.dropDuplicates([id_col])
     return stay.unionByName(docs.where(docs[id_col].isNull()))

@@ -87,14 +87,14 @@ def _count_by_language(batches):
 def fit_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages (at most ``MAX_LANGUAGES``, the most frequent) and log P(feature | language)."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
-                       & F.col(text_col).isNotNull())
-    names = [r[0] for r in known.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), lang_col).limit(MAX_LANGUAGES).collect()]
-    picked = known.select(F.col(id_col).alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(
+    known = docs.select(F.col(id_col).alias("_key"), F.col(lang_col).alias("_lang"),
+                        F.col(text_col).alias("_text")).dropna()
+    names = [r[0] for r in known.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES).collect()]
+    picked = known.select(F.col("_key").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(
         fit_rows).distinct()
-    sums = (known.join(F.broadcast(picked), F.col(id_col) == F.col("_id"))
-            .where(F.col(lang_col).isin(names)).select(lang_col, text_col)
+    sums = (known.join(F.broadcast(picked), F.col("_key") == F.col("_id"))
+            .where(F.col("_lang").isin(names)).select("_lang", "_text")
             .mapInArrow(_count_by_language, "lang string, feature int, n long")
             .groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect())
     names = sorted({r["lang"] for r in sums})

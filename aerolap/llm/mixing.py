@@ -120,12 +120,13 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that share an id and a source are taken alike; nulls match nulls.
     """
     mixed = (plan(docs, id_col, text_col, source_col, **options)
-             .groupBy("doc_id", "source").agg(F.max("copies").alias("_copies"))
-             .where("_copies > 0")
-             .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_copies"))
-    return (docs.join(mixed, docs[id_col].eqNullSafe(F.col("_id"))
-                      & docs[source_col].eqNullSafe(F.col("_source")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+             .groupBy("doc_id", "source").agg(F.max("copies").alias("__mix_copies"))
+             .where(F.col("__mix_copies") > 0)
+             .select(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"),
+                     "__mix_copies"))
+    return (docs.join(mixed, docs[id_col].eqNullSafe(F.col("__mix_id"))
+                      & docs[source_col].eqNullSafe(F.col("__mix_source")))
+            .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -133,7 +133,7 @@ def clean(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_ch
 
     ``chars_col`` (if the table has it) is set to the new length.
     """
-    tmp = "_quality_of_text"
+    tmp = "__quality_of_text"
     rows = docs.withColumn(tmp, assess(F.col(text_col))).where(F.col(f"{tmp}.kept"))
     out = {text_col: F.col(f"{tmp}.cleaned")}
     if chars_col and chars_col in docs.columns:
