@@ -99,10 +99,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     chosen = [(name, bigrams(t)) for name, t in (TEMPLATES if templates is None else templates)]
     chosen = [(name, b) for name, b in chosen if b]
-    if len(chosen) > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
+    if not 1 <= len(chosen) <= MAX_TEMPLATES:
+        raise ValueError(f"1 to {MAX_TEMPLATES} templates of two or more words are needed")
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    sizes = [len(b) for _, b in chosen] or [0]
+    sizes = [len(b) for _, b in chosen]
     literal = F.array(*[F.struct(F.lit(-i).alias("t"), F.lit(len(b)).alias("n"),
                                  F.array(*[F.lit(x) for x in b]).alias("b"))
                         for i, (_, b) in enumerate(chosen)])

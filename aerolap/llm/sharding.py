@@ -3,11 +3,12 @@
 Documents with equal texts are linked. Every linked document starts in a
 random shard; then, round by round, each one looks where its neighbours are
 and asks to move to the shard that holds most of its group. A shard accepts
-movers, in the order of a hash, as long as its capacity lasts, so sizes stay
-even while fewer links are cut. A group larger than a shard asks for as many
-shards as it needs. Documents without links, and those that found no room,
-then fill the shards up to one level: from the largest size class to the
-smallest, so the last differences are those of small documents.
+movers, in the order of their groups' hashes, as long as its capacity lasts, so
+sizes stay even while fewer links are cut. A group larger than a shard asks for
+as many shards as it needs. Documents without links, and those beyond a shard's
+capacity (neighbours next to each other), then fill the shards up to one level:
+from the largest size class to the smallest, so the last differences are those
+of small documents.
 
 Only DataFrame operations are used. A group's members meet as one row per
 group and shard (aggregated before the shuffle), never as pairs; running sums
@@ -77,11 +78,11 @@ def _propagate(linked: DataFrame, groups: DataFrame, n: int, capacity: int, bloc
             F.element_at("wanted", (F.pmod(F.xxhash64("doc_id", F.lit("ask")), F.size("wanted"))
                                     + 1).cast("int")))).drop("wanted")
         asked, asked_path = written(asked, "shard_asked")
-        left = [max(0, capacity - b) for b in _loads(labels, n)]
+        # what does not ask to leave takes up capacity
+        left = [max(0, capacity - b) for b in _loads(asked.where("asks = shard"), n)]
         movers = running_sums(
-            asked.where("asks <> shard").withColumn("_at", _spot("grp", "part"))
-            .withColumn("_block", _block(F.col("_at"), blocks)),
-            ["asks"], "_block", ["_at", "doc_id"], "size", "_before")
+            asked.where("asks <> shard").withColumn("_block", _block(F.col("at"), blocks)),
+            ["asks"], "_block", ["at", "doc_id"], "size", "_before")
         accepted = F.col("_before") + F.col("size") <= _at(left, F.col("asks"))
         cols = [c for c in labels.columns if c != "shard"]
         moved = movers.select(*cols, F.when(accepted, F.col("asks")).otherwise(
@@ -116,10 +117,8 @@ def _fill(free: DataFrame, loads: list[int], n: int, blocks: int) -> DataFrame:
     tier = F.least(F.floor(F.log(F.lit(largest) / F.col("size")) / math.log(4)),
                    F.lit(SIZE_CLASSES - 1)).cast("int")
     placed, _ = written(running_sums(
-        free.withColumn("_tier", tier)
-        .withColumn("_at", _spot("doc_id", "size", "text_crc32"))
-        .withColumn("_block", _block(F.col("_at"), blocks)),
-        ["_tier"], "_block", ["_at", "doc_id"], "size", "_before"), "shard_free")
+        free.withColumn("_tier", tier).withColumn("_block", _block(F.col("at"), blocks)),
+        ["_tier"], "_block", ["at", "doc_id"], "size", "_before"), "shard_free")
     amounts = {r["_tier"]: r["bytes"] for r in
                placed.groupBy("_tier").agg(F.sum("size").alias("bytes")).collect()}
     middle = F.col("_before") + F.col("size") / 2
@@ -159,23 +158,24 @@ def shard(docs: DataFrame, n: int = 24, id_col: str = "doc_id", text_col: str =
             "grp", F.ceil(F.sqrt("_n")).cast("int").alias("parts"),
             F.least(F.lit(n), F.ceil(F.col("_bytes") / max(1, capacity))).cast("int")
             .alias("shards")), "shard_groups")
-    known = items.join(groups.select("grp", "parts"), "grp", "left").select(
-        "doc_id", "size", "text_crc32", "grp",
-        # a large group is handled in parts, each of them a small stretch of the order
-        F.pmod(F.xxhash64("doc_id", F.lit("part")), F.col("parts")).alias("part"))
-    known, known_path = written(known, "shard_known")
+    # a large group is handled in parts, each of them a small stretch of the order
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.col("parts"))
+    known, known_path = written(
+        items.join(groups.select("grp", "parts"), "grp", "left").select(
+            "doc_id", "size", "text_crc32", "grp", part.alias("part")).withColumn(
+            "at", F.when(F.col("part").isNull(), _spot("doc_id", "size", "text_crc32"))
+            .otherwise(_spot("grp", "part"))), "shard_known")
     labels, labels_path = _propagate(known.where("part IS NOT NULL"), groups.select("grp", "shards"),
                                      n, capacity, blocks, rounds)
     columns = ["doc_id", "size", "text_crc32"]
     loads = _loads(labels, n)
-    lone = known.where("part IS NULL").select(*columns)
-    if max(loads) > capacity:  # the random start can overfill a shard: the excess is placed anew
+    lone = known.where("part IS NULL").select(*columns, "at")
+    if max(loads) > capacity:  # what found no room is placed anew, in the order of its groups
         ranked, ranked_path = written(running_sums(
-            labels.withColumn("_at", _spot("grp", "part"))
-            .withColumn("_block", _block(F.col("_at"), blocks)),
-            ["shard"], "_block", ["_at", "doc_id"], "size", "_before"), "shard_ranked")
+            labels.withColumn("_block", _block(F.col("at"), blocks)),
+            ["shard"], "_block", ["at", "doc_id"], "size", "_before"), "shard_ranked")
         fits = F.col("_before") + F.col("size") <= capacity
-        lone = lone.union(ranked.where(~fits).select(*columns))
+        lone = lone.union(ranked.where(~fits).select(*columns, "at"))
         labels = ranked.where(fits)
         loads = _loads(labels, n)
     placed = labels.select(*columns, "shard").union(
