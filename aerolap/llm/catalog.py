@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from aerolap.llm import bpe, covertree, jaccard, langid, licenses, mixing, packing, quality, sharding, toxicity
+from aerolap.llm import (
+    bpe,
+    covertree,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    oracle,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+)
 from aerolap.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -69,4 +81,12 @@ QUERIES = {f.__name__: f for f in (op1_packed_rows, op2_license_scan, op3_balanc
                                    op8_quality_rules, op9_ngram_jaccard,
                                    op10_embedding_copies)}
 
-ORACLE_SQL = {"op4_source_mix": mixing.ORACLE_SQL}
+#: Learning (5, 6), ids and packing (1, 7) and propagation (3) are not SQL; they are
+#: tested against brute force, round trips and held-out rows.
+ORACLE_SQL = {
+    "op2_license_scan": oracle.OP2_LICENSE_SCAN,
+    "op4_source_mix": mixing.ORACLE_SQL,
+    "op8_quality_rules": oracle.OP8_QUALITY_RULES,
+    "op9_ngram_jaccard": oracle.OP9_NGRAM_JACCARD,
+    "op10_embedding_copies": oracle.OP10_EMBEDDING_COPIES,
+}
