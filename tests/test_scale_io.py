@@ -14,7 +14,7 @@ from aerolap.operators import scale as D
 from aerolap.operators.clean import clean
 from aerolap.plans.explain import count_nodes, read_schemas
 from aerolap.schema import RAW_SCHEMA
-from aerolap.session import scratch_path
+from aerolap.session import drop_scratch, scratch_path
 from aerolap.sources.fixtures import KEY_COLUMNS, load_raw_flights
 from tests.conftest import SF_SMALL
 
@@ -162,3 +162,38 @@ def test_bad_rows_keep_their_source(spark):
         (F.col("source_file") == r.source_file) & (F.col("source_row") == r.source_row)
     ).collect()
     assert len(again) == 1 and again[0].l_orderkey == r.l_orderkey
+
+
+def test_scratch_belongs_to_the_application(spark):
+    import os
+
+    path = scratch_path(spark, "t_owned")
+    assert spark.sparkContext.applicationId in path
+    S.write_parquet(spark.range(3), path)
+    local = path.removeprefix("file:")
+    assert os.path.exists(local)
+    drop_scratch(spark, path)
+    assert not os.path.exists(local)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/tmp/elsewhere")
+
+
+def test_fixture_follows_changed_input(spark, tmp_path):
+    for t in ("lineitem", "orders"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    before = load_raw_flights(spark, str(tmp_path)).count()
+    few = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(100)
+    few.write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    assert before == 6000 and load_raw_flights(spark, str(tmp_path)).count() == 100
+
+
+def test_join_forms_scan_the_flights_once(spark):
+    from aerolap.operators import bands as B
+    from aerolap.operators import ranking as R
+
+    f = _flights(spark)
+    for df in (B.cause_counts(f), B.top_causes(f), B.union_causes(f)):
+        assert count_nodes(df, "FileScan") <= 1 and count_nodes(df, "Scan parquet") <= 1
+    for joined in (B.band_report_joined(f), R.carrier_ranking_joined(f)):
+        # both sides read the written aggregate, not the flights
+        assert all("dep_delay" not in s or "cancelled" not in s for s in read_schemas(joined))

@@ -38,26 +38,24 @@ NOTES = {
     "band_report": "One scan of 11 columns with the band filter pushed into Parquet; one "
                    "partial/final aggregation carries the counts, both means and nine cause "
                    "counters; the top-3 list is a projection over the aggregated rows.",
-    "band_report_joined": "The multi-step form for comparison: the table is scanned once per "
-                          "branch (statistics, cancellations, exploded causes) and joined.",
+    "band_report_joined": "The join form: the groups' statistics joined to their causes, both "
+                          "read from the one written aggregate of the flights.",
     "carrier_ranking": "One scan of 5 columns with IsNotNull(origin) pushed; partial/final "
                        "aggregation by (airport, carrier); one exchange by airport of the "
                        "aggregated rows; the airport mean and the rank share one Window.",
-    "carrier_ranking_joined": "The join form: two aggregations of the table, joined by "
-                              "airport (AQE may turn it into a broadcast from runtime size).",
+    "carrier_ranking_joined": "The join form: the written sums per (airport, carrier), joined "
+                              "to their own totals per airport.",
     "validation_report": "One scan of the 14 columns the checks read; flags are computed in "
                          "a projection and counted by one global aggregation.",
     "bad_rows": "The any-error flag is computed once in a projection and read through a "
                 "one-row generator, so the filter does not re-inline the seven checks.",
-    "error_examples": "Errors stacked to long form by a generator; row_number() <= 10 per "
-                      "field becomes a WindowGroupLimit before the exchange (at most 10 rows "
-                      "per field leave each task).",
+    "error_examples": "Errors stacked to long form by a generator; ranked within hash buckets "
+                      "of a field first (a group limit before the exchange), then within the "
+                      "field; joined to the errors per field.",
     "null_report": "One aggregation with one counter per column, then an inline to rows.",
     "replicate_4": "One scan and a Generate; no union, no join.",
-    "top_routes": "The first three carriers are a bounded top-N (TakeOrderedAndProject) "
-                  "broadcast into a semi join; Catalyst answers the distinct carriers of the "
-                  "result from a one-column scan of the table. The per-carrier limit is a "
-                  "window over the aggregated rows.",
+    "top_routes": "The first three carriers are a bounded top-N (TakeOrderedAndProject), joined "
+                  "back null-safe; the per-carrier limit is a window.",
 }
 
 
