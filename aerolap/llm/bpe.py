@@ -16,7 +16,8 @@ window and the right list this holds by construction; the two pairs at the
 window's ends are what :meth:`Bpe.join` tests.
 
 Texts are first cut by the tokenizer's pattern; a match that is itself in the
-vocabulary is one token, as in the public library. Decoding concatenates the
+vocabulary is one token, as in the public library. The short leaves of a batch
+are merged together, as rows of one matrix. Decoding concatenates the
 tokens' bytes up the tree.
 
 Defined results: null is encoded as the empty text (no tokens, empty bytes);
@@ -30,10 +31,10 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +42,8 @@ from pyspark.sql import types as T
 
 #: Vocabularies are fixed files of about 1 MB; a larger one is refused as broadcast.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
-LEAF = 48
-CACHED_PIECES = 100_000
-CACHED_WORDS = 300_000
+LEAF = 32
+REMEMBERED_PAIRS = 200_000
 
 
 def unicode_space(pattern: str) -> str:
@@ -51,32 +51,34 @@ def unicode_space(pattern: str) -> str:
     return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
 
-_MARKS = frozenset(".,;:!?")
-_blank_after_space = re.compile(r"\s ").search
+_NONE = np.int32((1 << 31) - 1)
+_EMPTY = pa.scalar("", pa.large_string())
+_MARKS = ".,;:!?"
+#: A blank or line end at an end of the text or beside white space (RE2).
+_SPACE = "[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x{85}]"
+_CANNOT_CUT = f"^[ \\n]|[ \\n]$|{_SPACE}[ \\n]|\\n{_SPACE}"
+#: A word of letters, perhaps with one mark, as the pattern cuts it: each group is one match.
+_SIMPLE = "^(?P<nl>\\n?)(?P<main> ?\\p{L}+)(?P<mark>[.,;:!?]?)$"
+_BATCH = 8 << 20  # bytes of text handled together
 
 
-class _Recent(dict):
-    """A bounded memory: entries not asked for during a whole filling are dropped.
+def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Values and bounds of an Arrow list array."""
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    return lists.values.slice(bounds[0], bounds[-1] - bounds[0]), bounds - bounds[0]
 
-    Plain lookups see the newer half; :meth:`older` also finds (and renews)
-    what is about to be dropped.
-    """
 
-    def __init__(self, size: int = CACHED_PIECES):
-        super().__init__()
-        self._size, self._old = size, {}
+def _binary(bounds: np.ndarray, data) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(bounds) - 1,
+        [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(data)])
 
-    def older(self, key):
-        found = self._old.get(key)
-        if found is not None:
-            self.put(key, found)
-        return found
 
-    def put(self, key, value) -> None:
-        if len(self) >= self._size:
-            self._old = dict(self)
-            self.clear()
-        self[key] = value
+def _joined(parts: pa.Array, place: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Concatenations of ``parts[place[a:b]]`` for neighbouring bounds a, b."""
+    taken = parts.take(pa.array(place))
+    at = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1]
+    return _binary(at[bounds], taken.buffers()[2] if taken.buffers()[2] is not None else b"")
 
 
 class Bpe:
@@ -86,12 +88,21 @@ class Bpe:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self._packed_id = {i: i.to_bytes(4, "little") for i in ranks.values()}
-        self._byte = [ranks[bytes((x,))] for x in range(256)]
+        self._byte_ids = np.array([ranks[bytes((x,))] for x in range(256)], np.int32)
         # (left id, right id) -> id of their concatenation, for every split of every token
-        self._merges = {ranks[t[:k]] << 32 | ranks[t[k:]]: i for t, i in ranks.items()
-                        for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        merges = sorted((ranks[t[:k]] << 32 | ranks[t[k:]], i) for t, i in ranks.items()
+                        for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks)
+        self._merges = dict(merges)
+        self._keys = np.array([k for k, _ in merges], np.int64)
+        self._merged = np.array([i for _, i in merges], np.int32)
+        self._byte_pairs = self._rank_of(
+            np.repeat(self._byte_ids, 256), np.tile(self._byte_ids, 256)).reshape(256, 256)
         self._find = regex.compile(unicode_space(pattern)).findall
-        self._pieces, self._chunks = _Recent(), _Recent(CACHED_WORDS)
+        self._whole_only = None
+        tokens = pa.array([t for t in ranks if len(t) <= LEAF], pa.large_binary())
+        made = pc.binary_length(self.merge_many(tokens)).to_numpy() != 4
+        if made.any():
+            self._whole_only = tokens.filter(pa.array(made))
         self._stable: dict[tuple[int, int], bool] = {}
 
     # --- the monoid -------------------------------------------------------
@@ -101,7 +112,7 @@ class Bpe:
         if len(b) > 2 * LEAF:
             return self._merge_long(b)
         get, none = self._merges.get, 1 << 62
-        ids = [self._byte[x] for x in b]
+        ids = [int(self._byte_ids[x]) for x in b]
         pairs = [get(x << 32 | y, none) for x, y in zip(ids, ids[1:])]
         while pairs and (best := min(pairs)) != none:
             i = pairs.index(best)  # a merged token's rank is its id
@@ -145,7 +156,7 @@ class Bpe:
     def _pair_is_stable(self, a: int, b: int) -> bool:
         known = self._stable.get((a, b))
         if known is None:
-            if len(self._stable) > CACHED_PIECES:
+            if len(self._stable) > REMEMBERED_PAIRS:
                 self._stable.clear()
             known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
             self._stable[a, b] = known
@@ -181,45 +192,147 @@ class Bpe:
         return [whole] if whole is not None else self.reduce(b)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return b"".join(map(self._packed_id.__getitem__, ids))
-
-    def _packed(self, piece: str) -> bytes:
-        ids = self._pieces.get(piece) or self._pieces.older(piece)
-        if ids is None:
-            ids = self._pack(self.piece(piece.encode("utf-8", "surrogatepass")))
-            if len(piece) <= 64:  # only short pieces recur
-                self._pieces.put(piece, ids)
-        return ids
-
-    def _chunk(self, word: str) -> bytes:
-        ids = self._chunks.older(word)
-        if ids is None:
-            head, last = word[:-1], word[-1:]
-            if word.isalpha():  # one match
-                ids = self._pack(self.piece(b" " + word.encode()))
-            elif last in _MARKS and head.isalpha():  # two matches
-                ids = (self._chunks.get(head) or self._chunk(head)) + self._packed(last)
-            else:
-                ids = b"".join(map(self._packed, self._find(" " + word)))
-            if len(word) <= 64:
-                self._chunks.put(word, ids)
-        return ids
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        """Packed ids of a text.
-
-        No match of the pattern goes on from a visible character to a blank, so
-        a text may be cut before each blank that follows one, and what each
-        cut-off word gave is remembered.
+        """Packed ids of one text."""
+        return b"".join(self._pack(self.piece(p.encode("utf-8", "surrogatepass")))
+                        for p in self._find(text or ""))
+
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of many texts.
+
+        A match of the pattern never goes on from a visible character to a
+        blank or a line end, so a text may be cut before each of those that
+        stands between visible characters. Arrow cuts the texts and finds the
+        distinct words; each is encoded once, and the texts are put together
+        from them. Texts with other white space go whole.
         """
-        if not text:
-            return b""
-        if text[0] == " " or text[-1] == " " or _blank_after_space(text):
-            return b"".join(map(self._packed, self._find(text)))
-        first, *words = text.split(" ")
-        known = self._chunks.get
-        out = [known(w) or self._chunk(w) for w in words]
-        return b"".join([*map(self._packed, self._find(first)), *out])
+        texts = texts.cast(pa.large_string()).fill_null(_EMPTY)
+        sizes = pc.binary_length(texts).to_numpy()
+        ends = np.searchsorted(np.cumsum(sizes), np.arange(1, 1 + sizes.sum() // _BATCH) * _BATCH)
+        cuts = sorted({0, len(texts), *(ends + 1).clip(max=len(texts)).tolist()})
+        parts = [self._encode_part(texts.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
+        return pa.chunked_array(parts, pa.binary()).combine_chunks()
+
+    def _encode_part(self, texts: pa.Array) -> pa.Array:
+        whole = pc.match_substring_regex(texts, _CANNOT_CUT)
+        lines, line_ends = _flat(pc.split_pattern(pc.if_else(whole, _EMPTY, texts), "\n"))
+        words, word_ends = _flat(pc.split_pattern(lines, " "))
+        # what a word follows: nothing, a line end, or a blank
+        lead = np.full(len(words), 2, np.int8)
+        lead[word_ends[:-1]] = 1
+        lead[word_ends[line_ends[:-1]]] = 0
+        leads = pa.array(["", "\n", " "], pa.large_string()).take(pa.array(lead))
+        keys = pc.binary_join_element_wise(leads, words, _EMPTY).dictionary_encode()
+        place = keys.indices.to_numpy().astype(np.int64)
+        ends = word_ends[line_ends]
+        distinct = self._keys_packed(keys.dictionary)
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if len(odd):  # such a text was cut to one empty word
+            place[ends[odd]] = len(distinct) + np.arange(len(odd))
+            distinct = pa.concat_arrays([distinct, self._found_packed(
+                texts.take(pa.array(odd)).to_pylist())])
+        return _joined(distinct, place, ends).cast(pa.binary())
+
+    def _keys_packed(self, keys: pa.Array) -> pa.Array:
+        """Packed ids of distinct words with their leads."""
+        parts = pc.extract_regex(keys, _SIMPLE)
+        simple = parts.is_valid().to_numpy(zero_copy_only=False)
+        nl, main, mark = (pc.struct_field(parts, i).fill_null(_EMPTY) for i in range(3))
+        mains = main.dictionary_encode()
+        rest = np.flatnonzero(~simple)
+        pieces = pa.concat_arrays([
+            self._strings_packed(mains.dictionary),
+            self._strings_packed(pa.array(["", "\n", *_MARKS], pa.large_string())),
+            self._found_packed(keys.take(pa.array(rest)).to_pylist())])
+        fixed = len(mains.dictionary)
+        place = np.full((len(keys), 3), fixed, np.int64)  # of "", which is no token
+        place[:, 0] += pc.equal(nl, pa.scalar("\n", pa.large_string())).to_numpy(zero_copy_only=False)
+        place[:, 1] = mains.indices.to_numpy()
+        place[:, 2] = fixed + 2 + pc.fill_null(
+            pc.index_in(mark, pa.array(list(_MARKS), pa.large_string())), -2).to_numpy()
+        place[rest] = fixed
+        place[rest, 1] = fixed + 2 + len(_MARKS) + np.arange(len(rest))
+        return _joined(pieces, place.ravel(), np.arange(len(keys) + 1) * 3)
+
+    def _found_packed(self, texts: list[str]) -> pa.Array:
+        """Packed ids of texts that the pattern itself has to cut."""
+        found = [self._find(t) for t in texts]
+        ends = np.cumsum([0, *map(len, found)])
+        pieces = pa.array([p for ps in found for p in ps], pa.large_string()).dictionary_encode()
+        return _joined(self._strings_packed(pieces.dictionary),
+                       pieces.indices.to_numpy().astype(np.int64), ends)
+
+    def _strings_packed(self, strings: pa.Array) -> pa.Array:
+        """Packed ids of distinct matches: short ones are merged together, long ones by the tree."""
+        size = pc.binary_length(strings).to_numpy()
+        short = np.argsort(size, kind="stable")[:int((size <= LEAF).sum())]  # alike in width
+        out, order = [], [short]
+        for at in range(0, len(short), 1 << 15):
+            out.append(self.merge_many(strings.take(pa.array(short[at:at + (1 << 15)]))))
+        # long matches, and tokens that merging does not make
+        other = {i: self._pack(self.piece(strings[i].as_py().encode("utf-8", "surrogatepass")))
+                 for i in np.flatnonzero(size > LEAF).tolist()}
+        if self._whole_only is not None:
+            hit = pc.is_in(strings.cast(pa.large_binary()), self._whole_only)
+            other |= {i: self._packed_id[self.ranks[strings[i].as_py().encode()]]
+                      for i in np.flatnonzero(hit.to_numpy(zero_copy_only=False)).tolist()}
+        order.append(np.array(list(other), np.int64))
+        out.append(pa.array(other.values(), pa.large_binary()))
+        where = np.empty(len(strings), np.int64)
+        order = np.concatenate(order)
+        where[order] = np.arange(len(order))
+        return pa.concat_arrays(out).take(pa.array(where))
+
+    def _rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair's concatenation, ``_NONE`` if that is no token."""
+        key = a.astype(np.int64) << 32 | b
+        i = np.searchsorted(self._keys, key)
+        i[i == len(self._keys)] = 0
+        return np.where(self._keys[i] == key, self._merged[i], _NONE)
+
+    def merge_many(self, strings: pa.Array) -> pa.Array:
+        """:meth:`merge` of many short strings at once, packed: a matrix of tokens,
+        of which every row takes its next merge in each step."""
+        n = pc.binary_length(strings).to_numpy().astype(np.int64)
+        width = int(n.max(initial=0)) + 1
+        cols = np.arange(width)
+        raw = np.zeros((len(n), width), np.uint8)
+        data = strings.cast(pa.large_binary())
+        first, last = (np.frombuffer(data.buffers()[1], np.int64)[data.offset + i]
+                       for i in (0, len(data))) if len(data) else (0, 0)
+        if last > first:
+            raw[cols < n[:, None]] = np.frombuffer(data.buffers()[2], np.uint8)[first:last]
+        tokens = self._byte_ids[raw]
+        ranks = np.where(cols[1:] < n[:, None], self._byte_pairs[raw[:, :-1], raw[:, 1:]], _NONE)
+        done, length = tokens.copy(), n.copy()
+        rows = np.flatnonzero(n > 1)
+        tokens, ranks, n = tokens[rows], ranks[rows], n[rows]
+        while len(rows):
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(rows)), at]
+            go = best != _NONE
+            if not go.all():
+                done[rows[~go]], length[rows[~go]] = tokens[~go], n[~go]
+                rows, tokens, ranks, n = rows[go], tokens[go], ranks[go], n[go]
+                at, best = at[go], best[go]
+                if not len(rows):
+                    break
+            i = np.arange(len(rows))
+            after = cols >= at[:, None]
+            tokens[:, :-1] = np.where(after[:, :-1], tokens[:, 1:], tokens[:, :-1])
+            tokens[i, at] = best
+            ranks[:, :-1] = np.where(after[:, :-2], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = _NONE
+            n = n - 1
+            left = at > 0
+            ranks[i[left], at[left] - 1] = self._rank_of(tokens[i[left], at[left] - 1], best[left])
+            right = at + 1 < n
+            ranks[i[right], at[right]] = self._rank_of(best[right], tokens[i[right], at[right] + 1])
+            ranks[i[~right], at[~right]] = _NONE
+        ids = done[cols < length[:, None]].astype("<u4")
+        return _binary(4 * np.cumsum([0, *length]), ids.tobytes())
 
     def decode(self, packed: bytes | None) -> bytes:
         """Bytes of packed ids: concatenation up a tree of halves."""
@@ -274,10 +387,9 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "t
     others = [c for c in docs.columns if c not in (text_col, out)]
 
     def run(batches):
-        one = vocabulary.bpe().encode
+        many = vocabulary.bpe().encode_batch
         for batch in batches:
-            ids = pa.array((one(t.as_py()) for t in batch.column(batch.num_columns - 1)),
-                           pa.binary())
+            ids = many(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*others, out])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`"))

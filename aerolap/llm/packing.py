@@ -123,8 +123,8 @@ def _packer(vocabulary: Vocabulary, length: int, pad: int, buffer_tokens: int):
         next_id = TaskContext.get().partitionId() << 32
         held, size = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                ids = bpe.encode(text.as_py())
+            for doc, ids in zip(batch.column(0), bpe.encode_batch(batch.column(1))):
+                ids = ids.as_py()
                 if ids:
                     held.append((doc.as_py(), ids))
                     size += len(ids) // 4

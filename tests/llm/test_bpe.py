@@ -8,6 +8,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -70,13 +71,32 @@ def test_long_merge_equals_short_merge(own):
         assert own._merge_long(b) == own.merge(b)
 
 
-def test_remembered_words_are_bounded(ranks):
-    b = bpe.Bpe(ranks, public_tokenizers.PATTERN)
-    b._chunks._size = b._pieces._size = 20
-    words = [f"w{i}x" for i in range(200)]
-    text = "a " + " ".join(words * 2)
-    fresh = bpe.Bpe(ranks, public_tokenizers.PATTERN).encode(text)
-    assert b.encode(text) == fresh == b.encode(text) and len(b._chunks) <= 20
+def test_batches_equal_single_texts(own, library):
+    texts = [*_texts(), None, "one  two", "a\nb c.\nd", "\n\n", "x.\n\ny", "tab\tx y", "q\u00a0 z"]
+    rng = random.Random(9)
+    texts += [" ".join("".join(rng.choice("abcdeéinstß.,!") for _ in range(rng.randint(1, 40)))
+                       for _ in range(50)) for _ in range(60)]
+    for size in (1, 7, len(texts)):
+        got = [x.as_py() for i in range(0, len(texts), size)
+               for x in own.encode_batch(pa.array(texts[i:i + size], pa.string()))]
+        assert [bpe.token_ids(x) for x in got] == [library.encode_ordinary(t or "") for t in texts]
+    assert own.encode_batch(pa.array([], pa.string())).to_pylist() == []
+    sliced = pa.array(texts, pa.string()).slice(5, 20)
+    assert own.encode_batch(sliced).to_pylist() == [own.encode(t) for t in texts[5:25]]
+
+
+def test_batches_are_cut_by_size(own, monkeypatch):
+    texts = [f"word{i} and more of them" for i in range(40)] + ["", "z " * 500]
+    monkeypatch.setattr(bpe, "_BATCH", 100)
+    assert own.encode_batch(pa.array(texts)).to_pylist() == [own.encode(t) for t in texts]
+
+
+def test_many_merges_equal_single_merges(own):
+    rng = random.Random(11)
+    strings = [bytes(rng.choice(b"aabcdeinst \xc3\xa9") for _ in range(rng.randint(0, 30)))
+               for _ in range(800)]
+    got = own.merge_many(pa.array(strings, pa.large_binary())).to_pylist()
+    assert [bpe.token_ids(x) for x in got] == [own.merge(b) for b in strings]
 
 
 def test_query_against_the_library(spark, library):
