@@ -65,22 +65,27 @@ class Node:
         self.centre, self.radius, self.points, self.children = centre, radius, points, children
 
 
-def tree(x: np.ndarray, points: np.ndarray, centre: np.ndarray, scale: float) -> Node:
-    """Cover tree of some unit vectors: children cover their points within ``scale / 2``."""
-    far = np.sqrt(np.maximum(((x[points] - centre) ** 2).sum(1), 0))
-    node = Node(centre, float(far.max(initial=0.0)), points, [])
+def tree(x: np.ndarray, points: np.ndarray, centre: int, scale: float) -> Node:
+    """Cover tree of some unit vectors around one of them.
+
+    The levels are nested: a node's centre is the centre of its first child, and
+    children cover their points within ``scale / 2``.
+    """
+    far = np.sqrt(np.maximum(((x[points] - x[centre]) ** 2).sum(1), 0))
+    node = Node(x[centre], float(far.max(initial=0.0)), points, [])
     if len(points) <= LEAF or node.radius <= _SLACK:
         return node
     scale = min(scale, node.radius)
-    left, parts = points, []
+    near = far <= scale / 2
+    parts, left = [(centre, points[near])], points[~near]
     while len(left) and len(parts) <= len(points) // 8:
-        d = np.sqrt(np.maximum(((x[left] - x[left[0]]) ** 2).sum(1), 0))
-        near = d <= scale / 2
-        parts.append((left[0], left[near]))
+        c = int(left[0])
+        near = np.sqrt(np.maximum(((x[left] - x[c]) ** 2).sum(1), 0)) <= scale / 2
+        parts.append((c, left[near]))
         left = left[~near]
     if len(left):  # points too spread for this level: nothing to gain from descending
         return node
-    node.children = [tree(x, p, x[c], scale / 2) for c, p in parts]
+    node.children = [tree(x, p, c, scale / 2) for c, p in parts]
     return node
 
 
@@ -165,7 +170,7 @@ def _meet_blocks(threshold: float):
         block = np.array(cols["block"])
         walk = Traversal(x, np.array(cols["mult"], np.int64), threshold)
         first, second = cols["first"][0], cols["second"][0]
-        nodes = [tree(x, p, x[p].mean(0), 2.0) for p in
+        nodes = [tree(x, p, int(p[0]), 2.0) for p in
                  (np.flatnonzero(block == k) for k in dict.fromkeys((first, second))) if len(p)]
         if len(nodes) == (1 if first == second else 2):
             walk.meet(nodes[0], nodes[-1])

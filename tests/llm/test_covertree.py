@@ -85,7 +85,7 @@ def test_tree_covers_its_points_and_halves():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 3))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    top = C.tree(x, np.arange(400), x.mean(0), 2.0)
+    top = C.tree(x, np.arange(400), 0, 2.0)
     stack = [(top, None)]
     while stack:
         node, parent = stack.pop()
@@ -96,6 +96,7 @@ def test_tree_covers_its_points_and_halves():
         if node.children:
             parts = np.concatenate([c.points for c in node.children])
             assert sorted(parts) == sorted(node.points)
+            assert (node.children[0].centre == node.centre).all()  # nested levels
         stack += [(c, node) for c in node.children]
 
 
