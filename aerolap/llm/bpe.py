@@ -59,7 +59,21 @@ _SPACE = "[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x{85}]"
 _CANNOT_CUT = f"^[ \\n]|[ \\n]$|{_SPACE}[ \\n]|\\n{_SPACE}"
 #: A word of letters, perhaps with one mark, as the pattern cuts it: each group is one match.
 _SIMPLE = "^(?P<nl>\\n?)(?P<main> ?\\p{L}+)(?P<mark>[.,;:!?]?)$"
-_BATCH = 8 << 20  # bytes of text handled together
+_BATCH = 6 << 20  # bytes of text handled together
+
+
+def text_slices(texts: pa.Array):
+    """(start, length) of neighbouring texts of together about ``_BATCH`` bytes, which
+    bounds what a task holds at once; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    start = total = 0
+    for i, n in enumerate(sizes.tolist()):
+        if total and total + n > _BATCH:
+            yield start, i - start
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes) - start
 
 
 def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -81,12 +95,27 @@ def _joined(parts: pa.Array, place: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return _binary(at[bounds], taken.buffers()[2] if taken.buffers()[2] is not None else b"")
 
 
-class Bpe:
+class Decoder:
+    """Bytes of packed ids: only the tokens' bytes, none of the encoder's tables."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes_of = {i: b for b, i in ranks.items()}
+
+    def decode(self, packed: bytes | None) -> bytes:
+        """Concatenation up a tree of halves."""
+        ids = np.frombuffer(packed or b"", "<u4")
+        if len(ids) <= 1 << 16:
+            return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        mid = len(ids) // 2
+        return self.decode(ids[:mid].tobytes()) + self.decode(ids[mid:].tobytes())
+
+
+class Bpe(Decoder):
     """Encoder and decoder over one vocabulary, for use inside a task."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__(ranks)
         self.ranks = ranks
-        self.bytes_of = {i: b for b, i in ranks.items()}
         self._packed_id = {i: i.to_bytes(4, "little") for i in ranks.values()}
         self._byte_ids = np.array([ranks[bytes((x,))] for x in range(256)], np.int32)
         # (left id, right id) -> id of their concatenation, for every split of every token
@@ -208,12 +237,9 @@ class Bpe:
         distinct words; each is encoded once, and the texts are put together
         from them. Texts with other white space go whole.
         """
-        texts = texts.cast(pa.large_string()).fill_null(_EMPTY)
-        sizes = pc.binary_length(texts).to_numpy()
-        ends = np.searchsorted(np.cumsum(sizes), np.arange(1, 1 + sizes.sum() // _BATCH) * _BATCH)
-        cuts = sorted({0, len(texts), *(ends + 1).clip(max=len(texts)).tolist()})
-        parts = [self._encode_part(texts.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
-        return pa.chunked_array(parts, pa.binary()).combine_chunks()
+        parts = [self._encode_part(texts.slice(at, n).cast(pa.large_string()).fill_null(_EMPTY))
+                 for at, n in text_slices(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     def _encode_part(self, texts: pa.Array) -> pa.Array:
         whole = pc.match_substring_regex(texts, _CANNOT_CUT)
@@ -334,16 +360,8 @@ class Bpe:
         ids = done[cols < length[:, None]].astype("<u4")
         return _binary(4 * np.cumsum([0, *length]), ids.tobytes())
 
-    def decode(self, packed: bytes | None) -> bytes:
-        """Bytes of packed ids: concatenation up a tree of halves."""
-        ids = np.frombuffer(packed or b"", "<u4")
-        if len(ids) <= 1 << 16:
-            return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-        mid = len(ids) // 2
-        return self.decode(ids[:mid].tobytes()) + self.decode(ids[mid:].tobytes())
-
 
-_loaded: dict[str, Bpe] = {}
+_loaded: dict[tuple, Decoder] = {}
 
 
 class Vocabulary:
@@ -358,20 +376,30 @@ class Vocabulary:
         self._key = f"{path}:{len(data)}:{pattern}"
         self._pattern = pattern
 
+    def _ranks(self) -> dict[bytes, int]:
+        return {base64.b64decode(t): int(r)
+                for t, r in map(bytes.split, self._data.value.splitlines())}
+
     def bpe(self) -> Bpe:
         """The encoder, built once per Python process."""
-        if self._key not in _loaded:
-            ranks = {base64.b64decode(t): int(r) for t, r in
-                     map(bytes.split, self._data.value.splitlines()) }
-            _loaded[self._key] = Bpe(ranks, self._pattern)
-        return _loaded[self._key]
+        key = (self._key, "bpe")
+        if key not in _loaded:
+            _loaded[key] = Bpe(self._ranks(), self._pattern)
+        return _loaded[key]
+
+    def decoder(self) -> Decoder:
+        """The decoder, built once per Python process."""
+        key = (self._key, "decoder")
+        if key not in _loaded:
+            _loaded[key] = Decoder(self._ranks())
+        return _loaded[key]
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """Bytes of a column of packed ids."""
     @F.arrow_udf(T.BinaryType())
     def run(values: pa.Array) -> pa.Array:
-        one = vocabulary.bpe().decode
+        one = vocabulary.decoder().decode
         return pa.array((one(v.as_py()) for v in values), pa.binary())
 
     return run(ids)
@@ -389,8 +417,11 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "t
     def run(batches):
         many = vocabulary.bpe().encode_batch
         for batch in batches:
-            ids = many(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*others, out])
+            for at, n in text_slices(batch.column(batch.num_columns - 1)):
+                part = batch.slice(at, n)
+                ids = many(part.column(part.num_columns - 1))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*others, out])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.BinaryType())])

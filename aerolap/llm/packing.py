@@ -30,10 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolap.llm.bpe import Vocabulary
+from aerolap.llm.bpe import Vocabulary, text_slices
 
 LENGTH = 2048
-BUFFER_TOKENS = 2_000_000
+BUFFER_TOKENS = 1_000_000
 SCHEMA = ("pack_id long, n_tokens int, n_segments int, doc_ids array<bigint>, "
           "token_offsets array<int>, cu_seqlens array<int>, position_resets array<int>, "
           "input_ids binary")
@@ -123,16 +123,18 @@ def _packer(vocabulary: Vocabulary, length: int, pad: int, buffer_tokens: int):
         next_id = TaskContext.get().partitionId() << 32
         held, size = [], 0
         for batch in batches:
-            for doc, ids in zip(batch.column(0), bpe.encode_batch(batch.column(1))):
-                ids = ids.as_py()
-                if ids:
-                    held.append((doc.as_py(), ids))
-                    size += len(ids) // 4
-                if size >= buffer_tokens:
-                    for out in _pack(held, length, pad, next_id):
-                        next_id += out.num_rows
-                        yield out
-                    held, size = [], 0
+            for at, n in text_slices(batch.column(1)):
+                part = batch.slice(at, n)
+                for doc, ids in zip(part.column(0), bpe.encode_batch(part.column(1))):
+                    if len(ids := ids.as_py()):
+                        held.append((doc.as_py(), ids))
+                        size += len(ids) // 4
+                    if size >= buffer_tokens:
+                        for out in _pack(held, length, pad, next_id):
+                            next_id += out.num_rows
+                            yield out
+                        held, size = [], 0
+            pa.default_memory_pool().release_unused()
         yield from _pack(held, length, pad, next_id)
 
     return run
