@@ -406,25 +406,31 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
-                     out: str = "ids") -> DataFrame:
-    """``docs`` with the text replaced by its packed ids, as last column ``out``.
+                     out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the text replaced by its packed ids, as column ``out`` at the end.
 
-    A step of its own in the plan (not a column function), so that no later
-    expression makes Spark encode a text twice.
+    With ``decoded``, a further column of that name holds the bytes that the ids
+    decode to. This is a step of its own in the plan (not a column function), so
+    that no later expression makes Spark encode a text twice.
     """
-    others = [c for c in docs.columns if c not in (text_col, out)]
+    others = [c for c in docs.columns if c not in (text_col, out, decoded)]
+    names = [*others, out, *([decoded] if decoded else [])]
 
     def run(batches):
-        many = vocabulary.bpe().encode_batch
+        bpe = vocabulary.bpe()
         for batch in batches:
             for at, n in text_slices(batch.column(batch.num_columns - 1)):
                 part = batch.slice(at, n)
-                ids = many(part.column(part.num_columns - 1))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*others, out])
+                columns = [*part.columns[:-1], bpe.encode_batch(part.column(len(others)))]
+                if decoded:
+                    columns.append(pa.array((bpe.decode(x.as_py()) for x in columns[-1]),
+                                            pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
             pa.default_memory_pool().release_unused()
 
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.BinaryType())])
+    schema = T.StructType([*rows.schema.fields[:-1],
+                           *[T.StructField(c, T.BinaryType()) for c in names[len(others):]]])
     return rows.mapInArrow(run, schema)
 
 

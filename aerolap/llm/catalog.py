@@ -57,12 +57,11 @@ def op6_page_language(spark, sf_dir):
 
 
 def op7_byte_bpe(spark, sf_dir):
-    v = vocabulary(spark)
-    rows = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), v)
+    rows = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                vocabulary(spark), decoded="decoded")
     return rows.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), v), 256).alias("decoded_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_quality_rules(spark, sf_dir):

@@ -37,11 +37,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (packed) and the digest of the decoded bytes."""
-    v = vocabulary(spark)
-    rows = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), v)
+    rows = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"),
+                                vocabulary(spark), decoded="decoded")
     return rows.select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids", F.sha2(bpe.decode(F.col("ids"), v), 256).alias("decoded_sha256"))
+        "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality_rules", quality_rules), ("toxicity", drop_toxic),
