@@ -51,7 +51,8 @@ from aerolap.llm.components import components
 #: A task compares at most two blocks of so many sets and shingles.
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 20
-#: Up to so many candidate sets (under 40 MB) are broadcast, more are joined by shuffling.
+#: Up to so many places of candidate sets (under 40 MB) are broadcast, more are joined by
+#: shuffling.
 BROADCAST_IDS = 200_000
 _SPARE = 1  # blocks beyond H + 1, so that one empty block does no harm
 
@@ -375,7 +376,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         parted.join(units, ["grp", "block"]).groupBy("rep", "mult", "f1", "f2", "block").agg(
             F.collect_list(F.struct("unit", "grp", "first", "second")).alias("units")),
         "jaccard_places")
-    texts = rows.join(F.broadcast(places) if n_sets <= broadcast_ids else places,
+    n_places = places.agg(F.sum(F.size("units"))).first()[0] or 0
+    texts = rows.join(F.broadcast(places) if n_places <= broadcast_ids else places,
                       rows["doc_id"] == places["rep"]).select(
         "rep", "mult", "f1", "f2", "block", "units", "text")
     sets = texts.mapInArrow(
