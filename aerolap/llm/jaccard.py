@@ -10,13 +10,12 @@ highly similar set.
 1. *Equal sets* have equal answers: they form one class, of which one member
    goes on.
 2. *Block index.* Shingle hashes are sorted; their positions are cut into
-   blocks by hash range, ``H + 2`` blocks where at most ``H`` shingles can
+   blocks by hash range, more than ``H`` blocks where at most ``H`` shingles can
    differ between two linked sets of that size. So linked sets agree on a
-   whole block that holds shingles, and the index lists classes by block
-   content: two sets that agree on none are skipped without being compared.
-   (A block may be empty; a set with more than one empty block lists those,
-   too, so that no pair is lost.) Sets are indexed by size class, and in the
-   next one as well if a partner may lie there.
+   whole block, and the index lists classes by block content: two sets that
+   agree on none are skipped without being compared. Sets are indexed by size
+   class, and in the next one as well if a partner may lie there. Empty blocks
+   and common shingles are dealt with in :class:`Blocks`; no pair is lost.
 3. The lists join classes to *candidate groups*. Groups are compared in
    blocks of bounded size: one task compares one block with another; blocks
    whose sizes rule out a link are skipped. No task holds a whole large group.
@@ -54,7 +53,12 @@ BLOCK_SHINGLES = 1 << 20
 #: Up to so many places of candidate sets (under 40 MB) are broadcast, more are joined by
 #: shuffling.
 BROADCAST_IDS = 200_000
-_SPARE = 1  # blocks beyond H + 1, so that one empty block does no harm
+_LEVELS = 3  # of hashes without common shingles, and then with them
+#: Common shingles: in COMMON_IN sets or more of one sampled in SAMPLE; at most MAX_COMMON of
+#: them (8 MB), the most frequent. They steer the index only; links do not depend on them.
+SAMPLE = 32
+COMMON_IN = 4
+MAX_COMMON = 1_000_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33, _S32 = np.uint64(33), np.uint64(32)
@@ -102,10 +106,21 @@ def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
 
 
 class Blocks:
-    """Index keys of sets: the content of position blocks, by size class."""
+    """Index keys of sets: the content of position blocks, by size class.
+
+    Where linked sets can differ by ``h`` shingles, ``h + 1 + spare`` blocks
+    agree on ``spare + 1`` at least. A set with at most ``spare`` empty blocks
+    lists its others and is done; a set with more is listed again by another
+    hash. Of two linked sets, either one is done at some level, and then they
+    agree there on a block that is not empty, or both go on to the next; the
+    last level lists empty blocks as well. Common shingles (any fixed set of
+    them) are left out of the first levels' blocks, which only makes sets less
+    different there, so that a block is selective.
+    """
 
-    def __init__(self, percent: int):
+    def __init__(self, percent: int, common: np.ndarray | None = None):
         self.percent = percent
+        self.common = np.empty(0, np.uint64) if common is None else common
         self._low = [1]
 
     def _class(self, n: int) -> int:
@@ -115,6 +130,13 @@ class Blocks:
             self._low.append(max(last + 1, -(-last * 10_000 // self.percent ** 2)))
         return int(np.searchsorted(self._low, n, "right")) - 1
 
+    def _rare(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.common):
+            return tokens
+        at = np.searchsorted(self.common, tokens)
+        at[at == len(self.common)] = 0
+        return tokens[self.common[at] != tokens]
+
     def keys(self, tokens: np.ndarray) -> np.ndarray:
         n = len(tokens)
         c = self._class(n)
@@ -122,21 +144,35 @@ class Blocks:
         if 100 * n >= self.percent * self._low[c + 1]:
             self._class(self._low[c + 1])
             classes.append(c + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(tokens), dtype=np.uint64)])
+        rare = self._rare(tokens)
         out = []
         for c in classes:
             differ = 2 * (self._low[c + 1] - 1) * (100 - self.percent) // (100 + self.percent)
             if not differ:
                 continue  # equal sets only, and those are one class
-            blocks = differ + 1 + _SPARE
-            block = ((tokens >> _S32) * np.uint64(blocks)) >> _S32
-            ends = np.searchsorted(block, np.arange(blocks + 1, dtype=np.uint64))
-            content = sums[ends[1:]] - sums[ends[:-1]]
-            key = _mix(content + _mix(np.arange(blocks, dtype=np.uint64) + np.uint64(c << 40)))
-            filled = ends[1:] > ends[:-1]
-            out.append(key[filled] if blocks - filled.sum() <= _SPARE else key)
+            spare = 1 + (differ + 1) // 8
+            blocks = differ + 1 + spare
+            for level in range(2 * _LEVELS):
+                content = rare if level < _LEVELS else tokens
+                if level:
+                    content = np.sort(_mix(content ^ np.uint64(level * 0x9E3779B97F4A7C15
+                                                               % (1 << 64))))
+                key, filled = self._level(content, blocks, (level << 56) + (c << 40))
+                done = blocks - int(filled.sum()) <= spare
+                out.append(key if level == 2 * _LEVELS - 1 and not done else key[filled])
+                if done:
+                    break
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
+    @staticmethod
+    def _level(tokens: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(tokens), dtype=np.uint64)])
+        block = ((tokens >> _S32) * np.uint64(blocks)) >> _S32
+        ends = np.searchsorted(block, np.arange(blocks + 1, dtype=np.uint64))
+        content = sums[ends[1:]] - sums[ends[:-1]]
+        key = _mix(content + _mix(np.arange(blocks, dtype=np.uint64) + np.uint64(salt)))
+        return key, ends[1:] > ends[:-1]
+
 
 # --- comparing inside a task ----------------------------------------------
 
@@ -267,9 +303,34 @@ def _sets(k: int):
     return run
 
 
-def _index(k: int, percent: int):
+def _shingles(k: int):
+    def run(batches):
+        shingles = Shingler(k)
+        for batch in batches:
+            for t in batch.column(0):
+                s = shingles(t.as_py())
+                if len(s):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(s.view(np.int64)),
+                         pa.array(np.full(len(s), fingerprint(s)[0], np.int64))],
+                        ["shingle", "node"])
+
+    return run
+
+
+def _common(rows: DataFrame, k: int) -> np.ndarray:
+    """The common shingles, sorted."""
+    sampled = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(SAMPLE)) == 0)
+    counts = (sampled.select("text").mapInArrow(_shingles(k), "shingle long, node long")
+              .distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= COMMON_IN))
+    top = counts.orderBy(F.desc("n"), "shingle").limit(MAX_COMMON).select("shingle").collect()
+    return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
+
+
+def _index(k: int, percent: int, common):
     def run(batches):
-        shingles, blocks = Shingler(k), Blocks(percent)
+        shingles, blocks = Shingler(k), Blocks(percent, common.value)
         seen: set[tuple[int, int]] = set()  # equal sets of one task are listed once
         for batch in batches:
             keys, nodes = [], []
@@ -330,8 +391,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     # a key's list is linked through its smallest class; a list has at most one
     # row per class and task, and every set has many keys, so no list is a
     # large part of all rows
-    index = rows.where("doc_id IS NOT NULL").select("text").mapInArrow(
-        _index(k, percent), "block_key long, node long")
+    known = rows.where("doc_id IS NOT NULL")
+    common = spark.sparkContext.broadcast(_common(known, k))
+    index = known.select("text").mapInArrow(
+        _index(k, percent, common), "block_key long, node long")
     listed = index.select("node", F.expr("min(node) OVER (PARTITION BY block_key)").alias("least"))
     pairs = listed.where("node <> least").distinct()
     groups = components(pairs.select("least", "node"))

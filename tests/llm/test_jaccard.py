@@ -95,11 +95,13 @@ def test_query_equal_to_all_pairs(spark):
 
 def test_linked_sets_share_a_block_key():
     rng = np.random.default_rng(0)
-    for percent in (80, 90):
-        blocks = J.Blocks(percent)
+    shared = np.unique(rng.integers(0, 2 ** 63, 40).astype(np.uint64))
+    for percent, common in ((80, None), (90, None), (80, shared), (90, shared[::2])):
+        blocks = J.Blocks(percent, common)
         for _ in range(400):
             n = int(rng.integers(5, 300))
-            a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            own = rng.integers(0, 2 ** 63, max(1, n - 40 * int(rng.integers(2)))).astype(np.uint64)
+            a = np.unique(np.concatenate([own, shared[:int(rng.integers(41))]]))
             drop, add = (int(rng.integers(0, 1 + n * (100 - percent) // 100)) for _ in range(2))
             b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2 ** 63, add).astype(np.uint64)]))
             common = len(np.intersect1d(a, b))
