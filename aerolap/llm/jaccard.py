@@ -56,7 +56,7 @@ BROADCAST_IDS = 200_000
 _LEVELS = 3  # of hashes without common shingles, and then with them
 #: Common shingles: in COMMON_IN sets or more of one sampled in SAMPLE; at most MAX_COMMON of
 #: them (8 MB), the most frequent. They steer the index only; links do not depend on them.
-SAMPLE = 32
+SAMPLE = 8
 COMMON_IN = 4
 MAX_COMMON = 1_000_000
 
