@@ -8,13 +8,19 @@ cannot exceed what the sizes allow, a template is a candidate only if its
 size is within ``t / (2 - t)`` and ``(2 - t) / t`` times the unit's, and units
 outside the bounds of all templates are dropped before their bigrams are made.
 
+A notice that shares its line or paragraph with other words is found by
+windows: every run of as many words as a template has, from a bigram of the
+template on, across the lines that belong to no matching unit. A text without
+``t / (2 - t)`` of a template's bigrams has no such run and is not looked at.
+
 Everything is a DataFrame expression over one row: no shuffle, no Python. The
 templates are literals of the plan; their number is a checked bound.
 
 Defined results: a null or empty text matches nothing; units with fewer than
 two words have no bigrams and match nothing; of several matches the highest
-coefficient wins, then the first unit, then the first template; rows are
-independent (repeated rows give equal results); an empty table stays empty;
+coefficient wins, then the first unit (a run's unit is the line on which it
+begins), then the first template; overlapping runs are one match, and lines that
+repeat a line of a matching paragraph belong to it; rows are independent (repeated rows give equal results); an empty table stays empty;
 extra columns are not read. Very long texts are read whole.
 """
 
@@ -58,8 +64,51 @@ TEMPLATES = [
                 "related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
+    ("MIT", "Licensed under the MIT License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under "
+                "the terms of the GNU General Public License as published by the Free Software "
+                "Foundation; either version 2 of the License, or (at your option) any later "
+                "version."),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under "
+                 "the terms of the GNU Affero General Public License as published by the Free "
+                 "Software Foundation, either version 3 of the License, or (at your option) any "
+                 "later version."),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+            "or without fee is hereby granted, provided that the above copyright notice and this "
+            "permission notice appear in all copies."),
+    ("ISC", "Released under the ISC License."),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms "
+                "of the Eclipse Public License 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no "
+             "event will the authors be held liable for any damages arising from the use of this "
+             "software."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+                     "International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+                     "International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+                     "International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
 ]
 
+#: Stands for a line of a matching unit: a word of no template.
+_BARRIER = "\ua66e"
+
 
 def bigrams(text: str) -> list[str]:
     """Distinct word bigrams of a template, in order."""
@@ -89,23 +138,86 @@ def units(text: Column) -> Column:
                         "array<string>")))
 
 
+def _candidates(text: Column, templates: Column, known: Column, low: float) -> Column:
+    """Templates of whose bigrams the text has enough for a run of its words to match."""
+    words = _words(text)
+    every = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1),
+                       F.slice(words, F.lit(2), F.size(words) - 1),
+                       lambda a, b: F.concat(a, F.lit(" "), b))
+    some = F.filter(F.array(F.array_intersect(every, known)), lambda h: F.size(h) > 0)
+    return F.flatten(F.transform(some, lambda h: F.filter(
+        templates, lambda t: F.size(F.array_intersect(t["b"], h)) >= t["n"] * F.lit(low))))
+
+
+def _runs(text: Column, matches: Column, near: Column, threshold: float) -> Column:
+    """Runs of words that match a template of ``near``, outside the matching units."""
+    lines = F.split(text, "\n")
+    places = F.transform(matches, lambda m: -m["at"])
+    # bound to a lambda's variable, so that each is evaluated once
+    found = F.array(F.struct(lines.alias("lines"), places.alias("places")))
+    found = F.transform(found, lambda c: F.struct(
+        c["lines"].alias("lines"), c["places"].alias("places"),
+        F.flatten(F.transform(F.filter(units(text), lambda u, i: (i >= F.size(c["lines"]))
+                                       & F.array_contains(c["places"], i)),
+                              lambda u: F.split(u, "\n"))).alias("inside")))
+    words = F.transform(found, lambda c: F.flatten(F.transform(c["lines"], lambda l, i: F.transform(
+        F.filter(_words(F.when(F.array_contains(c["places"], i)
+                               | F.array_contains(c["inside"], l), F.lit(_BARRIER)).otherwise(l)),
+                 lambda w: w != ""),
+        lambda w: F.struct(w.alias("w"), i.alias("line"))))))
+    pairs = F.transform(F.filter(words, lambda w: F.size(w) > 1), lambda w: F.struct(
+        F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1),
+                   lambda a, b: F.concat(a["w"], F.lit(" "), b["w"])).alias("b"),
+        F.transform(w, lambda a: a["line"]).alias("line")))
+
+    def of(p: Column, t: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(p["b"])),
+                          lambda i: F.array_contains(t["b"], F.element_at(p["b"], i)))
+        runs = F.transform(starts, lambda i: F.struct(i.alias("i"), F.array_distinct(F.transform(
+            F.sequence(i, F.least(i + t["l"] - 1, F.size(p["b"]))),
+            lambda j: F.element_at(p["b"], j))).alias("b")))
+        return F.transform(runs, lambda r: F.struct(
+            (2 * F.size(F.array_intersect(t["b"], r["b"])) / (t["n"] + F.size(r["b"])))
+            .alias("dice"),
+            (-F.element_at(p["line"], r["i"])).alias("at"), t["t"].alias("t"),
+            r["i"].alias("i"), (r["i"] + t["l"]).alias("end")))
+
+    every = F.flatten(F.transform(pairs, lambda p: F.flatten(F.transform(
+        near, lambda t: F.filter(of(p, t), lambda r: r["dice"] >= threshold)))))
+    return every
+
+
+def _notices(runs: Column) -> Column:
+    """Number of runs, of which overlapping ones count once."""
+    ordered = F.array_sort(F.transform(runs, lambda r: F.struct(r["i"], r["end"])))
+    return F.aggregate(
+        ordered, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
+        lambda s, r: F.struct(F.greatest(s["end"], r["end"]).alias("end"),
+                              (s["n"] + (r["i"] > s["end"]).cast("int")).alias("n")),
+        lambda s: s["n"])
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          threshold: float = THRESHOLD, templates: list[tuple[str, str]] | None = None
          ) -> DataFrame:
     """One row per document: doc_id, license, dice, unit_no, n_matches.
 
     ``license`` and ``dice`` are null without a match; ``n_matches`` counts
-    the units that match some template.
+    the units that match some template, and the notices found among other words.
     """
     chosen = [(name, bigrams(t)) for name, t in (TEMPLATES if templates is None else templates)]
+    lengths = [len(re.sub(r"[^\w]|_", " ", t.lower()).split()) - 1
+               for (_, b), (_, t) in zip(chosen, TEMPLATES if templates is None else templates) if b]
     chosen = [(name, b) for name, b in chosen if b]
     if not 1 <= len(chosen) <= MAX_TEMPLATES:
         raise ValueError(f"1 to {MAX_TEMPLATES} templates of two or more words are needed")
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     sizes = [len(b) for _, b in chosen]
     literal = F.array(*[F.struct(F.lit(-i).alias("t"), F.lit(len(b)).alias("n"),
+                                 F.lit(lengths[i]).alias("l"),
                                  F.array(*[F.lit(x) for x in b]).alias("b"))
                         for i, (_, b) in enumerate(chosen)])
+    known = F.array(*[F.lit(x) for x in dict.fromkeys(x for _, b in chosen for x in b)])
     names = F.array(*[F.lit(n) for n, _ in chosen])
 
     split = F.transform(units(F.col(text_col)), lambda u, i: F.struct(
@@ -126,11 +238,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return F.array_max(scored)
 
     matches = F.filter(F.transform(paired, best), lambda m: m["dice"] >= threshold)
-    rows = docs.select(F.col(id_col).alias("doc_id"), matches.alias("_m"))
-    top = F.array_max("_m")
-    some = F.size("_m") > 0
-    return rows.select("doc_id", "_m", top.alias("_top")).select(
+    text = F.col(text_col)
+    near = _candidates(text, literal, known, low)
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"), matches.alias("_m"),
+                       near.alias("_near"))
+    rows = rows.select("doc_id", "_m", F.when(F.size("_near") > 0, _runs(
+        F.col("_text"), F.col("_m"), F.col("_near"), threshold)).alias("_runs"))
+    whole = F.transform("_runs", lambda r: F.struct(r["dice"], r["at"], r["t"]))
+    rows = rows.select(
+        "doc_id", F.when(F.size("_runs") > 0, F.concat("_m", whole)).otherwise(F.col("_m"))
+        .alias("_all"),
+        (F.size("_m") + F.coalesce(_notices(F.col("_runs")), F.lit(0))).alias("_n"))
+    some = F.size("_all") > 0
+    return rows.select("doc_id", "_all", F.array_max("_all").alias("_top"), "_n").select(
         "doc_id", F.when(some, F.element_at(names, 1 - F.col("_top.t"))).alias("license"),
         F.when(some, F.col("_top.dice")).alias("dice"),
         F.when(some, -F.col("_top.at")).alias("unit_no"),
-        F.coalesce(F.size("_m"), F.lit(0)).alias("n_matches"))
+        F.coalesce("_n", F.lit(0)).alias("n_matches"))

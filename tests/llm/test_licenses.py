@@ -59,3 +59,27 @@ def test_variants_and_odd_texts(spark):
 def test_plan_is_native(spark):
     plan = QUERIES["op2_license_scan"](spark, SF_MID)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_notices_among_other_words(spark):
+    code = "int main() {\n  return 0;\n}"
+    filler = " ".join(f"w{i}" for i in range(3000))
+    gpl = L.TEMPLATES[5][1]
+    wrapped = gpl.replace(" under the terms", "\nunder the terms").replace(" Foundation", "\nFoundation")
+    texts = {"Copyright 2020 The Authors. All rights reserved.": ("Proprietary", 1.0, 0, 1),
+             "Copyright (c) 2021 Jane Doe. Released under the MIT License. See LICENSE for details.":
+                 ("MIT", 1.0, 0, 1),
+             f"{code}\n{wrapped}\n{code} {filler}": ("GPL-3.0", 1.0, 3, 1),
+             "This work is licensed under the GNU General Public License, version 2.":
+                 ("GPL-2.0", 1.0, 0, 1),
+             "This work is licensed under the GNU Affero General Public License, version 3.":
+                 ("AGPL-3.0", 1.0, 0, 1),
+             "we ship it here, all rights reserved, and the rest of it "
+             "is released under the ISC license today": ("Proprietary", 1.0, 0, 2),
+             "we ship it here, it is released under the ISC license today": ("ISC", 1.0, 0, 1),
+             "first words of it\nReleased under the MIT License.\nand then Licensed under CC BY 4.0 it is":
+                 ("MIT", 1.0, 1, 2),
+             "all the rights that are reserved under the license of the house": (None, None, None, 0)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: (r.license, r.dice, r.unit_no, r.n_matches) for r in L.scan(df).collect()}
+    assert rows == dict(enumerate(texts.values()))
