@@ -2,9 +2,10 @@
 
 A page's language is inferred from four pieces of evidence:
 
-* the *text*, by a naive Bayes model over hashed byte trigrams, fitted on at
-  most ``fit_rows`` documents of known language (those with the smallest
-  hashes of their ids; a documented bound). Overlapping trigrams depend on
+* the *text*, by a naive Bayes model over hashed byte trigrams, for every
+  language of the documents. It is fitted on about ``fit_rows`` of them, shared
+  out evenly among the languages but ``LEAST_ROWS`` for each (by hashes of ids
+  and texts; a documented bound; rarer languages are taken whole). Overlapping trigrams depend on
   each other, so the log-likelihood is tempered, and a small chance of foreign
   text (quotations, advertisements) bounds what it can say;
 * the language *declared* in the markup, and
@@ -15,7 +16,8 @@ A page's language is inferred from four pieces of evidence:
 
 The posterior is their product, normalised. Sums over hosts, domains, suffixes
 and declarations are aggregated before they move; a page travels to them as
-its id and a vector with one number per language, never as text.
+its id and a vector with one number per language, never as text. The model of
+the text is sparse: only trigrams that a language's sample has take space.
 
 Defined results: a page whose html is null or has no text gives no text
 evidence; a null address gives no suffix and no host evidence; a missing
@@ -32,6 +34,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +42,7 @@ from pyspark.sql import types as T
 from aerolap.llm.common import discard, written
 
 FIT_ROWS = 4000
-MAX_LANGUAGES = 64
+LEAST_ROWS = 64
 FEATURES = 1 << 16
 TEMPER = 1 / 3
 #: Chance that what is read of a page is not in its language: bounds the text's evidence.
@@ -84,24 +87,48 @@ def _count_by_language(batches):
             ["lang", "feature", "n"])
 
 
+class TextModel:
+    """log P(feature | language), as what differs from an unseen feature's, by feature."""
+
+    def __init__(self, lang: np.ndarray, feature: np.ndarray, n: np.ndarray, k: int):
+        total = np.bincount(lang, weights=n, minlength=k) + 0.5 * FEATURES
+        order = np.argsort(feature, kind="stable")
+        self.lang = lang[order].astype(np.int32)
+        self.more = np.log1p(n[order] / 0.5).astype(np.float32)
+        self.first = np.searchsorted(feature[order], np.arange(FEATURES + 1))
+        self.unseen, self.k = np.log(0.5 / total), k
+
+    def log_likelihood(self, n: np.ndarray) -> np.ndarray:
+        """Per language, of a text with these :func:`counts`."""
+        found = np.flatnonzero(n)
+        first = self.first[found]
+        each = self.first[found + 1] - first
+        at = np.repeat(first - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        seen = np.bincount(self.lang[at], weights=self.more[at] * np.repeat(n[found], each),
+                           minlength=self.k)
+        return seen + self.unseen * n.sum()
+
+
 def fit_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages (at most ``MAX_LANGUAGES``, the most frequent) and log P(feature | language)."""
+             lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[list[str], TextModel | None]:
+    """All languages, by name, and the model of their texts."""
     known = docs.select(F.col(id_col).alias("_key"), F.col(lang_col).alias("_lang"),
                         F.col(text_col).alias("_text")).dropna()
-    names = [r[0] for r in known.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES).collect()]
-    picked = known.select(F.col("_key").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(
-        fit_rows).distinct()
-    sums = (known.join(F.broadcast(picked), F.col("_key") == F.col("_id"))
-            .where(F.col("_lang").isin(names)).select("_lang", "_text")
+    sizes = known.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).collect()
+    names = sorted(r["_lang"] for r in sizes)
+    if not names:
+        return [], None
+    rows = max(LEAST_ROWS, -(-fit_rows // len(names)))
+    shares = docs.sparkSession.createDataFrame(
+        [(r["_lang"], min(1.0, rows / r["_n"])) for r in sizes], "_name string, _share double")
+    place = F.pmod(F.xxhash64("_key", "_text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sums = (known.join(F.broadcast(shares), F.col("_lang") == F.col("_name"))
+            .where(place < F.col("_share")).select("_lang", "_text")
             .mapInArrow(_count_by_language, "lang string, feature int, n long")
-            .groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect())
-    names = sorted({r["lang"] for r in sums})
-    table = np.full((len(names), FEATURES), 0.5)
-    for r in sums:
-        table[names.index(r["lang"]), r["feature"]] += r["n"]
-    return names, np.log(table / table.sum(1, keepdims=True))
+            .groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow())
+    lang = pc.index_in(sums["lang"], pa.array(names, sums["lang"].type))
+    return names, TextModel(lang.to_numpy(), sums["feature"].to_numpy(),
+                            sums["n"].to_numpy(), len(names))
 
 
 def _address(url: Column) -> Column:
@@ -114,11 +141,12 @@ def _declared(page: Column) -> Column:
     return F.nullif(F.lower(found), F.lit(""))
 
 
-def _sums(df: DataFrame, by: list[str], k: int, out: str) -> DataFrame:
-    """Summed votes per group, as one array column."""
-    parts = df.groupBy(*by).agg(*[F.sum(F.element_at("vote", i + 1)).alias(f"_s{i}")
-                                  for i in range(k)])
-    return parts.select(*by, F.array(*[f"_s{i}" for i in range(k)]).alias(out))
+def _sums(df: DataFrame, by: list[str], out: str) -> DataFrame:
+    """Summed votes per group, as one array column; one row per language until the end."""
+    parts = (df.select(*by, F.posexplode("vote").alias("_at", "_v"))
+             .groupBy(*by, "_at").agg(F.sum("_v").alias("_v")))
+    return parts.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct(
+        "_at", "_v"))), lambda x: x["_v"]).alias(out))
 
 
 def _likelihood(votes: DataFrame, key: str, totals: list[float], out: str) -> DataFrame:
@@ -140,15 +168,14 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
                             F.lit(None).cast("string").alias("text_lang"),
                             _declared(F.col(html_col)).alias("declared"),
                             _address(F.col(url_col)).alias("host"))
-    k, shared = len(names), spark.sparkContext.broadcast(model.astype(np.float32))
+    k, shared = len(names), spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def text_log_likelihood(html: pa.Array) -> pa.Array:
         out = []
         for page in html:
             text = visible(page.as_py()).strip()
-            score = (shared.value @ counts(text).astype(np.float32) * temper if text
-                     else np.zeros(k))
+            score = shared.value.log_likelihood(counts(text)) * temper if text else np.zeros(k)
             share = np.exp((score - score.max()).astype(float))
             out.append(np.log((1 - FOREIGN) * share / share.sum() + FOREIGN / k).tolist())
         return pa.array(out, pa.list_(pa.float64()))
@@ -169,17 +196,18 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
             F.lit(1), F.size(labelled) - 1), 2), ".")), "langid_rows")
     discard(spark, read_path)
 
-    totals = list(rows.agg(*[F.coalesce(F.sum(F.element_at("vote", i + 1)), F.lit(0.0))
-                             for i in range(k)]).first())
+    votes = dict(rows.select(F.posexplode("vote").alias("_at", "_v")).groupBy("_at")
+                 .agg(F.sum("_v")).collect())
+    totals = [votes.get(i, 0.0) for i in range(k)]
     prior = F.array(*[F.lit((t + 1.0) / (sum(totals) + k)) for t in totals])
     declared, d_path = written(_likelihood(_sums(rows.where("declared IS NOT NULL"), ["declared"],
-                                                 k, "votes"), "declared", totals, "ll_declared"),
+                                                 "votes"), "declared", totals, "ll_declared"),
                                "langid_declared")
-    suffix, s_path = written(_likelihood(_sums(rows.where("suffix IS NOT NULL"), ["suffix"], k,
+    suffix, s_path = written(_likelihood(_sums(rows.where("suffix IS NOT NULL"), ["suffix"],
                                                "votes"), "suffix", totals, "ll_suffix"),
                              "langid_suffix")
-    hosts = _sums(rows.where("host IS NOT NULL"), ["host", "domain"], k, "host_votes")
-    domains = _sums(rows.where("host IS NOT NULL"), ["domain"], k, "domain_votes")
+    hosts = _sums(rows.where("host IS NOT NULL"), ["host", "domain"], "host_votes")
+    domains = _sums(rows.where("host IS NOT NULL"), ["domain"], "domain_votes")
     hosts, h_path = written(hosts.join(domains, "domain").select(
         F.col("host").alias("_host"), "host_votes", "domain_votes"), "langid_hosts")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import string
 
 from aerolap.llm import langid as L
 from aerolap.llm.catalog import QUERIES
@@ -62,3 +64,20 @@ def test_visible_text():
 def test_small_table(spark):
     assert QUERIES["op6_page_language"](spark, SF_SMALL).count() == spark.read.parquet(
         f"{SF_SMALL}/pages.parquet").count()
+
+
+def test_rare_languages_and_more_than_64(spark):
+    def text(lang):
+        rng = random.Random(lang)
+        return " ".join("".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(20))
+
+    docs = [(i, text(0), "l00") for i in range(9000)]
+    docs += [(10000 + i, text(i), f"l{i:02}") for i in range(1, 70)]  # one document each
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    names, _ = L.fit_text(docs)
+    assert names == [f"l{i:02}" for i in range(70)]
+    pages = spark.createDataFrame(
+        [(i, f"http://h{i}.net/x", f"<p>{text(i)}</p>") for i in range(70)],
+        "page_id long, url string, html string")
+    assert {r.page_id: r.lang for r in L.identify(pages, docs).collect()} == {
+        i: f"l{i:02}" for i in range(70)}
