@@ -4,7 +4,7 @@ A noisy channel first restores what a writer has disguised: leetspeak
 (``1d10t``), letters spaced out (``i d i o t``, ``i.d.i.o.t``) and letters
 repeated (``iiidiot``). Each disguised token is a lattice of characters, in
 which every position offers the letters that may have been meant (or nothing,
-for a repeated letter or a separator), and the Viterbi algorithm picks the
+for a repeated letter or a separator, or the end of a word for a separator), and the Viterbi algorithm picks the
 path that is likeliest under a character trigram model times the channel. The
 restored words are then scored.
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,14 +52,15 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "
 SEPARATORS = "._-*~ "
 
 _CODES = 64
-_MAX_TOKEN = 64
+#: Longer tokens are decoded whole, but not remembered.
+_MAX_KNOWN = 64
 _trailing = re.compile(r"[!$|+(@.,;:?*%&#\"')\]}<>=~_-]+$")
 _word = re.compile(r"[^\W\d_]+")
 _disguised = re.compile(
-    r"(?<![^\W_])[^\W\d_](?:[ ._*~-][^\W\d_]){3,}(?![^\W_])"  # letters spaced out
+    r"(?<![^\W_])[^\W\d_](?:[ ._*~-][^\W\d_])+(?![^\W_])"  # letters spaced out
     r"|[^\s.,;:?\"']*[^\W\d_][^\s.,;:?\"']*")                 # a token with a letter
 _leet = re.compile(r"[0-9@$!|+(€]")
-_triple = re.compile(r"([^\W\d_])\1\1")
+_repeated = re.compile(r"([^\W\d_])\1")
 _spaced = re.compile(r"^.(?:[ ._*~-].)+$")
 _inner = re.compile(r"[._*~-]")
 
@@ -127,12 +129,17 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 # --- the channel ----------------------------------------------------------
 
 _SAME, _LEET, _DROP = 0.0, -0.7, -0.4
+#: A dropped character costs about what a likely letter costs.
+_DROP_STEP = -1.5
+#: A separator that ends a word: as one that is dropped, but the model prices the blank.
+_BREAK = _DROP
 
 
 def _lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character what may have been meant, with the channel's log-weight.
 
-    ``""`` means nothing: a separator, or a repetition of the letter before.
+    ``""`` means nothing: a separator, or a repetition of the letter before;
+    ``" "`` means that a separator ends a word.
     """
     out = []
     for i, ch in enumerate(token):
@@ -144,36 +151,48 @@ def _lattice(token: str) -> list[list[tuple[str, float]]]:
             options = [(x, _LEET) for x in LEET.get(ch, "")]
             if ch in SEPARATORS or not options:
                 options.append(("", _DROP))
+            if ch in SEPARATORS:
+                options.append((" ", _BREAK))
         out.append(options)
     return out
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest word behind a disguised token (lower case)."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+@lru_cache(4096)
+def _code(letter: str) -> int:
+    return int(codes(letter)[0])
+
+
+def restore(token: str, model) -> str:
+    """The likeliest word or words behind a disguised token (lower case).
+
+    ``model`` is the table of :func:`character_model`, or its list of lists.
+    """
+    # a path is its score and its letters from the last to the first
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for options in _lattice(token):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, path) in states.items():
             for letter, weight in options:
                 if letter:
-                    c = int(codes(letter)[0])
-                    key, s = (b, c), score + weight + float(model[a * _CODES + b, c])
+                    c = _code(letter)
+                    key, s = (b, c), score + weight + float(model[a * _CODES + b][c])
                 else:
                     key, s = (a, b), score + weight + _DROP_STEP
                 if key not in new or s > new[key][0]:
-                    new[key] = (s, text + letter)
+                    new[key] = (s, (letter, path) if letter else path)
         states = new
-    return max((score + float(model[a * _CODES + b, 0]), text)
-               for (a, b), (score, text) in states.items())[1]
-
-
-#: A dropped character costs about what a likely letter costs.
-_DROP_STEP = -1.5
+    path = max(((score + float(model[a * _CODES + b][0]), path)
+                for (a, b), (score, path) in states.items()), key=lambda x: x[0])[1]
+    letters = []
+    while path:
+        letters.append(path[0])
+        path = path[1]
+    return "".join(reversed(letters))
 
 
 def _is_disguised(token: str) -> bool:
     body = _trailing.sub("", token)
-    return bool(_leet.search(body) or _triple.search(body) or _spaced.match(body)
+    return bool(_leet.search(body) or _repeated.search(body) or _spaced.match(body)
                 or _inner.search(body))
 
 
@@ -182,33 +201,53 @@ class Reader:
 
     def __init__(self, model: np.ndarray):
         self.model = model
+        self._rows: list[list[float]] | None = None
         self._known: dict[str, str] = {}
+        self._plain: dict[str, list[str]] = {}
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_rows": None, "_known": {}, "_plain": {}}
 
     def _restored(self, token: str) -> str:
         known = self._known.get(token)
         if known is None:
+            if self._rows is None:
+                self._rows = self.model.tolist()
             if len(self._known) > 50_000:
                 self._known.clear()
-            body = _trailing.sub("", token)
-            known = self._known[token] = (
-                " ".join(restore(body[i:i + _MAX_TOKEN], self.model)
-                         for i in range(0, len(body), _MAX_TOKEN)))
+            known = restore(_trailing.sub("", token), self._rows)
+            if len(token) <= _MAX_KNOWN:
+                self._known[token] = known
+        return known
+
+    def _single(self, word: str) -> list[str]:
+        """What a word of letters alone may have been without its repeated letters."""
+        known = self._plain.get(word)
+        if known is None:
+            if len(self._plain) > 300_000:
+                self._plain.clear()
+            known = _word.findall(self._restored(word)) if _repeated.search(word) else []
+            if len(word) <= _MAX_KNOWN:
+                self._plain[word] = known
         return known
 
     def words(self, text: str | None) -> set[str]:
         lowered = (text or "").lower()
         found = set(_word.findall(lowered))
+        for w in tuple(found):
+            if more := self._single(w):
+                found.update(more)
         if _suspect(lowered):
             for m in _disguised.finditer(lowered):
                 token = m[0]
-                if _is_disguised(token):
+                if not token.isalpha() and _is_disguised(token):
                     found.update(_word.findall(self._restored(token)))
         return found
 
 
 _suspect = re.compile(
-    r"[^\W\d_][0-9@$!|+(€._*~-]+[^\W\d_]|[0-9@$!|+(€][^\W\d_]|([^\W\d_])\1\1"
-    r"|(?<![^\W_])[^\W\d_](?: [^\W\d_]){3,}(?![^\W_])|[^\W\d_][0-9]").search
+    r"[^\W\d_][0-9@$!|+(€._*~-]+[^\W\d_]|[0-9@$!|+(€][^\W\d_]"
+    r"|(?<![^\W_])[^\W\d_](?: [^\W\d_])+(?![^\W_])|[^\W\d_][0-9]").search
 
 
 def features(word: str) -> list[str]:

@@ -80,3 +80,18 @@ def test_query_on_held_out_rows(spark):
         assert r.predicted == int(r.score >= 0.5)
     held = [(labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
     assert sum(a == b for a, b in held) >= 0.93 * len(held)
+
+
+def test_words_beside_and_within_spaced_runs(spark):
+    rng = np.random.default_rng(6)
+    texts = [(" ".join(rng.choice([*CLEAN, *TOXIC, "a", "y", "such"], 30)),) for _ in range(400)]
+    read = X.Reader(X.character_model(spark.createDataFrame(texts, "text string"))).words
+    for text, want in (("such a m o r o n", {"moron"}), ("y i d i o t a", {"idiot"}),
+                       ("s t u p i d m o r o n", {"stupid", "moron"}), ("i d i o t", {"idiot"}),
+                       ("s.t.u.p.i.d.m.o.r.o.n", {"stupid", "moron"}), ("o l d", {"old"}),
+                       ("b y", {"by"}), ("idiiot", {"idiot"}), ("moronn", {"moron"})):
+        assert want <= read(text), (text, read(text))
+    long = " ".join(" ".join(w) for w in ["the", "old", "house", "was", "quiet", "green"])
+    for n in range(8):  # wherever a cut every 64 characters would fall
+        assert "moron" in read(" ".join(["a"] * n + [long, "m o r o n", long])), n
+    assert "moron" in read("a." * 200_000 + "m.o.r.o.n")
