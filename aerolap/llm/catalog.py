@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from aerolap.llm import (
     bpe,
     covertree,
+    decontamination,
     jaccard,
     langid,
     licenses,
+    merkle,
     mixing,
     oracle,
     packing,
     quality,
     sharding,
     toxicity,
+    whitening,
 )
 from aerolap.llm.common import table
 
@@ -76,16 +79,31 @@ def op10_embedding_copies(spark, sf_dir):
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-QUERIES = {f.__name__: f for f in (op1_packed_rows, op2_license_scan, op3_balanced_shards, op4_source_mix, op5_toxicity, op6_page_language, op7_byte_bpe,
-                                   op8_quality_rules, op9_ngram_jaccard,
-                                   op10_embedding_copies)}
+def op11_whitened_embeddings(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
-#: Learning (5, 6), ids and packing (1, 7) and propagation (3) are not SQL; they are
-#: tested against brute force, round trips and held-out rows.
+
+def op12_decontamination(spark, sf_dir):
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packed_rows, op2_license_scan, op3_balanced_shards, op4_source_mix, op5_toxicity,
+    op6_page_language, op7_byte_bpe, op8_quality_rules, op9_ngram_jaccard, op10_embedding_copies,
+    op11_whitened_embeddings, op12_decontamination, op13_merkle_manifest)}
+
+#: Learning (5, 6), ids and packing (1, 7), propagation (3) and eigenvectors (11) are not SQL;
+#: they are tested against brute force, round trips and held-out rows.
 ORACLE_SQL = {
     "op2_license_scan": oracle.OP2_LICENSE_SCAN,
     "op4_source_mix": mixing.ORACLE_SQL,
     "op8_quality_rules": oracle.OP8_QUALITY_RULES,
     "op9_ngram_jaccard": oracle.OP9_NGRAM_JACCARD,
     "op10_embedding_copies": oracle.OP10_EMBEDDING_COPIES,
+    "op12_decontamination": decontamination.ORACLE_SQL,
+    "op13_merkle_manifest": merkle.ORACLE_SQL,
 }

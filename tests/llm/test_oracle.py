@@ -26,6 +26,6 @@ def test_equal_to_sql(spark, con, key):
 
 def test_all_are_registered():
     names = sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(E.queries())
     assert set(ORACLE_SQL) <= set(E.oracle_sql())
