@@ -11,7 +11,7 @@ Each command is one Spark job over a deployment layout rooted at
   check_null     null report of the raw CSV
   check_flags    cancelled / diverted profiles of the raw CSV
   check_months   out-of-range months and month distribution
-  check_errors   time-consistency report, bad rows with their source file, examples
+  check_errors   time-consistency report, bad rows with their source file and line, examples
   inspect_3_1 / inspect_3_2 / inspect_3_3 / inspect_outputs
                  the inspection views of a written result
 
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolap import sources as S
 from aerolap.operators import bands as B
+from aerolap.operators import compare as C
 from aerolap.operators import quality as Q
 from aerolap.operators import ranking as R
 from aerolap.operators import routes as A
@@ -112,10 +113,7 @@ def _inspect(command: str, read, args, emit: _Output) -> None:
     else:
         results = {t: read(t) for t in TASKS}
         emit("profile", V.profile(results))
-        if not args.quiet:
-            for df in results.values():
-                df.printSchema()
-                df.show(args.preview, truncate=False)
+        emit("overview", C.overview(results, args.preview))
 
 
 CHECKS = ("check_null", "check_flags", "check_months", "check_errors")
@@ -154,12 +152,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
                                          f"{base}/data/processed", sizes)
         elif args.command in TASKS:
             result = TASKS[args.command](S.read_flights(spark, lay.dataset(size)))
-            out["path"] = S.write_parquet(result, lay.result(args.command, size))
+            out["path"] = S.replace(result, lay.result(args.command, size))
         elif args.command in CHECKS:
             emit = _Output(spark, f"{base}/checks/{args.command}", args.quiet, args.preview)
             # the CSV is parsed once; what follows reads the typed copy
-            typed = S.write_parquet(S.read_raw_csv(spark, raw_path, source_file=True),
-                                    scratch_path(spark, "typed_raw"))
+            read = S.read_raw_csv_lines if args.command == "check_errors" else S.read_raw_csv
+            typed = S.write_parquet(read(spark, raw_path), scratch_path(spark, "typed_raw"))
             _check(args.command, spark.read.parquet(typed), emit)
             drop_scratch(spark, typed)
             out["paths"] = emit.paths

@@ -16,13 +16,18 @@ MINUTES_PER_DAY = 1440
 HALF_DAY = 720
 
 
-def hhmm_to_minutes(c) -> Column:
+def hhmm_to_minutes(c, numeric: bool = False) -> Column:
     """HHMM clock value -> minutes after midnight; 2400 -> 1440.
 
     Floor division and a non-negative remainder; text that is not a plain
-    number becomes null (``12d`` included).
+    number becomes null (``12d`` included). ``numeric`` says that the column
+    holds numbers, which need no look at their text; NaN and infinity become null.
     """
-    x = text_number(col_of(c).cast("string"))
+    if numeric:
+        x = col_of(c).cast("double")
+        x = F.when(F.abs(x) < float("inf"), x)
+    else:
+        x = text_number(col_of(c).cast("string"))
     return F.floor(x / 100).cast("double") * 60 + F.pmod(x, F.lit(100.0))
 
 

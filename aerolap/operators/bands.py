@@ -15,10 +15,12 @@ operators of their own over the same banded flights and the same aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolap.functions import band_rank, cancel_cause, flight_band
+from aerolap.functions import band_rank, cancel_cause, flight_band, ratio
 from aerolap.schema import BAND_CANCELLED, BAND_COLUMNS, CANCEL_CAUSES, DELAY_CAUSE_COLUMNS
 from aerolap.sources.files import materialise
 
@@ -66,25 +68,42 @@ def _top_k_sql(k: int) -> str:
             "s -> named_struct('cause', s.cause, 'cause_count', s.cause_count))")
 
 
-def _counters(flights: DataFrame) -> DataFrame:
-    """One row per group: flights, unrounded means and a counter per cause."""
+_COUNTERS = [f"_n_{c}" for c in (*DELAY_CAUSE_COLUMNS, *CANCEL_CAUSES.values())]
+
+
+def band_states(flights: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Mergeable rows: per group (and ``extra`` keys) flights, delay sums and counts, and a
+    counter per cause."""
     delays = [F.expr(f"count_if(`{c}` > 0) AS `_n_{c}`") for c in DELAY_CAUSE_COLUMNS]
     codes = [F.expr(f"count_if(cancellation_code = '{code}') AS `_n_{cause}`")
              for code, cause in CANCEL_CAUSES.items()]
-    return _banded(flights).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("num_flights"), F.avg("dep_delay").alias("_dep"),
-        F.avg("arr_delay").alias("_arr"), *delays, *codes)
+    return _banded(flights, extra).groupBy(*extra, *KEYS).agg(
+        F.count(F.lit(1)).alias("num_flights"),
+        F.sum("dep_delay").alias("_dep_sum"), F.count("dep_delay").alias("_dep_cnt"),
+        F.sum("arr_delay").alias("_arr_sum"), F.count("arr_delay").alias("_arr_cnt"),
+        *delays, *codes)
+
+
+def band_report_of(states: DataFrame, k: int = 3) -> DataFrame:
+    """A2 from any number of states, in any order (see ``operators.states``)."""
+    sums = ["num_flights", "_dep_sum", "_dep_cnt", "_arr_sum", "_arr_cnt", *_COUNTERS]
+    return _order(_report(states.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in sums]), k))
 
 
 def band_report(flights: DataFrame, k: int = 3, ordered: bool = True) -> DataFrame:
     """A2 in one scan and one aggregation (see the module note)."""
-    g = _counters(flights)
+    out = _report(band_states(flights), k)
+    return _order(out) if ordered else out
+
+
+def _report(g: DataFrame, k: int) -> DataFrame:
+    """The report, from one state per group."""
     flown = f"band <> '{BAND_CANCELLED}'"
-    out = g.selectExpr(
+    return g.selectExpr(
         *KEYS,
         "num_flights",
-        f"CASE WHEN {flown} THEN round(_dep, 2) END AS avg_dep_delay",
-        f"CASE WHEN {flown} THEN round(_arr, 2) END AS avg_arr_delay",
+        f"CASE WHEN {flown} THEN round(try_divide(_dep_sum, _dep_cnt), 2) END AS avg_dep_delay",
+        f"CASE WHEN {flown} THEN round(try_divide(_arr_sum, _arr_cnt), 2) END AS avg_arr_delay",
         f"{_top_k_sql(k)} AS _top",
     ).selectExpr(
         *KEYS,
@@ -95,15 +114,14 @@ def band_report(flights: DataFrame, k: int = 3, ordered: bool = True) -> DataFra
         "CASE WHEN size(_top) > 0 AND origin IS NOT NULL AND month IS NOT NULL "
         "THEN _top END AS top_causes",
     )
-    return _order(out) if ordered else out
 
 
 # ---------------------------------------------------------------------------
 # Parts of the report
 # ---------------------------------------------------------------------------
 
-def _banded(flights: DataFrame) -> DataFrame:
-    return flights.select(*BAND_COLUMNS).filter(_in_report()).withColumn(
+def _banded(flights: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return flights.select(*extra, *BAND_COLUMNS).filter(_in_report()).withColumn(
         "band", flight_band("cancelled", "dep_delay"))
 
 
@@ -154,13 +172,13 @@ def cause_counts(flights: DataFrame) -> DataFrame:
     The causes are counters of one aggregation over the flights; they are
     unpivoted after it, so no flight is multiplied before the shuffle.
     """
-    return _counters(flights).selectExpr(*KEYS, f"inline(filter({_CAUSES}, s -> s.cause_count > 0))"
-                                         ).drop("neg")
+    return band_states(flights).selectExpr(
+        *KEYS, f"inline(filter({_CAUSES}, s -> s.cause_count > 0))").drop("neg")
 
 
 def top_causes(flights: DataFrame, k: int = 3) -> DataFrame:
     """A2e / W1 / G5: first ``k`` causes per group, count desc then cause asc."""
-    return _counters(flights).selectExpr(*KEYS, f"{_top_k_sql(k)} AS top_causes").where(
+    return band_states(flights).selectExpr(*KEYS, f"{_top_k_sql(k)} AS top_causes").where(
         "size(top_causes) > 0")
 
 
@@ -170,12 +188,12 @@ def band_report_joined(flights: DataFrame, k: int = 3, ordered: bool = True) ->
     Both sides read the same written aggregate, so the flights are scanned
     once; a null key finds no causes, as an equality join has it.
     """
-    groups = materialise(_counters(flights), "band_groups")
+    groups = materialise(band_states(flights), "band_groups")
     causes = groups.selectExpr(*KEYS, f"{_top_k_sql(k)} AS top_causes").where(
         "size(top_causes) > 0")
     flown = F.col("band") != BAND_CANCELLED
     stats = groups.select(*KEYS, "num_flights",
-                          F.when(flown, F.round("_dep", 2)).alias("avg_dep_delay"),
-                          F.when(flown, F.round("_arr", 2)).alias("avg_arr_delay"))
+                          F.when(flown, F.round(ratio("_dep_sum", "_dep_cnt"), 2)).alias("avg_dep_delay"),
+                          F.when(flown, F.round(ratio("_arr_sum", "_arr_cnt"), 2)).alias("avg_arr_delay"))
     out = stats.join(causes, KEYS, "left")
     return _order(out) if ordered else out

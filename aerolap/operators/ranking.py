@@ -17,6 +17,8 @@ join-with-baseline form (J2), kept as an operator of its own.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +33,9 @@ def _rank_window():
                                                 F.col(CARRIER).asc())
 
 
-def _sums(flights: DataFrame) -> DataFrame:
+def _sums(flights: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Flights, delay sums and counts, and cancellations per (airport, carrier)."""
-    return flights.groupBy("origin", CARRIER).agg(
+    return flights.groupBy(*extra, "origin", CARRIER).agg(
         F.count(F.lit(1)).alias("num_flights"),
         *[f(c).alias(f"{c}_{n}") for c in ("dep_delay", "arr_delay", "cancelled")
           for n, f in (("sum", F.sum), ("n", F.count))])
@@ -45,36 +47,47 @@ def airport_baseline(flights: DataFrame) -> DataFrame:
         ratio(F.sum("dep_delay"), F.count("dep_delay")).alias("airport_avg_dep_delay"))
 
 
+def ranking_states(flights: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """A3 as mergeable states, per value of the ``extra`` columns."""
+    f = flights.select(*extra, "origin", CARRIER, "dep_delay", "arr_delay", "cancelled")
+    return _sums(f.filter(F.col("origin").isNotNull()), extra)
+
+
+def carrier_ranking_of(states: DataFrame) -> DataFrame:
+    """A3 from any number of states, in any order (see ``operators.states``)."""
+    sums = [c for c in states.columns if c == "num_flights" or c.endswith(("_sum", "_n"))]
+    merged = states.groupBy("origin", CARRIER).agg(*[F.sum(c).alias(c) for c in sums])
+    return _ranked(merged).orderBy("origin", "rank")
+
+
 def carrier_ranking(flights: DataFrame, ordered: bool = True) -> DataFrame:
     """A3, single pass: aggregate by (origin, carrier), window over origin.
 
     Null origins are left out (the reference's inner join drops them).
     """
-    f = flights.select("origin", CARRIER, "dep_delay", "arr_delay", "cancelled").filter(
-        F.col("origin").isNotNull()
-    )
-    per = f.groupBy("origin", CARRIER).agg(
-        F.count(F.lit(1)).alias("num_flights"),
-        F.sum("dep_delay").alias("_dep_sum"),
-        F.count("dep_delay").alias("_dep_cnt"),
-        F.avg("arr_delay").alias("_arr_avg"),
-        F.avg("cancelled").alias("_canc_avg"),
-    )
-    # The airport sums use the rank's partition and order with a whole-partition
-    # frame, so both windows share one sort and one Window operator.
+    out = _ranked(ranking_states(flights))
+    return out.orderBy("origin", "rank") if ordered else out
+
+
+def _ranked(per: DataFrame) -> DataFrame:
+    """The ranking, from one state per (airport, carrier).
+
+    The airport sums use the rank's partition and order with a whole-partition
+    frame, so both windows share one sort and one Window operator.
+    """
     ranked = _rank_window()
     airport = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    base = ratio(F.sum("_dep_sum").over(airport), F.sum("_dep_cnt").over(airport))
-    out = (
+    base = ratio(F.sum("dep_delay_sum").over(airport), F.sum("dep_delay_n").over(airport))
+    return (
         per.select(
             "origin",
             CARRIER,
             "num_flights",
-            F.round(ratio("_dep_sum", "_dep_cnt"), 2).alias("avg_dep_delay"),
-            F.round("_arr_avg", 2).alias("avg_arr_delay"),
-            F.round("_canc_avg", 4).alias("cancel_rate"),
-            "_dep_sum",
-            "_dep_cnt",
+            F.round(ratio("dep_delay_sum", "dep_delay_n"), 2).alias("avg_dep_delay"),
+            F.round(ratio("arr_delay_sum", "arr_delay_n"), 2).alias("avg_arr_delay"),
+            F.round(ratio("cancelled_sum", "cancelled_n"), 4).alias("cancel_rate"),
+            "dep_delay_sum",
+            "dep_delay_n",
         )
         .select("*", base.alias("_base"), F.row_number().over(ranked).alias("rank"))
         .select(
@@ -83,7 +96,6 @@ def carrier_ranking(flights: DataFrame, ordered: bool = True) -> DataFrame:
             "rank",
         )
     )
-    return out.orderBy("origin", "rank") if ordered else out
 
 
 def carrier_ranking_joined(flights: DataFrame, ordered: bool = True) -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolap.functions import elapsed, hhmm_to_minutes, timezone_ok, wrap_24h
 from aerolap.operators._rows import keep_where
@@ -43,8 +44,11 @@ def flown(df: DataFrame) -> DataFrame:
 
 def with_expected(raw: DataFrame) -> DataFrame:
     """Q16: add an expected value per rule, computed from its two clocks."""
+    def minutes(clock: str):
+        return hhmm_to_minutes(clock, isinstance(raw.schema[clock].dataType, T.NumericType))
+
     return raw.select("*", *[
-        _MINUTES[how](hhmm_to_minutes(start), hhmm_to_minutes(end)).alias(EXPECTED[field])
+        _MINUTES[how](minutes(start), minutes(end)).alias(EXPECTED[field])
         for field, (start, end, how) in RULES.items()])
 
 

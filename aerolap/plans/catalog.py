@@ -25,9 +25,11 @@ from aerolap.functions import (
     route_key,
 )
 from aerolap.operators import bands as B
+from aerolap.operators import compare as C
 from aerolap.operators import quality as Q
 from aerolap.operators import ranking as R
 from aerolap.operators import scale as D
+from aerolap.operators import states as ST
 from aerolap.operators import timechecks as TC
 from aerolap.operators import views as V
 from aerolap.operators.clean import cast_types, clean, normalise_codes
@@ -223,6 +225,22 @@ def q_dq_bad_rows(spark, sf_dir):
     return TC.bad_rows(raw_flights(spark, sf_dir))
 
 
+def _with_line_ends(raw: DataFrame) -> DataFrame:
+    """City names of two lines, and quotes, in some rows."""
+    return raw.withColumn("origin_city_name", F.when(F.col("l_linenumber") == 2, F.concat(
+        F.lit('The "big"\n'), F.col("origin_city_name"))).otherwise(F.col("origin_city_name")))
+
+
+def q_dq_bad_rows_lines(spark, sf_dir):
+    """Bad rows with the line and record that they have in their CSV file."""
+    raw = _with_line_ends(raw_flights(spark, sf_dir)).withColumn("part", F.col("l_orderkey") % 3)
+    path = S.write_csv(raw.repartition("part").sortWithinPartitions("part", *KEY_COLUMNS),
+                       scratch_path(spark, "raw_csv"), partition_by=["part"])
+    bad = TC.bad_rows(S.read_raw_csv_lines(spark, path, schema=FIXTURE_SCHEMA))
+    return bad.select(*KEY_COLUMNS, "origin_city_name", "source_line", "source_record",
+                      F.regexp_extract("source_file", r"part=(\d+)", 1).cast("long").alias("part"))
+
+
 def q_dq_error_examples(spark, sf_dir):
     return TC.error_examples(raw_flights(spark, sf_dir), keys=KEY_COLUMNS)
 
@@ -319,6 +337,22 @@ def q_scale_sample(spark, sf_dir):
     return D.keyed_sample(flights(spark, sf_dir), 0.25, KEY_COLUMNS)
 
 
+def q_scale_exact_sample(spark, sf_dir):
+    return D.exact_sample(flights(spark, sf_dir), 0.25, KEY_COLUMNS)
+
+
+def q_scale_sizes(spark, sf_dir):
+    """Every dataset size, written in one pass: rows and the sum of a key of each."""
+    paths = D.write_sizes(flights(spark, sf_dir), scratch_path(spark, "datasets"), keys=KEY_COLUMNS)
+    parts = [spark.read.parquet(p).agg(
+        F.lit(S.size_label(s)).alias("label"), F.count(F.lit(1)).alias("row_count"),
+        F.sum("l_orderkey").alias("key_sum")) for s, p in paths.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_scale_identity(spark, sf_dir):
     return D.scale(flights(spark, sf_dir), 1)
 
@@ -379,6 +413,24 @@ def q_scan_csv_quoted(spark, sf_dir):
     return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
 
 
+def q_scan_csv_inferred(spark, sf_dir):
+    """Types from the file itself; the table has the declared ones."""
+    path = S.write_csv(raw_flights(spark, sf_dir), scratch_path(spark, "raw_csv"))
+    return S.read_csv_inferred(spark, path)
+
+
+def q_scan_csv_widened(spark, sf_dir):
+    """A second file with halves among the whole numbers and words among the dates."""
+    raw = raw_flights(spark, sf_dir).withColumn("fl_date", F.col("fl_date").cast("string"))
+    path = scratch_path(spark, "raw_csv")
+    odd = F.col("l_linenumber") == 7
+    S.write_csv(raw.where(~odd), f"{path}/a")
+    S.write_csv(raw.where(odd).withColumns({
+        "crs_dep_time": F.concat(F.col("crs_dep_time").cast("string"), F.lit(".5")),
+        "fl_date": F.lit("unknown")}), f"{path}/b")
+    return S.read_csv_inferred(spark, [f"{path}/a", f"{path}/b"])
+
+
 def _cleaned_parquet(spark, sf_dir):
     return S.write_parquet(flights(spark, sf_dir), scratch_path(spark, "flights"))
 
@@ -487,6 +539,53 @@ def q_inspect_profile(spark, sf_dir):
                       "carrier_ranking": _ranking(spark, sf_dir)})
 
 
+def q_inspect_variants(spark, sf_dir):
+    """Differences of two variants of a report: rows that one lacks, and other counts."""
+    left = S.materialise(route_stats(flights(spark, sf_dir), ordered=False), "route_stats")
+    left = with_text(left, ints=("months",))
+    n = F.col("num_flights")
+    right = left.where(n % 7 != 0).withColumns({
+        "num_flights": F.when(n % 5 == 1, n + 1).otherwise(n),
+        "avg_arr_delay": F.col("avg_arr_delay") + 1e-9})
+    extra = left.where(n % 7 == 3).withColumn("route", F.concat("route", F.lit("*")))
+    return C.diff(left, right.unionByName(extra), ["op_unique_carrier", "route"],
+                  {"avg_arr_delay": 1e-6})
+
+
+def q_sink_replace_partitions(spark, sf_dir):
+    """A partitioned table of which two months are written again."""
+    f = flights(spark, sf_dir)
+    path = scratch_path(spark, "flights_by_month")
+    S.replace_partitions(f, path, ["month"])
+    S.replace_partitions(f.where(F.col("month").isin(3, 4)).withColumn(
+        "dep_delay", F.col("dep_delay") + 1), path, ["month"])
+    return spark.read.schema(f.schema).parquet(path)
+
+
+def _from_states(analysis: str) -> Query:
+    """The analysis from states of input files, after one came and one was written again."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        f = flights(spark, sf_dir)
+        folder, store = scratch_path(spark, "inputs"), scratch_path(spark, "states")
+        line = F.col("l_linenumber") % 4
+        for part in (0, 1, 2):
+            S.write_parquet(f.where(line == part), f"{folder}/{part}")
+        ST.update(spark, [folder], store, analysis)
+        S.write_parquet(f.where(line == 3), f"{folder}/3")
+        S.write_parquet(f.where(line == 1).withColumn("arr_delay", F.col("arr_delay") + 3), f"{folder}/1")
+        ST.update(spark, [folder], store, analysis)
+        return with_text(ST.report(spark, store, analysis),
+                         ints=("months",) if analysis == "route_stats" else (),
+                         causes=("top_causes",) if analysis == "band_report" else ())
+    return q
+
+
+def q_route_months_wide(spark, sf_dir):
+    """Month numbers far outside the calendar."""
+    wide = flights(spark, sf_dir).withColumn("month", F.col("month") * 37 - 150)
+    return with_text(route_months(wide), ints=("months",))
+
+
 def _neutral(q: Query) -> Query:
     """The query with date columns given as ISO text (see ``plans.output``)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -569,5 +668,16 @@ QUERIES: dict[str, Query] = {
     "inspect_distinct": q_inspect_distinct,
     "inspect_ranking_summary": q_inspect_ranking_summary,
     "inspect_profile": q_inspect_profile,
+    "inspect_variants": q_inspect_variants,
+    "dq_bad_rows_lines": q_dq_bad_rows_lines,
+    "scan_csv_inferred": q_scan_csv_inferred,
+    "scan_csv_widened": q_scan_csv_widened,
+    "scale_exact_sample": q_scale_exact_sample,
+    "scale_sizes": q_scale_sizes,
+    "sink_replace_partitions": q_sink_replace_partitions,
+    "route_months_wide": q_route_months_wide,
+    "route_stats_states": _from_states("route_stats"),
+    "band_report_states": _from_states("band_report"),
+    "carrier_ranking_states": _from_states("carrier_ranking"),
 }
 QUERIES = {k: _neutral(q) for k, q in QUERIES.items()}

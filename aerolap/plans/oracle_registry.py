@@ -9,7 +9,8 @@ from aerolap.schema import BAND_COLUMNS, RANKING_COLUMNS
 # Keys whose result has the date column ``fl_date``: given as ISO text.
 DATE_KEYS = {"scan_csv", "scan_parquet", "clean_flights", "scale_identity", "scale_replicate_2",
              "scale_replicate_4", "dq_bad_rows", "scale_sample", "scan_csv_by_name",
-             "scan_csv_decimal_ints", "scan_csv_quoted"}
+             "scan_csv_decimal_ints", "scan_csv_quoted", "scan_csv_inferred", "scale_exact_sample",
+             "sink_replace_partitions"}
 
 
 def _date_text(sql: str) -> str:
@@ -90,5 +91,16 @@ ORACLE_SQL: dict[str, str] = {
     "inspect_distinct": O.INSPECT_DISTINCT,
     "inspect_ranking_summary": O.INSPECT_RANKING_SUMMARY,
     "inspect_profile": O.INSPECT_PROFILE,
+    "inspect_variants": O.INSPECT_VARIANTS,
+    "dq_bad_rows_lines": O.DQ_BAD_ROWS_LINES,
+    "scan_csv_inferred": O.SCAN_CSV,
+    "scan_csv_widened": O.SCAN_CSV_WIDENED,
+    "scale_exact_sample": O.SCALE_EXACT_SAMPLE,
+    "scale_sizes": O.SCALE_SIZES,
+    "sink_replace_partitions": O.SINK_REPLACE_PARTITIONS,
+    "route_months_wide": O.ROUTE_MONTHS_WIDE,
+    "route_stats_states": O.with_later_arrivals(O.ROUTE_STATS),
+    "band_report_states": O.with_later_arrivals(O.BAND_REPORT),
+    "carrier_ranking_states": O.with_later_arrivals(O.CARRIER_RANKING),
 }
 ORACLE_SQL = {k: (_date_text(v) if k in DATE_KEYS else v) for k, v in ORACLE_SQL.items()}

@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,44 +57,69 @@ def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(n.strip().lower() for n in next(csv.reader([line.lstrip("\ufeff")]), []))
 
 
+def files_by_header(spark: SparkSession, path: str | Sequence[str]
+                    ) -> dict[tuple[str, ...], list[str]]:
+    """The data files under the paths, by the column names in their first line."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file in _data_files(spark, [path] if isinstance(path, str) else list(path)):
+        out.setdefault(_header(spark, file), []).append(file)
+    return out
+
+
+def text_columns(header: Sequence[str]) -> T.StructType:
+    """All columns of a file with this header, as text, named by position."""
+    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+
+
+def typed_columns(header: Sequence[str], schema: T.StructType, na_tokens: Sequence[str],
+                  file: str, missing_as_null: bool = False) -> list[Column]:
+    """The columns of ``schema`` from the :func:`text_columns` of a file.
+
+    A name that the header has not exactly once is an error; with
+    ``missing_as_null`` a name that it lacks gives nulls.
+    """
+    wanted = [f.name.lower() for f in schema.fields]
+    if missing := [n for n in wanted if header.count(n) != 1
+                   and not (missing_as_null and n not in header)]:
+        raise ValueError(f"not exactly one column {', '.join(missing)} in {file}")
+    out = []
+    for f, name in zip(schema.fields, wanted, strict=True):
+        if name not in header:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f"c{header.index(name)}")
+        v = F.when(~c.isin(list(na_tokens)), c)
+        out.append((v if isinstance(f.dataType, T.StringType)
+                    else lenient(v, T.StringType(), f.dataType)).alias(f.name))
+    return out
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType = RAW_SCHEMA,
     na_tokens: Sequence[str] = NA_TOKENS,
     source_file: bool = False,
+    missing_as_null: bool = False,
 ) -> DataFrame:
     """Raw flight CSV with a header -> typed DataFrame.
 
     Columns are found by their header names (any order, any case, extra ones
     ignored); files with different headers are mapped each, and a missing
-    column is an error. Quotes inside values are doubled, as usual. Every cell
+    column is an error, or null with ``missing_as_null``. Quotes inside values are doubled, as usual. Every cell
     is read as text, an NA token becomes null, and the text is converted
     leniently: dirty values give null, ``1.0`` is the integer 1. With
     ``source_file`` a column of that name tells the file each row came from
-    (provenance of bad rows; line numbers have no meaning in a split read).
+    (provenance of bad rows; ``sources.lines`` gives their lines as well).
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in _data_files(spark, [path] if isinstance(path, str) else list(path)):
-        by_header.setdefault(_header(spark, file), []).append(file)
-    wanted = [f.name.lower() for f in schema.fields]
-    tokens = list(na_tokens)
     parts = []
-    for header, files in by_header.items():
-        if missing := [n for n in wanted if header.count(n) != 1]:
-            raise ValueError(f"not exactly one column {', '.join(missing)} in {files[0]}")
-        names = [f"c{i}" for i in range(len(header))]
+    for header, files in files_by_header(spark, path).items():
         text = (
-            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            spark.read.schema(text_columns(header))
             .option("header", True).option("mode", "PERMISSIVE")
             .option("quote", '"').option("escape", '"').csv(files)
         )
-        out = []
-        for f in schema.fields:
-            c = F.col(names[header.index(f.name.lower())])
-            v = F.when(~c.isin(tokens), c)
-            out.append((v if isinstance(f.dataType, T.StringType)
-                        else lenient(v, T.StringType(), f.dataType)).alias(f.name))
+        out = typed_columns(header, schema, na_tokens, files[0], missing_as_null)
         if source_file:
             out.append(F.col("_metadata.file_path").alias("source_file"))
         parts.append(text.select(*out))
@@ -131,7 +156,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Overwrite ``path`` with ``df`` as CSV with a header.
 
     Standard quoting (a quote inside a value is doubled), so other readers
@@ -139,7 +164,7 @@ def write_csv(df: DataFrame, path: str) -> str:
     default).
     """
     (
-        df.write.mode("overwrite")
+        df.write.mode("overwrite").partitionBy(*partition_by)
         .option("header", True)
         .option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
