@@ -220,10 +220,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                           F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
     good = rows.where(usable(F.col("vector")) & F.col("label").isNotNull()
                       & F.col("vec_id").isNotNull())
+    # a point is known by a number of its own (``rep``): different vectors may share their
+    # smallest id
     points, points_path = written(
-        good.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"),
+        good.groupBy("label", "vector").agg(F.min("vec_id").alias("least_id"),
                                             F.count(F.lit(1)).alias("mult"))
-        .withColumn("dim", F.size("vector")), "vector_points")
+        .withColumn("dim", F.size("vector")).withColumn("rep", F.monotonically_increasing_id()),
+        "vector_points")
 
     # centres: a share of the points by hash, at most max_centres in all
     n = points.count()
@@ -287,14 +290,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     linked = components(found.select("rep", "other"))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named, _ = written(
+    placed, placed_path = written(
         points.join(counts, "rep", "left")
         .join(linked.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(F.col("label").alias("_label"), F.col("vector").alias("_vector"),
-                F.coalesce("component", "rep").alias("_component"),
+        .select(F.col("label").alias("_label"), F.col("vector").alias("_vector"), "least_id",
+                F.coalesce("component", "rep").alias("_group"),
                 (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("_links")),
-        "vector_named")
-    discard(spark, points_path)
+        "vector_placed")
+    heads = placed.groupBy("_group").agg(F.min("least_id").alias("_component"))
+    named, _ = written(placed.join(heads, "_group").select(
+        "_label", "_vector", "_component", "_links"), "vector_named")
+    discard(spark, points_path, placed_path)
     own = (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector"))
     joined = rows.join(named, own & F.col("vec_id").isNotNull(), "left")
     component = F.coalesce("_component", "vec_id")

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolap.llm.common import discard, written
+from aerolap.llm.common import discard, released, written
 from aerolap.llm.components import components
 
 #: A task compares at most two blocks of so many sets and shingles.
@@ -373,20 +373,40 @@ def _tokens(k: int):
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
-         percent: int = 90, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES,
-         broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+         percent: int = 90, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links.
 
-    ``n_links`` counts the other rows that link directly, copies included.
+    ``n_links`` counts the other rows that link directly, copies included. The options
+    are those of :func:`linked_classes`.
+    """
+    members, named = linked_classes(docs, id_col, text_col, k, percent, **options)
+    same = (members["f1"] == named["f1"]) & (members["f2"] == named["f2"])
+    return members.join(named, same & members["doc_id"].isNotNull(), "left").select(
+        "doc_id", "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def linked_classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
+                   block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES,
+                   broadcast_ids: int = BROADCAST_IDS) -> tuple[DataFrame, DataFrame]:
+    """The documents with their sets' fingerprints, and the classes with their components.
+
+    First (doc_id, n_shingles, f1, f2) per document; then per class f1, f2, least_id,
+    component_id, n_links, and ``leads`` for one class of each component: of those that have
+    the smallest id the one with the smallest fingerprint.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     members, _ = written(rows.mapInArrow(
-        _sets(k), "doc_id long, n_shingles long, f1 long, f2 long"), "jaccard_members")
+        released(_sets(k)), "doc_id long, n_shingles long, f1 long, f2 long"), "jaccard_members")
+    # a class is known by a number of its own (``rep``): classes of different texts may
+    # share their smallest id
     classes, classes_path = written(
         members.where("f1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("mult"),
-            F.first("n_shingles").alias("n")), "jaccard_classes")
+            F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("mult"),
+            F.first("n_shingles").alias("n")).withColumn("rep", F.monotonically_increasing_id()),
+        "jaccard_classes")
 
     # a key's list is linked through its smallest class; a list has at most one
     # row per class and task, and every set has many keys, so no list is a
@@ -394,7 +414,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     known = rows.where("doc_id IS NOT NULL")
     common = spark.sparkContext.broadcast(_common(known, k))
     index = known.select("text").mapInArrow(
-        _index(k, percent, common), "block_key long, node long")
+        released(_index(k, percent, common)), "block_key long, node long")
     listed = index.select("node", F.expr("min(node) OVER (PARTITION BY block_key)").alias("least"))
     pairs = listed.where("node <> least").distinct()
     groups = components(pairs.select("least", "node"))
@@ -432,19 +452,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         units.where("first <> second").select("grp", "first", "second", "unit",
                                               F.col("second").alias("block")))
     parted = candidates.join(sizes, ["grp", "bucket"]).select(
-        "grp", "rep", "mult", "f1", "f2", F.when(F.col("small"), 0).otherwise(
+        "grp", "rep", "least_id", "mult", "f1", "f2", F.when(F.col("small"), 0).otherwise(
             F.col("bucket").cast("long") * (1 << 32)
             + F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block"))
     places, places_path = written(
-        parted.join(units, ["grp", "block"]).groupBy("rep", "mult", "f1", "f2", "block").agg(
+        parted.join(units, ["grp", "block"]).groupBy("rep", "least_id", "mult", "f1", "f2", "block").agg(
             F.collect_list(F.struct("unit", "grp", "first", "second")).alias("units")),
         "jaccard_places")
     n_places = places.agg(F.sum(F.size("units"))).first()[0] or 0
     texts = rows.join(F.broadcast(places) if n_places <= broadcast_ids else places,
-                      rows["doc_id"] == places["rep"]).select(
+                      rows["doc_id"] == places["least_id"]).select(
         "rep", "mult", "f1", "f2", "block", "units", "text")
     sets = texts.mapInArrow(
-        _tokens(k), texts.drop("text").schema.add("tokens", "binary"))
+        released(_tokens(k)), texts.drop("text").schema.add("tokens", "binary"))
     found, _ = written(
         sets.select("rep", "mult", "f1", "f2", "block", "tokens", F.inline("units"))
         .groupBy("unit").applyInArrow(_compare(percent), "rep long, other long, links long"),
@@ -453,33 +473,52 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
     linked = components(found.select("rep", "other"))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named, _ = written(
+    placed, placed_path = written(
         classes.join(counts, "rep", "left")
         .join(linked.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("f1", "f2", F.coalesce("component", "rep").alias("component_id"),
+        .select("f1", "f2", "least_id", F.coalesce("component", "rep").alias("component"),
                 (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
-        "jaccard_named")
-    discard(spark, classes_path)
-    same = (members["f1"] == named["f1"]) & (members["f2"] == named["f2"])
-    return members.join(named, same & members["doc_id"].isNotNull(), "left").select(
-        "doc_id", "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "jaccard_placed")
+    heads = placed.groupBy("component").agg(F.min(F.struct("least_id", "f1", "f2")).alias("head"))
+    named, _ = written(
+        placed.join(heads, "component").select(
+            "f1", "f2", "least_id", F.col("head.least_id").alias("component_id"), "n_links",
+            (F.struct("least_id", "f1", "f2") == F.col("head")).alias("leads")), "jaccard_named")
+    discard(spark, classes_path, placed_path)
+    return members, named
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
              percent: int = 80, **options) -> DataFrame:
     """One document of each component (the smallest id); columns as in ``docs``.
 
-    Rows without words or without an id stay. Rows that repeat a kept id are
-    one document, of which one row stays.
+    Rows without words or without an id stay. Rows that share an id are told apart by
+    their texts: of rows equal in both one stays, others are each kept or not by
+    their own component.
     """
-    kept, _ = written(
-        join(docs, id_col, text_col, k, percent, **options).where("component_id = doc_id")
-        .select(F.col("doc_id").alias("__kept_id")), "jaccard_kept")
-    n, ids = kept.agg(F.count(F.lit(1)), F.count_distinct("__kept_id")).first()
-    stay = docs.join(kept.distinct() if n > ids else kept,
-                     docs[id_col].cast("long") == F.col("__kept_id"), "left_semi")
-    if n > ids:
-        stay = stay.dropDuplicates([id_col])
-    return stay.unionByName(docs.where(docs[id_col].isNull()))
+    members, named = linked_classes(docs, id_col, text_col, k, percent, **options)
+    heads = named.where("leads").select("f1", "f2", F.col("least_id").alias("__head"))
+    known = members.where("doc_id IS NOT NULL")
+    n, ids = known.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    nameless = docs.where(docs[id_col].isNull())
+    if n == ids:
+        stay, _ = written(heads.select("__head").union(
+            known.where("f1 IS NULL").select("doc_id")), "jaccard_kept")
+        return docs.join(stay, docs[id_col].cast("long") == F.col("__head"),
+                         "left_semi").unionByName(nameless)
+
+    # repeated ids: the text of each row decides, by its set
+    @F.arrow_udf("struct<f1 long, f2 long>")
+    def mark(texts: pa.Array) -> pa.Array:
+        shingles = Shingler(k)
+        marks = [fingerprint(s) if len(s) else (None, None) for s in map(shingles, texts.to_pylist())]
+        return pa.StructArray.from_arrays(
+            [pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)], ["f1", "f2"])
+
+    marked, _ = written(docs.where(docs[id_col].isNotNull()).withColumn(
+        "__mark", mark(F.col(f"`{text_col}`"))), "jaccard_marked")
+    own = ((marked[id_col].cast("long") == heads["__head"])
+           & (marked["__mark"]["f1"] == heads["f1"]) & (marked["__mark"]["f2"] == heads["f2"]))
+    stay = marked.join(heads, own, "left_semi").dropDuplicates([id_col, "__mark"])
+    wordless = marked.where(marked["__mark"]["f1"].isNull())
+    return stay.unionByName(wordless).drop("__mark").unionByName(nameless)

@@ -105,3 +105,11 @@ def test_empty_and_clashing_names(spark):
                                "vec_id long, label int, embedding array<float>, n_links string")
     assert sorted(tuple(r) for r in C.near_duplicates(df).collect()) == [(1, 1, 1, True)] * 2
     assert C.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_vectors_that_share_an_id_are_judged_by_themselves(spark):
+    df = spark.createDataFrame(
+        [(1, 0, [1.0, 0.0]), (5, 0, [1.0, 0.01]), (5, 0, [0.0, 1.0]), (1, 0, [-1.0, 0.0]), (7, 0, [-1.0, 0.01])],
+        "vec_id long, label int, embedding array<float>")
+    got = sorted((r.vec_id, r.component_id, r.n_links, r.kept) for r in C.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (5, 1, 1, False), (5, 5, 0, True), (7, 1, 1, False)]

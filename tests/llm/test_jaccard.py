@@ -125,3 +125,61 @@ def test_repeated_ids_nulls_extra_columns_and_empty(spark):
     assert kept.columns == df.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
     assert J.join(df.limit(0)).count() == 0 and J.keep_one(df.limit(0)).count() == 0
+
+
+def _brute_rows(rows, k, percent):
+    """(id, component id, links) and kept rows, each row judged by its own text."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    known = [i for i, (d, _) in enumerate(rows) if d is not None and sets[i]]
+    links = {i: [j for j in known if j != i and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+             for i in known}
+    group = {}
+    for i in known:
+        if i in group:
+            continue
+        todo, seen = [i], {i}
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        group |= dict.fromkeys(seen, frozenset(seen))
+    out = [(d, min(rows[j][0] for j in group[i]) if i in group else d, len(links.get(i, ())))
+           for i, (d, _) in enumerate(rows)]
+    return out, [min(rows[j][0] for j in g) for g in set(group.values())]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    a, b = "a b c d e f g h i j k l", "q r s t u v w x y z"
+    near = a + " m"
+    for rows in ([(1, a), (5, near), (5, b)], [(1, a), (1, b), (2, near), (3, "no link at all")],
+                 [(1, a), (1, near), (1, b), (2, b)]):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        want, heads = _brute_rows(rows, 3, 80)
+        got = J.join(df, k=3, percent=80).collect()
+        assert sorted((r.doc_id, r.component_id, r.n_links) for r in got) == sorted(want)
+        kept = [(r.doc_id, r.text) for r in J.keep_one(df, k=3, percent=80).collect()]
+        assert sorted(d for d, _ in kept) == sorted(heads) and len(set(kept)) == len(kept)
+
+
+def test_random_tables_with_repeated_ids(spark):
+    rng = np.random.default_rng(7)
+    words = list("abcdefghijklmnopqrstuvwxyz")
+    for seed in range(2):
+        base = [list(rng.choice(words, 20)) for _ in range(5)]
+        rows = []
+        for _ in range(60):
+            w = list(base[rng.integers(5)])
+            for _ in range(rng.integers(3)):
+                w[rng.integers(20)] = str(rng.choice(words))
+            rows.append((None if rng.random() < .05 else int(rng.integers(1, 15)),
+                         None if rng.random() < .05 else " ".join(w)))
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        want, heads = _brute_rows(rows, 3, 60)
+        got = J.join(df, k=3, percent=60).collect()
+        assert sorted(((r.doc_id, r.component_id, r.n_links) for r in got), key=repr) == sorted(want, key=repr)
+        kept = [r for r in J.keep_one(df, k=3, percent=60).collect() if r.doc_id is not None and r.text]
+        assert sorted(r.doc_id for r in kept) == sorted(heads)
