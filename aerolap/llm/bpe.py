@@ -30,6 +30,7 @@ are left alone. Ids are held as one binary per text, little-endian unsigned
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 
 import numpy as np
@@ -40,6 +41,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolap.llm import common
+from aerolap.llm.common import released
+
 #: Vocabularies are fixed files of about 1 MB; a larger one is refused as broadcast.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
 LEAF = 32
@@ -59,21 +63,12 @@ _SPACE = "[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x{85}]"
 _CANNOT_CUT = f"^[ \\n]|[ \\n]$|{_SPACE}[ \\n]|\\n{_SPACE}"
 #: A word of letters, perhaps with one mark, as the pattern cuts it: each group is one match.
 _SIMPLE = "^(?P<nl>\\n?)(?P<main> ?\\p{L}+)(?P<mark>[.,;:!?]?)$"
-_BATCH = 6 << 20  # bytes of text handled together
+_BATCH = 2 << 20  # bytes of text handled together
 
 
 def text_slices(texts: pa.Array):
-    """(start, length) of neighbouring texts of together about ``_BATCH`` bytes, which
-    bounds what a task holds at once; a longer text stands alone."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-    start = total = 0
-    for i, n in enumerate(sizes.tolist()):
-        if total and total + n > _BATCH:
-            yield start, i - start
-            start, total = i, 0
-        total += n
-    if start < len(sizes):
-        yield start, len(sizes) - start
+    """Neighbouring texts of together about ``_BATCH`` bytes."""
+    return common.text_slices(texts, _BATCH)
 
 
 def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -405,33 +400,60 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     return run(ids)
 
 
+DIGESTS = T.StructType([T.StructField("n_tokens", T.LongType()),
+                        T.StructField("ids_sha256", T.StringType()),
+                        T.StructField("decoded_sha256", T.StringType())])
+
+
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
-                     out: str = "ids", decoded: str | None = None) -> DataFrame:
+                     out: str | None = "ids", decoded: str | None = None,
+                     digests: bool = False) -> DataFrame:
     """``docs`` with the text replaced by its packed ids, as column ``out`` at the end.
 
     With ``decoded``, a further column of that name holds the bytes that the ids
-    decode to. This is a step of its own in the plan (not a column function), so
-    that no later expression makes Spark encode a text twice.
+    decode to. With ``digests``, the columns of :data:`DIGESTS` follow: the number
+    of ids, and the SHA-256 of the packed ids and of the bytes they decode to,
+    taken in the worker, so that neither has to leave it (``out`` may be None then).
+    This is a step of its own in the plan (not a column function), so that no
+    later expression makes Spark encode a text twice.
     """
-    others = [c for c in docs.columns if c not in (text_col, out, decoded)]
-    names = [*others, out, *([decoded] if decoded else [])]
+    made = [*([out] if out else []), *([decoded] if decoded else [])]
+    kept = [*made, *(DIGESTS.names if digests else [])]
+    others = [c for c in docs.columns if c not in (text_col, *kept)]
+    names = [*others, *kept]
+
+    def columns_of(bpe: Bpe, part: pa.RecordBatch) -> list:
+        packed = bpe.encode_batch(part.column(len(others)))
+        columns = [*part.columns[:-1], *([packed] if out else [])]
+        texts: list[bytes] = []
+        marks: tuple[list, list, list] = ([], [], [])
+        for x in packed if decoded or digests else ():
+            ids = x.as_py()
+            text = bpe.decode(ids)
+            if decoded:
+                texts.append(text)
+            if digests:
+                marks[0].append(len(ids) // 4)
+                marks[1].append(hashlib.sha256(ids).hexdigest())
+                marks[2].append(hashlib.sha256(text).hexdigest())
+        if decoded:
+            columns.append(pa.array(texts, pa.binary()))
+        if digests:
+            columns += [pa.array(m, t) for m, t in zip(marks, (pa.int64(), pa.string(), pa.string()))]
+        return columns
 
     def run(batches):
         bpe = vocabulary.bpe()
         for batch in batches:
             for at, n in text_slices(batch.column(batch.num_columns - 1)):
-                part = batch.slice(at, n)
-                columns = [*part.columns[:-1], bpe.encode_batch(part.column(len(others)))]
-                if decoded:
-                    columns.append(pa.array((bpe.decode(x.as_py()) for x in columns[-1]),
-                                            pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns_of(bpe, batch.slice(at, n)), names)
             pa.default_memory_pool().release_unused()
 
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`"))
     schema = T.StructType([*rows.schema.fields[:-1],
-                           *[T.StructField(c, T.BinaryType()) for c in names[len(others):]]])
-    return rows.mapInArrow(run, schema)
+                           *[T.StructField(c, T.BinaryType()) for c in made],
+                           *(DIGESTS.fields if digests else [])])
+    return rows.mapInArrow(released(run), schema)
 
 
 def token_ids(packed: bytes) -> list[int]:

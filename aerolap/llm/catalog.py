@@ -60,11 +60,8 @@ def op6_page_language(spark, sf_dir):
 
 
 def op7_byte_bpe(spark, sf_dir):
-    rows = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                vocabulary(spark), decoded="decoded")
-    return rows.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                vocabulary(spark), out=None, digests=True)
 
 
 def op8_quality_rules(spark, sf_dir):

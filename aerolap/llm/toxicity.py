@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolap.llm.common import written
+from aerolap.llm.common import release, written
 
 FIT_ROWS = 16_000
 PREFIXES = (3, 4, 5, 6)
@@ -54,6 +55,9 @@ SEPARATORS = "._-*~ "
 _CODES = 64
 #: Longer tokens are decoded whole, but not remembered.
 _MAX_KNOWN = 64
+#: Words remembered in each of a task's tables: with keys of at most _MAX_KNOWN letters under
+#: 20 MB. They are emptied when full and when the task ends.
+_REMEMBERED = 60_000
 _trailing = re.compile(r"[!$|+(@.,;:?*%&#\"')\]}<>=~_-]+$")
 _word = re.compile(r"[^\W\d_]+")
 _disguised = re.compile(
@@ -208,12 +212,18 @@ class Reader:
     def __getstate__(self) -> dict:
         return {**self.__dict__, "_rows": None, "_known": {}, "_plain": {}}
 
+    def forget(self) -> None:
+        """Drop what was remembered."""
+        self._rows = None
+        self._known.clear()
+        self._plain.clear()
+
     def _restored(self, token: str) -> str:
         known = self._known.get(token)
         if known is None:
             if self._rows is None:
                 self._rows = self.model.tolist()
-            if len(self._known) > 50_000:
+            if len(self._known) > _REMEMBERED:
                 self._known.clear()
             known = restore(_trailing.sub("", token), self._rows)
             if len(token) <= _MAX_KNOWN:
@@ -224,7 +234,7 @@ class Reader:
         """What a word of letters alone may have been without its repeated letters."""
         known = self._plain.get(word)
         if known is None:
-            if len(self._plain) > 300_000:
+            if len(self._plain) > _REMEMBERED:
                 self._plain.clear()
             known = _word.findall(self._restored(word)) if _repeated.search(word) else []
             if len(word) <= _MAX_KNOWN:
@@ -282,16 +292,23 @@ class Scorer:
     def strongest(self, words: set[str]) -> list[float]:
         """:func:`strongest`, remembering what each recent word gave."""
         known, found = self._best, []
-        if len(known) > 300_000:
+        if len(known) > _REMEMBERED:
             known.clear()
         for w in words:
             best = known.get(w)
             if best is None:
-                best = known[w] = max([self.evidence.get(f, 0.0) for f in features(w)])
+                best = max([self.evidence.get(f, 0.0) for f in features(w)])
+                if len(w) <= _MAX_KNOWN:
+                    known[w] = best
             if best > 0:
                 found.append(best)
         return (sorted(found, reverse=True) + [0.0] * TOP)[:TOP]
 
+    def forget(self) -> None:
+        """Drop what was remembered."""
+        self._best.clear()
+        self.reader.forget()
+
     def score(self, text: str | None) -> float:
         x = np.array([1.0, *self.strongest(self.reader.words(text))])
         return float(1 / (1 + math.exp(-float(np.clip(x @ self.weights, -30, 30)))))
@@ -395,9 +412,14 @@ def score(text: Column, scorer: Scorer | None, spark) -> Column:
     shared = spark.sparkContext.broadcast(scorer)
 
     @F.arrow_udf(T.DoubleType())
-    def run(texts: pa.Array) -> pa.Array:
-        one = shared.value.score
-        return pa.array([one(t.as_py()) for t in texts], pa.float64())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = shared.value
+        try:
+            for texts in batches:
+                yield pa.array([own.score(t.as_py()) for t in texts], pa.float64())
+        finally:
+            own.forget()
+            release()
 
     return run(text)
 
