@@ -4,7 +4,15 @@ Quality rules clean the texts and drop what they reject, toxic documents go,
 one document of each group of near-copies stays (five-word shingles,
 similarity 0.8), the sources are mixed to their target weights, and the mix
 is encoded as token ids. Each stage takes what its predecessor kept, as
-written Parquet; all but the last return the columns of ``documents``.
+written Parquet; all but the last return the columns of ``documents``, whatever
+further columns there are.
+
+Defined results for odd input: a null, empty or short text fails the quality rules;
+very long texts are handled whole by every stage; rows without an id are judged by
+their texts and never count as copies; rows that repeat an id are told apart by
+their texts, so of equal rows one stays and of different ones each is judged by
+itself; ties (equal sizes, hashes or ids) are settled by id and text; a null source is a
+source of its own; an empty table stays empty through every stage.
 """
 
 from __future__ import annotations
@@ -38,10 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (packed) and the digest of the decoded bytes."""
     rows = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"),
-                                vocabulary(spark), decoded="decoded")
-    return rows.select(
-        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+                                vocabulary(spark), digests=True)
+    return rows.select("doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [("quality_rules", quality_rules), ("toxicity", drop_toxic),
