@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolap.llm.common import text_column
+from aerolap.llm.common import released, text_column, text_slices
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -133,9 +134,24 @@ def clean(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_ch
 
     ``chars_col`` (if the table has it) is set to the new length.
     """
-    tmp = "__quality_of_text"
-    rows = docs.withColumn(tmp, assess(F.col(text_col))).where(F.col(f"{tmp}.kept"))
-    out = {text_col: F.col(f"{tmp}.cleaned")}
-    if chars_col and chars_col in docs.columns:
-        out[chars_col] = F.length(F.col(f"{tmp}.cleaned")).cast(docs.schema[chars_col].dataType)
-    return rows.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    counts = bool(chars_col) and chars_col in names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n in text_slices(batch.column(names.index(text_col))):
+                part = batch.slice(at, n)
+                judged = [judge(t) for t in part.column(names.index(text_col)).to_pylist()]
+                stay = [i for i, j in enumerate(judged) if j["kept"]]
+                part = part.take(pa.array(stay, pa.int64()))
+                cleaned = [judged[i]["cleaned"] for i in stay]
+                columns = list(part.columns)
+                columns[names.index(text_col)] = pa.array(cleaned, part.schema.field(text_col).type)
+                if counts:
+                    columns[names.index(chars_col)] = pa.array(
+                        [None if t is None else len(t) for t in cleaned],
+                        part.schema.field(chars_col).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    # a step of its own: as a column, the verdict and the text would be computed twice
+    return docs.mapInArrow(released(run), docs.schema)
