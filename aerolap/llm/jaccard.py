@@ -16,10 +16,15 @@ highly similar set.
    agree on none are skipped without being compared. Sets are indexed by size
    class, and in the next one as well if a partner may lie there. Empty blocks
    and common shingles are dealt with in :class:`Blocks`; no pair is lost.
-3. The lists join classes to *candidate groups*. Groups are compared in
-   blocks of bounded size: one task compares one block with another; blocks
-   whose sizes rule out a link are skipped. No task holds a whole large group.
-4. Inside a task, sets are taken in order of size. A set's overlaps with all
+3. The lists join classes to *candidate groups*, which chance agreements make
+   large. A group is *screened* first: of each set only the parities of its
+   shingles in at most 16,384 bins are compared. Sets that differ in ``d`` bins
+   differ by ``d`` shingles or more, so no link is lost, and what remains
+   together are groups of sets that are nearly all linked.
+4. Groups, in the screening and after it, are compared in blocks of bounded
+   size: one task compares one block with another; blocks whose sizes rule
+   out a link are skipped. No task holds a whole large group.
+5. Inside a task, sets are taken in order of size. A set's overlaps with all
    others come from inverted lists, read only where sizes allow a link; if a
    set computed before is highly similar, its overlaps are copied instead and
    corrected for the few shingles by which the two sets differ.
@@ -50,6 +55,9 @@ from aerolap.llm.components import components
 #: A task compares at most two blocks of so many sets and shingles.
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 20
+#: Screening compares blocks of so many sets, of at most so many bins a set (2 kB).
+SCREEN_SETS = 4096
+MAX_BINS = 1 << 14
 #: Up to so many places of candidate sets (under 40 MB) are broadcast, more are joined by
 #: shuffling.
 BROADCAST_IDS = 200_000
@@ -105,6 +113,17 @@ def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """For each bin whether it holds an odd number of the set's shingles, as bits.
+
+    There is a bin or more for each shingle up to ``MAX_BINS``, a power of two, at least 64;
+    a shingle's bin is its hash's low bits, so half as many bins are the xor of the halves.
+    """
+    bins = min(max(64, 1 << (len(tokens) - 1).bit_length()), MAX_BINS)
+    held = np.bincount((_mix(tokens) & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 class Blocks:
     """Index keys of sets: the content of position blocks, by size class.
 
@@ -254,18 +273,70 @@ def link(sets: list[np.ndarray], mult: np.ndarray, side: np.ndarray, percent: in
     return out_links, out_first
 
 
+def may_link(bits: list[bytes], n: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """The first set of each one's local component, where sets join that :func:`parities`
+    do not rule out as linked. If ``side`` has two values, only pairs across count."""
+    m = len(bits)
+    order = np.argsort(n, kind="stable")
+    n, side = n[order], side[order]
+    across = len(set(side.tolist())) > 1
+    words = [np.frombuffer(bits[i], "<u8") for i in order]
+    width = np.array([len(w) for w in words])  # grows with the size
+    high = np.searchsorted(n, n * 100 // percent, "right")
+    label = np.arange(m)
+    for w in np.unique(width).tolist():
+        start, stop = np.searchsorted(width, [w, w + 1])
+        end = high[stop - 1]
+        folded = np.stack([np.bitwise_xor.reduce(words[i].reshape(-1, w), axis=0)
+                           for i in range(start, end)])
+        for x in range(start, stop):
+            mine, others = folded[x - start], folded[x + 1 - start:high[x] - start]
+            differ = np.bitwise_count(others ^ mine).sum(axis=1, dtype=np.int64)
+            both = n[x] + n[x + 1:high[x]]
+            near = 100 * (both - differ) >= percent * (both + differ)
+            if across:
+                near &= side[x + 1:high[x]] != side[x]
+            met = label[x + 1:high[x]][near]
+            if (met != label[x]).any():
+                joined = np.unique(np.append(met, label[x]))
+                label[np.isin(label, joined)] = joined[0]
+    first = np.zeros(m, np.int64)
+    first[order] = order[label]
+    return first
+
+
+def _by_unit(cols: dict) -> dict:
+    """Rows of each comparison of a task, by its group and blocks; a class counts once."""
+    units: dict = {}
+    for i in range(len(cols["grp"])):
+        key = (cols["grp"][i], cols["first"][i], cols["second"][i])
+        units.setdefault(key, {})[cols["f1"][i], cols["f2"][i]] = i
+    return {key: list(rows.values()) for key, rows in units.items() if len(rows) > 1}
+
+
+def _screen(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        cols = group.to_pydict()
+        rep, other = [], []
+        for (_, a, b), rows in _by_unit(cols).items():
+            first = may_link([cols["bins"][i] for i in rows],
+                             np.array([cols["n"][i] for i in rows], np.int64),
+                             np.array([cols["block"][i] for i in rows]) if a != b
+                             else np.zeros(len(rows), np.int64), percent)
+            for i, f in zip(rows, first.tolist()):
+                if i != rows[f]:
+                    rep.append(cols["rep"][i])
+                    other.append(cols["rep"][rows[f]])
+        return pa.table({"rep": pa.array(rep, pa.int64()), "other": pa.array(other, pa.int64())})
+
+    return run
+
+
 def _compare(percent: int):
     def run(group: pa.Table) -> pa.Table:
         cols = group.to_pydict()
-        units: dict = {}
-        for i in range(group.num_rows):
-            key = (cols["grp"][i], cols["first"][i], cols["second"][i])
-            units.setdefault(key, {})[cols["f1"][i], cols["f2"][i]] = i
         rep, other, links = [], [], []
-        for (_, a, b), members in units.items():
-            rows = list(members.values())
-            if len(rows) < 2:
-                continue
+        for (_, a, b), rows in _by_unit(cols).items():
             found, first = link(
                 [np.frombuffer(cols["tokens"][i], "<u8") for i in rows],
                 np.array([cols["mult"][i] for i in rows], np.int64),
@@ -289,16 +360,18 @@ def _sets(k: int):
         shingles = Shingler(k)
         for batch in batches:
             ids, texts = batch.columns
-            n, f1, f2 = [], [], []
+            n, f1, f2, bins = [], [], [], []
             for t in texts:
                 s = shingles(t.as_py())
                 a, b = fingerprint(s) if len(s) else (None, None)
                 n.append(len(s))
                 f1.append(a)
                 f2.append(b)
+                bins.append(parities(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
-                 pa.array(f2, pa.int64())], ["doc_id", "n_shingles", "f1", "f2"])
+                 pa.array(f2, pa.int64()), pa.array(bins, pa.binary())],
+                ["doc_id", "n_shingles", "f1", "f2", "bins"])
 
     return run
 
@@ -387,9 +460,54 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def _units(candidates: DataFrame, percent: int, block_sets: int, block_size: int, size: str
+           ) -> tuple[DataFrame, str]:
+    """The comparisons of candidate groups: ``candidates`` with their ``block`` and the
+    unit (a task's bundle of comparisons) and the two blocks (first, second) of each
+    comparison that the block takes part in.
+
+    Blocks lie in size classes of the group, at most about ``block_sets`` sets and
+    ``block_size`` of the column ``size`` in each. Also the path of what was written.
+    """
+    ratio = float(np.log(100 / percent))
+    candidates = candidates.withColumn("bucket", F.floor(F.log("n") / ratio).cast("int"))
+    per = candidates.groupBy("grp", "bucket").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / block_sets),
+                   F.ceil(F.sum(size) / block_size)).cast("int").alias("parts"),
+        F.count(F.lit(1)).alias("sets"), F.sum(size).alias("total"))
+    whole = per.groupBy("grp").agg(F.sum("sets").alias("sets"), F.sum("total").alias("total"))
+    small = (F.col("sets") <= block_sets) & (F.col("total") <= block_size)
+    sizes, sizes_path = written(
+        per.join(whole.select("grp", small.alias("small")), "grp").select(
+            "grp", "bucket", "parts", "small"), "jaccard_sizes")
+    blocks = sizes.select("grp", "small", "bucket", F.when(F.col("small"), F.array(F.lit(0)))
+                          .otherwise(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    blocks = (blocks.select("grp", "small", F.when(F.col("small"), 0).otherwise(F.col("bucket"))
+                            .alias("bucket"), F.explode("part").alias("part")).distinct()
+              .withColumn("block", F.col("bucket").cast("long") * (1 << 32) + F.col("part")))
+    left = blocks.select("grp", "small", F.col("bucket").alias("b1"), F.col("block").alias("first"))
+    right = blocks.select("grp", F.col("bucket").alias("b2"), F.col("block").alias("second"))
+    # buckets further apart than one differ too much in size
+    near = left.join(right, "grp").where("first <= second AND b2 - b1 <= 1")
+    n_sets, n_total = candidates.agg(F.count(F.lit(1)), F.sum(size)).first()
+    bundles = max(1, -(-n_sets // block_sets), -(-(n_total or 0) // block_size))
+    unit = F.when(F.col("small"), F.pmod(F.xxhash64("grp"), F.lit(bundles))).otherwise(
+        F.xxhash64("grp", "first", "second"))
+    units = near.select("grp", "first", "second", unit.alias("unit"))
+    units = units.select("grp", "first", "second", "unit", F.col("first").alias("block")).union(
+        units.where("first <> second").select("grp", "first", "second", "unit",
+                                              F.col("second").alias("block")))
+    parted = candidates.join(sizes, ["grp", "bucket"]).select(
+        *candidates.drop("bucket").columns, F.when(F.col("small"), 0).otherwise(
+            F.col("bucket").cast("long") * (1 << 32)
+            + F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block"))
+    return parted.join(units, ["grp", "block"]), sizes_path
+
+
 def linked_classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
                    block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES,
-                   broadcast_ids: int = BROADCAST_IDS) -> tuple[DataFrame, DataFrame]:
+                   broadcast_ids: int = BROADCAST_IDS, screen_sets: int = SCREEN_SETS
+                   ) -> tuple[DataFrame, DataFrame]:
     """The documents with their sets' fingerprints, and the classes with their components.
 
     First (doc_id, n_shingles, f1, f2) per document; then per class f1, f2, least_id,
@@ -399,13 +517,15 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     members, _ = written(rows.mapInArrow(
-        released(_sets(k)), "doc_id long, n_shingles long, f1 long, f2 long"), "jaccard_members")
+        released(_sets(k)), "doc_id long, n_shingles long, f1 long, f2 long, bins binary"),
+        "jaccard_members")
     # a class is known by a number of its own (``rep``): classes of different texts may
     # share their smallest id
     classes, classes_path = written(
         members.where("f1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(
             F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("mult"),
-            F.first("n_shingles").alias("n")).withColumn("rep", F.monotonically_increasing_id()),
+            F.first("n_shingles").alias("n"), F.first("bins").alias("bins"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "jaccard_classes")
 
     # a key's list is linked through its smallest class; a list has at most one
@@ -418,45 +538,25 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent:
     listed = index.select("node", F.expr("min(node) OVER (PARTITION BY block_key)").alias("least"))
     pairs = listed.where("node <> least").distinct()
     groups = components(pairs.select("least", "node"))
-    candidates, candidates_path = written(
+    listed_sets, listed_path = written(
         classes.join(groups.withColumnRenamed("component", "grp"),
-                     classes["f1"] == F.col("node")).drop("node"), "jaccard_candidates")
+                     classes["f1"] == F.col("node")).drop("node"), "jaccard_listed")
+    common.destroy()
+
+    screens, screen_path = _units(listed_sets.withColumn("size", F.octet_length("bins")), percent,
+                                  screen_sets, screen_sets * MAX_BINS // 8, "size")
+    near, near_path = written(
+        screens.select("rep", "f1", "f2", "n", "bins", "grp", "first", "second", "block", "unit")
+        .groupBy("unit").applyInArrow(_screen(percent), "rep long, other long"), "jaccard_near")
+    candidates, candidates_path = written(
+        listed_sets.drop("grp", "bins").join(
+            components(near).withColumnRenamed("component", "grp"),
+            F.col("rep") == F.col("node")).drop("node"), "jaccard_candidates")
+    discard(spark, listed_path, screen_path, near_path)
 
-    # blocks: by size class of the group, cut to bounded numbers of sets and shingles
-    ratio = float(np.log(100 / percent))
-    candidates = candidates.withColumn("bucket", F.floor(F.log("n") / ratio).cast("int"))
-    per = candidates.groupBy("grp", "bucket").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / block_sets),
-                   F.ceil(F.sum("n") / block_shingles)).cast("int").alias("parts"),
-        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("total"))
-    whole = per.groupBy("grp").agg(F.sum("sets").alias("sets"), F.sum("total").alias("total"))
-    small = (F.col("sets") <= block_sets) & (F.col("total") <= block_shingles)
-    sizes, sizes_path = written(
-        per.join(whole.select("grp", small.alias("small")), "grp").select(
-            "grp", "bucket", "parts", "small"), "jaccard_sizes")
-    blocks = sizes.select("grp", "small", "bucket", F.when(F.col("small"), F.array(F.lit(0)))
-                          .otherwise(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    blocks = (blocks.select("grp", "small", F.when(F.col("small"), 0).otherwise(F.col("bucket"))
-                            .alias("bucket"), F.explode("part").alias("part")).distinct()
-              .withColumn("block", F.col("bucket").cast("long") * (1 << 32) + F.col("part")))
-    left = blocks.select("grp", "small", F.col("bucket").alias("b1"), F.col("block").alias("first"))
-    right = blocks.select("grp", F.col("bucket").alias("b2"), F.col("block").alias("second"))
-    # buckets further apart than one differ too much in size
-    near = left.join(right, "grp").where("first <= second AND b2 - b1 <= 1")
-    n_sets, n_total = candidates.agg(F.count(F.lit(1)), F.sum("n")).first()
-    bundles = max(1, -(-n_sets // block_sets), -(-(n_total or 0) // block_shingles))
-    unit = F.when(F.col("small"), F.pmod(F.xxhash64("grp"), F.lit(bundles))).otherwise(
-        F.xxhash64("grp", "first", "second"))
-    units = near.select("grp", "first", "second", unit.alias("unit"))
-    units = units.select("grp", "first", "second", "unit", F.col("first").alias("block")).union(
-        units.where("first <> second").select("grp", "first", "second", "unit",
-                                              F.col("second").alias("block")))
-    parted = candidates.join(sizes, ["grp", "bucket"]).select(
-        "grp", "rep", "least_id", "mult", "f1", "f2", F.when(F.col("small"), 0).otherwise(
-            F.col("bucket").cast("long") * (1 << 32)
-            + F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block"))
+    compared, sizes_path = _units(candidates, percent, block_sets, block_shingles, "n")
     places, places_path = written(
-        parted.join(units, ["grp", "block"]).groupBy("rep", "least_id", "mult", "f1", "f2", "block").agg(
+        compared.groupBy("rep", "least_id", "mult", "f1", "f2", "block").agg(
             F.collect_list(F.struct("unit", "grp", "first", "second")).alias("units")),
         "jaccard_places")
     n_places = places.agg(F.sum(F.size("units"))).first()[0] or 0

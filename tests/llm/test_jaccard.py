@@ -77,6 +77,7 @@ def _join(spark, rows, **options):
     {"k": 3, "percent": 90},
     {"k": 5, "percent": 80},
     {"k": 3, "percent": 90, "block_sets": 8, "block_shingles": 1000, "broadcast_ids": 10},
+    {"k": 5, "percent": 80, "block_sets": 8, "block_shingles": 1000, "screen_sets": 5},
 ])
 def test_equal_to_all_pairs(spark, options):
     rows = corpus()
@@ -183,3 +184,42 @@ def test_random_tables_with_repeated_ids(spark):
         assert sorted(((r.doc_id, r.component_id, r.n_links) for r in got), key=repr) == sorted(want, key=repr)
         kept = [r for r in J.keep_one(df, k=3, percent=60).collect() if r.doc_id is not None and r.text]
         assert sorted(r.doc_id for r in kept) == sorted(heads)
+
+
+@pytest.mark.parametrize("sizes", [(1, 90), (50, 70), (900, 1100), (20_000, 26_000)])
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_screening_rules_out_no_link(sizes, two_sides):
+    """Sets of one linked component stay together; unlike ones are told apart."""
+    rng = np.random.default_rng(7)
+    sets = []
+    for _ in range(6):
+        base = rng.integers(0, 1 << 63, rng.integers(*sizes)).astype(np.uint64)
+        for _ in range(5):
+            drop = rng.random(len(base)) < rng.choice([0, 0.05, 0.1, 0.3])
+            more = rng.integers(0, 1 << 63, rng.integers(0, len(base) // 10 + 1)).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[~drop], more, base[:1]])))
+    side = np.array([i % 2 if two_sides else 0 for i in range(len(sets))])
+    for percent in (80, 90):
+        first = J.may_link([J.parities(s) for s in sets], np.array([len(s) for s in sets]),
+                           side, percent)
+        for i, a in enumerate(sets):
+            assert first[first[i]] == first[i]
+            for j, b in enumerate(sets[:i]):
+                shared = len(np.intersect1d(a, b))
+                if (100 * shared >= percent * (len(a) + len(b) - shared)
+                        and (not two_sides or side[i] != side[j])):
+                    assert first[i] == first[j]
+        if sizes == (900, 1100):  # bins enough to tell unrelated sets apart
+            assert len(set(first.tolist())) >= 6
+
+
+def test_parities_fold_and_bound_the_difference():
+    rng = np.random.default_rng(3)
+    a = np.unique(rng.integers(0, 1 << 63, 1000).astype(np.uint64))
+    b = np.unique(np.concatenate([a[100:], rng.integers(0, 1 << 63, 200).astype(np.uint64)]))
+    x, y = (np.frombuffer(J.parities(s), "<u8") for s in (a, b))
+    assert len(x) == 16 and len(y) == 32
+    y = y[:16] ^ y[16:]
+    assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+    assert len(J.parities(a[:1])) == 8
+    assert len(J.parities(np.arange(40_000, dtype=np.uint64))) == J.MAX_BINS // 8
