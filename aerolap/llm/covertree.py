@@ -12,10 +12,11 @@ Vectors of one label (and one dimension) link if their cosine is at least
    are pruned. Every point is in a cell; the sample steers only which pairs
    are pruned, never which are found.
 3. *Dual traversal.* A task takes one pair of blocks. It builds a cover tree
-   of each (nested levels, covering radii halving from level to level) and
-   descends both together: a pair of nodes too far apart for any link is
+   of each (nested levels, covering radii halving from level to level, built
+   down to ``LEAF`` points whatever the spread) and descends both together,
+   a level of each at a time: a pair of nodes too far apart for any link is
    pruned, a pair close enough that all its points link is counted as a whole,
-   and pairs of leaves are compared by their cosines in double precision.
+   and pairs of points are compared by their cosines in double precision.
 
 A task returns, per point, the number of links and one spanning-forest edge,
 so dense groups of copies stay linear in size; components follow from those
@@ -40,7 +41,9 @@ from aerolap.llm.components import components
 
 MAX_CENTRES = 1024
 BLOCK = 1024
-LEAF = 48
+LEAF = 16
+#: Rows of a matrix of distances that a task holds at once.
+STRIP = 256
 _SLACK = 1e-7  # on distances, far above rounding; only bounds use it
 
 
@@ -59,34 +62,64 @@ def usable(v: Column) -> Column:
 # --- inside a task --------------------------------------------------------
 
 class Node:
-    __slots__ = ("centre", "radius", "points", "children")
+    """A centre, its covering radius, the points below it, and the next level's nodes."""
 
-    def __init__(self, centre: np.ndarray, radius: float, points: np.ndarray, children: list):
+    __slots__ = ("centre", "radius", "points", "children", "heads", "radii")
+
+    def __init__(self, centre: np.ndarray, radius: float, points: np.ndarray, children: list,
+                 heads: np.ndarray):
         self.centre, self.radius, self.points, self.children = centre, radius, points, children
+        #: centres and radii of the next level; in a leaf, the points themselves
+        self.heads = heads
+        self.radii = np.array([c.radius for c in children]) if children else np.zeros(len(heads))
+
+    def below(self, i: int, x: np.ndarray) -> Node:
+        """The i-th node of the next level; a leaf's point is a node of its own."""
+        if self.children:
+            return self.children[i]
+        one = self.heads[i:i + 1]
+        return Node(x[one[0]], 0.0, one, [], one)
+
+
+def _distances(cosines: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(2 - 2 * cosines, 0))
+
+
+def _net(x: np.ndarray, points: np.ndarray, reach: float) -> list[np.ndarray]:
+    """The points in groups around centres further apart than ``reach``; a group begins
+    with its centre, the first group with the first point."""
+    parts, left = [], points
+    while len(left):
+        heads = left[:STRIP]
+        near = _distances(x[heads] @ x[left].T) <= reach
+        free = np.ones(len(left), bool)
+        for i in range(len(heads)):
+            if free[i]:
+                free[i] = False
+                mine = near[i] & free
+                parts.append(np.concatenate([heads[i:i + 1], left[mine]]))
+                free &= ~mine
+        left = left[free]
+    return parts
 
 
 def tree(x: np.ndarray, points: np.ndarray, centre: int, scale: float) -> Node:
     """Cover tree of some unit vectors around one of them.
 
     The levels are nested: a node's centre is the centre of its first child, and
-    children cover their points within ``scale / 2``.
+    children cover their points within ``scale / 2``. Every node of more than ``LEAF``
+    points has a next level, however many children that takes.
     """
     far = np.sqrt(np.maximum(((x[points] - x[centre]) ** 2).sum(1), 0))
-    node = Node(x[centre], float(far.max(initial=0.0)), points, [])
-    if len(points) <= LEAF or node.radius <= _SLACK:
-        return node
-    scale = min(scale, node.radius)
-    near = far <= scale / 2
-    parts, left = [(centre, points[near])], points[~near]
-    while len(left) and len(parts) <= len(points) // 8:
-        c = int(left[0])
-        near = np.sqrt(np.maximum(((x[left] - x[c]) ** 2).sum(1), 0)) <= scale / 2
-        parts.append((c, left[near]))
-        left = left[~near]
-    if len(left):  # points too spread for this level: nothing to gain from descending
-        return node
-    node.children = [tree(x, p, c, scale / 2) for c, p in parts]
-    return node
+    radius = float(far.max(initial=0.0))
+    if len(points) > LEAF and radius > _SLACK:
+        scale = min(scale, radius)
+        parts = _net(x, np.concatenate([[centre], points[points != centre]]), scale / 2)
+        if len(parts) > 1:
+            return Node(x[centre], radius, points,
+                        [tree(x, p, int(p[0]), scale / 2) for p in parts],
+                        np.array([p[0] for p in parts]))
+    return Node(x[centre], radius, points, [], points)
 
 
 class Traversal:
@@ -95,6 +128,7 @@ class Traversal:
         self.reach = float(np.sqrt(2 - 2 * threshold))
         self.links = np.zeros(len(x), np.int64)
         self.parent = np.arange(len(x))
+        self.met = self.pruned = 0  # pairs of nodes, and those ruled out by their radii
 
     def root(self, i: int) -> int:
         p = self.parent
@@ -117,44 +151,55 @@ class Traversal:
         for j in [*a.tolist(), *b.tolist()]:
             self.union(first, j)
 
-    def _compare(self, a: np.ndarray, b: np.ndarray, same: bool) -> None:
-        for at in range(0, len(a), 1024):
-            rows = a[at:at + 1024]
-            linked = self.x[rows] @ self.x[b].T >= self.threshold
-            if same:
-                linked[np.arange(len(rows)), at + np.arange(len(rows))] = False
-            self.links[rows] += linked @ self.mult[b]
-            if not same:
-                self.links[b] += self.mult[rows] @ linked
-            for i in np.flatnonzero(linked.any(1)).tolist():
-                partners = b[linked[i]]
-                first = self.root(int(rows[i]))
-                for j in partners[self.parent[partners] != first].tolist():
-                    self.union(first, j)
+    def _compare(self, a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> None:
+        """Links between points ``a`` and ``b``, each pair given once."""
+        self.links[a] += linked @ self.mult[b]
+        self.links[b] += self.mult[a] @ linked
+        for i in np.flatnonzero(linked.any(1)).tolist():
+            partners = b[linked[i]]
+            first = self.root(int(a[i]))
+            for j in partners[self.parent[partners] != first].tolist():
+                self.union(first, j)
 
     def meet(self, a: Node, b: Node) -> None:
-        same = a is b
-        if not same:
-            d = float(np.sqrt(max(((a.centre - b.centre) ** 2).sum(), 0)))
-            if d > a.radius + b.radius + self.reach + _SLACK:
-                return
-            if d + a.radius + b.radius <= self.reach - _SLACK:
-                return self._all(a.points, b.points, False)
-        elif 2 * a.radius <= self.reach - _SLACK:
+        """All links between two nodes' points.
+
+        The next levels of both meet as one matrix of distances: pairs beyond the covering
+        bounds are pruned, pairs of single points compared, and the others descended.
+        """
+        if a is b and 2 * a.radius <= self.reach - _SLACK:
             return self._all(a.points, a.points, True)
-        if not a.children and not b.children:
-            return self._compare(a.points, b.points, same)
-        if same:
-            for i, child in enumerate(a.children):
-                self.meet(child, child)
-                for other in a.children[i + 1:]:
-                    self.meet(child, other)
-        elif a.children and (not b.children or a.radius >= b.radius):
+        single_b = self._single(b)
+        for at in range(0, len(a.heads), STRIP):
+            heads, radii = a.heads[at:at + STRIP], a.radii[at:at + STRIP]
+            single = self._single(a)[at:at + STRIP]
+            cosines = self.x[heads] @ self.x[b.heads].T
+            far = _distances(cosines)
+            both = radii[:, None] + b.radii[None, :]
+            once = np.ones(far.shape, bool)
+            if a is b:  # each pair once; a node with itself below
+                once = np.arange(at, at + len(heads))[:, None] < np.arange(len(b.heads))
+            pairs = once & (far <= both + (self.reach + _SLACK))
+            self.met += int(np.count_nonzero(once))
+            self.pruned += int(np.count_nonzero(once & ~pairs))
+            points = single[:, None] & single_b[None, :]
+            self._compare(heads, b.heads, pairs & points & (cosines >= self.threshold))
+            for i, j in np.argwhere(pairs & ~points).tolist():
+                first, second = a.below(at + i, self.x), b.below(j, self.x)
+                if far[i, j] + both[i, j] <= self.reach - _SLACK:
+                    self._all(first.points, second.points, False)
+                else:
+                    self.meet(first, second)
+        if a is b:
             for child in a.children:
-                self.meet(child, b)
-        else:
-            for child in b.children:
-                self.meet(a, child)
+                if len(child.points) > 1:
+                    self.meet(child, child)
+
+    @staticmethod
+    def _single(node: Node) -> np.ndarray:
+        if not node.children:
+            return np.ones(len(node.heads), bool)
+        return np.array([len(c.points) == 1 for c in node.children])
 
 
 def _unit(packed: list[bytes]) -> np.ndarray:

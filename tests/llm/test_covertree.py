@@ -100,6 +100,64 @@ def test_tree_covers_its_points_and_halves():
         stack += [(c, node) for c in node.children]
 
 
+def _spread_with_copies(n=500, dim=64, seed=3):
+    """Unit vectors spread over many dimensions, a third of them near one of 20 others."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    for i in range(0, n, 3):
+        x[i] = x[1 + 3 * (i % 20)] + rng.normal(size=dim) * (0.1 if i % 2 else 0.36)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _nodes(top):
+    stack = [top]
+    while stack:
+        node = stack.pop()
+        yield node
+        stack += node.children
+
+
+def test_levels_are_built_whatever_the_spread():
+    x = _spread_with_copies()
+    for node in _nodes(C.tree(x, np.arange(len(x)), 0, 2.0)):
+        assert bool(node.children) == (len(node.points) > C.LEAF)
+        centres = x[node.heads] if node.children else x[:0]
+        apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
+        assert (apart[~np.eye(len(centres), dtype=bool)] > node.radius / 2 - 1e-9).all()
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.93, 0.9999])
+def test_traversal_of_two_trees_prunes_and_is_exact(threshold):
+    x = _spread_with_copies()
+    half = len(x) // 2
+    linked = x @ x.T >= threshold
+    np.fill_diagonal(linked, False)
+    first, second = (C.tree(x, p, int(p[0]), 2.0) for p in
+                     (np.arange(half), np.arange(half, len(x))))
+    walk = C.Traversal(x, np.ones(len(x), np.int64), threshold)
+    walk.meet(first, second)
+    assert walk.links[:half].tolist() == linked[:half, half:].sum(1).tolist()
+    for node in (first, second):
+        walk.meet(node, node)
+    assert walk.links.tolist() == linked.sum(1).tolist()
+    assert all(walk.root(i) == walk.root(j) for i, j in zip(*np.nonzero(linked)))
+    assert walk.pruned > walk.met // 2
+
+
+@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+def test_trees_of_the_table_have_levels_and_prune(spark, name):
+    rows = spark.read.parquet(f"/root/testdata/{name}/embeddings.parquet").where(
+        C.usable(C.F.col("embedding"))).select("label", "embedding").distinct().collect()
+    for label in {r.label for r in rows}:
+        x = np.array([r.embedding for r in rows if r.label == label], float)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        top = C.tree(x, np.arange(len(x)), 0, 2.0)
+        assert bool(top.children) == (len(x) > C.LEAF)
+        walk = C.Traversal(x, np.ones(len(x), np.int64), 0.93)
+        walk.meet(top, top)
+        assert len(x) <= C.LEAF or walk.pruned > 0.9 * walk.met
+
+
 def test_empty_and_clashing_names(spark):
     df = spark.createDataFrame([(1, 1, [1.0, 0.0], "a"), (1, 1, [1.0, 0.0], "a")],
                                "vec_id long, label int, embedding array<float>, n_links string")
