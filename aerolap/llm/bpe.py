@@ -16,9 +16,12 @@ window and the right list this holds by construction; the two pairs at the
 window's ends are what :meth:`Bpe.join` tests.
 
 Texts are first cut by the tokenizer's pattern; a match that is itself in the
-vocabulary is one token, as in the public library. The short leaves of a batch
-are merged together, as rows of one matrix. Decoding concatenates the
-tokens' bytes up the tree.
+vocabulary is one token, as in the public library. The distinct matches of a
+batch go up the tree together: leaves of ``LEAF`` bytes are merged as rows of
+one matrix, and each level joins all its neighbours at once, with windows that
+grow for the rows whose ends are not proved yet. Matches of more than ``SHORT``
+bytes go up the tree one by one. Decoding concatenates the tokens' bytes up a
+tree of halves.
 
 Defined results: null is encoded as the empty text (no tokens, empty bytes);
 very long texts and very long matches are encoded whole; rows are
@@ -46,8 +49,13 @@ from aerolap.llm.common import released
 
 #: Vocabularies are fixed files of about 1 MB; a larger one is refused as broadcast.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
-LEAF = 32
+#: Bytes of a leaf of the tree over a match that is joined as rows of matrices.
+LEAF = 4
+#: Matches up to this many bytes are joined so; it is also the leaf of longer ones.
+SHORT = 32
 REMEMBERED_PAIRS = 200_000
+#: Ids in a leaf of the tree that decodes.
+DECODED = 256
 
 
 def unicode_space(pattern: str) -> str:
@@ -99,7 +107,7 @@ class Decoder:
     def decode(self, packed: bytes | None) -> bytes:
         """Concatenation up a tree of halves."""
         ids = np.frombuffer(packed or b"", "<u4")
-        if len(ids) <= 1 << 16:
+        if len(ids) <= DECODED:
             return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
         mid = len(ids) // 2
         return self.decode(ids[:mid].tobytes()) + self.decode(ids[mid:].tobytes())
@@ -123,17 +131,20 @@ class Bpe(Decoder):
             np.repeat(self._byte_ids, 256), np.tile(self._byte_ids, 256)).reshape(256, 256)
         self._find = regex.compile(unicode_space(pattern)).findall
         self._whole_only = None
-        tokens = pa.array([t for t in ranks if len(t) <= LEAF], pa.large_binary())
+        tokens = pa.array([t for t in ranks if len(t) <= SHORT], pa.large_binary())
         made = pc.binary_length(self.merge_many(tokens)).to_numpy() != 4
         if made.any():
             self._whole_only = tokens.filter(pa.array(made))
-        self._stable: dict[tuple[int, int], bool] = {}
+        self._stable: dict[int, bool] = {}
+        self._size = np.zeros(max(self.bytes_of) + 1, np.int64)
+        self._size[list(self.bytes_of)] = [len(t) for t in self.bytes_of.values()]
+        self.joins = 0  # of neighbours, so far
 
     # --- the monoid -------------------------------------------------------
 
     def merge(self, b: bytes) -> list[int]:
         """Token ids by direct greedy merging (lowest rank, leftmost first)."""
-        if len(b) > 2 * LEAF:
+        if len(b) > 2 * SHORT:
             return self._merge_long(b)
         get, none = self._merges.get, 1 << 62
         ids = [int(self._byte_ids[x]) for x in b]
@@ -178,18 +189,19 @@ class Bpe(Decoder):
         return [ranks[p] for p in part if p is not None]
 
     def _pair_is_stable(self, a: int, b: int) -> bool:
-        known = self._stable.get((a, b))
+        known = self._stable.get(a << 32 | b)
         if known is None:
             if len(self._stable) > REMEMBERED_PAIRS:
                 self._stable.clear()
             known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            self._stable[a, b] = known
+            self._stable[a << 32 | b] = known
         return known
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Tokens of the joined bytes of two encoded neighbours."""
         if not left or not right:
             return left or right
+        self.joins += 1
         i, j = min(2, len(left)), min(2, len(right))
         while True:
             window = self.merge(b"".join(map(self.bytes_of.__getitem__, left[-i:] + right[:j])))
@@ -204,7 +216,7 @@ class Bpe(Decoder):
 
     def reduce(self, b: bytes) -> list[int]:
         """Halve, encode the halves, join."""
-        if len(b) <= LEAF:
+        if len(b) <= SHORT:
             return self.merge(b)
         mid = len(b) // 2
         return self.join(self.reduce(b[:mid]), self.reduce(b[mid:]))
@@ -286,15 +298,15 @@ class Bpe(Decoder):
                        pieces.indices.to_numpy().astype(np.int64), ends)
 
     def _strings_packed(self, strings: pa.Array) -> pa.Array:
-        """Packed ids of distinct matches: short ones are merged together, long ones by the tree."""
+        """Packed ids of distinct matches: short ones go up the tree together."""
         size = pc.binary_length(strings).to_numpy()
-        short = np.argsort(size, kind="stable")[:int((size <= LEAF).sum())]  # alike in width
+        short = np.argsort(size, kind="stable")[:int((size <= SHORT).sum())]  # alike in width
         out, order = [], [short]
         for at in range(0, len(short), 1 << 15):
-            out.append(self.merge_many(strings.take(pa.array(short[at:at + (1 << 15)]))))
+            out.append(self.reduce_many(strings.take(pa.array(short[at:at + (1 << 15)]))))
         # long matches, and tokens that merging does not make
         other = {i: self._pack(self.piece(strings[i].as_py().encode("utf-8", "surrogatepass")))
-                 for i in np.flatnonzero(size > LEAF).tolist()}
+                 for i in np.flatnonzero(size > SHORT).tolist()}
         if self._whole_only is not None:
             hit = pc.is_in(strings.cast(pa.large_binary()), self._whole_only)
             other |= {i: self._packed_id[self.ranks[strings[i].as_py().encode()]]
@@ -314,17 +326,13 @@ class Bpe(Decoder):
         return np.where(self._keys[i] == key, self._merged[i], _NONE)
 
     def merge_many(self, strings: pa.Array) -> pa.Array:
-        """:meth:`merge` of many short strings at once, packed: a matrix of tokens,
-        of which every row takes its next merge in each step."""
-        n = pc.binary_length(strings).to_numpy().astype(np.int64)
-        width = int(n.max(initial=0)) + 1
-        cols = np.arange(width)
-        raw = np.zeros((len(n), width), np.uint8)
-        data = strings.cast(pa.large_binary())
-        first, last = (np.frombuffer(data.buffers()[1], np.int64)[data.offset + i]
-                       for i in (0, len(data))) if len(data) else (0, 0)
-        if last > first:
-            raw[cols < n[:, None]] = np.frombuffer(data.buffers()[2], np.uint8)[first:last]
+        """:meth:`merge` of many short strings at once, packed."""
+        return _packed(*self._merge_rows(*_byte_rows(strings)))
+
+    def _merge_rows(self, raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`merge` of the first ``n`` bytes of every row: a matrix of tokens, of
+        which every row takes its next merge in each step, and the rows' lengths."""
+        cols = np.arange(raw.shape[1])
         tokens = self._byte_ids[raw]
         ranks = np.where(cols[1:] < n[:, None], self._byte_pairs[raw[:, :-1], raw[:, 1:]], _NONE)
         done, length = tokens.copy(), n.copy()
@@ -352,8 +360,98 @@ class Bpe(Decoder):
             right = at + 1 < n
             ranks[i[right], at[right]] = self._rank_of(best[right], tokens[i[right], at[right] + 1])
             ranks[i[~right], at[~right]] = _NONE
-        ids = done[cols < length[:, None]].astype("<u4")
-        return _binary(4 * np.cumsum([0, *length]), ids.tobytes())
+        return done, length
+
+    def reduce_many(self, strings: pa.Array) -> pa.Array:
+        """:meth:`reduce` of many short strings at once, packed: a row for each node of a
+        level, and all neighbours of a level joined together."""
+        raw, n = _byte_rows(strings)
+        parts, width = 1, LEAF
+        while parts * width < n.max(initial=0):
+            parts *= 2
+        raw = np.pad(raw, ((0, 0), (0, max(0, parts * width - raw.shape[1]))))[:, :parts * width]
+        sizes = np.clip(n[:, None] - width * np.arange(parts), 0, width).ravel()
+        tokens, length = self._merge_rows(raw.reshape(-1, width), sizes)
+        while parts > 1:
+            parts, width = parts // 2, width * 2
+            tokens, length = self._join_rows(raw.reshape(-1, width), tokens[::2], length[::2],
+                                             tokens[1::2], length[1::2])
+        return _packed(tokens, length)
+
+    def _join_rows(self, raw: np.ndarray, left: np.ndarray, n_left: np.ndarray,
+                   right: np.ndarray, n_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`join` of neighbours in every row; ``raw`` has the bytes of both, which
+        meet in its middle."""
+        half = left.shape[1]
+        cols, wide = np.arange(half), np.arange(2 * half)
+        out, length = np.pad(left, ((0, 0), (0, half))), n_left.copy()
+        rows = np.flatnonzero(n_right)  # where there is a right part, the left one is full
+        self.joins += len(rows)
+        i, j = np.minimum(2, n_left[rows]), np.minimum(2, n_right[rows])
+        while len(rows):
+            a, b, n_a, n_b = left[rows], right[rows], n_left[rows], n_right[rows]
+            kept = n_a - i
+            inside = (cols >= kept[:, None]) & (cols < n_a[:, None])
+            before = np.where(inside, self._size[a], 0).sum(1)
+            size = before + np.where(cols < j[:, None], self._size[b], 0).sum(1)
+            at = (half - before)[:, None] + np.arange(int(size.max()))
+            window, n = self._merge_rows(
+                np.take_along_axis(raw[rows], np.minimum(at, 2 * half - 1), 1), size)
+            every = np.arange(len(rows))
+            left_holds, right_holds = kept == 0, j == n_b
+            test = np.flatnonzero(~left_holds)
+            left_holds[test] = self._pairs_are_stable(a[test, kept[test] - 1], window[test, 0])
+            test = np.flatnonzero(~right_holds)
+            right_holds[test] = self._pairs_are_stable(
+                window[every, n - 1][test], b[test, j[test]])
+            holds = left_holds & right_holds
+            k, m = kept[holds, None], n[holds, None]
+            out[rows[holds]] = np.where(wide < k, np.pad(a[holds], ((0, 0), (0, half))), np.where(
+                wide < k + m,
+                np.take_along_axis(window[holds], np.clip(wide - k, 0, window.shape[1] - 1), 1),
+                np.take_along_axis(b[holds], np.clip(wide - k - m + j[holds, None], 0, half - 1), 1)))
+            length[rows[holds]] = (kept + n + n_b - j)[holds]
+            i = np.where(left_holds, i, np.minimum(2 * i, n_a))[~holds]
+            j = np.where(right_holds, j, np.minimum(2 * j, n_b))[~holds]
+            rows = rows[~holds]
+        return out, length
+
+    def _pairs_are_stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`_pair_is_stable` of many pairs, the unknown ones merged as one matrix."""
+        keys, place = np.unique(a.astype(np.int64) << 32 | b, return_inverse=True)
+        known = list(map(self._stable.get, keys.tolist()))
+        new = [i for i, x in enumerate(known) if x is None]
+        if new:
+            first, second = keys[new] >> 32, keys[new] & 0xFFFFFFFF
+            tokens, n = self._merge_rows(*_byte_rows(pa.array(
+                [self.bytes_of[x] + self.bytes_of[y]
+                 for x, y in zip(first.tolist(), second.tolist())], pa.large_binary())))
+            stable = ((n == 2) & (tokens[:, 0] == first) & (tokens[:, 1] == second)).tolist()
+            if len(self._stable) + len(new) > REMEMBERED_PAIRS:
+                self._stable.clear()
+            self._stable.update(zip(keys[new].tolist(), stable))
+            for i, x in zip(new, stable):
+                known[i] = x
+        return np.array(known, bool)[place]
+
+
+def _byte_rows(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The strings' bytes as rows of a matrix, and their lengths."""
+    n = pc.binary_length(strings).to_numpy().astype(np.int64)
+    raw = np.zeros((len(n), int(n.max(initial=0)) + 1), np.uint8)
+    data = strings.cast(pa.large_binary())
+    first, last = (np.frombuffer(data.buffers()[1], np.int64)[data.offset + i]
+                   for i in (0, len(data))) if len(data) else (0, 0)
+    if last > first:
+        raw[np.arange(raw.shape[1]) < n[:, None]] = np.frombuffer(
+            data.buffers()[2], np.uint8)[first:last]
+    return raw, n
+
+
+def _packed(tokens: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The first ``length`` ids of each row as one binary."""
+    ids = tokens[np.arange(tokens.shape[1]) < length[:, None]].astype("<u4")
+    return _binary(4 * np.cumsum([0, *length]), ids.tobytes())
 
 
 _loaded: dict[tuple, Decoder] = {}

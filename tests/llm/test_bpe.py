@@ -99,6 +99,38 @@ def test_many_merges_equal_single_merges(own):
     assert [bpe.token_ids(x) for x in got] == [own.merge(b) for b in strings]
 
 
+def test_matrix_tree_equals_single_merges(own):
+    rng = random.Random(13)
+    strings = [bytes(rng.choice(b"aabcdeinst \xc3\xa9") for _ in range(rng.randint(0, 32)))
+               for _ in range(3000)]
+    strings += [b"", b"a" * 32, b" " * 31, b"\xff" * 30, b" internationalization", b"ababab" * 5]
+    before = own.joins
+    got = own.reduce_many(pa.array(strings, pa.large_binary())).to_pylist()
+    assert [bpe.token_ids(x) for x in got] == [own.merge(b) for b in strings]
+    assert own.joins - before == sum(max(0, -(-len(b) // bpe.LEAF) - 1) for b in strings)
+    assert own.reduce_many(pa.array([], pa.large_binary())).to_pylist() == []
+
+
+def test_ordinary_text_goes_through_the_tree(own, library, spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    before = own.joins
+    got = own.encode_batch(pa.array(texts, pa.string())).to_pylist()
+    assert [bpe.token_ids(x) for x in got] == [library.encode_ordinary(t or "") for t in texts]
+    assert own.joins - before > 1000
+
+
+def test_few_remembered_pairs_change_nothing(ranks, own, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_PAIRS", 3)
+    small, texts = bpe.Bpe(ranks, public_tokenizers.PATTERN), [*_texts(200)]
+    assert (small.encode_batch(pa.array(texts)).to_pylist()
+            == own.encode_batch(pa.array(texts)).to_pylist())
+
+
+def test_decoding_up_the_tree(own):
+    text = "many words and 123 more, " * 3000
+    assert own.decode(own.encode(text)) == text.encode() and own.decode(None) == b""
+
+
 def test_query_against_the_library(spark, library):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     rows = QUERIES["op7_byte_bpe"](spark, SF_SMALL).collect()
