@@ -1,8 +1,9 @@
 """Toxicity of obfuscated text (operator 5).
 
 A noisy channel first restores what a writer has disguised: leetspeak
-(``1d10t``), letters spaced out (``i d i o t``, ``i.d.i.o.t``) and letters
-repeated (``iiidiot``). Each disguised token is a lattice of characters, in
+(``1d10t``), letters spaced out (``i d i o t``, ``i.d.i.o.t``), letters
+repeated (``iiidiot``), letters of another script that look alike, and any of
+these together (``1 d 1 0 t``). Each disguised token is a lattice of characters, in
 which every position offers the letters that may have been meant (or nothing,
 for a repeated letter or a separator, or the end of a word for a separator), and the Viterbi algorithm picks the
 path that is likeliest under a character trigram model times the channel. The
@@ -50,6 +51,10 @@ LEAST_SHARE = 0.3
 #: Letters that a character may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b",
         "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
+#: Cyrillic and Greek letters and the Latin ones that they look like.
+LOOK_ALIKE = {"а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k",
+              "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x",
+              "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u"}
 SEPARATORS = "._-*~ "
 
 _CODES = 64
@@ -61,12 +66,15 @@ _REMEMBERED = 60_000
 _trailing = re.compile(r"[!$|+(@.,;:?*%&#\"')\]}<>=~_-]+$")
 _word = re.compile(r"[^\W\d_]+")
 _disguised = re.compile(
-    r"(?<![^\W_])[^\W\d_](?:[ ._*~-][^\W\d_])+(?![^\W_])"  # letters spaced out
+    r"(?<![^\W_])(?:[^\W_]|[@$!|+(€])(?:[ ._*~-](?:[^\W_]|[@$!|+(€]))+(?![^\W_])"  # spaced out
     r"|[^\s.,;:?\"']*[^\W\d_][^\s.,;:?\"']*")                 # a token with a letter
 _leet = re.compile(r"[0-9@$!|+(€]")
 _repeated = re.compile(r"([^\W\d_])\1")
 _spaced = re.compile(r"^.(?:[ ._*~-].)+$")
 _inner = re.compile(r"[._*~-]")
+_letter = re.compile(r"[^\W\d_]")
+_looks = "".join(LOOK_ALIKE)
+_mixed = re.compile(f"[{_looks}](?:(?<=[a-z].)|(?=[a-z]))")
 
 
 def _code_table() -> np.ndarray:
@@ -149,11 +157,13 @@ def _lattice(token: str) -> list[list[tuple[str, float]]]:
     for i, ch in enumerate(token):
         if ch.isalpha():
             options = [(ch, _SAME)]
+            if ch in LOOK_ALIKE:
+                options.append((LOOK_ALIKE[ch], _LEET))
             if i and token[i - 1] == ch:
                 options.append(("", _DROP))
         else:
             options = [(x, _LEET) for x in LEET.get(ch, "")]
-            if ch in SEPARATORS or not options:
+            if ch in SEPARATORS or not options or i and token[i - 1] == ch:
                 options.append(("", _DROP))
             if ch in SEPARATORS:
                 options.append((" ", _BREAK))
@@ -196,7 +206,9 @@ def restore(token: str, model) -> str:
 
 def _is_disguised(token: str) -> bool:
     body = _trailing.sub("", token)
-    return bool(_leet.search(body) or _repeated.search(body) or _spaced.match(body)
+    if _spaced.match(body) and len(_letter.findall(body)) < 2:  # as "a 1" or "3.5"
+        return False
+    return bool(_mixed.search(body) or _leet.search(body) or _repeated.search(body) or _spaced.match(body)
                 or _inner.search(body))
 
 
@@ -247,17 +259,17 @@ class Reader:
         for w in tuple(found):
             if more := self._single(w):
                 found.update(more)
-        if _suspect(lowered):
+        if _suspect(lowered) or not lowered.isascii() and _mixed.search(lowered):
             for m in _disguised.finditer(lowered):
                 token = m[0]
-                if not token.isalpha() and _is_disguised(token):
+                if (not token.isalpha() or _mixed.search(token)) and _is_disguised(token):
                     found.update(_word.findall(self._restored(token)))
         return found
 
 
 _suspect = re.compile(
     r"[^\W\d_][0-9@$!|+(€._*~-]+[^\W\d_]|[0-9@$!|+(€][^\W\d_]"
-    r"|(?<![^\W_])[^\W\d_](?: [^\W\d_])+(?![^\W_])|[^\W\d_][0-9]").search
+    r"|(?<![^\W_])[^\W\d_](?: [0-9@$!|+(€])* [^\W\d_](?![^\W_])|[^\W\d_][0-9]").search
 
 
 def features(word: str) -> list[str]:

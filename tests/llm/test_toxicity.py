@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -46,6 +47,39 @@ def test_disguises_are_restored(scorer):
     assert read(None) == set() == read("")
 
 
+def test_combined_disguises_are_restored(scorer):
+    read = scorer.reader.words
+    for text in ("such an i d 1 0 t here", "1 d i o t", "i.d.1.0.t", "i-d-!-o-t", "111d10t",
+                 "iid100t", "\u0456d\u0456ot", "such an \u0456 d i \u043e t", "1_d_1_0_t"):
+        assert "idiot" in read(text), (text, read(text))
+    assert "moron" in read("m 0 r o n") and "stupid" in read("5 t u p 1 d")
+    # numbers, and words wholly of another script, are left alone
+    assert read("3.5 and 1 2 3") == {"and"}
+    assert read("\u043e\u0442\u0435\u0446") == {"\u043e\u0442\u0435\u0446"}
+
+
+def test_viterbi_equals_the_best_of_all_paths(scorer):
+    model = scorer.reader.model
+
+    def score(path):
+        a = b = 0
+        total = 0.0
+        for letter, weight in path:
+            if letter:
+                c = int(X.codes(letter)[0])
+                total += weight + float(model[a * X._CODES + b][c])
+                a, b = b, c
+            else:
+                total += weight + X._DROP_STEP
+        return total + float(model[a * X._CODES + b][0])
+
+    for token in ("1d10t", "i d 1 o", "l0$$er", "s.t.u", "aa11", "\u0456d\u0456ot", "m_0_r", "x"):
+        paths = [list(p) for p in itertools.product(*X._lattice(token))]
+        best = max(map(score, paths))
+        found = X.restore(token, model)
+        assert any("".join(x for x, _ in p) == found and abs(score(p) - best) < 1e-6 for p in paths)
+
+
 def test_scores_of_disguised_and_clean_texts(spark, tables, scorer):
     texts = ["the old house by the river", "the river 1d10t and s t u p i d birds",
              "green l0ser in the m0ron trees", "", None, "many birds " * 20000]
