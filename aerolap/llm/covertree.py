@@ -40,7 +40,7 @@ from aerolap.llm.common import discard, written
 from aerolap.llm.components import components
 
 MAX_CENTRES = 1024
-BLOCK = 4096
+BLOCK = 1024
 LEAF = 16
 #: Rows of a matrix of distances that a task holds at once.
 STRIP = 256
