@@ -18,6 +18,23 @@ def text_number(c: Column) -> Column:
     return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
+def looks_plain(c: Column) -> Column:
+    """Does the text begin like a number, end with a digit or a dot, and hold no ``x``?
+
+    Of such texts a cast to double takes plain numbers only: what else it takes ends
+    with a letter (``12d``, ``-inf``), holds an ``x`` (``0x1p3``) or has blanks or control
+    characters around it. Costs a fraction of the pattern.
+    """
+    last = F.substring(c, -1, 1)
+    return ((c >= "+") & (c < ":") & (last >= ".") & (last < ":")
+            & ~F.contains(c, F.lit("x")) & ~F.contains(c, F.lit("X")))
+
+
+def cell_number(c: Column) -> Column:
+    """:func:`text_number` of a column of texts that mostly look plain."""
+    return F.when(looks_plain(c) | c.rlike(_NUMBER), c.try_cast("double"))
+
+
 def lenient(c: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast with the non-ANSI meaning: a bad value becomes null, and text such
     as ``1.0`` becomes the integer 1 (truncated) rather than null."""

@@ -7,13 +7,14 @@ DataFrames, so Catalyst pushes column pruning and filters into the scan.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolap.functions._util import lenient
+from aerolap.functions._util import cell_number
 from aerolap.schema import NA_TOKENS, RAW_SCHEMA
 from aerolap.session import scratch_path
 
@@ -82,18 +83,34 @@ def typed_columns(header: Sequence[str], schema: T.StructType, na_tokens: Sequen
     if missing := [n for n in wanted if header.count(n) != 1
                    and not (missing_as_null and n not in header)]:
         raise ValueError(f"not exactly one column {', '.join(missing)} in {file}")
+    numeric = [t for t in na_tokens if re.search(r"\d", t)]
     out = []
     for f, name in zip(schema.fields, wanted, strict=True):
         if name not in header:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         c = F.col(f"c{header.index(name)}")
-        v = F.when(~c.isin(list(na_tokens)), c)
-        out.append((v if isinstance(f.dataType, T.StringType)
-                    else lenient(v, T.StringType(), f.dataType)).alias(f.name))
+        if isinstance(f.dataType, T.NumericType):
+            # other tokens are no numbers, so they give null anyway
+            v = F.when(~c.isin(numeric), c) if numeric else c
+            out.append(cell_number(v).try_cast(f.dataType).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):
+            out.append(_text_cell(c, na_tokens).alias(f.name))
+        else:
+            out.append(F.when(~c.isin(list(na_tokens)), c).try_cast(f.dataType).alias(f.name))
     return out
 
 
+def _text_cell(c: Column, na_tokens: Sequence[str]) -> Column:
+    """The text, null for an NA token.
+
+    A higher-order function keeps the projection out of whole-stage code: the cells of
+    a wide file would make one method there that is too long for the JIT compiler, while
+    a projection of its own is generated in short methods.
+    """
+    return F.get(F.transform(F.array(c), lambda x: F.when(~x.isin(list(na_tokens)), x)), F.lit(0))
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str | Sequence[str],

@@ -8,6 +8,8 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+from aerolap.functions import _util as U
+from aerolap.sources import files as F
 from aerolap.sources import infer as I
 from aerolap.sources import lines as L
 
@@ -90,3 +92,46 @@ def test_states_of_files_merge_and_widen(spark, tmp_path):
     assert df.schema.simpleString() == "struct<x:bigint,y:double,d:date,z:string>"
     rows = {r.x: (r.y, str(r.d), r.z) for r in df.collect()}
     assert rows == {1: (2.0, "2024-01-01", None), 3: (None, "None", None), 99999999999: (2.5, "None", "a,b")}
+
+
+def test_pieces_of_a_folder_are_numbered_as_one_file(spark, tmp_path, split_bytes):
+    rows = [["a", "b"], *[[str(i), f"l{i}\nm" if i % 3 else f"x{i}"] for i in range(40)]]
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "cut").mkdir()
+    with open(tmp_path / "whole" / "f.csv", "w", newline="") as fh:
+        csv.writer(fh, lineterminator="\n").writerows(rows)
+    for k, (a, b) in enumerate([(1, 8), (8, 8), (8, 30), (30, 41)]):
+        with open(tmp_path / "cut" / f"part-{k}.csv", "w", newline="") as fh:
+            csv.writer(fh, lineterminator="\n").writerows([rows[0], *rows[a:b]])
+    split_bytes(37)
+    places = ["a", "b", "source_line", "source_record"]
+    want = L.read_raw_csv_lines(spark, str(tmp_path / "whole"), SCHEMA).select(*places).collect()
+    got = L.read_raw_csv_lines(spark, str(tmp_path / "cut"), SCHEMA, folders=True).select(*places).collect()
+    assert len(got) == 40 and sorted(got) == sorted(want)
+
+
+def test_cells_without_pattern_are_the_numbers_of_the_pattern(spark):
+    cells = ["1", "-7", " 12 ", "+3", "1.5", "1.", ".5e3", "1e5", "12d", "1f", "0x1p3", "-0x1.8p1", "+Infinity",
+             "-inf", "NaN", "", None, "1996-03-13", "1,5", "12\x01", "\x0112", "12\t", "x", "-", "1 2", "9" * 30]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    for r in df.select("c", U.cell_number(df["c"]).alias("n"), U.text_number(df["c"]).alias("t")).collect():
+        assert r.n == r.t, r.c
+
+
+def test_obvious_cells_have_the_kind_of_all_cells(spark, tmp_path):
+    cells = ["1", "+12", "-123456789", "1234567890", "9" * 18, "9" * 30, "1.5", "-0.25", "1.", ".5", "1e5", "12d",
+             "2024-02-29", "2023-02-29", "NA", "x", "Zed", "NaN", "nan", "Infinity", " 7", "7 ", "é"]
+    for k, c in enumerate(cells):
+        with open(tmp_path / f"{k:02d}.csv", "w", newline="") as fh:
+            csv.writer(fh).writerows([["v", "w"], [c, "q"]])
+    got = {r.source_file[-6:-4]: r.state for r in I.column_states(spark, str(tmp_path)).where("column = 'v'").collect()}
+    df = spark.createDataFrame([(f"{k:02d}", c) for k, c in enumerate(cells)], "k string, c string")
+    assert got == {r.k: r.s for r in df.select("k", I.kind(df["c"]).alias("s")).collect()}
+
+
+def test_text_cells_keep_the_projection_out_of_one_long_method(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,NA\n-9,y\n12d,\n")
+    df = F.read_raw_csv(spark, str(tmp_path), SCHEMA, na_tokens=["NA", "", "-9"])
+    assert [(r.a, r.b) for r in df.collect()] == [(1, None), (None, "y"), (None, None)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Project" in plan and "*(1) Project" not in plan
