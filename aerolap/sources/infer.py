@@ -9,12 +9,18 @@ type: numbers widen (integer, long, double), a date stays a date only alone, and
 everything else is text. A column without a value is text.
 
 Unlike a sample of rows, all rows decide, so no later row can contradict the type.
+Batches of rows are first reduced to the distinct cells of each column; of these, short
+whole numbers, plain decimals and texts that begin with a letter are told by patterns over
+the batch, and :func:`kind` decides the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +45,42 @@ def kind(cell: Column, na_tokens: Sequence[str] = NA_TOKENS) -> Column:
         .otherwise(TEXT))
 
 
+#: Cells whose kind the pattern alone tells; each is one for :func:`kind`, too.
+_OBVIOUS = {INTEGER: r"\A[+-]?[0-9]{1,9}\z", DOUBLE: r"\A[+-]?[0-9]{1,15}\.[0-9]{1,15}\z", TEXT: r"\A[A-Za-z]"}
+_CELLS = "source_file string, at int, state int, cells array<string>"
+
+
+def _reduced(width: int, na_tokens: Sequence[str]
+             ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of cells -> per batch, file and column: bits of the obvious cells, the other cells once."""
+    missing = pa.array(list(na_tokens), pa.string())
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            file = batch.column(width)
+            ids = file.dictionary_encode().indices.to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1), batch.num_rows] if batch.num_rows else []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                states, others = [], []
+                for i in range(width):
+                    left = pc.unique(batch.column(i).slice(int(a), int(b - a))).drop_null()
+                    left = left.filter(pc.invert(pc.is_in(left, missing.cast(left.type))))
+                    state = 0
+                    for bit, pattern in _OBVIOUS.items():
+                        if len(left):
+                            hit = pc.match_substring_regex(left, pattern)
+                            rest = left.filter(pc.invert(hit))
+                            state |= bit if len(rest) < len(left) else 0
+                            left = rest
+                    states.append(state)
+                    others.append(left.to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file[int(a)].as_py()] * width), pa.array(range(width), pa.int32()),
+                     pa.array(states, pa.int32()), pa.array(others, pa.list_(pa.string()))],
+                    ["source_file", "at", "state", "cells"])
+    return reduce
+
+
 def upper_bound(state: int) -> T.DataType:
     """The type that holds every kind of the state."""
     if state == DATE:
@@ -52,18 +94,19 @@ def column_states(spark: SparkSession, path: str | Sequence[str], na_tokens: Seq
                   ) -> DataFrame:
     """The state of each column of each file: (source_file, column, state).
 
-    One read and one aggregation per header; a row per file and column.
+    One read per header, and an aggregation of what its batches leave; a row per file and column.
     """
     parts = []
     for header, files in files_by_header(spark, path).items():
         cells = spark.read.schema(text_columns(header)).option("header", True).option(
             "quote", '"').option("escape", '"').csv(files)
-        states = cells.select("*", F.col("_metadata.file_path").alias("source_file")).groupBy(
-            "source_file").agg(*[F.bit_or(kind(F.col(f"c{i}"), na_tokens)).alias(f"s{i}")
-                                 for i in range(len(header))])
-        pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"s{i}").alias("state"))
-                          for i, n in enumerate(header)])
-        parts.append(states.select("source_file", F.inline(pairs)))
+        reduced = cells.select("*", F.col("_metadata.file_path").alias("source_file")).mapInArrow(
+            _reduced(len(header), na_tokens), _CELLS)
+        bits = reduced.select("source_file", "at", "state", F.explode_outer("cells").alias("cell")).select(
+            "source_file", "at", F.col("state").bitwiseOR(kind(F.col("cell"), na_tokens)).alias("state"))
+        states = bits.groupBy("source_file", "at").agg(F.bit_or("state").alias("state"))
+        names = F.array(*[F.lit(n) for n in header])
+        parts.append(states.select("source_file", names[F.col("at")].alias("column"), "state"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
