@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aerolap.schema import DATASET_SIZES, SAMPLE_SEED
-from aerolap.session import drop_scratch, scratch_path
+from aerolap.session import drop_scratch, open_writers, scratch_path
 from aerolap.sources.files import write_parquet
 from aerolap.sources.paths import dataset_path, size_label
 from aerolap.sources.publish import drop_folder, publish
@@ -225,7 +225,10 @@ def write_sizes(cleaned: DataFrame, base: str, sizes: Iterable[float] = DATASET_
         rows = spark.read.schema(cleaned.schema).parquet(scratch)
     label = f"size{_hash_column(rows)}"
     staged = f"{base.rstrip('/')}/.sizes-{uuid.uuid4().hex[:12]}"
-    labelled(rows, sizes, label, keys, seed).write.partitionBy(label).parquet(staged)
+    # a row's copies come together, so each size has its file open, and no row is sorted
+    with open_writers(spark, len(sizes)):
+        labelled(rows, sizes, label, keys, seed).write.partitionBy(label).option(
+            "compression", "zstd").parquet(staged)
     out = {}
     for s in sizes:
         out[s] = dataset_path(base, s)

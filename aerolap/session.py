@@ -119,6 +119,18 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+@contextlib.contextmanager
+def open_writers(spark: SparkSession, n: int):
+    """Partitioned writes keep up to ``n`` files open per task instead of sorting the rows first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextlib.contextmanager
 def tuned_for_input(spark: SparkSession, path: str):
     """The session with :func:`cluster_settings` for the data at ``path``.

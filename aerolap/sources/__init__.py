@@ -1,5 +1,6 @@
 """Sources and sinks: CSV / Parquet files, catalog tables, paths, fixtures."""
 
+from aerolap.session import open_writers
 from aerolap.sources.files import (
     materialise,
     read_csv,
@@ -14,7 +15,7 @@ from aerolap.sources.fixtures import raw_flights
 from aerolap.sources.infer import infer_csv_schema, read_csv_inferred
 from aerolap.sources.lines import read_raw_csv_lines
 from aerolap.sources.paths import Layout, dataset_path, size_label
-from aerolap.sources.publish import recover, replace, replace_partitions
+from aerolap.sources.publish import publish, recover, replace, replace_partitions
 from aerolap.sources.tables import (
     declare_table,
     drop_table,
@@ -32,6 +33,8 @@ __all__ = [
     "infer_csv_schema",
     "insert_overwrite",
     "materialise",
+    "open_writers",
+    "publish",
     "raw_flights",
     "read_csv",
     "read_csv_inferred",
