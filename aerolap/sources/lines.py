@@ -20,6 +20,10 @@ Lines end with ``\\n`` (a ``\\r`` before it belongs to the line end). Empty line
 outside quotes are lines but not records. The header is record 1, so a file's
 first row is record 2. A quoted value that is never closed reaches to the end of
 its file, as for any CSV reader.
+
+A file that was written in pieces, as Spark writes one, is a folder of files that each
+have the header. With ``folders`` their rows are numbered as in the one file that the pieces
+make up in the order of their names, below the header of the first.
 """
 
 from __future__ import annotations
@@ -105,10 +109,11 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         outside, within = outside + int(first.sum()), within + int(second.sum())
 
 
-def records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def records(spark: SparkSession, files: Sequence[str], folders: bool = False) -> DataFrame:
     """(source_file, source_line, source_record, text) of every record of the files.
 
-    ``source_line`` is the line that the record begins on. Counts the lines when
+    ``source_line`` is the line that the record begins on. With ``folders`` the files of a
+    folder count as one, and only the first one's header is a record. Counts the lines when
     called (one read of the files), numbers them when used.
     """
     lines = spark.read.option("lineSep", "\n").text(list(files)).select(
@@ -119,9 +124,21 @@ def records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     places = splits.withColumn(
         "opens_inside", F.coalesce(F.sum("n_odd").over(earlier), F.lit(0)) % 2 == 1)
     begins = F.when(F.col("opens_inside"), F.col("begins_inside")).otherwise(F.col("begins_outside"))
-    places = places.withColumn("begins", begins).select(
-        "file", "start", "opens_inside", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)).alias("line0"),
-        F.coalesce(F.sum("begins").over(earlier), F.lit(0)).alias("record0"))
+    places = places.withColumn("begins", begins).withColumns({
+        "line0": F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)),
+        "record0": F.coalesce(F.sum("begins").over(earlier), F.lit(0)), "header": F.lit(0)})
+    if folders:
+        # a piece begins where the ones before it end, its own header left out
+        pieces = places.groupBy("file").agg(F.sum("n_lines").alias("n"), F.sum("begins").alias("m"))
+        ahead = Window.partitionBy(F.regexp_replace("file", "[^/]*$", "")).orderBy("file").rowsBetween(
+            Window.unboundedPreceding, -1)
+        pieces = pieces.select("file", F.sum(F.col("n") - 1).over(ahead).alias("n"),
+                               F.sum(F.col("m") - 1).over(ahead).alias("m"))
+        places = places.join(pieces, "file").withColumns({
+            "line0": F.col("line0") + F.coalesce("n", F.lit(0)),
+            "record0": F.col("record0") + F.coalesce("m", F.lit(0)),
+            "header": F.when(F.col("m").isNotNull(), F.col("m") + 1).otherwise(F.lit(0))})
+    places = places.select("file", "start", "opens_inside", "line0", "record0", "header")
     inside = F.col("inside") != F.col("opens_inside")
     before = F.when(F.col("opens_inside"), F.col("before_inside")).otherwise(F.col("before_outside"))
     placed = (
@@ -129,7 +146,10 @@ def records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
         .withColumn("inside", inside).where("inside OR filled")
         .select("file", (F.col("line0") + F.col("at") + 1).alias("line"),
                 (F.col("record0") + before + F.when(F.col("inside"), 0).otherwise(1)).alias("record"),
-                (F.col("inside") | F.col("odd")).alias("longer"), "value"))
+                (F.col("inside") | F.col("odd")).alias("longer"), "value", "header"))
+    if folders:
+        placed = placed.where("record > header")
+    placed = placed.drop("header")
     if splits.where("n_odd > 0").isEmpty():
         whole = placed
     else:
@@ -145,18 +165,19 @@ def records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
 
 def read_raw_csv_lines(spark: SparkSession, path: str | Sequence[str],
                        schema: T.StructType = RAW_SCHEMA,
-                       na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+                       na_tokens: Sequence[str] = NA_TOKENS, folders: bool = False) -> DataFrame:
     """``read_raw_csv`` with ``source_file``, ``source_line`` and ``source_record`` of each row.
 
-    Values are those of ``read_raw_csv``; values that hold line ends are read whole.
+    Values are those of ``read_raw_csv``; values that hold line ends are read whole. With
+    ``folders`` the files of a folder, all with the same header, are numbered as one.
     """
     parts = []
     for header, files in files_by_header(spark, path).items():
-        rows = records(spark, files).where("source_record > 1")
+        rows = records(spark, files, folders).where("source_record > 1")
         fields = F.from_csv("text", text_columns(header).simpleString()[7:-1].replace(":", " "),
                             {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-        text = rows.select(fields.alias("fields"), "source_file", "source_line", "source_record").select(
-            "fields.*", "source_file", "source_line", "source_record")
+        # a record is parsed once, below the generator, however often its cells are looked at
+        text = rows.select(F.inline(F.array(fields)), "source_file", "source_line", "source_record")
         parts.append(text.select(*typed_columns(header, schema, na_tokens, files[0]),
                                  "source_file", "source_line", "source_record"))
     out = parts[0]
