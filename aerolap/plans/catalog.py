@@ -45,9 +45,10 @@ from aerolap.schema import (
     RAW_FIELDS,
     TIME_CHECKS,
 )
-from aerolap.session import input_bytes, scratch_path
+from aerolap.session import input_bytes, open_writers, scratch_path
 from aerolap.sources.fixtures import KEY_COLUMNS
 from aerolap.sources.fixtures import load_raw_flights as raw_flights
+from aerolap.sources.publish import publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -572,15 +573,15 @@ def _from_states(analysis: str) -> Query:
         folder, store = scratch_path(spark, "inputs"), scratch_path(spark, "states")
         # one scan writes all inputs, which then come to their folder one by one
         came, line = scratch_path(spark, "came"), F.col("l_linenumber") % 4
-        with S.open_writers(spark, 4):
+        with open_writers(spark, 4):
             f.where(line.between(0, 3)).withColumn("came", line).write.partitionBy("came").parquet(came)
         for part in (0, 1, 2):
-            S.publish(spark, f"{came}/came={part}", f"{folder}/{part}", empty=f.limit(0))
+            publish(spark, f"{came}/came={part}", f"{folder}/{part}", empty=f.limit(0))
         ST.update(spark, [folder], store, analysis)
-        S.publish(spark, f"{came}/came=3", f"{folder}/3", empty=f.limit(0))
+        publish(spark, f"{came}/came=3", f"{folder}/3", empty=f.limit(0))
         again = spark.read.schema(f.schema).parquet(f"{folder}/1")
         S.write_parquet(again.withColumn("arr_delay", F.col("arr_delay") + 3), f"{came}/again")
-        S.publish(spark, f"{came}/again", f"{folder}/1")
+        publish(spark, f"{came}/again", f"{folder}/1")
         ST.update(spark, [folder], store, analysis)
         return with_text(ST.report(spark, store, analysis),
                          ints=("months",) if analysis == "route_stats" else (),

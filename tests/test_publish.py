@@ -84,3 +84,17 @@ def test_states_follow_the_files(spark):
     P.drop_folder(spark, f"{folder}/b")
     assert set(update().values()) == {(0, 1)}
     check()
+
+
+def test_open_writers_write_unsorted_and_restore_the_session(spark, tmp_path):
+    from aerolap.session import open_writers
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), open_writers(spark, 3):
+        spark.range(30).selectExpr("id", "id % 3 AS p").coalesce(1).write.partitionBy("p").parquet(
+            str(tmp_path / "t"))
+        assert spark.conf.get(key) == "3"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("p").count().collect() and spark.read.parquet(
+        str(tmp_path / "t")).count() == 30
