@@ -18,7 +18,8 @@ window's ends are what :meth:`Bpe.join` tests.
 Texts are first cut by the tokenizer's pattern; a match that is itself in the
 vocabulary is one token, as in the public library. The distinct matches of a
 batch go up the tree together: leaves of ``LEAF`` bytes are merged as rows of
-one matrix, and each level joins all its neighbours at once, with windows that
+one matrix, equal ones once, and each level joins all its neighbours at once:
+as they are where the two tokens that meet prove it, else with windows that
 grow for the rows whose ends are not proved yet. Matches of more than ``SHORT``
 bytes go up the tree one by one. Decoding concatenates the tokens' bytes up a
 tree of halves.
@@ -138,7 +139,7 @@ class Bpe(Decoder):
         self._stable: dict[int, bool] = {}
         self._size = np.zeros(max(self.bytes_of) + 1, np.int64)
         self._size[list(self.bytes_of)] = [len(t) for t in self.bytes_of.values()]
-        self.joins = 0  # of neighbours, so far
+        self.joins = 0  # of neighbours, so far; equal ones joined at once count each
 
     # --- the monoid -------------------------------------------------------
 
@@ -369,13 +370,20 @@ class Bpe(Decoder):
         parts, width = 1, LEAF
         while parts * width < n.max(initial=0):
             parts *= 2
-        raw = np.pad(raw, ((0, 0), (0, max(0, parts * width - raw.shape[1]))))[:, :parts * width]
+        raw = np.ascontiguousarray(
+            np.pad(raw, ((0, 0), (0, max(0, parts * width - raw.shape[1]))))[:, :parts * width])
         sizes = np.clip(n[:, None] - width * np.arange(parts), 0, width).ravel()
-        tokens, length = self._merge_rows(raw.reshape(-1, width), sizes)
+        # matches share many leaves, and pairs of leaves: each is merged or joined once
+        first, place = _distinct(raw.reshape(-1, width), sizes)
+        tokens, length = (x[place] for x in self._merge_rows(raw.reshape(-1, width)[first], sizes[first]))
         while parts > 1:
-            parts, width = parts // 2, width * 2
-            tokens, length = self._join_rows(raw.reshape(-1, width), tokens[::2], length[::2],
-                                             tokens[1::2], length[1::2])
+            parts, width, sizes = parts // 2, width * 2, sizes[::2] + sizes[1::2]
+            self.joins += np.count_nonzero(length[1::2])
+            nodes = raw.reshape(-1, width)
+            first, place = _distinct(nodes, sizes) if width <= 8 else (slice(None), slice(None))
+            tokens, length = (x[place] for x in self._join_rows(
+                nodes[first], tokens[::2][first], length[::2][first], tokens[1::2][first],
+                length[1::2][first]))
         return _packed(tokens, length)
 
     def _join_rows(self, raw: np.ndarray, left: np.ndarray, n_left: np.ndarray,
@@ -386,7 +394,13 @@ class Bpe(Decoder):
         cols, wide = np.arange(half), np.arange(2 * half)
         out, length = np.pad(left, ((0, 0), (0, half))), n_left.copy()
         rows = np.flatnonzero(n_right)  # where there is a right part, the left one is full
-        self.joins += len(rows)
+        # two tokens that merging leaves apart already prove the join, without a window
+        apart = self._pairs_are_stable(left[rows, n_left[rows] - 1], right[rows, 0])
+        as_is, rows = rows[apart], rows[~apart]
+        k = n_left[as_is, None]
+        out[as_is] = np.where(wide < k, out[as_is], np.take_along_axis(
+            right[as_is], np.clip(wide - k, 0, half - 1), 1))
+        length[as_is] = n_left[as_is] + n_right[as_is]
         i, j = np.minimum(2, n_left[rows]), np.minimum(2, n_right[rows])
         while len(rows):
             a, b, n_a, n_b = left[rows], right[rows], n_left[rows], n_right[rows]
@@ -448,6 +462,21 @@ def _byte_rows(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, n
 
 
+def _distinct(raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct row of up to 8 bytes, of which ``n`` count, stands first, and
+    which of these every row equals. Bytes that do not count are 0."""
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :raw.shape[1]] = raw
+    key = wide.view(np.uint64).ravel()
+    # equal bytes of unequal length differ in trailing zero bytes: lengths are told apart, too
+    order = np.lexsort((n, key)) if (raw == 0).any() else key.argsort()
+    new = np.ones(len(key), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (n[order][1:] != n[order][:-1])
+    place = np.empty(len(key), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
+
+
 def _packed(tokens: np.ndarray, length: np.ndarray) -> pa.Array:
     """The first ``length`` ids of each row as one binary."""
     ids = tokens[np.arange(tokens.shape[1]) < length[:, None]].astype("<u4")

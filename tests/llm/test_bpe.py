@@ -152,3 +152,14 @@ def test_nulls_clashing_names_and_empty_table(spark):
     back = got.select(bpe.decode(F.col("ids"), v).alias("b")).collect()
     assert sorted(bytes(r.b) for r in back) == [b"", b"", b"a b"]
     assert bpe.encode_documents(df.limit(0), v).count() == 0
+
+
+def test_equal_parts_of_matches_are_merged_and_joined_once(own, monkeypatch):
+    joined, merged, join, merge = [], [], own._join_rows, own._merge_rows
+    monkeypatch.setattr(own, "_join_rows", lambda raw, *a: joined.append(len(raw)) or join(raw, *a))
+    monkeypatch.setattr(own, "_merge_rows", lambda raw, n: merged.append(len(raw)) or merge(raw, n))
+    words = [f"reintern{x}" for x in "abcdefghijklmnopqrstuvwxyz"] + ["reintern", "rein", "rein\0", "rein\0\0"]
+    got = own.reduce_many(pa.array(words, pa.large_string())).to_pylist()
+    assert [bpe.token_ids(b) for b in got] == [own.merge(w.encode()) for w in words]
+    # leaves: rein, tern, \0, \0\0, nothing and 26 letters; joined: reintern, rein with two, one or no \0
+    assert merged[0] == 31 and joined[0] == 4 + 26 + 1
