@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,6 +43,7 @@ from aerolap.llm.common import release, written
 
 FIT_ROWS = 16_000
 PREFIXES = (3, 4, 5, 6)
+_LEAST = min(PREFIXES)
 SMOOTHING = 4.0
 TOP = 3
 #: Evidence below this share of toxic documents is not kept.
@@ -181,22 +182,31 @@ def restore(token: str, model) -> str:
 
     ``model`` is the table of :func:`character_model`, or its list of lists.
     """
-    # a path is its score and its letters from the last to the first
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    # by the codes of its last two letters: a path's score, and its letters from the last to the first
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for options in _lattice(token):
-        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (score, path) in states.items():
-            for letter, weight in options:
+        new: dict[int, tuple[float, tuple | None]] = {}
+        if len(options) == 1 and options[0][0]:  # most letters can only be themselves
+            (letter, weight), c = options[0], _code(options[0][0])
+            for key, (score, path) in states.items():
+                to, s = (key & (_CODES - 1)) * _CODES | c, score + weight + float(model[key][c])
+                if to not in new or s > new[to][0]:
+                    new[to] = (s, (letter, path))
+            states = new
+            continue
+        coded = [(letter, weight, _code(letter) if letter else -1) for letter, weight in options]
+        for key, (score, path) in states.items():
+            row, last = model[key], (key & (_CODES - 1)) * _CODES
+            for letter, weight, c in coded:
                 if letter:
-                    c = _code(letter)
-                    key, s = (b, c), score + weight + float(model[a * _CODES + b][c])
+                    to, s = last | c, score + weight + float(row[c])
                 else:
-                    key, s = (a, b), score + weight + _DROP_STEP
-                if key not in new or s > new[key][0]:
-                    new[key] = (s, (letter, path) if letter else path)
+                    to, s = key, score + weight + _DROP_STEP
+                if to not in new or s > new[to][0]:
+                    new[to] = (s, (letter, path) if letter else path)
         states = new
-    path = max(((score + float(model[a * _CODES + b][0]), path)
-                for (a, b), (score, path) in states.items()), key=lambda x: x[0])[1]
+    path = max(((score + float(model[key][0]), path)
+                for key, (score, path) in states.items()), key=lambda x: x[0])[1]
     letters = []
     while path:
         letters.append(path[0])
@@ -242,34 +252,68 @@ class Reader:
                 self._known[token] = known
         return known
 
-    def _single(self, word: str) -> list[str]:
-        """What a word of letters alone may have been without its repeated letters."""
-        known = self._plain.get(word)
-        if known is None:
-            if len(self._plain) > _REMEMBERED:
-                self._plain.clear()
-            known = _word.findall(self._restored(word)) if _repeated.search(word) else []
-            if len(word) <= _MAX_KNOWN:
-                self._plain[word] = known
-        return known
+    def single(self, words: list[str]) -> dict[str, list[str]]:
+        """Of words of letters alone, those with repeated letters, and what each may have
+        been without them."""
+        found = {}
+        for w in _with_repeated(words):
+            known = self._plain.get(w)
+            if known is None:
+                if len(self._plain) > _REMEMBERED:
+                    self._plain.clear()
+                known = _word.findall(self._restored(w))
+                if len(w) <= _MAX_KNOWN:
+                    self._plain[w] = known
+            found[w] = known
+        return found
+
+    def behind(self, token: str) -> list[str]:
+        """The words behind a token of :func:`tokens`, if it is disguised."""
+        if (not token.isalpha() or _mixed.search(token)) and _is_disguised(token):
+            return _word.findall(self._restored(token))
+        return []
 
     def words(self, text: str | None) -> set[str]:
-        lowered = (text or "").lower()
-        found = set(_word.findall(lowered))
-        for w in tuple(found):
-            if more := self._single(w):
-                found.update(more)
-        if _suspect(lowered) or not lowered.isascii() and _mixed.search(lowered):
-            for m in _disguised.finditer(lowered):
-                token = m[0]
-                if (not token.isalpha() or _mixed.search(token)) and _is_disguised(token):
-                    found.update(_word.findall(self._restored(token)))
+        plain, disguised = tokens(text)
+        found = set(plain)
+        for more in self.single(list(plain)).values():
+            found.update(more)
+        for token in disguised:
+            found.update(self.behind(token))
         return found
 
 
-_suspect = re.compile(
-    r"[^\W\d_][0-9@$!|+(€._*~-]+[^\W\d_]|[0-9@$!|+(€][^\W\d_]"
-    r"|(?<![^\W_])[^\W\d_](?: [0-9@$!|+(€])* [^\W\d_](?![^\W_])|[^\W\d_][0-9]").search
+def tokens(text: str | None) -> tuple[set[str], set[str]]:
+    """The words of letters in a text, and its tokens that may be disguised."""
+    lowered = (text or "").lower()
+    if _suspect(lowered) or not lowered.isascii() and _mixed.search(lowered):
+        return set(_word.findall(lowered)), set(_disguised.findall(lowered))
+    return set(_word.findall(lowered)), set()
+
+
+def _with_repeated(words: list[str]) -> list[str]:
+    """The words, each of letters alone, in which a letter follows itself."""
+    if not words:
+        return []
+    u = np.frombuffer(" ".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    at = np.flatnonzero(u[1:] == u[:-1])
+    if not len(at):
+        return []
+    ends = np.flatnonzero(u == 32)  # of all words but the last
+    return [words[i] for i in dict.fromkeys(np.searchsorted(ends, at).tolist())]
+
+
+# each begins with a character that is rarer than letters, which the engine finds fast
+_marked = re.compile(
+    r"[0-9@$!|+(€._*~-](?:(?<=[0-9@$!|+(€])[^\W\d_]|(?<=[^\W\d_].)[0-9@$!|+(€._*~-]*[^\W\d_]"
+    r"|(?<=[^\W\d_][0-9]))").search
+_apart = re.compile(
+    r" (?<=[^\W\d_] )(?<![^\W_][^\W\d_] )(?:[0-9@$!|+(€] )*[^\W\d_](?![^\W_])").search
+
+
+def _suspect(lowered: str) -> bool:
+    """Does the text have signs or digits next to letters, or letters that stand apart?"""
+    return bool(_marked(lowered) or _apart(lowered))
 
 
 def features(word: str) -> list[str]:
@@ -299,30 +343,65 @@ class Scorer:
 
     def __init__(self, evidence: dict[str, float], weights: np.ndarray, model: np.ndarray):
         self.evidence, self.weights, self.reader = evidence, weights, Reader(model)
-        self._best: dict[str, float] = {}
-
-    def strongest(self, words: set[str]) -> list[float]:
-        """:func:`strongest`, remembering what each recent word gave."""
-        known, found = self._best, []
-        if len(known) > _REMEMBERED:
-            known.clear()
+        #: what the features in ``evidence`` begin with: words that begin otherwise have none
+        self._begins = {f[:_LEAST] for f in evidence}
+        # words and tokens already seen, and those with evidence: the words behind them and theirs
+        self._seen: tuple[set[str], set[str]] = (set(), set())
+        self._found: tuple[dict[str, dict[str, float]], dict[str, dict[str, float]]] = ({}, {})
+        self._with: tuple[set[str], set[str]] = (set(), set())
+
+    def _evidence_of(self, words: Iterable[str]) -> dict[str, float]:
+        """The words with evidence, and that of each one's best feature."""
+        begins, found = self._begins, {}
         for w in words:
-            best = known.get(w)
-            if best is None:
+            if w[:_LEAST] in begins:
                 best = max([self.evidence.get(f, 0.0) for f in features(w)])
-                if len(w) <= _MAX_KNOWN:
-                    known[w] = best
-            if best > 0:
-                found.append(best)
-        return (sorted(found, reverse=True) + [0.0] * TOP)[:TOP]
+                if best > 0:
+                    found[w] = best
+        return found
+
+    def _weigh(self, kind: int, new: set[str]) -> None:
+        """Remember what new words (kind 0) or tokens that may be disguised (1) give."""
+        seen, found, having = self._seen[kind], self._found[kind], self._with[kind]
+        if len(seen) > _REMEMBERED:
+            for known in (seen, found, having):
+                known.clear()
+        if kind:
+            own = {t: self._evidence_of(words) for t in new if (words := self.reader.behind(t))}
+        else:
+            own = {w: {w: best} for w, best in self._evidence_of(new).items()}
+            for w, more in self.reader.single(list(new)).items():
+                own[w] = own.get(w, {}) | self._evidence_of(more)
+        seen.update(new)
+        own = {w: e for w, e in own.items() if e}
+        found.update(own)
+        having.update(own)
+
+    def strongest(self, text: str | None) -> list[float]:
+        """:func:`strongest` of the text's words, remembering what each recent one gave."""
+        pairs: dict[str, float] = {}
+        for kind, words in enumerate(tokens(text)):
+            long = {w for w in words if len(w) > _MAX_KNOWN}
+            if new := (words - long).difference(self._seen[kind]):
+                if len(self._seen[kind]) > _REMEMBERED:  # all is forgotten
+                    new = words - long
+                self._weigh(kind, new)
+            for w in (words & self._with[kind]):
+                pairs.update(self._found[kind][w])
+            for w in long:  # weighed, but not remembered
+                pairs.update(self._evidence_of(
+                    self.reader.behind(w) if kind else [w, *self.reader.single([w]).get(w, [])]))
+        return (sorted(pairs.values(), reverse=True) + [0.0] * TOP)[:TOP]
 
     def forget(self) -> None:
         """Drop what was remembered."""
-        self._best.clear()
+        for kind in (0, 1):
+            for known in (self._seen[kind], self._found[kind], self._with[kind]):
+                known.clear()
         self.reader.forget()
 
     def score(self, text: str | None) -> float:
-        x = np.array([1.0, *self.strongest(self.reader.words(text))])
+        x = np.array([1.0, *self.strongest(text)])
         return float(1 / (1 + math.exp(-float(np.clip(x @ self.weights, -30, 30)))))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -129,3 +130,29 @@ def test_words_beside_and_within_spaced_runs(spark):
     for n in range(8):  # wherever a cut every 64 characters would fall
         assert "moron" in read(" ".join(["a"] * n + [long, "m o r o n", long])), n
     assert "moron" in read("a." * 200_000 + "m.o.r.o.n")
+
+
+def test_words_without_evidence_cost_no_features_and_scores_stay(scorer, monkeypatch):
+    texts = [f"such {d} he said {c}" for d in (
+        "an i d i o t", "a m o r o n", "an 1d10t", "a stuupid looser", "a stu.pid", "good tree") for c in (
+        "", "x" * 70, "idiot" + "s" * 70, "bee 7 b-e-e", "ИДИОТ idiоt ée")]
+    want = [X.strongest(X.Reader(scorer.reader.model).words(t), scorer.evidence) for t in texts]
+    for limit in (X._REMEMBERED, 3):
+        monkeypatch.setattr(X, "_REMEMBERED", limit)
+        assert [scorer.strongest(t) for t in texts] == want == [scorer.strongest(t) for t in texts]
+    scorer.forget()
+    asked, features = [], X.features
+    monkeypatch.setattr(X, "features", lambda w: asked.append(w) or features(w))
+    assert scorer.score("zzyzx qwerty uvwxy 12345") == scorer.score("") and asked == []
+
+
+def test_faster_patterns_find_what_the_plain_ones_did():
+    plain = re.compile(
+        r"[^\W\d_][0-9@$!|+(€._*~-]+[^\W\d_]|[0-9@$!|+(€][^\W\d_]"
+        r"|(?<![^\W_])[^\W\d_](?: [0-9@$!|+(€])* [^\W\d_](?![^\W_])|[^\W\d_][0-9]").search
+    rng = np.random.default_rng(2)
+    for _ in range(20_000):
+        text = "".join(rng.choice(list("ab  1@.-_é,\n7"), rng.integers(0, 9)))
+        assert bool(plain(text)) == X._suspect(text), repr(text)
+        words = re.findall(r"[^\W\d_]+", text)
+        assert X._with_repeated(words) == [w for w in words if X._repeated.search(w)]
