@@ -32,7 +32,7 @@ empty table gives an empty result. Columns that are not fields are ignored.
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,10 @@ from aerolap.llm.common import discard, written
 
 ARITY = 3
 PACK_LEVELS = 3
+#: Levels of so few nodes are made by one task, without an exchange.
+SMALL = 30_000
+#: Leaves or nodes that a task writes at least; so few runs are sent to the packs that climb them.
+FILE_ROWS = 10_000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The tree above the subroots; the sources' trees are numbered from 0.
 TOP = -1
@@ -92,6 +96,11 @@ def numbered(df: DataFrame, group: str, order: Sequence[Column], name: str
     return rows, starts, path
 
 
+def _dealt(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of or made from about ``rows`` rows, over no more tasks than these need."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
 def _next(tree: Column, level: Column, pos: Column, n: Column, n_trees: int) -> list[Column]:
     """Tree, level, run and place in the run of node ``pos`` of a level with ``n`` nodes.
 
@@ -107,8 +116,10 @@ def _next(tree: Column, level: Column, pos: Column, n: Column, n_trees: int) ->
             F.when(end, None).otherwise(node % ARITY).cast("int").alias("place")]
 
 
-def _levels(nodes: DataFrame, largest: int, n_trees: int) -> list[tuple[DataFrame, str]]:
-    """The runs of each level above ``nodes`` (tree, pos, digest, n), written.
+def _levels(nodes: DataFrame, total: int, largest: int, n_trees: int
+            ) -> list[tuple[DataFrame, str, int]]:
+    """The runs of each level above the ``total`` ``nodes`` (tree, pos, digest, n), written,
+    their path, and how many they are at most.
 
     A run: its tree, level and number, its nodes' digests, its own digest, the
     number of nodes of its level, and where it goes on.
@@ -116,6 +127,8 @@ def _levels(nodes: DataFrame, largest: int, n_trees: int) -> list[tuple[DataFram
     levels, level = [], 0
     while largest > 1:
         place = F.col("pos") % ARITY
+        if total <= SMALL:  # one task has them all, without an exchange
+            nodes = nodes.coalesce(1)
         runs = nodes.where("n > 1").groupBy("tree", F.floor(F.col("pos") / ARITY).alias("run")).agg(
             *[F.coalesce(F.max(F.when(place == i, F.col("digest"))), F.expr(_NONE)).alias(f"c{i}")
               for i in range(ARITY)], F.ceil(F.max("n") / ARITY).alias("n"))
@@ -123,12 +136,13 @@ def _levels(nodes: DataFrame, largest: int, n_trees: int) -> list[tuple[DataFram
         goes = [c.alias(f"next_{k}") for c, k in zip(
             _next(F.col("tree"), F.lit(level + 1), F.col("run"), F.col("n"), n_trees),
             ("tree", "level", "run", "place"), strict=True)]
-        runs, path = written(runs.select(
+        runs, path = written(_dealt(runs.select(
             "tree", F.lit(level).alias("level"), "run", *[f"c{i}" for i in range(ARITY)],
-            digest.alias("digest"), "n", *goes), f"merkle_level_{level}")
-        levels.append((runs, path))
-        nodes = runs.select("tree", F.col("run").alias("pos"), "digest", "n")
-        largest, level = -(-largest // ARITY), level + 1
+            digest.alias("digest"), "n", *goes), total), f"merkle_level_{level}")
+        # every run but a tree's last one is full, and no run has a lone node of a whole tree
+        total, largest = min(total, total // ARITY + n_trees), -(-largest // ARITY)
+        levels.append((runs, path, total))
+        nodes, level = runs.select("tree", F.col("run").alias("pos"), "digest", "n"), level + 1
     return levels
 
 
@@ -136,7 +150,7 @@ _CLIMB = """
 WITH RECURSIVE climb({columns}) AS (
   SELECT {columns} FROM {{start}}
   UNION ALL
-  SELECT {key}, r.next_tree, r.next_level, r.next_run, r.next_place, {step}
+  SELECT {hint} {key}, r.next_tree, r.next_level, r.next_run, r.next_place, {step}
   FROM (SELECT * FROM climb WHERE {going}) c
   JOIN (SELECT *, {before} AS before, {after} AS after
         FROM {{runs}} LATERAL VIEW explode(sequence(0, {last})) AS place) r
@@ -168,14 +182,17 @@ def _unlimited(spark: SparkSession):
 
 
 def climb(start: DataFrame, runs: DataFrame, key: str, values: Sequence[str],
-          step: Sequence[str], going: str, name: str) -> tuple[DataFrame, str]:
-    """Rows of ``start`` carried up the runs by a recursive query while ``going`` holds."""
+          step: Sequence[str], going: str, total: int, n_runs: int, name: str,
+          gather: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, str]:
+    """Rows of ``start``, which stand for ``total`` leaves, carried up the (at most)
+    ``n_runs`` runs by a recursive query while ``going`` holds; written after ``gather``."""
     columns = [key, "tree", "level", "run", "place", *values]
     query = _CLIMB.format(columns=", ".join(columns), key=f"c.{key}", step=", ".join(step),
+                          hint="/*+ BROADCAST(r) */" if n_runs <= FILE_ROWS else "",
                           going=going, before=_BEFORE, after=_AFTER, last=ARITY - 1)
     spark = start.sparkSession
     with _unlimited(spark):
-        return written(spark.sql(query, start=start, runs=runs), name)
+        return written(_dealt(gather(spark.sql(query, start=start, runs=runs)), total), name)
 
 
 def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
@@ -207,7 +224,8 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         F.col("source").alias("_source"), "n", (F.col("_row") - F.col("_first") + F.col("_offset"))
         .alias("tree"))
     trees, trees_path = written(trees, "merkle_trees")
-    n_trees, largest = trees.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    n_trees, largest, total = trees.agg(
+        F.count(F.lit(1)), *[F.coalesce(f("n"), F.lit(0)) for f in (F.max, F.sum)]).first()
 
     places = starts.join(trees, starts["source"].eqNullSafe(trees["_source"])).select(
         F.col("source").alias("_source"), "_block", "_first", "_offset", "tree", "n")
@@ -218,14 +236,15 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
             (F.col("_row") - F.col("_first") + F.col("_offset")).alias("pos"), "n"), "merkle_placed")
     discard(spark, rows_path, starts_path, sources_path)
 
-    built = _levels(leaves.select("tree", "pos", F.col("leaf").alias("digest"), "n"), largest, n_trees)
+    built = _levels(leaves.select("tree", "pos", F.col("leaf").alias("digest"), "n"), total, largest,
+                    n_trees)
     # subroots: the one node left of a tree, or its lone leaf
     subroots = leaves.where("n = 1").select("tree", F.col("leaf").alias("digest"))
-    for runs, _ in built:
+    for runs, *_ in built:
         subroots = subroots.union(runs.where("n = 1").select("tree", "digest"))
     top = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), "digest",
                           F.lit(n_trees).cast("long").alias("n"))
-    above = _levels(top, n_trees, n_trees)
+    above = _levels(top, n_trees, n_trees, n_trees)
     ends = above[-1][0].select("digest") if above else subroots.select("digest")
     root = F.lit(next((bytes(r.digest) for r in ends.take(1)), None)).cast("binary")
 
@@ -233,29 +252,30 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     first = leaves.select("leaf_no", *goes, F.coalesce("altered", "leaf").alias("fold"),
                           F.expr(_NONE).alias("path"))
 
-    def stored(paths: list[tuple[DataFrame, str]]) -> DataFrame:
-        if not paths:  # no level at all: runs that nothing joins
+    def stored(levels: list[tuple[DataFrame, str, int]]) -> DataFrame:
+        if not levels:  # no level at all: runs that nothing joins
             return leaves.where("false").selectExpr(
                 "tree", "0 AS level", "pos AS run", *[f"leaf AS c{i}" for i in range(ARITY)],
                 "leaf AS digest", "n", "tree AS next_tree", "0 AS next_level", "pos AS next_run",
                 "0 AS next_place")
-        return spark.read.schema(paths[0][0].schema).parquet(*[p for _, p in paths])
-
-    low, low_path = climb(first, stored(built[:PACK_LEVELS]), "leaf_no", ["fold", "path"],
-                          [_FOLD.format("c.fold"), "concat(c.path, r.before, r.after)"],
-                          f"tree >= 0 AND level < {PACK_LEVELS}", "merkle_low")
-    packs, packs_path = written(
-        low.groupBy("tree", "level", "run", "place").agg(
+        return spark.read.schema(levels[0][0].schema).parquet(*[p for _, p, _ in levels])
+
+    low_levels, high_levels = built[:PACK_LEVELS], built[PACK_LEVELS:] + above
+    packs, packs_path = climb(
+        first, stored(low_levels), "leaf_no", ["fold", "path"],
+        [_FOLD.format("c.fold"), "concat(c.path, r.before, r.after)"],
+        f"tree >= 0 AND level < {PACK_LEVELS}", total, sum(n for *_, n in low_levels), "merkle_packs",
+        lambda low: low.groupBy("tree", "level", "run", "place").agg(
             F.min("leaf_no").alias("pack"),
-            F.collect_list(F.struct("leaf_no", "fold", "path")).alias("leaves")), "merkle_packs")
+            F.collect_list(F.struct("leaf_no", "fold", "path")).alias("leaves")))
     start = packs.select("pack", "tree", "level", "run", "place", F.col("leaves.fold").alias("folds"),
                          F.expr(_NONE).alias("path"), F.lit(None).cast("binary").alias("subroot"))
     here = "CASE c.place " + " ".join(f"WHEN {i} THEN r.c{i}" for i in range(ARITY)) + " END"
     high, high_path = climb(
-        start, stored(built[PACK_LEVELS:] + above), "pack", ["folds", "path", "subroot"],
+        start, stored(high_levels), "pack", ["folds", "path", "subroot"],
         [f"transform(c.folds, f -> {_FOLD.format('f')})", "concat(c.path, r.before, r.after)",
          f"CASE WHEN c.tree = {TOP} AND c.level = 0 THEN {here} ELSE c.subroot END"],
-        "tree IS NOT NULL", "merkle_high")
+        "tree IS NOT NULL", total, sum(n for *_, n in high_levels), "merkle_high")
     ended = packs.select("pack", "leaves").join(high.select("pack", "folds", "path", "subroot"), "pack")
     ended = ended.select(F.explode(F.arrays_zip("leaves", "folds")).alias("leaf"), "path", "subroot")
     proof = F.concat("leaf.leaves.path", "path")
@@ -267,8 +287,8 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         "doc_id", _hex(F.col("leaf")).alias("leaf"), _hex(F.coalesce("subroot", root)).alias("subroot"),
         _hex(root).alias("root"), "proof_sha256", _hex(F.col("folded")).alias("folded_root"),
         (F.col("folded") == root).alias("verified"), "n_siblings"), "merkle_manifest")
-    discard(spark, leaves_path, trees_path, low_path, packs_path, high_path,
-            *[p for _, p in built + above])
+    discard(spark, leaves_path, trees_path, packs_path, high_path,
+            *[p for _, p, _ in built + above])
     return out
 
 

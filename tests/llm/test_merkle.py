@@ -86,3 +86,29 @@ def test_every_altered_text_is_found(spark):
     assert got == want
     intact = M.manifest(spark.createDataFrame(rows, SCHEMA), tamper=M.F.lit(False))
     assert intact.where("verified").count() == len(rows)
+
+
+def test_small_levels_take_one_task_and_one_file(spark, monkeypatch):
+    files, write = {}, M.written
+
+    def counted(df, name):
+        out, path = write(df, name)
+        files[name] = len(out.inputFiles())
+        return out, path
+
+    monkeypatch.setattr(M, "written", counted)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        check(spark, [(i, f"s{i % 3}", "en", i, "a\nb", "", 0) for i in range(200)])
+        few = {k: n for k, n in files.items()
+               if k.startswith("merkle_level") or k in ("merkle_packs", "merkle_high")}
+        assert len(few) >= 6 and set(few.values()) == {1}
+        # nor does it change the result where levels are dealt
+        monkeypatch.setattr(M, "SMALL", 20)
+        monkeypatch.setattr(M, "FILE_ROWS", 30)
+        check(spark, [(i, f"s{i % 3}", "en", i, "a\nb", "", 0) for i in range(200)])
+        assert files["merkle_packs"] > 1
+    finally:
+        spark.conf.set(key, before)
