@@ -24,6 +24,11 @@ grow for the rows whose ends are not proved yet. Matches of more than ``SHORT``
 bytes go up the tree one by one. Decoding concatenates the tokens' bytes up a
 tree of halves.
 
+What a process has encoded it remembers in tables of fixed size, compared by all
+bytes: short matches with their tokens, nodes and windows of up to ``NODE`` bytes, and
+pairs. So only what earlier batches did not have, or what later rows displaced, is
+merged. A batch of new words costs little more than without the tables.
+
 Defined results: null is encoded as the empty text (no tokens, empty bytes);
 very long texts and very long matches are encoded whole; rows are
 independent, so repeated rows give equal ids, and extra columns of any name
@@ -55,6 +60,11 @@ LEAF = 4
 #: Matches up to this many bytes are joined so; it is also the leaf of longer ones.
 SHORT = 32
 REMEMBERED_PAIRS = 200_000
+#: Bytes of a node or window that is remembered, and most tokens of a match that is.
+NODE = 8
+#: How many matches, and nodes and windows, are remembered, of 73 and 49 bytes each.
+REMEMBERED_MATCHES = 3 << 18
+REMEMBERED_NODES = 1 << 19
 #: Ids in a leaf of the tree that decodes.
 DECODED = 256
 
@@ -65,6 +75,8 @@ def unicode_space(pattern: str) -> str:
 
 
 _NONE = np.int32((1 << 31) - 1)
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)  # to mix bits with
 _EMPTY = pa.scalar("", pa.large_string())
 _MARKS = ".,;:!?"
 #: A blank or line end at an end of the text or beside white space (RE2).
@@ -122,6 +134,8 @@ class Bpe(Decoder):
         self.ranks = ranks
         self._packed_id = {i: i.to_bytes(4, "little") for i in ranks.values()}
         self._byte_ids = np.array([ranks[bytes((x,))] for x in range(256)], np.int32)
+        self._matches = _Seen(SHORT // 8 + 1, REMEMBERED_MATCHES)
+        self._nodes = _Seen(NODE // 8 + 1, REMEMBERED_NODES)
         # (left id, right id) -> id of their concatenation, for every split of every token
         merges = sorted((ranks[t[:k]] << 32 | ranks[t[k:]], i) for t, i in ranks.items()
                         for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks)
@@ -137,6 +151,8 @@ class Bpe(Decoder):
         if made.any():
             self._whole_only = tokens.filter(pa.array(made))
         self._stable: dict[int, bool] = {}
+        self._pair_keys = np.full(REMEMBERED_PAIRS, -1, np.int64)
+        self._pair_stable = np.zeros(REMEMBERED_PAIRS, bool)
         self._size = np.zeros(max(self.bytes_of) + 1, np.int64)
         self._size[list(self.bytes_of)] = [len(t) for t in self.bytes_of.values()]
         self.joins = 0  # of neighbours, so far; equal ones joined at once count each
@@ -299,6 +315,30 @@ class Bpe(Decoder):
                        pieces.indices.to_numpy().astype(np.int64), ends)
 
     def _strings_packed(self, strings: pa.Array) -> pa.Array:
+        """Packed ids of distinct matches: short ones of earlier batches are remembered."""
+        short = np.flatnonzero(pc.binary_length(strings).to_numpy() <= SHORT)
+        rows = _wide_rows(*_byte_rows(strings.take(pa.array(short))), SHORT)
+        hit, tokens, length = self._matches.get(rows)
+        known = np.zeros(len(strings), bool)
+        known[short[hit]] = True
+        made = self._new_packed(strings.filter(pa.array(~known)))
+        fresh = (np.cumsum(~known) - 1)[short[~hit]]  # which of the made ones are short
+        self._remember(rows[~hit], made.take(pa.array(fresh)))
+        where = np.empty(len(strings), np.int64)
+        where[known] = np.arange(len(strings) - len(made))
+        where[~known] = len(strings) - len(made) + np.arange(len(made))
+        return pa.concat_arrays([_packed(tokens[hit], length[hit]), made]).take(pa.array(where))
+
+    def _remember(self, rows: np.ndarray, packed: pa.Array) -> None:
+        """Short matches of up to ``NODE`` tokens are known from now on."""
+        raw, n = _byte_rows(packed)
+        few = np.flatnonzero(n <= 4 * NODE)
+        ids = np.zeros((len(few), 4 * NODE), np.uint8)
+        k = min(ids.shape[1], raw.shape[1])
+        ids[:, :k] = raw[few, :k]
+        self._matches.put(rows[few], ids.view("<u4").astype(np.int32), n[few] // 4)
+
+    def _new_packed(self, strings: pa.Array) -> pa.Array:
         """Packed ids of distinct matches: short ones go up the tree together."""
         size = pc.binary_length(strings).to_numpy()
         short = np.argsort(size, kind="stable")[:int((size <= SHORT).sum())]  # alike in width
@@ -331,8 +371,19 @@ class Bpe(Decoder):
         return _packed(*self._merge_rows(*_byte_rows(strings)))
 
     def _merge_rows(self, raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """:meth:`merge` of the first ``n`` bytes of every row: a matrix of tokens, of
-        which every row takes its next merge in each step, and the rows' lengths."""
+        """:meth:`merge` of the first ``n`` bytes of every row: a matrix of tokens, and the
+        rows' lengths. Rows of up to ``NODE`` bytes are remembered."""
+        long = np.flatnonzero(n > NODE)
+        if not len(long):
+            return self._remembered(raw, n, lambda new: self._merge_new_rows(raw[new], n[new]))
+        tokens, length = np.zeros((len(n), raw.shape[1]), np.int32), np.zeros_like(n)
+        tokens[long], length[long] = self._merge_new_rows(raw[long], n[long])
+        if len(rows := np.flatnonzero(n <= NODE)):
+            tokens[rows, :NODE], length[rows] = self._merge_rows(raw[rows, :NODE], n[rows])
+        return tokens, length
+
+    def _merge_new_rows(self, raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A matrix of which every row takes its next merge in each step."""
         cols = np.arange(raw.shape[1])
         tokens = self._byte_ids[raw]
         ranks = np.where(cols[1:] < n[:, None], self._byte_pairs[raw[:, :-1], raw[:, 1:]], _NONE)
@@ -389,7 +440,34 @@ class Bpe(Decoder):
     def _join_rows(self, raw: np.ndarray, left: np.ndarray, n_left: np.ndarray,
                    right: np.ndarray, n_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """:meth:`join` of neighbours in every row; ``raw`` has the bytes of both, which
-        meet in its middle."""
+        meet in its middle. Nodes of up to ``NODE`` bytes are remembered."""
+        if raw.shape[1] > NODE:
+            return self._join_new_rows(raw, left, n_left, right, n_right)
+        size = self._bytes_in(left, n_left) + self._bytes_in(right, n_right)
+        return self._remembered(raw, size, lambda new: self._join_new_rows(
+            raw[new], left[new], n_left[new], right[new], n_right[new]))
+
+    def _bytes_in(self, tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(np.arange(tokens.shape[1]) < n[:, None], self._size[tokens], 0).sum(1)
+
+    def _remembered(self, raw: np.ndarray, n: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of the first ``n`` bytes of every row, at most ``NODE``, and their number;
+        ``encode`` gives those of rows that are not known, each distinct one once."""
+        rows = _wide_rows(raw, n, NODE)
+        known, tokens, length = self._nodes.get(rows)
+        if len(new := np.flatnonzero(~known)):
+            first, place = _distinct(rows[new, :-1].copy().view(np.uint8), n[new])
+            first = new[first]
+            made, count = encode(first)
+            fresh = np.zeros((len(first), NODE), np.int32)
+            k = min(NODE, made.shape[1])
+            fresh[:, :k] = made[:, :k]
+            tokens[new], length[new] = fresh[place], count[place]
+            self._nodes.put(rows[first], fresh, count)
+        return tokens[:, :raw.shape[1]], length
+
+    def _join_new_rows(self, raw: np.ndarray, left: np.ndarray, n_left: np.ndarray,
+                       right: np.ndarray, n_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         half = left.shape[1]
         cols, wide = np.arange(half), np.arange(2 * half)
         out, length = np.pad(left, ((0, 0), (0, half))), n_left.copy()
@@ -431,22 +509,26 @@ class Bpe(Decoder):
         return out, length
 
     def _pairs_are_stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """:meth:`_pair_is_stable` of many pairs, the unknown ones merged as one matrix."""
-        keys, place = np.unique(a.astype(np.int64) << 32 | b, return_inverse=True)
-        known = list(map(self._stable.get, keys.tolist()))
-        new = [i for i, x in enumerate(known) if x is None]
-        if new:
-            first, second = keys[new] >> 32, keys[new] & 0xFFFFFFFF
+        """:meth:`_pair_is_stable` of many pairs. Unknown ones are merged as one matrix and
+        remembered, each at one place, where a later one may follow."""
+        keys = a.astype(np.int64) << 32 | b
+        at = self._pair_places(keys)
+        stable, new = self._pair_stable[at], np.flatnonzero(self._pair_keys[at] != keys)
+        if len(new):
+            keys, place = np.unique(keys[new], return_inverse=True)
+            first, second = keys >> 32, keys & 0xFFFFFFFF
             tokens, n = self._merge_rows(*_byte_rows(pa.array(
                 [self.bytes_of[x] + self.bytes_of[y]
                  for x, y in zip(first.tolist(), second.tolist())], pa.large_binary())))
-            stable = ((n == 2) & (tokens[:, 0] == first) & (tokens[:, 1] == second)).tolist()
-            if len(self._stable) + len(new) > REMEMBERED_PAIRS:
-                self._stable.clear()
-            self._stable.update(zip(keys[new].tolist(), stable))
-            for i, x in zip(new, stable):
-                known[i] = x
-        return np.array(known, bool)[place]
+            made = (n == 2) & (tokens[:, 0] == first) & (tokens[:, 1] == second)
+            stable[new] = made[place]
+            at, one = np.unique(self._pair_places(keys), return_index=True)
+            self._pair_keys[at], self._pair_stable[at] = keys[one], made[one]
+        return stable
+
+    def _pair_places(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * _ODD[0] >> np.uint64(32)
+        return (mixed % np.uint64(len(self._pair_keys))).astype(np.int64)
 
 
 def _byte_rows(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -462,6 +544,47 @@ def _byte_rows(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, n
 
 
+def _wide_rows(raw: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bytes as rows of numbers: up to ``width`` bytes, of which ``n`` count, and
+    then ``n``."""
+    wide = np.zeros((len(n), width + 8), np.uint8)
+    k = min(width, raw.shape[1])
+    wide[:, :k] = np.where(np.arange(k) < n[:, None], raw[:, :k], 0)
+    rows = wide.view(np.uint64)
+    rows[:, -1] = n
+    return rows
+
+
+class _Seen:
+    """Tokens of byte rows (see :func:`_wide_rows`) that were encoded before, ``limit`` at
+    most: a row's hash is its place, and a later row takes it over. A row is known only if
+    all its bytes are those at its place. Unused places have the empty row, which is right."""
+
+    def __init__(self, columns: int, limit: int):
+        self._rows = np.zeros((limit, columns), np.uint64)
+        self._tokens = np.zeros((limit, NODE), np.int32)
+        self._length = np.zeros(limit, np.int8)
+
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(rows), np.uint64)
+        for k in range(rows.shape[1]):
+            h = (h ^ rows[:, k]) * _ODD[k]
+            h ^= h >> np.uint64(29)
+        return ((h >> np.uint64(32)) % np.uint64(len(self._rows))).astype(np.int64)
+
+    def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which rows are known, and for every row tokens and length, right for those."""
+        at = self.places(rows)
+        known = np.ones(len(rows), bool)
+        for k in range(rows.shape[1]):
+            known &= self._rows[at, k] == rows[:, k]
+        return known, self._tokens[at], self._length[at].astype(np.int64)
+
+    def put(self, rows: np.ndarray, tokens: np.ndarray, length: np.ndarray) -> None:
+        at, first = np.unique(self.places(rows), return_index=True)
+        self._rows[at], self._tokens[at], self._length[at] = rows[first], tokens[first], length[first]
+
+
 def _distinct(raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each distinct row of up to 8 bytes, of which ``n`` count, stands first, and
     which of these every row equals. Bytes that do not count are 0."""

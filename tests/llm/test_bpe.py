@@ -163,3 +163,37 @@ def test_equal_parts_of_matches_are_merged_and_joined_once(own, monkeypatch):
     assert [bpe.token_ids(b) for b in got] == [own.merge(w.encode()) for w in words]
     # leaves: rein, tern, \0, \0\0, nothing and 26 letters; joined: reintern, rein with two, one or no \0
     assert merged[0] == 31 and joined[0] == 4 + 26 + 1
+
+
+def test_matches_of_earlier_batches_are_not_encoded_again(ranks, library, monkeypatch):
+    fresh, made = bpe.Bpe(ranks, public_tokenizers.PATTERN), []
+    reduce = fresh.reduce_many
+    monkeypatch.setattr(fresh, "reduce_many", lambda x: made.extend(x.to_pylist()) or reduce(x))
+    texts = ["reinterned words, and more words", None, "a\0 a\0\0 a  odd\tspace", "word " * 30]
+    for more in ([], [], ["reinterned anew"]):
+        made.clear()
+        got = fresh.encode_batch(pa.array(texts + more, pa.string())).to_pylist()
+        assert [bpe.token_ids(x) for x in got] == [library.encode_ordinary(t or "") for t in texts + more]
+        if more:
+            assert made == [" anew"]
+    assert fresh.encode_batch(pa.array(texts)).to_pylist() == got[:-1] and made == [" anew"]
+
+
+@pytest.mark.parametrize("places", [1, 5])
+def test_displaced_matches_and_nodes_change_nothing(ranks, library, monkeypatch, places):
+    for name in ("REMEMBERED_MATCHES", "REMEMBERED_NODES", "REMEMBERED_PAIRS"):
+        monkeypatch.setattr(bpe, name, places)
+    small, texts = bpe.Bpe(ranks, public_tokenizers.PATTERN), [*_texts(150), "a\0b", "a", "a\0"]
+    for at in (0, 60, 0):
+        got = small.encode_batch(pa.array(texts[at:], pa.string())).to_pylist()
+        assert [bpe.token_ids(x) for x in got] == [library.encode_ordinary(t) for t in texts[at:]]
+
+
+def test_rows_with_equal_places_are_told_apart():
+    seen = bpe._Seen(2, 1)
+    rows = bpe._wide_rows(np.array([[97, 0], [97, 0], [98, 9]], np.uint8), np.array([1, 2, 1]), 8)
+    assert rows.tolist() == [[97, 1], [97, 2], [98, 1]]
+    seen.put(rows[1:2], np.arange(8)[None], np.array([2]))
+    known, tokens, length = seen.get(rows)
+    assert known.tolist() == [False, True, False]
+    assert (tokens[1].tolist(), length[1]) == ([*range(8)], 2)
