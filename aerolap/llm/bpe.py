@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolap.llm import common
-from aerolap.llm.common import released
+from aerolap.llm.common import released, trim
 
 #: Vocabularies are fixed files of about 1 MB; a larger one is refused as broadcast.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
@@ -62,9 +62,10 @@ SHORT = 32
 REMEMBERED_PAIRS = 200_000
 #: Bytes of a node or window that is remembered, and most tokens of a match that is.
 NODE = 8
-#: How many matches, and nodes and windows, are remembered, of 73 and 49 bytes each.
-REMEMBERED_MATCHES = 3 << 18
-REMEMBERED_NODES = 1 << 19
+#: How many matches, and nodes and windows, are remembered, of 57 and 33 bytes each with
+#: ids of up to 16 bits, else of 73 and 49.
+REMEMBERED_MATCHES = 3 << 17
+REMEMBERED_NODES = 1 << 18
 #: Ids in a leaf of the tree that decodes.
 DECODED = 256
 
@@ -134,8 +135,10 @@ class Bpe(Decoder):
         self.ranks = ranks
         self._packed_id = {i: i.to_bytes(4, "little") for i in ranks.values()}
         self._byte_ids = np.array([ranks[bytes((x,))] for x in range(256)], np.int32)
-        self._matches = _Seen(SHORT // 8 + 1, REMEMBERED_MATCHES)
-        self._nodes = _Seen(NODE // 8 + 1, REMEMBERED_NODES)
+        # ids of up to 16 bits take half the place
+        kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.int32
+        self._matches = _Seen(SHORT // 8 + 1, REMEMBERED_MATCHES, kind)
+        self._nodes = _Seen(NODE // 8 + 1, REMEMBERED_NODES, kind)
         # (left id, right id) -> id of their concatenation, for every split of every token
         merges = sorted((ranks[t[:k]] << 32 | ranks[t[k:]], i) for t, i in ranks.items()
                         for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks)
@@ -157,6 +160,11 @@ class Bpe(Decoder):
         self._size[list(self.bytes_of)] = [len(t) for t in self.bytes_of.values()]
         self.joins = 0  # of neighbours, so far; equal ones joined at once count each
 
+    def forget(self) -> None:
+        """Drop the matches and nodes that were remembered."""
+        self._matches.forget()
+        self._nodes.forget()
+
     # --- the monoid -------------------------------------------------------
 
     def merge(self, b: bytes) -> list[int]:
@@ -560,27 +568,38 @@ class _Seen:
     most: a row's hash is its place, and a later row takes it over. A row is known only if
     all its bytes are those at its place. Unused places have the empty row, which is right."""
 
-    def __init__(self, columns: int, limit: int):
-        self._rows = np.zeros((limit, columns), np.uint64)
-        self._tokens = np.zeros((limit, NODE), np.int32)
-        self._length = np.zeros(limit, np.int8)
+    def __init__(self, columns: int, limit: int, kind: type = np.int32):
+        self._columns, self._limit, self._kind = columns, limit, kind
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the tables; they are made again, empty, when needed."""
+        self._rows = self._tokens = self._length = None
+
+    def _ready(self) -> None:
+        if self._rows is None:
+            self._rows = np.zeros((self._limit, self._columns), np.uint64)
+            self._tokens = np.zeros((self._limit, NODE), self._kind)
+            self._length = np.zeros(self._limit, np.int8)
 
     def places(self, rows: np.ndarray) -> np.ndarray:
         h = np.zeros(len(rows), np.uint64)
         for k in range(rows.shape[1]):
             h = (h ^ rows[:, k]) * _ODD[k]
             h ^= h >> np.uint64(29)
-        return ((h >> np.uint64(32)) % np.uint64(len(self._rows))).astype(np.int64)
+        return ((h >> np.uint64(32)) % np.uint64(self._limit)).astype(np.int64)
 
     def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which rows are known, and for every row tokens and length, right for those."""
+        self._ready()
         at = self.places(rows)
         known = np.ones(len(rows), bool)
         for k in range(rows.shape[1]):
             known &= self._rows[at, k] == rows[:, k]
-        return known, self._tokens[at], self._length[at].astype(np.int64)
+        return known, self._tokens[at].astype(np.int32), self._length[at].astype(np.int64)
 
     def put(self, rows: np.ndarray, tokens: np.ndarray, length: np.ndarray) -> None:
+        self._ready()
         at, first = np.unique(self.places(rows), return_index=True)
         self._rows[at], self._tokens[at], self._length[at] = rows[first], tokens[first], length[first]
 
@@ -694,10 +713,13 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "t
 
     def run(batches):
         bpe = vocabulary.bpe()
-        for batch in batches:
-            for at, n in text_slices(batch.column(batch.num_columns - 1)):
-                yield pa.RecordBatch.from_arrays(columns_of(bpe, batch.slice(at, n)), names)
-            pa.default_memory_pool().release_unused()
+        try:
+            for batch in batches:
+                for at, n in text_slices(batch.column(batch.num_columns - 1)):
+                    yield pa.RecordBatch.from_arrays(columns_of(bpe, batch.slice(at, n)), names)
+                    trim()
+        finally:
+            bpe.forget()  # the process outlives the task, beside other tasks' processes
 
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text_col}`"))
     schema = T.StructType([*rows.schema.fields[:-1],

@@ -48,6 +48,11 @@ def release() -> None:
     Python workers outlive their tasks, and an executor's limit counts them all.
     """
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:

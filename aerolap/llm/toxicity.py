@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolap.llm.common import release, written
+from aerolap.llm.common import release, released, text_slices, written
 
 FIT_ROWS = 16_000
 PREFIXES = (3, 4, 5, 6)
@@ -64,6 +64,12 @@ _MAX_KNOWN = 64
 #: Words remembered in each of a task's tables: with keys of at most _MAX_KNOWN letters under
 #: 20 MB. They are emptied when full and when the task ends.
 _REMEMBERED = 60_000
+#: Characters whose trigrams a task counts at once (about 50 bytes each while it does).
+_COUNTED = 1 << 18
+#: Bytes of text whose words a task lists together.
+_LISTED = 1 << 18
+#: Rows whose features a task lists together.
+_ROWS = 256
 _trailing = re.compile(r"[!$|+(@.,;:?*%&#\"')\]}<>=~_-]+$")
 _word = re.compile(r"[^\W\d_]+")
 _disguised = re.compile(
@@ -105,9 +111,11 @@ def count_trigrams(batches):
     size = 0
 
     def add() -> None:
-        c = codes(f" {' '.join(held)} ")
-        total[:] += np.bincount((c[:-2] << 12) | (c[1:-1] << 6) | c[2:], minlength=len(total))
+        joined = f" {' '.join(held)} ".lower()  # as a whole: a letter's lower case may be two
         held.clear()
+        for at in range(0, len(joined) - 2, _COUNTED):
+            c = codes(joined[at:at + _COUNTED + 2])
+            np.add.at(total, (c[:-2] << 12) | (c[1:-1] << 6) | c[2:], 1)
 
     for batch in batches:
         for text in batch.column(0):
@@ -126,7 +134,7 @@ def count_trigrams(batches):
 
 def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-probabilities of a character after two others, from all texts."""
-    counts = (docs.select(F.col(text_col)).mapInArrow(count_trigrams, "trigram int, n long")
+    counts = (docs.select(F.col(text_col)).mapInArrow(released(count_trigrams), "trigram int, n long")
               .groupBy("trigram").agg(F.sum("n").alias("n"))).collect()  # <= 64^3 rows
     table = np.zeros(_CODES ** 3)
     for r in counts:
@@ -452,16 +460,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = character_model(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    strings = pa.list_(pa.string())
+
     @F.arrow_udf(T.ArrayType(T.StringType()))
-    def restored_words(texts: pa.Array) -> pa.Array:
+    def restored_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader(shared.value)
-        return pa.array([sorted(reader.words(t.as_py())) for t in texts],
-                        pa.list_(pa.string()))
+        try:
+            for texts in batches:
+                yield pa.concat_arrays([pa.array([], strings), *(
+                    pa.array([sorted(reader.words(t.as_py())) for t in texts.slice(at, n)], strings)
+                    for at, n in text_slices(texts, _LISTED))])
+        finally:
+            reader.forget()
+            release()
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
-    def distinct_features(words: pa.Array) -> pa.Array:
-        return pa.array([sorted({f for x in w.as_py() for f in features(x)}) for w in words],
-                        pa.list_(pa.string()))
+    def distinct_features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for words in batches:
+            yield pa.concat_arrays([pa.array([], strings), *(
+                pa.array([sorted({f for x in w.as_py() for f in features(x)})
+                          for w in words.slice(at, _ROWS)], strings)
+                for at in range(0, len(words), _ROWS))])
+        release()
 
     sample, _ = written(
         _sample(docs, labels, id_col, text_col, label_col, fit_rows)

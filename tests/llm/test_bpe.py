@@ -189,6 +189,31 @@ def test_displaced_matches_and_nodes_change_nothing(ranks, library, monkeypatch,
         assert [bpe.token_ids(x) for x in got] == [library.encode_ordinary(t) for t in texts[at:]]
 
 
+def test_forgotten_tables_take_no_memory_and_change_nothing(ranks, library):
+    fresh, texts = bpe.Bpe(ranks, public_tokenizers.PATTERN), [*_texts(20)]
+    for _ in range(2):
+        got = fresh.encode_batch(pa.array(texts, pa.string())).to_pylist()
+        assert [bpe.token_ids(x) for x in got] == [library.encode_ordinary(t) for t in texts]
+        held = [t for seen in (fresh._matches, fresh._nodes)
+                for t in (seen._rows, seen._tokens, seen._length)]
+        assert sum(t.nbytes for t in held) < 40 << 20
+        fresh.forget()
+        assert all(t is None for seen in (fresh._matches, fresh._nodes)
+                   for t in (seen._rows, seen._tokens, seen._length))
+
+
+def test_encoding_task_leaves_no_tables_to_its_process(spark, monkeypatch):
+    tasks = []
+    monkeypatch.setattr(bpe, "released", lambda run: tasks.append(run) or run)
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    known = vocabulary(spark)
+    bpe.encode_documents(docs, known)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], ["doc_id", "text"])
+    rows = tasks[0](iter([batch]))
+    assert next(rows).num_rows == 1 and known.bpe()._matches._rows is not None
+    assert list(rows) == [] and known.bpe()._matches._rows is None
+
+
 def test_rows_with_equal_places_are_told_apart():
     seen = bpe._Seen(2, 1)
     rows = bpe._wide_rows(np.array([[97, 0], [97, 0], [98, 9]], np.uint8), np.array([1, 2, 1]), 8)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from aerolap.llm import toxicity as X
@@ -106,6 +107,23 @@ def test_character_model_counts_all_texts(spark):
     assert sum(r.n for r in rows if r.trigram == bbb) == (3 << 20) - 2
 
 
+def test_trigrams_are_counted_in_parts_as_at_once(monkeypatch):
+    texts = ["abc İİ ab", None, "ΟΔΟΣ \U0001d400x" * 9, "", "Z"]
+    joined = X.codes(f" {' '.join(t for t in texts if t)} ")
+    whole = np.bincount((joined[:-2] << 12) | (joined[1:-1] << 6) | joined[2:], minlength=64 ** 3)
+    sizes, codes = [], X.codes
+    monkeypatch.setattr(X, "codes", lambda t: sizes.append(len(t)) or codes(t))
+    for part in (1, 7, 1 << 18):
+        monkeypatch.setattr(X, "_COUNTED", part)
+        (rows,) = X.count_trigrams([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])
+        found = np.zeros(64 ** 3, np.int64)
+        found[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+        assert (found == whole).all()
+    sizes.clear()
+    list(X.count_trigrams([pa.RecordBatch.from_arrays([pa.array(["word " * 200_000] * 3)], ["t"])]))
+    assert max(sizes) <= (1 << 18) + 2 and sum(sizes) > 3_000_000
+
+
 def test_query_on_held_out_rows(spark):
     rows = QUERIES["op5_toxicity"](spark, SF_MID).collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
