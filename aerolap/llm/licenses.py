@@ -11,7 +11,9 @@ outside the bounds of all templates are dropped before their bigrams are made.
 A notice that shares its line or paragraph with other words is found by
 windows: every run of as many words as a template has, from a bigram of the
 template on, across the lines that belong to no matching unit. A text without
-``t / (2 - t)`` of a template's bigrams has no such run and is not looked at.
+``t / (2 - t)`` of a template's bigrams has neither such a run nor a matching unit
+(whose bigrams are all the text's), so only texts that have them are cut into units,
+and these are compared with such templates only.
 
 Everything is a DataFrame expression over one row: no shuffle, no Python. The
 templates are literals of the plan; their number is a checked bound.
@@ -139,14 +141,16 @@ def units(text: Column) -> Column:
 
 
 def _candidates(text: Column, templates: Column, known: Column, low: float) -> Column:
-    """Templates of whose bigrams the text has enough for a run of its words to match."""
-    words = _words(text)
+    """Templates of whose bigrams the text has enough for a unit or a run of its words to match."""
+    # a text that begins or ends with a blank has an empty word there, which is in no known bigram
+    words = F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+")
     every = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1),
                        F.slice(words, F.lit(2), F.size(words) - 1),
                        lambda a, b: F.concat(a, F.lit(" "), b))
     some = F.filter(F.array(F.array_intersect(every, known)), lambda h: F.size(h) > 0)
+    # a shade less, so that no rounding drops a template
     return F.flatten(F.transform(some, lambda h: F.filter(
-        templates, lambda t: F.size(F.array_intersect(t["b"], h)) >= t["n"] * F.lit(low))))
+        templates, lambda t: F.size(F.array_intersect(t["b"], h)) >= t["n"] * F.lit(low - 1e-9))))
 
 
 def _runs(text: Column, matches: Column, near: Column, threshold: float) -> Column:
@@ -220,7 +224,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = F.array(*[F.lit(x) for x in dict.fromkeys(x for _, b in chosen for x in b)])
     names = F.array(*[F.lit(n) for n, _ in chosen])
 
-    split = F.transform(units(F.col(text_col)), lambda u, i: F.struct(
+    split = F.transform(units(F.col("_text")), lambda u, i: F.struct(
         i.alias("at"), _words(u).alias("w")))
     # a unit of n words has at most n - 1 bigrams
     sized = F.filter(split, lambda u: (F.size(u["w"]) > 1)
@@ -231,7 +235,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def best(u: Column) -> Column:
         n = F.size(u["b"])
-        near = F.filter(literal, lambda t: (t["n"] >= n * F.lit(low)) & (t["n"] <= n * F.lit(high)))
+        near = F.filter(F.col("_near"), lambda t: (t["n"] >= n * F.lit(low))
+                        & (t["n"] <= n * F.lit(high)))
         scored = F.transform(near, lambda t: F.struct(
             (2 * F.size(F.array_intersect(t["b"], u["b"])) / (t["n"] + n)).alias("dice"),
             (-u["at"]).alias("at"), t["t"].alias("t")))
@@ -239,9 +244,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     matches = F.filter(F.transform(paired, best), lambda m: m["dice"] >= threshold)
     text = F.col(text_col)
-    near = _candidates(text, literal, known, low)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"), matches.alias("_m"),
-                       near.alias("_near"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"),
+                       _candidates(text, literal, known, low).alias("_near"))
+    rows = rows.select("doc_id", "_text", "_near",
+                       F.when(F.size("_near") > 0, matches).alias("_m"))
     rows = rows.select("doc_id", "_m", F.when(F.size("_near") > 0, _runs(
         F.col("_text"), F.col("_m"), F.col("_near"), threshold)).alias("_runs"))
     whole = F.transform("_runs", lambda r: F.struct(r["dice"], r["at"], r["t"]))

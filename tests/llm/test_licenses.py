@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from aerolap.llm import licenses as L
 from aerolap.llm.catalog import QUERIES
@@ -61,6 +62,17 @@ def test_plan_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_texts_without_a_template_are_not_cut_into_units(spark, monkeypatch):
+    texts = [None, "", "\n \n", "all the rights\nthat are reserved\n\nunder the license", "word " * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(L, "units", lambda text: F.array(
+        F.raise_error(F.concat(F.lit("cut: "), text)).cast("string")))
+    assert {tuple(r)[1:] for r in L.scan(df).collect()} == {(None, None, None, 0)}
+    df = spark.createDataFrame([(1, "!all rights\nreserved\n")], "doc_id long, text string")
+    with pytest.raises(Exception, match="cut: !all rights"):
+        L.scan(df).collect()
+
+
 def test_notices_among_other_words(spark):
     code = "int main() {\n  return 0;\n}"
     filler = " ".join(f"w{i}" for i in range(3000))
