@@ -27,6 +27,9 @@ from aerolap.sources.files import write_parquet
 from aerolap.sources.paths import dataset_path, size_label
 from aerolap.sources.publish import drop_folder, publish
 
+#: Of each file that a task has open beside others.
+ROW_GROUP_BYTES = 32 << 20
+
 
 def sample(df: DataFrame, fraction: float, seed: int = SAMPLE_SEED) -> DataFrame:
     """Bernoulli sample without replacement (size depends on partitioning)."""
@@ -215,27 +218,32 @@ def write_sizes(cleaned: DataFrame, base: str, sizes: Iterable[float] = DATASET_
     All sizes come from one scan: rows are labelled and written partitioned by
     the label beside the datasets, and each part is then moved to its place, so
     a write that fails leaves the old datasets. Sizes not asked for are not
-    touched. With samples among the sizes the cleaned rows are written to scratch
-    first, since their hashes are needed before.
+    touched. With samples among the sizes the cleaned rows are written first, since
+    their hashes are needed before: as the dataset of size 1 if that is asked for,
+    else to scratch.
     """
     spark, sizes = cleaned.sparkSession, list(dict.fromkeys(sizes))
-    scratch, rows = None, cleaned
-    if any(s < 1 for s in sizes):
-        scratch = write_parquet(cleaned, scratch_path(spark, "cleaned"))
-        rows = spark.read.schema(cleaned.schema).parquet(scratch)
-    label = f"size{_hash_column(rows)}"
+    rows, todo = cleaned, sizes
+    label = f"size{_hash_column(cleaned)}"
     staged = f"{base.rstrip('/')}/.sizes-{uuid.uuid4().hex[:12]}"
-    # a row's copies come together, so each size has its file open, and no row is sorted
-    with open_writers(spark, len(sizes)):
-        labelled(rows, sizes, label, keys, seed).write.partitionBy(label).option(
-            "compression", "zstd").parquet(staged)
+    first = None
+    if any(s < 1 for s in sizes):
+        first = f"{staged}-1" if 1 in sizes else scratch_path(spark, "cleaned")
+        cleaned.write.option("compression", "zstd").parquet(first)
+        rows, todo = spark.read.schema(cleaned.schema).parquet(first), [s for s in sizes if s != 1]
+    # a row's copies come together, so each size has its file open, and no row is sorted;
+    # row groups are small, since a task holds one of each size
+    with open_writers(spark, len(todo) + 1):
+        labelled(rows, todo, label, keys, seed).write.partitionBy(label).options(
+            **{"compression": "zstd", "parquet.block.size": ROW_GROUP_BYTES}).parquet(staged)
     out = {}
     for s in sizes:
         out[s] = dataset_path(base, s)
-        publish(spark, f"{staged}/{label}={size_label(s)}", out[s], empty=rows.limit(0))
+        part = f"{staged}/{label}={size_label(s)}" if s in todo else first
+        publish(spark, part, out[s], empty=cleaned.limit(0))
     drop_folder(spark, staged)
-    if scratch:
-        drop_scratch(spark, scratch)
+    if first and 1 not in sizes:
+        drop_scratch(spark, first)
     return out
 
 

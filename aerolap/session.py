@@ -121,7 +121,10 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 @contextlib.contextmanager
 def open_writers(spark: SparkSession, n: int):
-    """Partitioned writes keep up to ``n`` files open per task instead of sorting the rows first."""
+    """Partitioned writes keep fewer than ``n`` files open per task instead of sorting the rows first.
+
+    With the ``n``-th file of a task open, Spark sorts the rest of its rows.
+    """
     key = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(key)
     spark.conf.set(key, str(n))
@@ -131,6 +134,18 @@ def open_writers(spark: SparkSession, n: int):
         spark.conf.set(key, before)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """A job's shuffle files go when it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextlib.contextmanager
 def tuned_for_input(spark: SparkSession, path: str):
     """The session with :func:`cluster_settings` for the data at ``path``.

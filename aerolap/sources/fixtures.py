@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolap.schema import RAW_COLUMNS
-from aerolap.session import checkpoint_base
+from aerolap.session import checkpoint_base, shuffles_dropped
 
 # Bumped when the derivation or the file layout of the fixture changes.
 FIXTURE_VERSION = 3
@@ -185,7 +185,8 @@ def load_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     if path is None:
         own = uuid.uuid4().hex[:12]
         staged = f"{root}/.staged-{own}"
-        raw_flights(spark, sf_dir).write.parquet(staged)
+        with shuffles_dropped(spark):
+            raw_flights(spark, sf_dir).write.parquet(staged)
         if not fs.rename(mk(staged), mk(f"{root}/done-{own}")):
             raise OSError(f"cannot publish {staged}")
         path = finished()

@@ -104,6 +104,35 @@ def test_all_sizes_from_one_scan(spark):
     assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
+def test_each_size_of_a_task_has_its_file_open(spark, monkeypatch):
+    asked, real = [], D.open_writers
+    monkeypatch.setattr(D, "open_writers", lambda spark, n: (asked.append(n), real(spark, n))[1])
+    written, scratch = [], D.scratch_path
+    monkeypatch.setattr(D, "scratch_path", lambda spark, name: (written.append(name), scratch(spark, name))[1])
+    rows = [{"origin": f"A{i % 9}", "month": i % 12, "dep_delay": float(i)} for i in range(300)] * 2
+    f = make_flights(spark, [*rows, {"origin": None}])
+    base = scratch_path(spark, "t_open")
+    for sizes in ([0.25, 0.5, 1, 2], [1, 2, 4], [0.5], [1]):
+        paths = D.write_sizes(f, base, sizes)
+        # Spark sorts the rest of a task's rows once as many files as asked for are open
+        assert asked.pop() > len([s for s in sizes if s != 1 or min(sizes) == 1])
+        assert [spark.read.parquet(paths[s]).count() for s in sizes] == [D.wanted_rows(601, s) for s in sizes]
+        # the rows of size 1 are written once
+        assert ("cleaned" in written) == (sizes == [0.5])
+        written.clear()
+    assert spark.read.parquet(D.dataset_path(base, 1)).exceptAll(f).count() == 0
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    from aerolap.session import shuffles_dropped
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+
+
 def test_months_outside_the_calendar(spark):
     months = [1, 12, 12, None, 0, 62, 63, 126, -1, -63, -64, 2 ** 31 - 1, -2 ** 31]
     f = make_flights(spark, [{"op_unique_carrier": "C", "origin": "X", "dest": "Y", "month": m} for m in months])
