@@ -428,10 +428,10 @@ def q_scan_csv_widened(spark, sf_dir):
     raw = raw_flights(spark, sf_dir).withColumn("fl_date", F.col("fl_date").cast("string"))
     path = scratch_path(spark, "raw_csv")
     odd = F.col("l_linenumber") == 7
-    S.write_csv(raw.where(~odd), f"{path}/a")
+    S.write_csv(raw.where(~odd), f"{path}/a", packed=True)
     S.write_csv(raw.where(odd).withColumns({
         "crs_dep_time": F.concat(F.col("crs_dep_time").cast("string"), F.lit(".5")),
-        "fl_date": F.lit("unknown")}), f"{path}/b")
+        "fl_date": F.lit("unknown")}), f"{path}/b", packed=True)
     return S.read_csv_inferred(spark, [f"{path}/a", f"{path}/b"])
 
 

@@ -173,21 +173,29 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     return path
 
 
-def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+#: Of a compressed CSV file, which one task reads: about as much text as a split of a plain one.
+PACKED_ROWS = 500_000
+
+
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), packed: bool = False) -> str:
     """Overwrite ``path`` with ``df`` as CSV with a header.
 
     Standard quoting (a quote inside a value is doubled), so other readers
     agree; blanks inside values are kept (Spark's writer trims them by
-    default).
+    default). With ``packed`` the files are compressed (gzip) and have at most
+    ``PACKED_ROWS`` rows each, since such a file is not split when it is read.
     """
-    (
+    w = (
         df.write.mode("overwrite").partitionBy(*partition_by)
         .option("header", True)
         .option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    if packed:
+        # the default level takes three times as long for a tenth less
+        w = w.options(**{"compression": "gzip", "zlib.compress.level": "FOUR", "maxRecordsPerFile": PACKED_ROWS})
+    w.csv(path)
     return path
 
 

@@ -8,10 +8,13 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+from aerolap import sources as S
 from aerolap.functions import _util as U
+from aerolap.session import scratch_path
 from aerolap.sources import files as F
 from aerolap.sources import infer as I
 from aerolap.sources import lines as L
+from tests.conftest import SF_SMALL
 
 SCHEMA = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
 
@@ -135,3 +138,36 @@ def test_text_cells_keep_the_projection_out_of_one_long_method(spark, tmp_path):
     assert [(r.a, r.b) for r in df.collect()] == [(1, None), (None, "y"), (None, None)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Project" in plan and "*(1) Project" not in plan
+
+
+def test_packed_files_are_read_as_plain_ones(spark, monkeypatch):
+    monkeypatch.setattr(F, "PACKED_ROWS", 7)
+    rows = [(i, None if i % 5 == 0 else f'n "{i}"\nb, c' if i % 6 == 0 else f" v{i}", i / 4) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, t string, d double").coalesce(1)
+    one = df.where("t NOT LIKE '%\n%' OR t IS NULL")
+    plain, packed = (S.write_csv(one, scratch_path(spark, "t_packed"), packed=p) for p in (False, True))
+    names = [f.rpartition("/")[2] for f in F._data_files(spark, [packed])]
+    assert len(names) == -(-one.count() // 7) and all(n.endswith(".csv.gz") for n in names)
+    read = [sorted(map(str, S.read_raw_csv(spark, p, schema=df.schema).collect())) for p in (plain, packed)]
+    assert read[0] == read[1] and len(read[0]) == one.count()
+    inferred = [S.read_csv_inferred(spark, p) for p in (plain, packed)]
+    assert inferred[0].schema == inferred[1].schema and inferred[1].schema["d"].dataType.typeName() == "double"
+    assert inferred[0].exceptAll(inferred[1]).count() == 0 and inferred[1].count() == one.count()
+    # the lines and records are those of the one file, whatever its pieces
+    numbered = []
+    for p in (False, True):
+        got = S.read_raw_csv_lines(spark, S.write_csv(df, scratch_path(spark, "t_lines"), packed=p),
+                                   schema=df.schema, folders=True)
+        numbered.append(sorted((r.k, r.t, r.d, r.source_line, r.source_record) for r in got.collect()))
+    assert numbered[0] == numbered[1] and len(numbered[0]) == 60
+    assert numbered[1][-1][3:] == (61 + sum(1 for i in range(59) if i % 6 == 0 and i % 5), 61)
+
+
+@pytest.mark.parametrize("name", ["scan_csv_widened"])
+def test_queries_write_packed_csv(spark, monkeypatch, name):
+    from aerolap.plans import catalog
+    seen, real = [], S.write_csv
+    monkeypatch.setattr(catalog.S, "write_csv", lambda *a, **b: (seen.append(b.get("packed")), real(*a, **b))[1])
+    assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert seen and all(seen)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
