@@ -402,7 +402,7 @@ def q_scan_csv_decimal_ints(spark, sf_dir):
     text = raw.select(*[
         F.concat(F.col(c).cast("string"), F.lit(".0")).alias(c)
         if isinstance(raw.schema[c].dataType, T.IntegerType) else F.col(c) for c in raw.columns])
-    path = S.write_csv(text, scratch_path(spark, "raw_csv"))
+    path = S.write_csv(text, scratch_path(spark, "raw_csv"), packed=True)
     return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
 
 
