@@ -413,7 +413,8 @@ def _with_quotes(raw: DataFrame) -> DataFrame:
 
 def q_scan_csv_quoted(spark, sf_dir):
     """Quotes and separators inside values."""
-    path = S.write_csv(_with_quotes(raw_flights(spark, sf_dir)), scratch_path(spark, "raw_csv"))
+    path = S.write_csv(_with_quotes(raw_flights(spark, sf_dir)), scratch_path(spark, "raw_csv"),
+                       packed=True)
     return S.read_raw_csv(spark, path, schema=FIXTURE_SCHEMA)
 
 
