@@ -420,7 +420,7 @@ def q_scan_csv_quoted(spark, sf_dir):
 
 def q_scan_csv_inferred(spark, sf_dir):
     """Types from the file itself; the table has the declared ones."""
-    path = S.write_csv(raw_flights(spark, sf_dir), scratch_path(spark, "raw_csv"))
+    path = S.write_csv(raw_flights(spark, sf_dir), scratch_path(spark, "raw_csv"), packed=True)
     return S.read_csv_inferred(spark, path)
 
 
