@@ -45,7 +45,7 @@ from aerolap.schema import (
     RAW_FIELDS,
     TIME_CHECKS,
 )
-from aerolap.session import input_bytes, open_writers, scratch_path
+from aerolap.session import input_bytes, open_writers, scratch_path, shuffles_dropped
 from aerolap.sources.fixtures import KEY_COLUMNS
 from aerolap.sources.fixtures import load_raw_flights as raw_flights
 from aerolap.sources.publish import publish
@@ -235,11 +235,15 @@ def _with_line_ends(raw: DataFrame) -> DataFrame:
 def q_dq_bad_rows_lines(spark, sf_dir):
     """Bad rows with the line and record that they have in their CSV file."""
     raw = _with_line_ends(raw_flights(spark, sf_dir)).withColumn("part", F.col("l_orderkey") % 3)
-    # a part's file is written in pieces of some 100 MB, in order, and numbered as one
-    pieces = 3 + input_bytes(spark, f"{sf_dir}/lineitem.parquet") // (8 << 20)
-    dealt = raw.repartitionByRange(pieces, "part", *KEY_COLUMNS)
-    path = S.write_csv(dealt.sortWithinPartitions("part", *KEY_COLUMNS),
-                       scratch_path(spark, "raw_csv"), partition_by=["part"])
+    # a part's file is written in pieces of some 100 MB of text, in order, and numbered as one;
+    # the parts are dealt one after the other, so the disk holds the shuffle files of one
+    path, parts = scratch_path(spark, "raw_csv"), [r.part for r in raw.select("part").distinct().collect()]
+    pieces = 1 + input_bytes(spark, f"{sf_dir}/lineitem.parquet") // (8 << 20) // max(1, len(parts))
+    for part in parts:
+        rows = raw.where(F.col("part") == part).drop("part")
+        with shuffles_dropped(spark):
+            S.write_csv(rows.repartitionByRange(pieces, *KEY_COLUMNS).sortWithinPartitions(*KEY_COLUMNS),
+                        f"{path}/part={part}", packed=True)
     bad = TC.bad_rows(S.read_raw_csv_lines(spark, path, schema=FIXTURE_SCHEMA, folders=True))
     return bad.select(*KEY_COLUMNS, "origin_city_name", "source_line", "source_record",
                       F.regexp_extract("source_file", r"part=(\d+)", 1).cast("long").alias("part"))

@@ -163,7 +163,8 @@ def test_packed_files_are_read_as_plain_ones(spark, monkeypatch):
     assert numbered[1][-1][3:] == (61 + sum(1 for i in range(59) if i % 6 == 0 and i % 5), 61)
 
 
-@pytest.mark.parametrize("name", ["scan_csv_widened", "scan_csv_decimal_ints", "scan_csv_quoted", "scan_csv_inferred"])
+@pytest.mark.parametrize("name", ["scan_csv_widened", "scan_csv_decimal_ints", "scan_csv_quoted",
+                                  "scan_csv_inferred", "dq_bad_rows_lines"])
 def test_queries_write_packed_csv(spark, monkeypatch, name):
     from aerolap.plans import catalog
     seen, real = [], S.write_csv
